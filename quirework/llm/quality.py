@@ -34,7 +34,7 @@ LEAST = 0.3
 
 _BLANK = 32
 _ROOT = 0x9E3779B97F4A7C15
-_POWERS = np.cumprod(np.r_[np.uint64(1), np.full(2 * PIECE + 64, _ROOT, np.uint64)], dtype=np.uint64)
+_POWERS, _INVERSES = (np.cumprod(np.r_[np.uint64(1), np.full(2 * PIECE + 64, x, np.uint64)], dtype=np.uint64) for x in (_ROOT, pow(_ROOT, -1, 1 << 64)))
 _REPEAT = (1 << BITS) - 1
 
 
@@ -76,7 +76,7 @@ def units(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     end = np.flatnonzero(blank & np.r_[False, ~blank[:-1]])
     if len(first):
         sums = np.cumsum(points * _POWERS[: len(points)], dtype=np.uint64)
-        h = (sums[end - 1] - np.where(first > 0, sums[first - 1], np.uint64(0))) * _POWERS[len(points) - first]
+        h = (sums[end - 1] - np.where(first > 0, sums[first - 1], np.uint64(0))) * _INVERSES[first]
         yield _bucket(h), owner[first]
         again = np.flatnonzero((h[1:] == h[:-1]) & (owner[first[1:]] == owner[first[:-1]])) + 1
         yield np.full(len(again), _REPEAT, np.int64), owner[first[again]]
