@@ -23,6 +23,11 @@ MATHS = {
     12: "```", 13: "a → b {raw}", 14: "\\mathrm x {raw}", 15: "$- a$ {raw}", 16: "- (i) {raw}", 17: "({n}) {raw}", 18: "（式 (1.2)）", 19: "> **定义** {raw}", 20: "",
     21: "\\left.\\frac x $ {raw}",
 }
+#: Scanned blocks with numbered items, references to them, section heads and label heads.
+ITEMS = {
+    0: "{key} 定理（名）{raw}", 1: "例子", 2: "{key} {raw}", 3: "见{key} {raw}", 4: "定理{key} {raw}", 5: "定义（{raw}", 6: "{key}：{raw}", 7: "§1.1  {raw}", 8: "Theorem {n}.2 {raw}",
+    9: "（{key}，1.2-3）{raw}", 10: "例{key}到1.2-9 {raw}", 11: "{key} Definition {raw}", 12: "由", 13: "Example {n}.4 {raw}",
+}
 KINDS = 23
 
 

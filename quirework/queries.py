@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import patterns as P
-from .operators import maths, rewriters, rules
+from .operators import figures, items, keys, maths, reports, rewriters, rules
 from .plans import oracles as O
 from .plans.lines import line_context, md_lines
-from .plans.markup import MATHS, STRUCTURE, marked
+from .plans.markup import ITEMS, MATHS, STRUCTURE, marked, marked_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -310,3 +310,190 @@ add(
     lambda s, d: maths.maths_findings(context_of(s, d, MATHS)).groupBy("rule").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("documents")),
     "SELECT rule, count(*) AS n, count(DISTINCT doc_id) AS documents FROM (" + " UNION ALL ".join(f"SELECT doc_id, '{n}' AS rule FROM ({sql})" for n, sql in _MATHS_SQL.items()) + ") GROUP BY rule",
 )
+
+# --- keys, items and gaps: a line is a scanned block, ten lines are a page, a document is a book with one chapter
+
+
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = lines_of(spark, sf_dir, ITEMS)
+    return lines.select(F.col("doc_id").alias("book"), F.floor((F.col("line_no") - 1) / 10).cast("int").alias("page"), F.col("line_no").alias("block"), F.col("line").alias("text")).withColumn("page", F.col("page") + 1)
+
+
+def _chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ends = md_lines(read(spark, sf_dir, "documents")).groupBy(F.col("doc_id").alias("book")).agg(F.max("line_no").alias("last"))
+    return ends.select("book", F.expr("cast(book % 9 + 1 as int)").alias("ch"), F.lit(1).alias("start"), (F.floor((F.col("last") - 1) / 10) + 1).cast("int").alias("end"))
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return items.three_level(_blocks(spark, sf_dir), _chapters(spark, sf_dir))
+
+
+_NORMAL = "regexp_replace(key, '^([^.]*)\\.([^.]*)\\.([^.]*)$', '\\1.\\2-\\3')"
+_CANON = "CASE regexp_extract(k, '^([^\\d\\s]+)', 1) " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in P.CANONICAL.items()) + " ELSE regexp_extract(k, '^([^\\d\\s]+)', 1) END || regexp_extract(k, '(\\d+\\.\\d+)', 1)"
+_KEYS = f"""keys AS (SELECT doc_id, {_NORMAL} AS key, bool_or(entry) AS entry FROM (
+  SELECT doc_id, unnest(regexp_extract_all(line, {O.q(P.ENTRY)}, 1)) AS key, true AS entry FROM d UNION ALL SELECT doc_id, unnest(regexp_extract_all(line, {O.q(f'({P.KEY})')}, 1)), false FROM d) GROUP BY 1, 2)"""
+_WANTED = "wanted AS (SELECT DISTINCT doc_id, (doc_id % 9 + 1) || '.' || s || '-' || n AS key FROM documents, range(1, 6) a(s), range(1, 7) b(n) WHERE text IS NOT NULL)"
+_NOISE = "noise AS (SELECT doc_id, (doc_id % 9 + 1) || '.1-1' AS key FROM documents WHERE text IS NOT NULL)"
+
+
+def _wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thirty keys that a document's chapter should have."""
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id")
+    grid = F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(5)), lambda s: F.transform(F.sequence(F.lit(1), F.lit(6)), lambda n: F.concat(F.expr("cast(doc_id % 9 + 1 as string)"), F.lit("."), s.cast("string"), F.lit("-"), n.cast("string"))))))
+    return docs.select("doc_id", grid.alias("key"))
+
+
+def _noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.concat(F.expr("cast(doc_id % 9 + 1 as string)"), F.lit(".1-1")).alias("key"))
+
+
+_D = marked_sql("d")
+add("md_keys", lambda s, d: keys.md_keys(lines_of(s, d)), f"WITH {_D}, {_KEYS} SELECT doc_id, key, entry FROM keys")
+add(
+    "md_keys_two_level",
+    lambda s, d: keys.md_keys(lines_of(s, d), "two-level"),
+    f"""WITH {_D} SELECT doc_id, {_CANON} AS key, bool_or(entry) AS entry FROM (SELECT doc_id, unnest(regexp_extract_all(line, {O.q(P.LABELLED_ENTRY)}, 1)) AS k, true AS entry FROM d
+UNION ALL SELECT doc_id, unnest(regexp_extract_all(line, {O.q(P.LABELLED_MENTION)}, 1)), false FROM d) GROUP BY 1, 2""",
+)
+add(
+    "key_compare",
+    lambda s, d: keys.compare(_wanted(s, d), keys.md_keys(lines_of(s, d)), _noise(s, d)),
+    f"""WITH {_D}, {_KEYS}, {_WANTED}, {_NOISE}, b AS (SELECT coalesce(w.doc_id, k.doc_id) AS doc_id, coalesce(w.key, k.key) AS key, w.key IS NOT NULL AS wanted, n.key IS NOT NULL AS noise, k.entry
+FROM wanted w FULL JOIN keys k ON w.doc_id = k.doc_id AND w.key = k.key LEFT JOIN noise n ON w.doc_id = n.doc_id AND w.key = n.key)
+SELECT * FROM (SELECT doc_id, key, CASE WHEN noise THEN 'ignored' WHEN wanted AND entry IS NULL THEN 'missing' WHEN wanted AND NOT entry THEN 'mentioned' WHEN NOT wanted THEN 'extra' END AS status FROM b) WHERE status IS NOT NULL""",
+)
+
+
+def _headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document has a heading for each section whose number its length in lines divides by."""
+    rows = md_lines(read(spark, sf_dir, "documents")).groupBy("doc_id").agg(F.count("*").alias("n"))
+    return rows.select("doc_id", F.explode(F.filter(F.sequence(F.lit(1), F.lit(5)), lambda s: F.col("n") % s == 0)).alias("section"))
+
+
+_SECTION_MAX = "SELECT doc_id, CAST(string_split(k, '.')[2] AS INTEGER) AS section, CAST(string_split(k, '.')[3] AS INTEGER) AS n FROM (SELECT doc_id, regexp_replace(unnest(regexp_extract_all(line, '(\\d{1,3}\\.\\d{1,3}[.\\-·]\\d{1,3})', 1)), '[-·]', '.') AS k FROM d WHERE contains(line, '**'))"
+add("section_numbers", lambda s, d: keys.section_numbers(lines_of(s, d)), f"WITH {_D} SELECT doc_id, section, max(n) AS high FROM ({_SECTION_MAX}) WHERE n > 0 GROUP BY 1, 2")
+add(
+    "section_state",
+    lambda s, d: keys.section_state(_wanted(s, d).select("doc_id", F.split("key", r"[.\-]")[1].cast("int").alias("section"), F.split("key", r"[.\-]")[2].cast("int").alias("n")).groupBy("doc_id", "section").agg(F.max("n").alias("high")), keys.section_numbers(lines_of(s, d)), _headings(s, d)),
+    f"""WITH {_D}, h AS (SELECT doc_id, max(n) AS high, section FROM ({_SECTION_MAX}) WHERE n > 0 GROUP BY ALL), n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY 1),
+g AS (SELECT n.doc_id, CAST(s AS INTEGER) AS section, n % s = 0 AS headed FROM n, range(1, 6) a(s))
+SELECT * FROM (SELECT g.doc_id, g.section, 6 AS source_high, coalesce(high, 0) AS summary_high, CASE WHEN NOT headed THEN 'missing' WHEN 6 - coalesce(high, 0) > 5 THEN 'suspect' WHEN 6 > coalesce(high, 0) THEN 'tail' END AS state
+FROM g LEFT JOIN h ON g.doc_id = h.doc_id AND g.section = h.section) WHERE state IS NOT NULL""",
+)
+add("items_three_level", _items)
+
+
+def _first_sql(pattern: str, groups: str, keep: str, label: str, key: str) -> str:
+    """First match of a key in reading order, over the marked lines as blocks."""
+    names = ["said", "g1", "g2", "g3"]
+    structs = ", ".join(f"regexp_extract(said, {O.q(pattern)}, {i}) AS {n}" for i, n in enumerate(names) if i)
+    return f"""WITH {marked_sql('d', ITEMS)}, s AS (SELECT doc_id AS book, line_no, unnest(regexp_extract_all(line, {O.q(pattern)}, 0)) AS said, unnest(range(len(regexp_extract_all(line, {O.q(pattern)}, 0)))) AS nth FROM d),
+m AS (SELECT book, line_no, nth, {structs} FROM s), r AS (SELECT *, {label} AS label, {key} AS key FROM m WHERE {keep})
+SELECT book, key, label, CAST((line_no - 1) // 10 + 1 AS INTEGER) AS page FROM (SELECT *, row_number() OVER (PARTITION BY book, key ORDER BY line_no, nth) AS k FROM r) WHERE k = 1{groups}"""
+
+
+_CN = "CASE g1 " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in P.CANONICAL.items()) + " ELSE g1 END"
+add("items_two_level", lambda s, d: items.two_level(_blocks(s, d), _chapters(s, d)), _first_sql(items.TWO_LEVEL, "", "CAST(g2 AS INTEGER) = book % 9 + 1", "g1", "g1 || CAST(g2 AS INTEGER) || '.' || CAST(g3 AS INTEGER)"))
+add("items_section_only", lambda s, d: items.section_only(_blocks(s, d)), _first_sql(items.SECTION_ONLY, "", "CAST(g2 AS INTEGER) <= 20 AND CAST(g3 AS INTEGER) <= 80", _CN, f"{_CN} || CAST(g2 AS INTEGER) || '.' || CAST(g3 AS INTEGER)"))
+add("items_english", lambda s, d: items.english(_blocks(s, d), _chapters(s, d)), _first_sql(items.ENGLISH, "", "CAST(g2 AS INTEGER) = book % 9 + 1", _CN, f"{_CN} || ' ' || g2 || '.' || g3"))
+add("section_gaps", lambda s, d: items.section_gaps(_items(s, d), _chapters(s, d)))
+add("gap_verdicts", lambda s, d: items.recover_gaps(_blocks(s, d), _items(s, d), _chapters(s, d))[1])
+add("gap_recovered", lambda s, d: items.recover_gaps(_blocks(s, d), _items(s, d), _chapters(s, d))[0])
+
+# --- the same operators on tables that need no markup
+
+add(
+    "line_number_continuity",
+    lambda s, d: items.continuity(read(s, d, "lineitem"), ["l_orderkey"], "l_linenumber"),
+    "SELECT l_orderkey, min(l_linenumber) AS low, max(l_linenumber) AS high, count(DISTINCT l_linenumber) AS n, max(l_linenumber) - min(l_linenumber) + 1 - count(DISTINCT l_linenumber) AS missing FROM lineitem GROUP BY 1 HAVING max(l_linenumber) - min(l_linenumber) + 1 > count(DISTINCT l_linenumber)",
+)
+add(
+    "dedup_first_seen",
+    lambda s, d: read(s, d, "documents").groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")),
+    "SELECT sha256(text) AS digest, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1",
+)
+add("oversized_documents", lambda s, d: reports.oversized(read(s, d, "documents")), "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents WHERE length(text) > 30000")
+add(
+    "section_split",
+    lambda s, d: reports.sections(lines_of(s, d)),
+    f"""WITH {_D}, s AS (SELECT *, regexp_matches(line, '^##\\s') AS opens, greatest({O.through("regexp_matches(line, '^##\\s')")}, 1) AS section FROM d)
+SELECT doc_id, CAST(section AS BIGINT) AS section, arg_min(line, CASE WHEN opens THEN line_no END) AS title, string_agg(line, chr(10) ORDER BY line_no) AS body FROM s GROUP BY doc_id, section""",
+)
+add(
+    "expected_labels",
+    lambda s, d: read(s, d, "documents").select("doc_id").join(read(s, d, "labels"), "doc_id", "left_anti").withColumn("status", F.lit("unlabelled")).unionByName(read(s, d, "labels").select("doc_id").join(read(s, d, "documents"), "doc_id", "left_semi").withColumn("status", F.lit("labelled"))),
+    "SELECT d.doc_id, CASE WHEN EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) THEN 'labelled' ELSE 'unlabelled' END AS status FROM documents d",
+)
+
+
+def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping ranges of days since 1970 that the orders fall into: quarters, then half years."""
+    return spark.range(120).selectExpr("cast(id as int) as map_idx", "cast(8000 + id * 91 as int) as start", "cast(8000 + id * 91 + 120 as int) as end")
+
+
+add(
+    "range_assignment",
+    lambda s, d: figures.assign_ranges(read(s, d, "orders").selectExpr("o_orderkey", "unix_date(cast(o_orderdate as date)) as day"), _months(s, d), "day"),
+    """WITH m AS (SELECT CAST(i AS INTEGER) AS map_idx, CAST(8000 + i * 91 AS INTEGER) AS start, CAST(8000 + i * 91 + 120 AS INTEGER) AS "end" FROM range(120) t(i)),
+o AS (SELECT o_orderkey, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS day FROM orders),
+f AS (SELECT o.*, arg_min(m, m.map_idx) AS r FROM o LEFT JOIN m ON o.day BETWEEN m.start AND m."end" GROUP BY ALL)
+SELECT o_orderkey, day, r.map_idx, r.start, r."end" AS "end" FROM f""",
+)
+
+
+def _plane(spark: SparkSession, sf_dir: str, low: int, high: int) -> DataFrame:
+    """Vectors as points: their label is the page, two coordinates the place."""
+    rows = read(spark, sf_dir, "embeddings")
+    return rows.select("vec_id", "label", F.round(F.col("embedding")[low] * 1000).cast("double").alias("x"), F.round(F.col("embedding")[high] * 1000).cast("double").alias("y"))
+
+
+add(
+    "nearest_caption",
+    lambda s, d: figures.nearest(_plane(s, d, 0, 1), _plane(s, d, 2, 3).withColumnRenamed("vec_id", "cap_id"), ["label"], "vec_id", "cap_id"),
+    """WITH a AS (SELECT vec_id, label, round(embedding[1] * 1000) AS x, round(embedding[2] * 1000) AS y FROM embeddings), b AS (SELECT vec_id AS cap_id, label, round(embedding[3] * 1000) AS x, round(embedding[4] * 1000) AS y FROM embeddings),
+n AS (SELECT a.label, a.vec_id, b.cap_id, CAST(abs(a.y - b.y) + 0.5 * abs(a.x - b.x) AS DOUBLE) AS distance, row_number() OVER (PARTITION BY a.label, a.vec_id ORDER BY abs(a.y - b.y) + 0.5 * abs(a.x - b.x), b.cap_id) AS k FROM a JOIN b ON a.label = b.label)
+SELECT label, vec_id, cap_id, distance FROM n WHERE k = 1""",
+)
+add(
+    "greedy_assignment",
+    lambda s, d: figures.assign_greedily(
+        _plane(s, d, 0, 1).select(F.lit(1).alias("ch"), F.col("label").alias("page"), F.col("vec_id").alias("fig_idx"), "y"),
+        _plane(s, d, 2, 3).select(F.lit(1).alias("ch"), F.col("label").alias("page"), F.col("vec_id").cast("string").alias("label"), "y"),
+    ),
+)
+add(
+    "event_blocks",
+    lambda s, d: _event_blocks(read(s, d, "events")),
+    """WITH e AS (SELECT *, CASE WHEN epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= 3600 THEN 0 ELSE 1 END AS starts FROM events),
+b AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS block FROM e)
+SELECT user_id, CAST(block AS BIGINT) AS block, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id FROM b GROUP BY 1, 2""",
+)
+
+
+def _event_blocks(events: DataFrame) -> DataFrame:
+    """Events of a user at most an hour apart are one block."""
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    starts = F.when(F.timestamp_diff("MICROSECOND", F.lag("ts").over(order), F.col("ts")) <= 3_600_000_000, 0).otherwise(1)
+    rows = events.withColumn("starts", starts).withColumn("block", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy("user_id", "block").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+
+
+add(
+    "tag_blanks",
+    lambda s, d: maths.div_blanks(line_context(md_lines(read(s, d, "pages").select(F.col("page_id").alias("doc_id"), F.regexp_replace("html", "(</?(?:div|p)\\b)", "\n$1").alias("text"))))),
+    f"""WITH h AS (SELECT page_id AS doc_id, regexp_replace(html, '(</?(?:div|p)\\b)', chr(10) || '\\1', 'g') AS text FROM pages WHERE html IS NOT NULL),
+d AS (SELECT doc_id, CAST(unnest(range(1, len(string_split(text, chr(10))) + 1)) AS INTEGER) AS line_no, unnest(string_split(text, chr(10))) AS line FROM h), {O.context('d', 'c')}
+SELECT doc_id, line_no FROM c WHERE (starts_with(t, '<div') AND {_TIGHT['p1']}) OR (t = '</div>' AND {_TIGHT['n1']})""",
+)
+add(
+    "document_dollars",
+    lambda s, d: maths.odd_dollars(line_context(md_lines(read(s, d, "documents")))),
+    f"""WITH d AS (SELECT doc_id, CAST(unnest(range(1, len(string_split(text, chr(10))) + 1)) AS INTEGER) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL), {O.context('d', 'c')}, {_OUT}
+SELECT doc_id, 0 AS line_no, CAST(sum(n) AS BIGINT) AS dollars FROM (SELECT doc_id, len(regexp_replace(line, '\\\\\\$', '', 'g')) - len(replace(regexp_replace(line, '\\\\\\$', '', 'g'), '$', '')) AS n FROM x WHERE {_OUTSIDE}) GROUP BY doc_id HAVING sum(n) % 2 = 1""",
+)
+add(
+    "order_rollup",
+    lambda s, d: reports.rollup(read(s, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("md_count"), F.count_if(F.col("o_orderstatus") == "F").alias("f")).select(F.col("o_custkey").alias("book"), "md_count", F.concat(F.col("f").cast("string"), F.lit("/"), F.col("md_count").cast("string")).alias("verify_pass"))),
+    """WITH b AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f FROM orders GROUP BY 1)
+SELECT count(*) AS books, CAST(sum(n) AS BIGINT) AS files, CAST(sum(f) AS BIGINT) AS passed, CAST(sum(n) AS BIGINT) AS total, count(*) FILTER (f < n) AS failing, CAST(0 AS BIGINT) AS broken FROM b""",
+)
