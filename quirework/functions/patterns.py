@@ -57,3 +57,17 @@ BULLET = r"^\s*-\s*[(（][^)）]+[)）]"
 TOP_ITEM = r"^[(（]\d+[)）]"
 DEEP_QUOTED_FENCE = r"^\s*>\s{2,}\$\$"
 BARE_QUOTED_STATEMENT = rf"^>\s+\*\*(?:{LABELS}|{LABELS_EN})(?:[^\p{{L}}\p{{N}}_]|$)"
+
+# Top-level examples and what ends them, words that open a step of a proof, image lines.
+TOP_EXAMPLE = r"^\*\*(?:例(?:[^外如]|$)|Example(?:[^\p{L}\p{N}_]|$))"
+TOP_STOP = (
+    r"^\*\*(?:定义|定理|引理|推论|命题|断言|公理|注记|注|评注|假设|习题|问题"
+    r"|Definition|Theorem|Lemma|Proposition|Corollary|Claim|Axiom|Remark|Assumption|Exercise|Problem|Conjecture)(?:[^\p{L}\p{N}_]|$)"
+)
+STEP_WORDS = (
+    r"(?:首先|其次|再次|然后|接着|最后|先证|再证|次证|又证|后证|另一方面|其一|其二|其三|情形一|情形二|情形三"
+    r"|（一）|（二）|（三）|第一步|第二步|第三步|（必要性）|（充分性）|（i）|（ii）|（iii）|（iv）|\(i\)|\(ii\)|\(iii\)|\(iv\))"
+)
+WEAK_STEP_WORDS = "(?:先|再|又|一般|反之|同理)"
+IMAGE = r"^\s*(?:!\[|<img)"
+MOJIBAKE = "Ã[\u0080-\u00BF]|â€|ï»¿|\uFFFD"

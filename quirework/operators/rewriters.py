@@ -121,11 +121,7 @@ def heading_separators(lines: DataFrame) -> DataFrame:
     """Separators right under a heading go, and of three or more line feeds in a row two stay."""
     ctx = line_context(lines)
     ctx = ctx.withColumn("rules", before(F.when(~F.col("blank") & ~F.col("dash"), F.col("head"))))
-    lines = numbered(ctx.where("not (dash and coalesce(rules, false))"), F.array("line"))
-    empty = F.col("line") == ""
-    rows = lines.withColumn("solid", F.sum((~empty).cast("int")).over(rows_through()))
-    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "solid").orderBy("line_no")))
-    return numbered(rows.where((F.col("line") != "") | (F.col("nth") <= F.when(F.col("solid") == 0, 2).otherwise(2))), F.array("line"))
+    return collapsed(numbered(ctx.where("not (dash and coalesce(rules, false))"), F.array("line")))
 
 
 def display_without_blanks(lines: DataFrame) -> DataFrame:
@@ -154,15 +150,104 @@ def split_example_proof(lines: DataFrame) -> DataFrame:
 
 
 def broken_commands(lines: DataFrame) -> DataFrame:
-    """``$$4pt]`` was ``\\\\[4pt]``."""
-    return _replaced(lines, F.regexp_replace("line", r"\$\$(\d+pt\])", r"\\\\\\\\[$1"))
+    """``$$4pt]`` was a line break with a distance: two backslashes and ``[4pt]``."""
+    return _replaced(lines, F.regexp_replace("line", r"\$\$(\d+pt\])", r"\\\\[$1"))
+
+
+def collapsed(lines: DataFrame) -> DataFrame:
+    """Of three or more line feeds in a row two stay: one blank line between lines, two at either end of a text."""
+    rows = lines.withColumn("solid", F.sum((F.col("line") != "").cast("int")).over(rows_through()))
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "solid").orderBy("line_no")))
+    rows = rows.withColumn("ends", F.col("solid") == F.max("solid").over(Window.partitionBy("doc_id")))
+    return numbered(rows.where((F.col("line") != "") | (F.col("nth") <= F.when(F.col("ends"), 3).otherwise(2))), F.array("line"))
+
+
+def _pairs(ctx: DataFrame) -> DataFrame:
+    """Adds ``lone`` and, for lines from an opening ``$$`` to its closing one, ``pair`` (its number)."""
+    ctx = ctx.withColumn("lone", F.col("t") == "$$").withColumn("nth", F.sum(F.col("lone").cast("int")).over(rows_through()))
+    ctx = ctx.withColumn("closes", after(F.when(F.col("lone"), True)).isNotNull())
+    opened = (F.col("nth") % 2 == 1) & F.col("closes")
+    return ctx.withColumn("pair", F.when(opened | (F.col("lone") & (F.col("nth") % 2 == 0)), F.ceil(F.col("nth") / 2)))
+
+
+def wrapping_display(lines: DataFrame) -> DataFrame:
+    """``$$`` pairs around headings, Chinese text or inline maths go; their content stays."""
+    ctx = _pairs(line_context(lines))
+    body = F.col("pair").isNotNull() & ~F.col("lone") & ~F.col("blank")
+    block = Window.partitionBy("doc_id", "pair")
+    has = lambda what: F.coalesce(F.max(F.when(body, what)).over(block), F.lit(False))
+    first = F.min(F.when(body, F.struct("line_no", "line"))).over(block)["line"]
+    ctx = ctx.withColumns({
+        "inline": has(F.contains("line", F.lit("$"))), "display": has(F.contains("line", F.lit("\\begin{"))), "heading": has(_is("line", "^##? ")),
+        "chinese": has(_is("line", "[\u4e00-\u9fff]")), "maths": F.coalesce(first.rlike(r"^\\[a-zA-Z]"), F.lit(False)),
+    })
+    wrong = F.col("heading") | (~F.col("display") & ((F.col("chinese") & (F.col("inline") | ~F.col("maths"))) | (F.col("inline") & ~F.col("maths"))))
+    return numbered(ctx.where(~(F.col("lone") & F.col("pair").isNotNull() & wrong)), F.array("line"))
+
+
+def display_dedented(lines: DataFrame) -> DataFrame:
+    """An indented ``$$`` block moves left by its opening line's indentation."""
+    ctx = _pairs(line_context(lines)).withColumn("lead", F.length("line") - F.length(F.ltrim("line")))
+    indent = F.min(F.when(F.col("lone"), F.struct("line_no", "lead"))).over(Window.partitionBy("doc_id", "pair"))["lead"]
+    ctx = ctx.withColumn("indent", indent)
+    cut = F.expr("substring(line, least(indent, lead) + 1)")
+    return _replaced(ctx, F.when(F.col("pair").isNotNull() & ~F.col("blank") & (F.col("indent") > 0), cut).otherwise(F.col("line")))
+
+
+def example_proof_merged(lines: DataFrame) -> DataFrame:
+    """Between an example and its proof blank lines go and other lines join the quote."""
+    ctx = line_context(lines)
+    stop = F.col("head") | _is("line", P.DASH) | _is("line", P.BARE_STATEMENT)
+    event = F.when(_is("line", P.EXAMPLE_NUMBERED), "example").when(_is("line", P.PROOF), "proof").when(stop, "stop")
+    ctx = ctx.withColumn("event", event)
+    what = F.when(F.col("event").isNotNull(), F.struct("event", "line_no"))
+    ctx = ctx.withColumns({"last": before(what), "next": after(what)})
+    gap = F.col("event").isNull() & (F.col("last.event") == "example") & (F.col("next.event") == "proof") & (F.col("next.line_no") - F.col("last.line_no") < 25)
+    ctx = ctx.withColumn("gap", F.coalesce(gap, F.lit(False)))
+    quote = F.when(F.startswith("line", F.lit("> ")) | (F.col("line") == ">"), F.col("line")).otherwise(F.concat(F.lit("> "), "line"))
+    return numbered(ctx.where("not (gap and blank)"), F.array(F.when(F.col("gap"), quote).otherwise(F.col("line"))))
+
+
+def examples_wrapped(lines: DataFrame) -> DataFrame:
+    """A top-level example and what follows up to the next item, heading or separator become one quote, with a blank line after it."""
+    ctx = line_context(lines)
+    opens, stops = _is("line", P.TOP_EXAMPLE), _is("line", r"^\s*---\s*$") | F.col("head") | _is("line", P.TOP_STOP)
+    ctx = ctx.withColumns({"opens": opens, "stops": stops & ~opens})
+    ctx = ctx.withColumn("inside", F.col("opens") | (~F.col("stops") & latch(F.col("opens"), F.col("stops"))))
+    ctx = ctx.withColumn("part", F.sum((F.col("opens") | F.col("stops")).cast("int")).over(rows_through()))
+    content = F.col("inside") & ~F.col("t").isin("", ">")
+    ctx = ctx.withColumn("final", F.max(F.when(content, F.col("line_no"))).over(Window.partitionBy("doc_id", "part")))
+    quote = F.when(~F.col("opens") & F.col("blank"), ">").when(~F.col("opens") & F.col("bq"), F.col("line")).otherwise(F.concat(F.lit("> "), "line"))
+    ctx = ctx.where("not inside or line_no <= final")
+    out = F.when(F.col("inside") & (F.col("line_no") == F.col("final")), F.array(quote, F.lit(""))).when(F.col("inside"), F.array(quote)).otherwise(F.array("line"))
+    return collapsed(numbered(ctx, out))
+
+
+def proof_steps(lines: DataFrame) -> DataFrame:
+    """A one-line proof with at least two step words becomes a numbered list inside its quote."""
+    head = r"^>\s+\*\*证明(思路|梗概|概要)\*\*[:：]\s*(.*)$"
+    steps = F.split(F.regexp_extract("line", head, 2), rf"(?<=^|[:：；。\s])(?={P.STEP_WORDS})|(?<=^|[:：；。])(?={P.WEAK_STEP_WORDS})", -1)
+    lines = lines.withColumn("steps", F.when(_is("line", head), steps))
+    starts = F.regexp_extract("line", head, 2).rlike(rf"^(?:{P.STEP_WORDS}|{P.WEAK_STEP_WORDS})")
+    marks = F.size("steps") - F.when(starts, 0).otherwise(1)
+    kept = F.filter("steps", lambda x: strip(x) != "")
+    made = F.concat(F.array(F.concat(F.lit("> **证明"), F.regexp_extract("line", head, 1), F.lit("**："))), F.transform(kept, lambda x, i: F.concat(F.lit("> "), (i + 1).cast("string"), F.lit(". "), strip(x))))
+    return numbered(lines, F.when(F.col("steps").isNotNull() & (marks >= 2), made).otherwise(F.array("line")))
+
+
+def images_quoted(lines: DataFrame) -> DataFrame:
+    """An image line inside an open quote joins it."""
+    ctx = line_context(lines)
+    ctx = ctx.withColumn("open", latch(_is("line", P.QUOTE_HEAD), _is("line", P.QUOTE_END) & ~F.col("bqi")))
+    return _replaced(ctx, F.when(F.col("open") & ~F.col("bqi") & _is("line", P.IMAGE), F.concat(F.lit("> "), F.ltrim("line"))).otherwise(F.col("line")))
 
 
 REWRITERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     f.__name__: f
     for f in (
         unwrap_struct, unwrap_statement, strip_unlabeled, add_quote, quote_blanks, add_separators, drop_dash_in_item, list_blank, separator_blanks_added,
-        display_unquoted, single_empty_quote, heading_separators, display_without_blanks, split_display, split_example_proof, broken_commands,
+        display_unquoted, single_empty_quote, heading_separators, display_without_blanks, split_display, split_example_proof, broken_commands, wrapping_display, display_dedented,
+        example_proof_merged, examples_wrapped, proof_steps, images_quoted,
     )
 }
 

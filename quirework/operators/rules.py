@@ -257,6 +257,30 @@ def dash_under_heading(ctx: DataFrame) -> DataFrame:
     return _where(ctx, F.col("dash") & _is("pnb", P.HEADING))
 
 
+@rule("S", WARNS)
+def dash_before_proof(ctx: DataFrame) -> DataFrame:
+    """A separator between a statement and its proof."""
+    ctx = ctx.withColumn("inside", latch(_is("line", P.STATEMENT), F.col("head")))
+    return _where(ctx, F.col("dash") & F.col("inside") & ~_is("pnb", P.HEADING) & F.coalesce(F.startswith("nnb", F.lit("> **证明")), F.lit(False)))
+
+
+@rule("S", WARNS)
+def item_as_heading(ctx: DataFrame) -> DataFrame:
+    """Statements must not be headings, and section headings carry their sign."""
+    return _where(ctx, _is("line", rf"^#{{1,6}}\s+\*{{0,2}}(?:{P.LABELS}|{P.LABELS_EN})") | (_is("line", r"^##\s") & ~_is("line", r"^##\s+§")))
+
+
+@rule("S", WARNS)
+def mojibake(ctx: DataFrame) -> DataFrame:
+    return _where(ctx, _is("line", P.MOJIBAKE))
+
+
+@rule("S", WARNS)
+def bracket_display(ctx: DataFrame) -> DataFrame:
+    """Display maths in backslash brackets instead of ``$$``."""
+    return _where(ctx, _is("line", r"\\[\[\]]"))
+
+
 def findings(ctx: DataFrame, disabled: Iterable[str] = ()) -> DataFrame:
     """``doc_id, code, rule, severity, line_no`` of every rule whose code is not disabled."""
     out = None

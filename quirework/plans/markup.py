@@ -23,6 +23,11 @@ MATHS = {
     12: "```", 13: "a → b {raw}", 14: "\\mathrm x {raw}", 15: "$- a$ {raw}", 16: "- (i) {raw}", 17: "({n}) {raw}", 18: "（式 (1.2)）", 19: "> **定义** {raw}", 20: "",
     21: "\\left.\\frac x $ {raw}",
 }
+#: The same with the forms that layout rewriters work on.
+LAYOUT = {
+    0: "**例{key}** {raw}", 1: "---", 2: "", 3: "> **例**", 4: "> **证明思路**：首先{raw}其次 b", 5: "  $$", 6: "<img src=a>", 7: "a $$4pt] b", 8: "$$", 9: "> **证明**", 10: "**定义** {raw}",
+    11: "## §{raw}", 12: "中文 $x$", 13: "  x", 14: ">", 15: "> b", 16: "# {raw}", 17: "\\[x\\]", 18: "### 定义 {raw}", 19: "Ã© {raw}", 20: "> **例{key}**：{raw} **证明**：c", 22: "",
+}
 #: Scanned blocks with numbered items, references to them, section heads and label heads.
 ITEMS = {
     0: "{key} 定理（名）{raw}", 1: "例子", 2: "{key} {raw}", 3: "见{key} {raw}", 4: "定理{key} {raw}", 5: "定义（{raw}", 6: "{key}：{raw}", 7: "§1.1  {raw}", 8: "Theorem {n}.2 {raw}",

@@ -11,7 +11,7 @@ from .functions import patterns as P
 from .operators import figures, items, keys, maths, reports, rewriters, rules
 from .plans import oracles as O
 from .plans.lines import line_context, md_lines
-from .plans.markup import ITEMS, MATHS, STRUCTURE, marked, marked_sql
+from .plans.markup import ITEMS, LAYOUT, MATHS, STRUCTURE, marked, marked_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,6 +138,10 @@ _RULES = {
     "empty_quote_runs": O.over_context("SELECT doc_id, min(line_no) AS line_no, max(line_no) AS last_line FROM n WHERE empty AND inside GROUP BY doc_id, run HAVING count(*) > 1", more=_RUNS),
     "ordinal_gaps": O.over_context(_GAPS, more=f"r AS (SELECT doc_id, line_no, {_LABEL} AS label FROM c WHERE {_LABEL} IS NOT NULL), {_ordinals('r')}"),
     "dash_under_heading": _where(f"dash AND {O.m('pnb', P.HEADING)}"),
+    "dash_before_proof": _where(f"dash AND inside AND NOT {O.m('pnb', P.HEADING)} AND coalesce(starts_with(nnb, '> **证明'), false)", f"s AS (SELECT *, {O.latch(O.m('line', P.STATEMENT), 'head')} AS inside FROM c)", "s"),
+    "item_as_heading": _where(f"{O.m('line', f'^#{{1,6}}\\s+\\*{{0,2}}(?:{P.LABELS}|{P.LABELS_EN})')} OR ({O.m('line', '^##\\s')} AND NOT {O.m('line', '^##\\s+§')})"),
+    "mojibake": _where(O.m("line", P.MOJIBAKE)),
+    "bracket_display": _where(O.m("line", r"\\[\[\]]")),
 }
 
 for _name, _rule in rules.RULES.items():
@@ -182,6 +186,22 @@ _UNWRAPPED = "regexp_replace(regexp_replace(regexp_replace(line, '^\\s*>\\s*', '
 _STMT = f"""s0 AS (SELECT *, {O.m('line', P.STATEMENT_OR_FORMULA)} AS hd, {O.m('line', P.QUOTE_LEGIT)} AS legit FROM c),
 s1 AS (SELECT *, ({O.latch('hd', 'legit')} AND NOT hd AND NOT legit) AS inside, {O.through('hd')} AS item FROM s0),
 s AS (SELECT *, bool_or(inside AND {O.m('line', P.QUOTE_WRAPPED)}) OVER (PARTITION BY doc_id, item) AS wrapped FROM s1)"""
+_MARKS = f"""e0 AS (SELECT *, CASE WHEN {O.m('line', P.EXAMPLE_NUMBERED)} THEN 'example' WHEN {O.m('line', P.PROOF)} THEN 'proof' WHEN head OR {O.m('line', P.DASH)} OR {O.m('line', P.BARE_STATEMENT)} THEN 'stop' END AS event FROM c),
+e1 AS (SELECT *, {O.before("CASE WHEN event IS NOT NULL THEN {'event': event, 'line_no': line_no} END")} AS was, {O.after("CASE WHEN event IS NOT NULL THEN {'event': event, 'line_no': line_no} END")} AS next FROM e0),
+e AS (SELECT *, coalesce(event IS NULL AND was.event = 'example' AND next.event = 'proof' AND next.line_no - was.line_no < 25, false) AS gap FROM e1)"""
+_PAIRED = f"""q0 AS (SELECT *, t = '$$' AS lone, {O.through("t = '$$'")} AS nth, {O.after("CASE WHEN t = '$$' THEN true END")} IS NOT NULL AS closes FROM c),
+q1 AS (SELECT *, CASE WHEN (nth % 2 = 1 AND closes) OR (lone AND nth % 2 = 0) THEN (nth + 1) // 2 END AS pair, len(line) - len(ltrim(line, ' ')) AS ld FROM q0)"""
+
+
+def _collapsed(source: str, name: str) -> str:
+    return f"""{name}0 AS (SELECT *, {O.through("line <> ''")} AS solid FROM {source}), {name}1 AS (SELECT *, row_number() OVER (PARTITION BY doc_id, solid ORDER BY line_no) AS nth, solid = max(solid) OVER (PARTITION BY doc_id) AS ends FROM {name}0),
+{name} AS ({O.renumbered(f"(SELECT * FROM {name}1 WHERE line <> '' OR nth <= CASE WHEN ends THEN 3 ELSE 2 END)", "[line]")})"""
+
+
+_WRAP = f"""x0 AS (SELECT *, {O.m('line', P.TOP_EXAMPLE)} AS opens, ({O.m('line', '^\\s*---\\s*$')} OR head OR {O.m('line', P.TOP_STOP)}) AND NOT {O.m('line', P.TOP_EXAMPLE)} AS stops FROM c),
+x1 AS (SELECT *, opens OR (NOT stops AND {O.latch('opens', 'stops')}) AS inside, {O.through('(opens OR stops)')} AS part FROM x0),
+x2 AS (SELECT *, max(CASE WHEN inside AND t NOT IN ('', '>') THEN line_no END) OVER (PARTITION BY doc_id, part) AS final FROM x1),
+x3 AS ({O.renumbered("(SELECT *, CASE WHEN NOT opens AND blank THEN '>' WHEN NOT opens AND bq THEN line ELSE '> ' || line END AS quote FROM x2 WHERE NOT inside OR line_no <= final)", "CASE WHEN inside AND line_no = final THEN [quote, ''] WHEN inside THEN [quote] ELSE [line] END")})"""
 _REWRITES = {
     "unwrap_struct": O.over_context(
         f"SELECT doc_id, line_no, CASE WHEN starts_with(line, '>') AND t = '>' AND NOT ({_content('p1')} AND {_content('n1')}) THEN '' ELSE line END AS line FROM e",
@@ -213,10 +233,9 @@ _REWRITES = {
     "display_unquoted": _line("CASE WHEN display AND bqi THEN regexp_replace(regexp_replace(line, '^(\\s*)>', '\\1'), '^ ', '') ELSE line END", "m", _DISPLAY),
     "single_empty_quote": O.over_context(O.renumbered("(SELECT * FROM n WHERE NOT coalesce(empty AND inside AND nth > 1, false))", _KEEP), more=_RUNS),
     "heading_separators": O.over_context(
-        O.renumbered("(SELECT * FROM z WHERE line <> '' OR nth <= 2)", _KEEP),
+        "SELECT * FROM w",
         more=f"""h0 AS (SELECT *, {O.before('CASE WHEN NOT blank AND NOT dash THEN head END')} AS rules FROM c),
-h1 AS ({O.renumbered("(SELECT * FROM h0 WHERE NOT (dash AND coalesce(rules, false)))", _KEEP)}),
-y AS (SELECT *, {O.through("line <> ''")} AS solid FROM h1), z AS (SELECT *, row_number() OVER (PARTITION BY doc_id, solid ORDER BY line_no) AS nth FROM y)""",
+h1 AS ({O.renumbered("(SELECT * FROM h0 WHERE NOT (dash AND coalesce(rules, false)))", _KEEP)}), {_collapsed('h1', 'w')}""",
     ),
     "display_without_blanks": O.over_context(O.renumbered("(SELECT * FROM m WHERE NOT (display AND blank))", _KEEP), more=_DISPLAY),
     "split_display": O.over_context(
@@ -230,10 +249,36 @@ y AS (SELECT *, {O.through("line <> ''")} AS solid FROM h1), z AS (SELECT *, row
     "split_example_proof": O.over_context(
         O.renumbered("c", "CASE WHEN starts_with(t, '> **例') AND contains(t, '**证明') THEN [regexp_replace(substring(line, 1, strpos(line, '**证明') - 1), '\\s+$', ''), '>', '> ' || substring(line, strpos(line, '**证明'))] ELSE [line] END")
     ),
+    "wrapping_display": O.over_context(
+        O.renumbered("(SELECT * FROM q WHERE NOT (lone AND pair IS NOT NULL AND (heading OR (NOT display AND ((chinese AND (inline OR NOT maths)) OR (inline AND NOT maths))))))", _KEEP),
+        more=f"""{_PAIRED}, q2 AS (SELECT *, pair IS NOT NULL AND NOT lone AND NOT blank AS body FROM q1),
+q AS (SELECT *, coalesce(bool_or(contains(line, '$')) FILTER (body) OVER p, false) AS inline, coalesce(bool_or(contains(line, '\\begin{{')) FILTER (body) OVER p, false) AS display, coalesce(bool_or(regexp_matches(line, '^##? ')) FILTER (body) OVER p, false) AS heading,
+ coalesce(bool_or(regexp_matches(line, '[\u4e00-\u9fff]')) FILTER (body) OVER p, false) AS chinese, coalesce(regexp_matches(arg_min(line, CASE WHEN body THEN line_no END) OVER p, '^\\\\[a-zA-Z]'), false) AS maths
+ FROM q2 WINDOW p AS (PARTITION BY doc_id, pair))""",
+    ),
+    "display_dedented": _line(
+        "CASE WHEN pair IS NOT NULL AND NOT blank AND indent > 0 THEN substring(line, least(indent, ld) + 1) ELSE line END",
+        "q",
+        f"{_PAIRED}, q AS (SELECT *, arg_min(ld, CASE WHEN lone THEN line_no END) OVER (PARTITION BY doc_id, pair) AS indent FROM q1)",
+    ),
+    "example_proof_merged": O.over_context(O.renumbered("(SELECT * FROM e WHERE NOT (gap AND blank))", "[CASE WHEN gap AND NOT (starts_with(line, '> ') OR line = '>') THEN '> ' || line ELSE line END]"), more=_MARKS),
+    "examples_wrapped": O.over_context("SELECT * FROM w", more=f"{_WRAP}, {_collapsed('x3', 'w')}"),
+    "images_quoted": _line(f"CASE WHEN open AND NOT bqi AND {O.m('line', P.IMAGE)} THEN '> ' || ltrim(line, ' ') ELSE line END", "g", f"g AS (SELECT *, {O.latch(O.m('line', P.QUOTE_HEAD), f"({O.m('line', P.QUOTE_END)} AND NOT bqi)")} AS open FROM c)"),
     "broken_commands": _line("regexp_replace(line, '\\$\\$(\\d+pt\\])', '\\\\\\\\[\\1', 'g')"),
 }
+
+
+def _laid_out(sql: str) -> str:
+    """The same statement over the other markup."""
+    return sql.replace(marked_sql("d"), marked_sql("d", LAYOUT))
+
+
+_OVER_LAYOUT = {"wrapping_display", "display_dedented", "example_proof_merged", "examples_wrapped", "proof_steps", "images_quoted", "broken_commands", "split_example_proof"}
 for _name, _rewrite in rewriters.REWRITERS.items():
-    add(f"fix_{_name}", lambda s, d, f=_rewrite, t=MATHS if _name == "split_display" else STRUCTURE: f(lines_of(s, d, t)), _REWRITES[_name])
+    _table = MATHS if _name == "split_display" else LAYOUT if _name in _OVER_LAYOUT else STRUCTURE
+    _sql = _REWRITES.get(_name)
+    add(f"fix_{_name}", lambda s, d, f=_rewrite, t=_table: f(lines_of(s, d, t)), _laid_out(_sql) if _sql and _name in _OVER_LAYOUT else _sql)
+add("layout_findings", lambda s, d: rules.findings(context_of(s, d, LAYOUT)), _laid_out(_all_findings()))
 
 
 def _chain(spark: SparkSession, sf_dir: str) -> DataFrame:
