@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, chat, decontam, licenses, media, quality, substring_dedup, toxicity, warc
 from .jaccard_join import jaccard_components
+from .oracles import ORACLES
 from .samples import held_out
 from .shared import keep, read
 
@@ -125,4 +126,4 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_substring_dedup, op3_jaccard_join, op4_quality, op5_bpe, op6_decontam, op7_media, op8_warc, op9_chat, op10_licenses)}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "vocabulary_path"]
