@@ -41,14 +41,14 @@ def kind(doc: str = "doc_id", line: str = "line_no") -> str:
     return f"((({doc} * 7919 + {line} * {line} * 131 + {line} * 613) % 10007) % {KINDS})"
 
 
-def _parts(markup: str) -> tuple[str, str, str, bool]:
-    """Markup is text, then key or number or neither, then text, then the raw line or nothing."""
-    head, raw, _ = markup.partition("{raw}")
+def _parts(markup: str) -> tuple[str, str, str, bool, str]:
+    """Markup is text, then key or number or neither, then text, then the raw line or nothing, then text."""
+    head, raw, tail = markup.partition("{raw}")
     for name in ("key", "n"):
         first, found, second = head.partition(f"{{{name}}}")
         if found:
-            return first, name, second, bool(raw)
-    return head, "", "", bool(raw)
+            return first, name, second, bool(raw), tail
+    return head, "", "", bool(raw), tail
 
 
 def marked(docs: DataFrame, table: dict[int, str] = STRUCTURE) -> DataFrame:
@@ -59,7 +59,7 @@ def marked(docs: DataFrame, table: dict[int, str] = STRUCTURE) -> DataFrame:
     pick = lambda i: F.get(F.array(*[F.lit(p[i]) for p in parts]), F.col("k"))
     lines = lines.withColumn("k", F.expr(kind("doc_id", "cast(line_no as bigint)")).cast("int"))
     value = F.when(pick(1) == "key", key).when(pick(1) == "n", F.expr("cast(line_no % 9 + 1 as string)")).otherwise("")
-    return lines.select("doc_id", "line_no", F.concat(pick(0), value, pick(2), F.when(pick(3), F.col("line")).otherwise("")).alias("line"))
+    return lines.select("doc_id", "line_no", F.concat(pick(0), value, pick(2), F.when(pick(3), F.col("line")).otherwise(""), pick(4)).alias("line"))
 
 
 def marked_sql(name: str, table: dict[int, str] = STRUCTURE) -> str:
