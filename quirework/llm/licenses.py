@@ -1,7 +1,8 @@
 """License detection with ordered signature rules, in DataFrame functions alone.
 
 Texts become words (A-Z lower-cased, anything between words one blank). A document that holds one of a few gate
-words is tested against the keyword of each license family; only the families it names have their rules run. A rule
+words is tested against the keyword of each rule, which every text that the rule can match holds: the keyword of the
+name, or for rules of identifiers the words in front of them. Only rules whose keyword is there run. A rule
 is a regular expression over the words, with a label, a priority and a confidence. Detections are word intervals;
 in the order of their start, one that lies inside an earlier or longer one of at least its priority is suppressed.
 Base phrases are always reported as such, suppression or not.
@@ -21,16 +22,17 @@ from pyspark.sql import functions as F
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 #: Every text that a rule or base phrase can match holds one of these.
-GATES = ("licen", "gpl", "bsd", " cc ", "cc0", "creative commons", "public domain", "wtfpl", "openrail", "rights reserved", "released under", "distributed under", "provided under", "published under", "available under")
+GATES = ("licen", "gpl", " mpl ", " epl ", " cddl ", " eupl ", " gfdl ", "bsd", " cc ", "cc0", "creative commons", "public domain", "wtfpl", "openrail", "rights reserved", "released under", "distributed under", "provided under", "published under", "available under")
 
-#: Family: (label, keyword that the text must hold, regular expression of its name, SPDX identifier as words).
+#: Family: (label, keyword that every text with its name holds, regular expression of its name, SPDX identifier as words).
+#: A family without a version leaves the versions of its namesakes to them: of equal detections only one stands.
 FAMILIES = (
-    ("gpl-2.0", "general public", "(?:gnu )?(?:general public licen[sc]e|gpl)(?: gpl)? (?:version |v ?)?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
-    ("gpl-3.0", "general public", "(?:gnu )?(?:general public licen[sc]e|gpl)(?: gpl)? (?:version |v ?)?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
-    ("gpl", "gpl", "(?:gnu )?gpl(?: ?v ?[123])?", "gpl [123] 0(?: only| or later)?"),
+    ("gpl-2.0", "general public", "(?:gnu )?general public licen[sc]e(?: gpl)? (?:version |v ?)?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
+    ("gpl-3.0", "general public", "(?:gnu )?general public licen[sc]e(?: gpl)? (?:version |v ?)?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
+    ("gpl", "gpl", "(?:gnu )?gpl(?: ?v ?1)?", "gpl 1 0(?: only| or later)?"),
     ("lgpl-2.1", "lesser general public", "(?:gnu )?lesser general public licen[sc]e (?:version |v ?)?2 1", "lgpl 2 1(?: only| or later)?"),
     ("lgpl-3.0", "lesser general public", "(?:gnu )?lesser general public licen[sc]e (?:version |v ?)?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
-    ("lgpl", "lgpl", "(?:gnu )?lgpl(?: ?v ?[23](?: [01])?)?", "lgpl [23] [01](?: only| or later)?"),
+    ("lgpl", "lgpl", "(?:gnu )?lgpl(?: ?v ?2(?: 0)?)?", "lgpl 2 0(?: only| or later)?"),
     ("agpl-3.0", "affero", "(?:gnu )?affero general public licen[sc]e(?: (?:version |v ?)?3(?: 0)?)?", "agpl 3 0(?: only| or later)?"),
     ("gfdl-1.3", "free documentation", "(?:gnu )?free documentation licen[sc]e(?: (?:version |v ?)?1(?: [123])?)?", "gfdl 1 [123](?: only| or later)?"),
     ("apache-2.0", "apache", "apache(?: software)? licen[sc]e (?:version |v ?)?2(?: 0)?", "apache 2 0"),
@@ -58,9 +60,9 @@ FAMILIES = (
     ("cc-by-nc-4.0", "cc by nc", "cc by nc(?: [34] 0)?", "cc by nc [34] 0"),
     ("cc-by-nc-sa-4.0", "cc by nc sa", "cc by nc sa(?: [34] 0)?", "cc by nc sa [34] 0"),
     ("cc-by-nc-nd-4.0", "cc by nc nd", "cc by nc nd(?: [34] 0)?", "cc by nc nd [34] 0"),
-    ("cc-by", "creative commons", "creative commons attribution(?: [234] [05])?(?: international| unported| generic)?", "cc by [234] [05]"),
-    ("cc-by-sa", "creative commons", "creative commons attribution share ?alike(?: [234] [05])?(?: international| unported| generic)?", "cc by sa [234] [05]"),
-    ("cc-by-nc", "creative commons", "creative commons attribution non ?commercial(?: [234] [05])?(?: international| unported| generic)?", "cc by nc [234] [05]"),
+    ("cc-by", "creative commons", "creative commons attribution(?: [234] [05])?(?: international| unported| generic)?", "cc by 1 0"),
+    ("cc-by-sa", "creative commons", "creative commons attribution share ?alike(?: [234] [05])?(?: international| unported| generic)?", "cc by sa (?:1 0|2 [05])"),
+    ("cc-by-nc", "creative commons", "creative commons attribution non ?commercial(?: [234] [05])?(?: international| unported| generic)?", "cc by nc (?:1 0|2 [05])"),
     ("public-domain", "public domain", "(?:dedicated to |released (?:in)?to |in )?(?:the )?public domain", "public domain"),
     ("unlicense", "unlicense", "(?:the )?unlicense", "unlicense"),
     ("wtfpl", "wtfpl", "wtfpl", "wtfpl"),
@@ -75,15 +77,31 @@ FAMILIES = (
     ("proprietary", "all rights reserved", "all rights reserved", "proprietary"),
 )
 
-#: Forms of a rule: (regular expression around a name or identifier, which of the two, priority, confidence).
+#: Short names: (label, keyword that every text with the short name holds, its regular expression).
+SHORT = (
+    ("gpl-2.0", "gpl", "(?:gnu )?gpl ?(?:version |v ?)?2(?: 0)?"),
+    ("gpl-3.0", "gpl", "(?:gnu )?gpl ?(?:version |v ?)?3(?: 0)?"),
+    ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl ?(?:version |v ?)?2 1"),
+    ("lgpl-3.0", "lgpl", "(?:gnu )?lgpl ?(?:version |v ?)?3(?: 0)?"),
+    ("agpl-3.0", "agpl", "(?:gnu )?agpl(?: ?(?:version |v ?)?3(?: 0)?)?"),
+    ("gfdl-1.3", " gfdl ", "(?:gnu )?gfdl(?: (?:version |v ?)?1 [123])?"),
+    ("mpl-1.1", " mpl ", "mpl (?:version |v ?)?1 1"),
+    ("mpl-2.0", " mpl ", "mpl (?:version |v ?)?2 0"),
+    ("epl-1.0", " epl ", "epl (?:version |v ?)?1 0"),
+    ("epl-2.0", " epl ", "epl (?:version |v ?)?2 0"),
+    ("cddl-1.0", " cddl ", "cddl(?: (?:version |v ?)?1 [01])?"),
+    ("eupl-1.2", " eupl ", "eupl(?: (?:version |v ?)?1 [012])?"),
+)
+
+#: Forms of a rule: (regular expression around a name or identifier, words in front of an identifier or none for a name, priority, confidence).
 FORMS = (
-    ("spdx license identifier {}", "spdx", 5, 1.0),
-    ("licen[sc]ed (?:to you )?under (?:the )?(?:terms of (?:the )?)?{}(?: licen[sc]e)?", "name", 4, 0.95),
-    ("(?:released|distributed|provided|published|available) under (?:the )?(?:terms of (?:the )?)?{}(?: licen[sc]e)?", "name", 4, 0.95),
-    ("licen[sc]e (?:is )?(?:the )?{}", "name", 3, 0.8),
-    ("{} licen[sc]e(?: (?:version |v ?)?[0-9](?: [0-9])?)?", "name", 3, 0.9),
-    ("(?:opensource|creativecommons|spdx) org licenses {}", "spdx", 3, 0.9),
-    ("{}", "name", 2, 0.6),
+    ("spdx license identifier {}", "spdx license identifier", 5, 1.0),
+    ("licen[sc]ed (?:to you )?under (?:the )?(?:terms of (?:the )?)?{}(?: licen[sc]e)?", None, 4, 0.95),
+    ("(?:released|distributed|provided|published|available) under (?:the )?(?:terms of (?:the )?)?{}(?: licen[sc]e)?", None, 4, 0.95),
+    ("licen[sc]e (?:is )?(?:the )?{}", None, 3, 0.8),
+    ("{} licen[sc]e(?: (?:version |v ?)?[0-9](?: [0-9])?)?", None, 3, 0.9),
+    ("(?:opensource|creativecommons|spdx) org licenses {}", "org licenses", 3, 0.9),
+    ("{}", None, 2, 0.6),
 )
 #: Names that mean a license only next to the word itself.
 _ONLY_WITH_WORD = {"mit", "x11", "isc", "zlib", "boost-1.0", "artistic-2.0", "ofl-1.1", "odbl-1.0", "python-2.0", "postgresql"}
@@ -93,13 +111,17 @@ _MARK = "\u0001"
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
-    """(keyword, label, regular expression, priority, confidence), families by forms, most telling forms first."""
+    """(keyword, label, regular expression, priority, confidence), families by forms, most telling forms first.
+
+    Every text that the expression can match holds the keyword.
+    """
+    names = [(label, f" {k} " if k in ("mit", "isc", "x11") else k, name) for label, k, name, _ in FAMILIES] + list(SHORT)
     out = []
-    for form, which, priority, sure in FORMS:
-        for label, keyword, name, spdx in FAMILIES:
+    for form, front, priority, sure in FORMS:
+        for label, keyword, said in [(label, front, spdx) for label, _, _, spdx in FAMILIES] if front else names:
             if form == "{}" and label in _ONLY_WITH_WORD:
                 continue
-            out.append((keyword, label, f"(?<= )(?:{form.format(name if which == 'name' else spdx)})(?= )", priority, sure))
+            out.append((keyword, label, f"(?<= )(?:{form.format(said)})(?= )", priority, sure))
     return out
 
 
@@ -122,7 +144,7 @@ def _detections(words: Column) -> Column:
     for keyword, label, pattern, priority, sure in rules():
         by_key.setdefault(keyword, []).append((label, pattern, priority, sure))
     table = F.array(*[
-        F.struct(F.lit(f" {k} " if k in ("mit", "isc", "x11") else k).alias("keyword"), F.array(*[F.struct(F.lit(a).alias("label"), F.lit(b).alias("pattern"), F.lit(c).alias("priority"), F.lit(d).alias("sure")) for a, b, c, d in of]).alias("rules"))
+        F.struct(F.lit(k).alias("keyword"), F.array(*[F.struct(F.lit(a).alias("label"), F.lit(b).alias("pattern"), F.lit(c).alias("priority"), F.lit(d).alias("sure")) for a, b, c, d in of]).alias("rules"))
         for k, of in by_key.items()
     ])
     run = F.flatten(F.transform(F.filter(table, lambda f: F.contains(words, f["keyword"])), lambda f: f["rules"]))

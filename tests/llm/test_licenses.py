@@ -1,7 +1,7 @@
 import random
 import re
 
-from quirework.llm.licenses import BASE, _kept, license_scan, rules
+from quirework.llm.licenses import BASE, FAMILIES, GATES, _kept, license_scan, rules
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
@@ -53,3 +53,26 @@ def test_equals_brute_force(spark):
 def test_rules_are_many_and_start_with_their_gate():
     assert len(rules()) > 250
     assert _kept is not None
+
+
+SPDX = {"gpl-2.0": "GPL-2.0-only", "gpl-3.0": "GPL-3.0-or-later", "gpl": "GPL-1.0-only", "lgpl-2.1": "LGPL-2.1", "lgpl-3.0": "LGPL-3.0", "lgpl": "LGPL-2.0", "agpl-3.0": "AGPL-3.0-only", "gfdl-1.3": "GFDL-1.3", "apache-2.0": "Apache-2.0", "apache-1.1": "Apache-1.1", "mit": "MIT", "x11": "X11", "isc": "ISC", "bsd-2-clause": "BSD-2-Clause", "bsd-3-clause": "BSD-3-Clause", "bsd-4-clause": "BSD-4-Clause", "0bsd": "0BSD", "mpl-1.1": "MPL-1.1", "mpl-2.0": "MPL-2.0", "epl-1.0": "EPL-1.0", "epl-2.0": "EPL-2.0", "cddl-1.0": "CDDL-1.0", "eupl-1.2": "EUPL-1.2", "cc0-1.0": "CC0-1.0", "cc-by-2.0": "CC-BY-2.5", "cc-by-3.0": "CC-BY-3.0", "cc-by-4.0": "CC-BY-4.0", "cc-by-sa-3.0": "CC-BY-SA-3.0", "cc-by-sa-4.0": "CC-BY-SA-4.0", "cc-by-nd-4.0": "CC-BY-ND-4.0", "cc-by-nc-4.0": "CC-BY-NC-4.0", "cc-by-nc-sa-4.0": "CC-BY-NC-SA-4.0", "cc-by-nc-nd-4.0": "CC-BY-NC-ND-4.0", "cc-by": "CC-BY-1.0", "cc-by-sa": "CC-BY-SA-2.5", "cc-by-nc": "CC-BY-NC-2.0", "public-domain": "Public-Domain", "unlicense": "Unlicense", "wtfpl": "WTFPL", "zlib": "Zlib", "boost-1.0": "BSL-1.0", "artistic-2.0": "Artistic-2.0", "ofl-1.1": "OFL-1.1", "odbl-1.0": "ODbL-1.0", "python-2.0": "PSF-2.0", "postgresql": "PostgreSQL", "openrail": "OpenRAIL", "proprietary": "proprietary"}
+SHORT = {"licensed under GPL v2": "gpl-2.0", "GPL-2.0-only": "gpl-2.0", "GPLv3": "gpl-3.0", "LGPL-2.1": "lgpl-2.1", "AGPL-3.0": "agpl-3.0", "MPL 2.0": "mpl-2.0", "under EPL-1.0": "epl-1.0", "CDDL 1.1": "cddl-1.0", "EUPL v1.2": "eupl-1.2", "GFDL": "gfdl-1.3"}
+
+
+def test_identifiers_and_short_names_need_no_long_name(spark):
+    assert set(SPDX) == {f[0] for f in FAMILIES}
+    said = [(label, text) for label, name in SPDX.items() for text in (f"x SPDX-License-Identifier: {name}", f"see https://opensource.org/licenses/{name} y")] + [(label, text) for text, label in SHORT.items()]
+    got = {r.doc_id: r for r in license_scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(said)], "doc_id long, text string")).collect()}
+    for i, (label, text) in enumerate(said):
+        assert label in got[i].labels, text
+        base, (more, sure) = brute_base(text)[2], brute_rules(text)
+        assert set(got[i].labels) == set(base) | more and got[i].score == max(sure, 0.5 if base else 0.0), text
+    assert "gpl" not in {x for i, (_, t) in enumerate(said) if t in SHORT for x in got[i].labels}
+
+
+def test_every_match_holds_a_gate_and_its_keyword():
+    texts = [f" {' '.join(words(t))} " for t in [*LINES, *SHORT, *(f"{front} {x}" for x in SPDX.values() for front in ("SPDX-License-Identifier:", "spdx.org/licenses/"))]]
+    for keyword, _, pattern, _, _ in rules():
+        for text in texts:
+            if re.search(pattern, text):
+                assert keyword in text and any(g in text for g in GATES), (pattern, text)
