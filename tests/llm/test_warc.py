@@ -1,5 +1,6 @@
 import base64
 import hashlib
+from urllib.parse import unquote
 
 import pytest
 
@@ -60,3 +61,14 @@ def test_empty_and_repeated(spark):
     pages = spark.createDataFrame(ROWS[:1] * 2, SCHEMA)
     assert warc.read_table(warc.chunk_table(pages)).count() == 2
     assert warc.read_table(warc.chunk_table(pages.limit(0))).count() == 0
+
+
+def test_long_url_without_stored_payload(spark):
+    """A head beyond a chunk on a revisit, a null and an empty html, and in front of a payload of its own."""
+    url = "data:text/html," + "é" * 2_000_000
+    rows = [(1, "u", "same"), (2, url, "same"), (3, url, None), (4, url, ""), (5, url, "own"), (6, url, "big" * 500_000)]
+    for least in (0, 5):
+        chunks = warc.chunk_table(spark.createDataFrame(rows, SCHEMA), least)
+        assert got(chunks) == expected(rows, least)
+        targets = {r.record_id: r.target for r in warc.read_table(chunks).collect()}
+        assert {unquote(targets[f"urn:page:{p}"]) for p in range(2, 7)} == {url}
