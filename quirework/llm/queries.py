@@ -29,7 +29,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_spans(read(spark, sf_dir, "documents"))
+    return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

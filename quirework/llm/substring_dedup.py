@@ -1,8 +1,11 @@
 """Substring deduplication by hashes of lines and of the sentences inside them.
 
-A unit is a line, or a sentence of a longer line, of at least ``LEAST_WORDS`` words. It is normalised (Unicode NFC,
+A unit is a line, or a sentence of a longer line, of at least ``LEAST_WORDS`` words. ``repeated_passages`` adds runs:
+from every shorter line or sentence on, and back from it, neighbours are joined until the run has ``LEAST_WORDS``, over
+line ends too. Where a script has no blanks, characters count in place of words. A unit is normalised (Unicode NFC,
 lower case, single blanks) and hashed to 128 bits. Units with equal digests anywhere in the table are one passage:
-its occurrence with the smallest document id, and there the first, stays; all others are removed. Spans keep their
+its occurrence with the smallest document id, and there the first, stays; all others are removed, but for runs that
+overlap it. Every line and sentence so stays at one place at least. Spans keep their
 offsets in the original text. Grouping is a partial minimum by digest and a join back, both on fixed-size rows; no
 text is shuffled to find repeats.
 
@@ -17,6 +20,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,55 +32,112 @@ from .shared import keep
 LEAST_WORDS = 8
 
 _LINE = re.compile(r"[^\n]+")
-_BREAK = re.compile(r"(?<=[.!?…])\s+")
+_BREAK = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？｡])(?![。！？｡”’」』）]|$)\s*")
+#: Runs may begin after ``!`` and ``?`` without a blank, too.
+_FINE = re.compile(_BREAK.pattern + r"|(?<=[!?])(?![!?.\s\"')\]]|$)")
+#: Scripts without blanks, and how many of their characters count as a word.
+_SCRIPTS = ((re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"), 2), (re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]"), 4))
 _UNITS = "doc_id long, start int, end int, line int, words int, h1 long, h2 long"
 _NAMES = ["doc_id", "start", "end", "line", "words", "h1", "h2"]
 _TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
 
 
+def _words(text: str) -> list[str]:
+    return unicodedata.normalize("NFC", text).lower().split()
+
+
+def _size(words: list[str]) -> int:
+    """Number of words; of scripts without blanks, characters by what counts as a word."""
+    text = " ".join(words)
+    if text.isascii():
+        return len(words)
+    size = 0
+    for script, many in _SCRIPTS:
+        text, found = script.subn(" ", text)
+        size += found // many
+    return size + len(text.split())
+
+
+def _digest(words: str) -> bytes:
+    return blake2b(words.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _pieces(line: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
+    cuts = [m.span() for m in pattern.finditer(line)]
+    return zip([0, *(e for _, e in cuts)], [*(s for s, _ in cuts), len(line)], strict=True)
+
+
 def units(text: str) -> Iterator[tuple[int, int, int, int, bytes]]:
     """(start, end, start of the line, words, digest); a line comes before its sentences."""
     for found in _LINE.finditer(text):
         line = found[0]
-        words = unicodedata.normalize("NFC", line).lower().split()
-        if len(words) < LEAST_WORDS:
+        words = _words(line)
+        size = _size(words)
+        if size < LEAST_WORDS:
             continue
         base = found.start()
-        yield base, found.end(), base, len(words), blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        cuts = [m.span() for m in _BREAK.finditer(line)]
-        if not cuts:
+        yield base, found.end(), base, size, _digest(" ".join(words))
+        if not _BREAK.search(line):
             continue
-        for lo, hi in zip([0, *(e for _, e in cuts)], [*(s for s, _ in cuts), len(line)], strict=True):
+        for lo, hi in _pieces(line, _BREAK):
             if hi - lo < 2 * LEAST_WORDS - 1:
                 continue
-            words = unicodedata.normalize("NFC", line[lo:hi]).lower().split()
-            if len(words) >= LEAST_WORDS:
-                yield base + lo, base + hi, base, len(words), blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-
-
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        docs, spans, digests = [], [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for *span, digest in units(text.as_py()):
-                docs.append(doc)
-                spans.append(span)
-                digests.append(digest)
-        table = np.array(spans, np.int32).reshape(-1, 4)
-        h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-        columns = [docs, *(np.ascontiguousarray(table[:, k]) for k in range(4)), np.ascontiguousarray(h[:, 0]), np.ascontiguousarray(h[:, 1])]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            words = _words(line[lo:hi])
+            size = _size(words)
+            if size >= LEAST_WORDS:
+                yield base + lo, base + hi, base, size, _digest(" ".join(words))
+
+
+def runs(text: str) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """Like ``units``: the shortest runs of neighbouring pieces that begin or end with a short one and are long enough."""
+    pieces = []
+    for found in _LINE.finditer(text):
+        base = found.start()
+        for lo, hi in _pieces(found[0], _FINE):
+            if words := _words(found[0][lo:hi]):
+                pieces.append((base + lo, base + hi, base, _size(words), " ".join(words)))
+    seen = set()
+    for k, piece in enumerate(pieces):
+        if piece[3] >= LEAST_WORDS:
+            continue
+        for step in (1, -1):
+            end, size = k, piece[3]
+            while size < LEAST_WORDS and 0 <= end + step < len(pieces):
+                end += step
+                size += pieces[end][3]
+            first, last = min(k, end), max(k, end)
+            if size >= LEAST_WORDS and (first, last) not in seen:
+                seen.add((first, last))
+                yield pieces[first][0], pieces[last][1], pieces[first][2], size, _digest(" ".join(p[4] for p in pieces[first : last + 1]))
+
+
+def _listed(of: tuple) -> object:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, spans, digests = [], [], []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py()
+                for *span, digest in chain.from_iterable(listed(text) for listed in of):
+                    docs.append(doc)
+                    spans.append(span)
+                    digests.append(digest)
+            table = np.array(spans, np.int32).reshape(-1, 4)
+            h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            columns = [docs, *(np.ascontiguousarray(table[:, k]) for k in range(4)), np.ascontiguousarray(h[:, 0]), np.ascontiguousarray(h[:, 1])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
+
+    return run
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: tuple = (units,)) -> DataFrame:
     """-> ``doc_id, start, end, words, kept_doc_id, kept_start``: every span to remove and the occurrence that stays.
 
     Offsets count characters from 0; a sentence inside a line that is itself removed is not listed.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    found = keep(texts.mapInArrow(_listed, _UNITS), "units")
-    first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("kept"), F.count("*").alias("times")).where("times > 1").drop("times")
-    again = found.join(first, ["h1", "h2"]).where("doc_id <> kept.doc_id or start <> kept.start")
+    found = keep(texts.mapInArrow(_listed(of), _UNITS), "units")
+    first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start", "end")).alias("kept"), F.count("*").alias("times")).where("times > 1").drop("times")
+    again = found.join(first, ["h1", "h2"]).where("doc_id <> kept.doc_id or start >= kept.end")
     again = again.select("doc_id", "line", "start", "end", "words", "kept").distinct()
     lines = again.groupBy("doc_id", "line").agg(F.collect_list(F.struct("start", "end", "words", "kept")).alias("spans"), F.max(F.struct((F.col("start") == F.col("line")).alias("own"), "end")).alias("whole"))
     spans = lines.select("doc_id", "line", "whole", F.explode("spans").alias("s"))
@@ -85,6 +146,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return spans.where(~within).select("doc_id", "s.start", "s.end", "s.words", F.col("s.kept.doc_id").alias("kept_doc_id"), F.col("s.kept.start").alias("kept_start"))
 
 
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``repeated_spans`` of lines, sentences and runs of short ones; spans of runs may overlap."""
+    return repeated_spans(docs, id_col, text_col, (units, runs))
+
+
 def without(text: str, spans: list[tuple[int, int]]) -> str:
     """``text`` without its spans and the white space right after each."""
     out, at = [], 0
@@ -98,7 +164,7 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every repeated span removed; ``n_chars``, if there is one, follows the text."""
-    spans = repeated_spans(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    spans = repeated_passages(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
     wide = docs.join(spans, F.col(id_col).cast("long") == F.col("_doc"), "left").drop("_doc")
     at = docs.columns.index(text_col)
 

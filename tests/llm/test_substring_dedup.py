@@ -72,3 +72,25 @@ def test_without():
     assert without("aa bb cc", [(3, 5)]) == "aa cc"
     assert without("aa\nbb", [(0, 2), (3, 5)]) == ""
     assert without("abcdef", [(1, 4), (2, 3)]) == "aef"
+
+
+def test_passages_of_short_pieces_go(spark):
+    """Verse, short sentences, a short last sentence and lines without blanks, each inside different text."""
+    verse = "\n".join(f"a{i} b{i} c{i}" for i in range(20))
+    talk = " ".join(f"D{i} e{i} f{i}." for i in range(20))
+    bang = "!!".join(f"g{i} h{i}" for i in range(30))
+    last = " ".join(f"k{i}" for i in range(50)) + ". So it ends."
+    han = "。".join("".join(chr(0x4E00 + 97 * i + j) for j in range(6)) for i in range(10)) + "。"
+    thai = "".join(chr(0x0E01 + i * 7 % 46) for i in range(60))
+    rows = []
+    for k, passage in enumerate((verse, talk, bang, last, han, thai)):
+        around = "\n" if passage in (verse, han, thai) else " "
+        rows += [(10 * k + d, f"x{d}{k} only {d} here.{around}{passage}{around}y{d}{k} tail {d} of it") for d in range(2)]
+    song = "\n".join(["la la la"] * 10)
+    rows.append((99, song))
+    got = {r.doc_id: r.text for r in remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    for k in range(6):
+        assert got[10 * k] == dict(rows)[10 * k]
+        left = got[10 * k + 1].split()
+        assert len(got[10 * k + 1]) < 50 and left[:4] == [f"x1{k}", "only", "1", "here."], (k, got[10 * k + 1])
+    assert got[99].split() == ["la"] * 9
