@@ -58,6 +58,19 @@ def test_machine_learns_a_pair():
     assert odds(z(11, 22)) - odds(z(11)) - odds(z(22)) + odds(machine.score([])) > 0.05
 
 
+def test_machine_learns_a_pair_that_tells_only_together():
+    """Each term stands as often in clean as in toxic documents: only the two together tell (a XOR b)."""
+    rng = np.random.default_rng(4)
+    docs, labels = [], []
+    for _ in range(1500):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        docs.append(np.unique(np.r_[rng.integers(1000, 5000, 20), [11] * a, [22] * b].astype(np.int32)))
+        labels.append(float(a != b))
+    machine = toxicity.learn(docs, np.array(labels))
+    z = lambda *buckets: machine.score([r for r in machine.row[list(buckets)].tolist() if r >= 0])
+    assert min(z(11), z(22)) > 0.5 > max(z(11, 22), z())
+
+
 @pytest.mark.parametrize("module", [toxicity, quality])
 def test_odd_input(spark, module):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "x"), (4, "y" * 700_000), (5, "word " * 200_000)], DOCS).selectExpr("*", "'z' as label", "1 as score")
