@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,26 +16,43 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (tests on one machine) a temporary folder takes its place.
+    Where it is unset, a session on one machine (master ``local``) gets a temporary folder; on a cluster this raises,
+    since executors could not see a folder of the driver's machine.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = f"file://{tempfile.mkdtemp(prefix='quirework-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here.
+def _file(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
-    The files outlive lost executors and are removed when the driver's JVM ends.
-    """
+
+def store(df: DataFrame, label: str) -> str:
+    """Write ``df`` as Parquet into the shared folder -> its path. The files go when the driver's JVM ends, if not before."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quirework/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    files, at = _file(spark, path)
+    files.deleteOnExit(at)
+    return path
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete what ``store`` wrote, once nothing reads it any more."""
+    files, at = _file(spark, path)
+    files.delete(at, True)
+    files.cancelDeleteOnExit(at)
+
+
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` into the shared folder and read it back: lineage ends here. The files outlive lost executors."""
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, label))
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -43,17 +60,17 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     ``component`` is the smallest node that can be reached; nodes without an edge do not appear.
     Alternates the large-star and small-star steps of Kiveris et al. (2014), each a grouped minimum and a
-    join, until a round changes nothing. Each round's edges are written to the shared folder, so the plan
-    does not grow and nothing but two numbers a round reaches the driver.
+    join, until a round changes nothing. Each round is one job that writes its edges to the shared folder and counts
+    them on the way, so the plan does not grow, nothing but two numbers a round reaches the driver, and the edges of
+    the round before are deleted.
     """
-    now = keep(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label
-    )
-    seen = None
+    spark = edges.sparkSession
+    path, seen = store(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label), None
     while True:
-        both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        now = spark.read.schema("a long, b long").parquet(path)
+        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
+        large = both.join(least, "a").where("b > a and b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (
             large.join(low, "a")
@@ -62,10 +79,12 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        now = keep(small, label)
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        told = Observation()
+        counted = small.observe(told, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
+        old, path = path, store(counted, label)
+        forget(spark, old)
+        state = (told.get["n"], told.get["sum"])
         if state == seen or not state[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-                now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
+            now = spark.read.schema("a long, b long").parquet(path)
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         seen = state

@@ -62,13 +62,39 @@ def test_equals_brute_force(spark):
     assert got(jaccard_components(frame)) == brute(rows)
 
 
-def test_dense_and_sparse_verification_agree(spark, monkeypatch):
+def test_small_blocks_and_many_ranges_change_nothing(spark, monkeypatch):
     import quirework.llm.jaccard_join as j
 
     rows = corpus(2, [150, 90], 9)
     frame = spark.createDataFrame(rows, SCHEMA)
-    monkeypatch.setattr(j, "BLOCK_DOCS", 40)
-    assert got(jaccard_components(frame)) == brute(rows)
+    want = brute(rows)
+    assert got(jaccard_components(frame)) == want
+    for name, value in (("BLOCK_LEAST", 7), ("BLOCK_DOCS", 11), ("HOT", 3), ("RANGE_CHARS", 500), ("PACK_TOKENS", 300)):
+        monkeypatch.setattr(j, name, value)
+    assert got(jaccard_components(frame)) == want
+
+
+def test_a_shared_passage_does_not_hide_links(spark):
+    """A passage that stands in all documents, long and short ones, and a text of a megabyte with a near copy."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    passage = rng.choices(words, k=40)
+    rows = []
+    for d in range(120):
+        own = rng.choices(words, k=rng.choice((2, 6, 9, 40)))
+        rows.append((d, " ".join(passage + own)))
+        if d % 3 == 0:
+            rows.append((1000 + d, " ".join(passage + own[:-1] + ["x"])))
+    long = rng.choices(words, k=180_000)
+    rows += [(5000, " ".join(long)), (5001, " ".join([*long[:-9], "y"]))]
+    assert got(jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute(rows)
+
+
+def test_one_text_of_a_repeated_id_counts(spark):
+    """Of an id's texts the one of fewest shingles; digest and size come from that one text."""
+    short, long = "a b c d e f g h", "k l m n o p q r s t u v"
+    rows = [(1, long), (1, short), (2, short), (3, long)]
+    assert got(jaccard_components(spark.createDataFrame(rows, SCHEMA))) == {1: (4, 1, 1), 2: (4, 1, 1), 3: (8, 3, 0)}
 
 
 def test_repeated_rows_extra_columns_and_empty_table(spark):
