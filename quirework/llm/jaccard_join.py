@@ -33,6 +33,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -182,8 +183,8 @@ _HELD_DDL = "doc_id long, d1 long, d2 long, n long, said long, held long"
 
 def _held(table: pa.Table) -> pa.Table:
     """For one hash range: how many of its shingles each document shares with another one."""
-    out = table.filter(pa.compute.is_valid(table["doc_id"])).select(_HELD.names).cast(_HELD)
-    packed = table.filter(pa.compute.is_valid(table["hashes"]))
+    out = table.filter(pc.is_valid(table["doc_id"])).select(_HELD.names).cast(_HELD)
+    packed = table.filter(pc.is_valid(table["hashes"]))
     hashes, docs, single = [], [], []
     for h, o, d in zip(packed["hashes"], packed["owners"], packed["docs"], strict=True):
         own, known = _unplaned(o.as_py(), np.uint16), np.cumsum(_unplaned(d.as_py(), np.int64))
