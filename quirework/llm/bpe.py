@@ -3,19 +3,21 @@
 Encoding splits a text into pieces by the vocabulary's pattern and merges each piece on its own: a priority queue
 of merge ranks runs over a doubly linked list of symbols; queue entries whose symbols have changed meanwhile are
 stale and skipped. Decoding concatenates the byte strings of the vocabulary. Special tokens that stand in a text
-become their own id, as the vocabulary's library does by default.
+become their own id, as the vocabulary's library does by default. A worker remembers the ids of pieces it has met;
+the ids of a batch, and their byte strings, are then gathered from tables at once.
 
-Defined cases: null and empty texts give an empty id list, which decodes to an empty text. Every row gives one
-row, repeated rows and null ids included. Extra columns are left out of the result. An empty table stays empty.
+Defined cases: null and empty texts give an empty id list, which decodes to an empty text. Very long texts and pieces
+are encoded whole. Every row gives one row, repeated rows and null ids included. Extra columns are left out of the
+result. An empty table stays empty.
 """
 
 from __future__ import annotations
 
-import codecs
 import heapq
 import json
+import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,12 @@ from pyspark.sql import functions as F
 
 #: The split pattern of the vocabulary (fixed value of the public byte-level BPE format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces whose ids a worker remembers, and the longest such piece.
-PIECES_KEPT, PIECE_LENGTH = 200_000, 64
-#: Ids that a result batch holds at most, but for a single longer document.
-BATCH_IDS = 2_000_000
+#: The same for texts of ASCII characters alone, which the plain engine matches faster.
+ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+#: Pieces, and ids of pieces, that a worker remembers from one batch to the next.
+PIECES_KEPT, IDS_KEPT = 400_000, 4_000_000
+#: Characters of the texts that are encoded at once, but for a single longer one.
+BATCH_CHARS = 4_000_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -39,22 +43,55 @@ def _byte_letters() -> dict[str, int]:
     return letters
 
 
+def _gathered(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists ``which`` of lists that lie one after the other in ``flat``, and their ends."""
+    starts, many = (np.cumsum(sizes) - sizes)[which], sizes[which]
+    ends = np.cumsum(many)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - many), many)], ends
+
+
+class _Pieces(dict):
+    """Piece -> its number. The ids of all pieces lie one after the other; a special token is a tuple of its text."""
+
+    def __init__(self, bpe: Bpe):
+        super().__init__()
+        self.bpe, self.ids, self.sizes = bpe, array("i"), array("q")
+
+    def __missing__(self, piece: str | tuple) -> int:
+        ids = [self.bpe.special[piece[0]]] if isinstance(piece, tuple) else self.bpe.merged(piece.encode("utf-8", "surrogatepass"))
+        number = self[piece] = len(self.sizes)
+        self.ids.extend(ids)
+        self.sizes.append(len(ids))
+        return number
+
+    def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        out = _gathered(np.array(self.ids, np.int32), np.array(self.sizes, np.int64), numbers)
+        if len(self) > PIECES_KEPT or len(self.ids) > IDS_KEPT:
+            self.clear()
+            self.ids, self.sizes = array("i"), array("q")
+        return out
+
+
 class Bpe:
     def __init__(self, source: str):
         spec = json.loads(source)
         letters = _byte_letters()
         vocab = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.strings = {i: bytes(letters[c] for c in s) for s, i in vocab.items() if s not in self.special}
-        self.strings.update({i: s.encode() for s, i in self.special.items()})
+        strings = {i: bytes(letters[c] for c in s) for s, i in vocab.items() if s not in self.special}
+        strings.update({i: s.encode() for s, i in self.special.items()})
+        self.known_ids = np.zeros(max(strings) + 1, bool)
+        self.known_ids[list(strings)] = True
+        self.bytes = np.frombuffer(b"".join(strings.get(i, b"") for i in range(len(self.known_ids))), np.uint8)
+        self.bytes_of = np.array([len(strings.get(i, b"")) for i in range(len(self.known_ids))], np.int64)
         self.of_byte = [vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
         self.merges = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
-        self.pattern = regex.compile(PATTERN)
+        self.pattern, self.ascii = regex.compile(PATTERN), re.compile(ASCII, re.ASCII)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.pieces = _Pieces(self)
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
@@ -78,27 +115,35 @@ class Bpe:
                     heapq.heappush(queue, (found[0], left, found[1], ids[left], ids[right]))
         return [x for x in ids if x >= 0]
 
-    def piece(self, piece: str) -> tuple[int, ...]:
-        if (ids := self.known.get(piece)) is None:
-            ids = tuple(self.merged(piece.encode("utf-8", "surrogatepass")))
-            if len(piece) <= PIECE_LENGTH:
-                if len(self.known) >= PIECES_KEPT:
-                    self.known.clear()
-                self.known[piece] = ids
-        return ids
+    def _numbers(self, text: str) -> np.ndarray:
+        pieces = (self.ascii if text.isascii() else self.pattern).findall(text)
+        return np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's ids end."""
+        numbers = []
+        for text in texts:
+            if any(s in text for s in self.special):
+                parts = [np.array([self.pieces[(p,)]], np.int64) if p in self.special else self._numbers(p) for p in self.cut.split(text)]
+                numbers.append(np.concatenate(parts))
+            else:
+                numbers.append(self._numbers(text))
+        ids, ends = self.pieces.gathered(np.concatenate(numbers) if numbers else np.empty(0, np.int64))
+        return ids, np.r_[0, ends][np.cumsum([len(x) for x in numbers], dtype=np.int64)]
 
     def encode(self, text: str) -> list[int]:
-        parts = self.cut.split(text) if self.cut else [text]
-        ids: list[int] = []
-        for part in parts:
-            if part in self.special:
-                ids.append(self.special[part])
-            elif part:
-                ids.extend(chain.from_iterable(map(self.piece, self.pattern.findall(part))))
-        return ids
+        return self.encode_all([text])[0].tolist()
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of lists of ids that lie one after the other."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known_ids) or not self.known_ids[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        raw, upto = _gathered(self.bytes, self.bytes_of, ids)
+        raw, cuts = raw.tobytes(), np.r_[0, np.r_[0, upto][ends]].tolist()
+        return [raw[lo:hi].decode("utf-8", "replace") for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def decode(self, ids) -> str:
-        return codecs.decode(b"".join(map(self.strings.__getitem__, ids)), "utf-8", "replace")
+        return self.decode_all(np.array(ids, np.int64), np.array([len(ids)]))[0]
 
 
 _LOADED: dict[int, Bpe] = {}
@@ -128,42 +173,56 @@ class _Source:
         return self.held.value
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """-> ``doc_id, ids array<int>`` for each row."""
-    source = _Source(docs.sparkSession, path)
+def _encoded(source, back: bool):
+    def batch_of(bpe: Bpe, keys: list, texts: list[str]) -> pa.RecordBatch:
+        ids, ends = bpe.encode_all(texts)
+        columns = [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(ids, pa.int32()))]
+        if back:
+            columns.append(pa.array(bpe.decode_all(ids, ends), pa.string()))
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"][: len(columns)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(source)
-
-        def batch_of(keys: list, lists: list) -> pa.RecordBatch:
-            ends = np.cumsum([0, *map(len, lists)], dtype=np.int64)
-            flat = np.concatenate(lists) if lists else np.empty(0, np.int32)
-            held = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), held], names=["doc_id", "ids"])
-
+        keys, texts, size = [], [], 0
         for batch in batches:
-            keys, lists, size = [], [], 0
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array(bpe.encode(text.as_py() or ""), np.int32)
                 keys.append(key)
-                lists.append(ids)
-                size += len(ids)
-                if size >= BATCH_IDS:
-                    yield batch_of(keys, lists)
-                    keys, lists, size = [], [], 0
-            yield batch_of(keys, lists)
+                texts.append(text.as_py() or "")
+                size += len(texts[-1])
+                if size >= BATCH_CHARS:
+                    yield batch_of(bpe, keys, texts)
+                    keys, texts, size = [], [], 0
+        if keys:
+            yield batch_of(bpe, keys, texts)
+
+    return run
+
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """-> ``doc_id, ids array<int>`` for each row."""
+    source = _Source(docs.sparkSession, path)
+    return _texts(docs, id_col, text_col).mapInArrow(_encoded(source, False), "doc_id long, ids array<int>")
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """-> ``doc_id, ids, text``: ``encode`` and ``decode`` in one pass; the text is the one that the ids decode to."""
+    source = _Source(docs.sparkSession, path)
+    return _texts(docs, id_col, text_col).mapInArrow(_encoded(source, True), "doc_id long, ids array<int>, text string")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``doc_id, ids`` -> ``doc_id, ids, text``; ids outside the vocabulary raise."""
+    """``doc_id, ids`` -> ``doc_id, ids, text``; ids outside the vocabulary raise, null lists are empty texts."""
     source = _Source(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(source)
         for batch in batches:
-            texts = [bpe.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else "" for x in batch.column(1)]
+            lists = [x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.empty(0, np.int64) for x in batch.column(1)]
+            texts = bpe.decode_all(np.concatenate(lists) if lists else np.empty(0, np.int64), np.cumsum([len(x) for x in lists], dtype=np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")

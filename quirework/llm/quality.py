@@ -1,15 +1,16 @@
 """Quality classifier with supervised subword embeddings.
 
-Every word and every character 3- to 5-gram of a word (with its bounds, case kept) is hashed to a bucket with a
-learned vector; so is the event that a word repeats the one before. A document is the average of its units'
-vectors; a softmax layer on top gives the class. Vectors and layer are learned by stochastic gradient descent in
-numpy on a bounded sample of labelled documents. As the layer is linear, scoring needs one number a bucket; texts
-are cut into code points and all units of many documents are hashed at once.
-
-Defined cases: null and empty texts have no units and score by the bias alone. Every row gives one row, repeated
-rows and null ids included. Labels that are null, or whose document is missing, are ignored; of several labels of a
-document the largest counts. Without both classes in the sample every score is the sample's share of label 1, or 0.5
-without a sample. Extra columns are ignored; an empty table stays empty.
+Every word, every pair of neighbouring words and every character 3- to 5-gram of a word (with its bounds, case kept)
+is hashed to a bucket with a learned vector. A document is the average of its units' vectors; a softmax layer on top
+gives the class. Vectors and layer are learned by stochastic gradient descent in numpy on a bounded sample of labelled
+documents, in one task of bounded size. As the layer is linear, scoring needs one number a bucket; texts are cut into
+code points and all units of many documents are hashed at once.
+
+Defined cases: null and empty texts have no units and score by the bias alone. A text longer than ``PIECE`` is read
+piece by piece; open words, the last word and the last code points go along, so its units are those of the whole text.
+Every row gives one row, repeated rows and null ids included. Labels that are null, or whose document is missing, are
+ignored; of several labels of a document the largest counts. Without both classes in the sample every score is the
+sample's share of label 1, or 0.5 without a sample. Extra columns are ignored; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -27,15 +28,22 @@ from .samples import labelled_sample
 BITS, SIZE, SAMPLE = 18, 16, 600
 EPOCHS, RATE = 12, 40.0
 GRAMS = (3, 4, 5)
-#: Code points that are hashed at once; longer texts are cut at a blank where there is one.
+#: Code points that are hashed at once.
 PIECE = 1 << 18
 #: A document that scores less is rejected.
 LEAST = 0.3
 
 _BLANK = 32
 _ROOT = 0x9E3779B97F4A7C15
-_POWERS, _INVERSES = (np.cumprod(np.r_[np.uint64(1), np.full(2 * PIECE + 64, x, np.uint64)], dtype=np.uint64) for x in (_ROOT, pow(_ROOT, -1, 1 << 64)))
-_REPEAT = (1 << BITS) - 1
+_PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _powers(of: int, count: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(count, of, np.uint64)], dtype=np.uint64)
+
+
+#: Powers of the root and of its inverse, for texts of up to ``2 * PIECE`` code points and their blanks.
+_POWERS, _INVERSES = _powers(_ROOT, 2 * PIECE + 64), _powers(pow(_ROOT, -1, 1 << 64), 2 * PIECE + 64)
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -43,49 +51,83 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def pieces(text: str) -> list[str]:
-    if len(text) <= PIECE:
-        return [text]
-    out, at = [], 0
-    while len(text) - at > PIECE:
-        cut = text.rfind(" ", at + PIECE // 2, at + PIECE)
-        cut = at + PIECE if cut < 0 else cut
-        out.append(text[at:cut])
-        at = cut
-    return [*out, text[at:]]
+def _points(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points, every ASCII white space a blank, and which are blanks."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    blank = (points == _BLANK) | ((points >= 9) & (points <= 13))
+    return np.where(blank, np.uint64(_BLANK), points), blank
 
 
-def units(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (buckets, number of the text that each belongs to) for texts of ``2 * PIECE`` code points at most in all."""
-    points = np.frombuffer((" " + " ".join(texts) + " ").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    blank = (points == _BLANK) | ((points >= 9) & (points <= 13))
-    points = np.where(blank, np.uint64(_BLANK), points)
-    starts = np.cumsum(np.array([0, *(len(t) + 1 for t in texts)]))[:-1]
-    owner = np.repeat(np.arange(len(texts)), np.diff(np.r_[starts, len(points)]))
+def _grams(points: np.ndarray, blank: np.ndarray, known: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, starts) of the n-grams without an inner blank that end behind the first ``known`` points."""
     before = np.cumsum(blank)
     for n in GRAMS:
-        size = len(points) - n + 1
-        if size <= 0:
+        lo, size = max(0, known - n + 1), len(points) - n + 1
+        if size <= lo:
             continue
-        inner = before[n - 2 : n - 2 + size] - before[:size] == 0
-        h = np.full(size, n, np.uint64)
+        at = np.arange(lo, size)
+        at = at[before[at + n - 2] == before[at]]
+        h = np.full(len(at), n, np.uint64)
         for j in range(n):
-            h = h * np.uint64(_ROOT) + points[j : j + size]
-        yield _bucket(h[inner]), owner[:size][inner]
-    first = np.flatnonzero(~blank & np.r_[True, blank[:-1]])
-    end = np.flatnonzero(blank & np.r_[False, ~blank[:-1]])
-    if len(first):
-        sums = np.cumsum(points * _POWERS[: len(points)], dtype=np.uint64)
-        h = (sums[end - 1] - np.where(first > 0, sums[first - 1], np.uint64(0))) * _INVERSES[first]
-        yield _bucket(h), owner[first]
-        again = np.flatnonzero((h[1:] == h[:-1]) & (owner[first[1:]] == owner[first[:-1]])) + 1
-        yield np.full(len(again), _REPEAT, np.int64), owner[first[again]]
+            h = h * np.uint64(_ROOT) + points[at + j]
+        yield h, at
+
+
+def _word_hashes(points: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words: runs of points that are not blank."""
+    edge = np.diff(np.r_[True, blank, True].astype(np.int8))
+    first, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    sums = np.r_[np.uint64(0), np.cumsum(points * _POWERS[: len(points)], dtype=np.uint64)]
+    return first, end, (sums[end] - sums[first]) * _INVERSES[first]
+
+
+def units(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (buckets, number of the text that each belongs to) for texts of ``2 * PIECE`` code points at most in all."""
+    points, blank = _points(" " + " ".join(texts) + " ")
+    starts = np.cumsum(np.array([0, *(len(t) + 1 for t in texts)]))[:-1]
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.r_[starts, len(points)]))
+    for h, at in _grams(points, blank):
+        yield _bucket(h), owner[at]
+    first, _, h = _word_hashes(points, blank)
+    of = owner[first]
+    yield _bucket(h), of
+    pair = of[1:] == of[:-1]
+    yield _bucket(h[:-1] * _PAIR + h[1:])[pair], of[1:][pair]
+
+
+def long_units(text: str) -> Iterator[np.ndarray]:
+    """Buckets of one text, read in pieces; in all the same as those of ``units``."""
+    behind, behind_blank = _points(" ")
+    word, size = np.uint64(0), 0  # hash and length of a word that the end of a piece cut
+    last: list[np.uint64] = []
+    for lo in range(0, len(text), PIECE):
+        points, blank = _points(text[lo : lo + PIECE] + " " * (lo + PIECE >= len(text)))
+        wide, wide_blank = np.r_[behind, points], np.r_[behind_blank, blank]
+        for h, _ in _grams(wide, wide_blank, len(behind)):
+            yield _bucket(h)
+        behind, behind_blank = wide[1 - GRAMS[-1] :], wide_blank[1 - GRAMS[-1] :]
+        first, end, h = _word_hashes(points, blank)
+        with np.errstate(over="ignore"):
+            if size and len(first) and first[0] == 0:
+                h[0] = word + np.uint64(pow(_ROOT, size, 1 << 64)) * h[0]
+                first[0] = -size
+            elif size:
+                h, first, end = np.r_[word, h], np.r_[-size, first], np.r_[0, end]
+        word, size = np.uint64(0), 0
+        if len(end) and end[-1] == len(points) and not blank[-1]:
+            word, size = h[-1], int(end[-1] - first[-1])
+            h = h[:-1]
+        yield _bucket(h)
+        h = np.r_[np.array(last, np.uint64), h]
+        yield _bucket(h[:-1] * _PAIR + h[1:])
+        last = list(h[-1:])
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
-    found = [b for p in pieces(text or "") for b, _ in units([p])]
-    return np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
+    text = text or ""
+    found = [b for b, _ in units([text])] if len(text) <= PIECE else list(long_units(text))
+    return np.unique(np.concatenate(found), return_counts=True)
 
 
 def learn(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarray, float]:
@@ -119,7 +161,7 @@ def learn(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
-    """Learns from labelled rows that are not held out; at most ``SAMPLE`` documents a class reach the driver, as bags."""
+    """Learns from labelled rows that are not held out: at most ``SAMPLE`` documents a class, as bags, in one task."""
     sample = labelled_sample(docs, labels, label, SAMPLE, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,29 +169,43 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
             bags = [bag(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array([b[k].astype(np.int32) for b in bags], pa.list_(pa.int32())) for k in (0, 1))], names=["doc_id", "label", "buckets", "counts"])
 
-    rows = sample.mapInArrow(run, "doc_id long, label int, buckets array<int>, counts array<int>").toArrow().sort_by("doc_id")
-    bags = [(b.values.to_numpy(), c.values.to_numpy()) for b, c in zip(rows["buckets"], rows["counts"], strict=True)]
-    return learn(bags, rows["label"].to_numpy().astype(int))
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches, arrow_schema).sort_by("doc_id")
+        bags = [(b.values.to_numpy(), c.values.to_numpy()) for b, c in zip(rows["buckets"], rows["counts"], strict=True)]
+        value, bias = learn(bags, rows["label"].to_numpy().astype(int))
+        yield pa.RecordBatch.from_arrays([pa.array([value.astype(np.float32).tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["value", "bias"])
+
+    arrow_schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("buckets", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
+    bags = sample.mapInArrow(run, "doc_id long, label int, buckets array<int>, counts array<int>")
+    model = bags.repartition(1).mapInArrow(train, "value binary, bias double").first()
+    return np.frombuffer(model.value, np.float32), model.bias
 
 
 def _scores(column: pa.Array, value: np.ndarray, bias: float) -> np.ndarray:
     total, count = np.zeros(len(column)), np.zeros(len(column))
-    held: list[tuple[int, str]] = []
+    rows: list[int] = []
+    held: list[str] = []
     size = 0
 
     def flush() -> None:
-        at = np.array([row for row, _ in held])
-        for buckets, owner in units([p for _, p in held]):
-            np.add.at(total, at, np.bincount(owner, value[buckets], len(held)))
-            np.add.at(count, at, np.bincount(owner, minlength=len(held)))
+        at = np.array(rows)
+        for buckets, owner in units(held):
+            total[at] += np.bincount(owner, value[buckets], len(held))
+            count[at] += np.bincount(owner, minlength=len(held))
 
     for row, text in enumerate(column):
-        for piece in pieces(text.as_py() or ""):
-            held.append((row, piece))
-            size += len(piece) + 1
-            if size >= PIECE:
-                flush()
-                held, size = [], 0
+        text = text.as_py() or ""
+        if len(text) > PIECE:
+            for buckets in long_units(text):
+                total[row] += value[buckets].sum(dtype=np.float64)
+                count[row] += len(buckets)
+            continue
+        rows.append(row)
+        held.append(text)
+        size += len(text) + 1
+        if size >= PIECE:
+            flush()
+            rows, held, size = [], [], 0
     if held:
         flush()
     return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -30, 30)))

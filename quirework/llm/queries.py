@@ -43,9 +43,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
-    path = path or vocabulary_path()
-    both = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path), path)
-    return both.select(
+    return bpe.round_trip(read(spark, sf_dir, "documents"), path or vocabulary_path()).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         _hex(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")).alias("ids_sha256"),

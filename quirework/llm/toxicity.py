@@ -160,7 +160,7 @@ class _Rows(dict):
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Machine:
-    """Learns from the labelled rows that are not held out; at most ``SAMPLE`` documents a class reach the driver, as buckets."""
+    """Learns from the labelled rows that are not held out: at most ``SAMPLE`` documents a class, as buckets, in one task."""
     sample = labelled_sample(docs, labels, label, SAMPLE, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,9 +168,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
             found = [terms(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "label", "terms"])
 
-    rows = sample.mapInArrow(run, "doc_id long, label int, terms array<int>").toArrow().sort_by("doc_id")
-    found = [x.values.to_numpy() for x in rows["terms"]]
-    return learn(found, rows["label"].to_numpy().astype(float))
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches, arrow_schema).sort_by("doc_id")
+        m = learn([x.values.to_numpy() for x in rows["terms"]], rows["label"].to_numpy().astype(float))
+        used = np.flatnonzero(m.row >= 0)
+        cells = [pa.array([x.tobytes()], pa.binary()) for x in (used.astype(np.int64), m.w[m.row[used]].astype(float), m.v[m.row[used]].astype(float))]
+        yield pa.RecordBatch.from_arrays([*cells, pa.array([m.bias], pa.float64())], names=["used", "w", "v", "bias"])
+
+    arrow_schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int32()))])
+    found = sample.mapInArrow(run, "doc_id long, label int, terms array<int>")
+    m = found.repartition(1).mapInArrow(train, "used binary, w binary, v binary, bias double").first()
+    used, row = np.frombuffer(m.used, np.int64), np.full(1 << BITS, -1, np.int32)
+    row[used] = np.arange(len(used))
+    return Machine(m.bias, row, np.frombuffer(m.w), np.frombuffer(m.v).reshape(-1, FACTORS))
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import public_tokenizers
@@ -40,4 +41,28 @@ def test_table(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as ids")
     got = bpe.decode(bpe.encode(frame, PATH), PATH).collect()
     assert sorted((str(r.doc_id), r.text, list(r.ids)) for r in got) == sorted((str(d), t or "", LIBRARY.encode(t or "", add_special_tokens=False).ids) for d, t in rows)
-    assert bpe.encode(frame.limit(0), PATH).count() == 0
+    both = bpe.round_trip(frame.repartition(3), PATH).collect()
+    assert sorted((str(r.doc_id), r.text, list(r.ids)) for r in both) == sorted((str(r.doc_id), r.text, list(r.ids)) for r in got)
+    assert bpe.encode(frame.limit(0), PATH).count() == bpe.round_trip(frame.limit(0), PATH).count() == 0
+
+
+def test_forgetting_pieces_changes_nothing(monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdeé", k=rng.randrange(1, 9))) for _ in range(50)) for _ in range(30)]
+    monkeypatch.setattr(bpe, "PIECES_KEPT", 7)
+    ids, ends = OWN.encode_all(texts)
+    assert OWN.decode_all(ids, ends) == texts
+    for text, lo, hi in zip(texts, [0, *ends[:-1]], ends, strict=True):
+        assert ids[lo:hi].tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_query_digests(spark):
+    from quirework.llm.queries import op5_bpe
+
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op5_bpe(spark, "/root/testdata/sf0.001").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    assert len(docs) == len(got)
+    for doc, text in docs:
+        ids = LIBRARY.encode(text or "", add_special_tokens=False).ids
+        assert got[doc] == (len(ids), sha(",".join(map(str, ids))), sha(LIBRARY.decode(ids, skip_special_tokens=False)))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quirework.llm import quality, toxicity
@@ -81,12 +82,59 @@ def test_odd_input(spark, module):
     assert module.score(docs.limit(0), module.fit(docs.limit(0), labels)).count() == 0
 
 
-def test_units_do_not_depend_on_batching():
-    texts = ["ab  cd\tab ab", "", "Ünïcode wörds", "x", " lead", "ab ab"]
-    apart = [sorted(np.concatenate([b for b, _ in quality.units([t])] or [np.empty(0, int)]).tolist()) for t in texts]
-    both = [[] for _ in texts]
-    for buckets, owner in quality.units(texts):
+def plain_units(text):
+    """Buckets of a text with whole Python numbers: n-grams of padded words, words, pairs of neighbouring words."""
+    m = 1 << 64
+
+    def bucket(h):
+        h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 % m
+        return h >> 64 - quality.BITS
+
+    points = [32, *(32 if ord(c) in (32, *range(9, 14)) else ord(c) for c in text), 32]
+    out = []
+    for n in quality.GRAMS:
+        for i in range(len(points) - n + 1):
+            if 32 not in points[i + 1 : i + n - 1]:
+                h = n
+                for x in points[i : i + n]:
+                    h = (h * quality._ROOT + x) % m
+                out.append(bucket(h))
+    words = [[ord(c) for c in w] for w in "".join(map(chr, points)).split(" ") if w]
+    hashes = [sum(x * pow(quality._ROOT, k, m) for k, x in enumerate(w)) % m for w in words]
+    out += map(bucket, hashes)
+    return sorted(out + [bucket((a * int(quality._PAIR) + b) % m) for a, b in zip(hashes, hashes[1:])])  # noqa: B905
+
+
+TEXTS = ["ab  cd\tab ab", "", "Ünïcode wörds", "x", " lead", "ab ab", "one\x0btwo three  ", "y" * 40, "a bb ccc dddd eeeee ffffff " * 5, "\n\n"]
+
+
+def test_units_equal_plain_version_whatever_the_piece(monkeypatch):
+    joined = [[] for _ in TEXTS]
+    for buckets, owner in quality.units(TEXTS):
         for b, o in zip(buckets.tolist(), owner.tolist(), strict=True):
-            both[o].append(b)
-    assert [sorted(x) for x in both] == apart
-    assert apart[0].count(quality._REPEAT) == 1 and apart[1] == []
+            joined[o].append(b)
+    for text, found in zip(TEXTS, joined, strict=True):
+        assert sorted(found) == plain_units(text)
+        for piece in (1, 2, 3, 5, 8, 13, 1000):
+            monkeypatch.setattr(quality, "PIECE", piece)
+            cut = [b for x in quality.long_units(text) for b in x.tolist()]
+            assert sorted(cut) == (plain_units(text) if text else []), (text, piece)
+
+
+def test_quality_score_equals_plain_average():
+    rng = np.random.default_rng(7)
+    value = rng.normal(size=1 << quality.BITS).astype(np.float32)
+    got = quality._scores(pa.array([*TEXTS, None]), value, 0.25)
+    for text, score in zip([*TEXTS, ""], got, strict=True):
+        found = plain_units(text)
+        z = 0.25 + (sum(float(value[b]) for b in found) / len(found) if found else 0)
+        assert score == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-9)
+
+
+def test_machine_score_equals_sum_over_pairs():
+    rng = np.random.default_rng(5)
+    w, v = rng.normal(size=9), rng.normal(size=(9, toxicity.FACTORS))
+    machine = toxicity.Machine(-0.3, np.arange(9), w, v)
+    for rows in ([], [4], [0, 3, 8], list(range(9))):
+        z = -0.3 + sum(w[i] for i in rows) + sum(float(v[i] @ v[j]) for i in rows for j in rows if i < j)
+        assert machine.score(rows) == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-9)
