@@ -6,13 +6,16 @@ runs of known words that are long enough for a window enter the suffix array (pr
 window of every item is binary-searched in it; neighbouring hits of one item on one diagonal are one verbatim
 match. Nothing is shuffled: a document stays in its task.
 
-The benchmark is the query set. It is handed out in blocks of at most ``BLOCK_WORDS`` words (their number follows
-from a count over the benchmark), each compared with all documents, so a large benchmark costs more passes and
-never a larger broadcast; one item longer than that is a block by itself.
+The benchmark is the query set. It is handed out in blocks of about ``BLOCK_WORDS`` words (their number follows
+from a count over the benchmark), one after the other: a block is broadcast, all documents are compared with it, the
+rows with what they matched are written to the shared folder, and the block is dropped before the next one is read. So
+a large benchmark costs more passes and never more memory; one item longer than that is a block by itself. A single
+block needs no writing.
 
 Defined cases: null and wordless texts have no words and no matches. Items without words or with a null id match
-nothing. With a benchmark of several blocks, rows that repeat a ``doc_id`` come out once with all their matches;
-with one block every row gives one row. Extra columns are ignored; empty tables give no matches or no rows.
+nothing; equal items all match. Every row of ``docs`` gives one row with the matches of its own text, whatever the
+number of blocks: repeated rows, repeated ids and null ids included. Very long texts are searched whole. Extra columns
+are ignored by ``contamination`` and stay in ``decontaminated``; empty tables give no matches or no rows.
 """
 
 from __future__ import annotations
@@ -25,13 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import forget, store
+
 WINDOW = 10
 #: Words of the benchmark that one broadcast holds, and words of documents that one suffix array covers.
 BLOCK_WORDS, SHARD_WORDS = 1_000_000, 1_000_000
 
 #: Bytes: A-Z to a-z, digits, a-z and all beyond ASCII as they are, all others to a blank.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
-_MATCHES = "array<struct<item_id:long,item_start:int,doc_start:int,length:int>>"
+_MATCH = {"item_id": pa.int64(), "item_start": pa.int32(), "doc_start": pa.int32(), "length": pa.int32()}
+_ROW_DDL = "doc_id long, text string, n_words long, matches array<struct<item_id:long,item_start:int,doc_start:int,length:int>>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -126,59 +132,72 @@ def matches(words: np.ndarray, probe: Probe) -> np.ndarray:
     return np.stack([rows[first, 3], probe.items[rows[first, 0]], rows[first, 2], rows[last, 2] - rows[first, 2] + rows[first, 4]], 1)
 
 
-def _searched(probe) -> object:
-    def shard(keys: list, numbers: list, p: Probe) -> pa.RecordBatch:
+def _searched(probe, more: bool) -> object:
+    """Rows (doc_id, text, n_words, matches) to the same with the matches of one more block; texts go on if ``more`` follow."""
+
+    def shard(rows: list, numbers: list, p: Probe) -> pa.RecordBatch:
         sizes = np.array([len(x) for x in numbers], np.int64)
         starts = np.cumsum(sizes + 1) - (sizes + 1)
-        rows = matches(np.concatenate([np.r_[x, np.zeros(1, np.int32)] for x in numbers]), p)
-        doc = np.searchsorted(starts, rows[:, 0], side="right") - 1
-        order = np.lexsort((rows[:, 1], rows[:, 0]))
-        rows, doc = rows[order], doc[order]
-        flat = pa.StructArray.from_arrays(
-            [pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32)), pa.array((rows[:, 0] - starts[doc]).astype(np.int32)), pa.array(rows[:, 3].astype(np.int32))],
-            names=["item_id", "item_start", "doc_start", "length"],
-        )
-        lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(keys) + 1)), pa.int32()), flat)
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes), lists], names=["doc_id", "n_words", "matches"])
+        new = matches(np.concatenate([np.r_[x, np.zeros(1, np.int32)] for x in numbers]), p)
+        doc = np.searchsorted(starts, new[:, 0], side="right") - 1
+        new = np.stack([new[:, 1], new[:, 2], new[:, 0] - starts[doc], new[:, 3]], 1)
+        old = [(row, [m[c] for c in _MATCH]) for row, (_, _, held) in enumerate(rows) for m in held or ()]
+        if old:
+            doc = np.r_[doc, [row for row, _ in old]]
+            new = np.concatenate([new, np.array([m for _, m in old], np.int64)])
+        order = np.lexsort((new[:, 1], new[:, 0], new[:, 2], doc))
+        new, doc = new[order], doc[order]
+        flat = pa.StructArray.from_arrays([pa.array(new[:, k]).cast(t) for k, t in enumerate(_MATCH.values())], names=list(_MATCH))
+        lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(rows) + 1)), pa.int32()), flat)
+        columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] if more else None for r in rows], pa.string()), pa.array(sizes), lists]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "n_words", "matches"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = probe.value
-        number, keys, numbers, held = p.number.get, [], [], 0
+        number, rows, numbers, size = p.number.get, [], [], 0
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = words_of(text.as_py())
-                keys.append(key)
+            for key, text, _, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3), strict=True):
+                words = words_of(said := text.as_py())
+                rows.append((key, said, held.as_py()))
                 numbers.append(np.fromiter(map(number, words, repeat(0)), np.int32, len(words)))
-                held += len(words) + 1
-                if held >= SHARD_WORDS:
-                    yield shard(keys, numbers, p)
-                    keys, numbers, held = [], [], 0
-        if keys:
-            yield shard(keys, numbers, p)
+                size += len(words) + 1
+                if size >= SHARD_WORDS:
+                    yield shard(rows, numbers, p)
+                    rows, numbers, size = [], [], 0
+        if rows:
+            yield shard(rows, numbers, p)
 
     return run
 
 
-def _blocks(items: DataFrame, window: int) -> list:
-    """The benchmark's broadcasts, each of bounded size."""
+def _by_blocks(rows: DataFrame, items: DataFrame, window: int, step) -> DataFrame:
+    """``step(rows, block, more)`` for each block of the benchmark; with several, what a step returns is written and reread."""
+    spark = rows.sparkSession
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
     words = F.coalesce(F.length("text"), F.lit(0)) / 2 + 1  # no text has more words than that
     blocks = int(-(-(items.agg(F.sum(words)).first()[0] or 0) // BLOCK_WORDS)) or 1
-    items = items.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)))
-    context = items.sparkSession.sparkContext
-    return [context.broadcast(Probe([tuple(r) for r in items.where(F.col("block") == b).select("item_id", "text").orderBy("item_id").collect()], window)) for b in range(blocks)]
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    schema, before = rows.schema, None
+    for b in range(blocks):
+        block = spark.sparkContext.broadcast(Probe([tuple(r) for r in items.where(F.col("block") == b).select("item_id", "text").orderBy("item_id", "text").collect()], window))
+        rows = step(rows, block, b + 1 < blocks)
+        if blocks > 1:
+            path = store(rows, "matched")
+            block.destroy()
+            if before:
+                forget(spark, before)
+            rows, before = spark.read.schema(schema).parquet(path), path
+    return rows
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """-> ``doc_id, n_words, matches`` with every maximal verbatim match of ``items(item_id, text)`` in each document."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    parts = [docs.mapInArrow(_searched(held), f"doc_id long, n_words long, matches {_MATCHES}") for held in _blocks(items, window)]
-    if len(parts) == 1:
-        return parts[0]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
+    """-> ``doc_id, n_words, matches`` with every maximal verbatim match of ``items(item_id, text)`` in each document.
+
+    Matches are sorted by their place in the document, then by item.
+    """
+    none = F.array().cast(_ROW_DDL.rpartition(", matches ")[2])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"), none.alias("matches"))
+    return _by_blocks(rows, items, window, lambda df, block, more: df.mapInArrow(_searched(block, more), _ROW_DDL)).drop("text")
 
 
 def hit_words(found: DataFrame) -> DataFrame:
@@ -218,6 +237,5 @@ def _clean(probe, text_at: int) -> object:
 
 def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a window of any item. Rows are dropped where they are read: no shuffle."""
-    for held in _blocks(items, window):
-        docs = docs.mapInArrow(_clean(held, docs.columns.index(text_col)), docs.schema)
-    return docs
+    at = docs.columns.index(text_col)
+    return _by_blocks(docs, items, window, lambda df, block, _: df.mapInArrow(_clean(block, at), docs.schema))

@@ -69,3 +69,19 @@ def test_removal_keeps_clean_rows_and_columns(spark):
     assert {tuple(r) for r in kept.collect()} == {(2, "a b", "y"), (None, "q", "z")}
     assert decontaminated(docs, items.limit(0)).count() == 3
     assert decontaminated(docs.limit(0), items).count() == 0
+
+
+def test_blocks_change_no_row(spark, monkeypatch):
+    """Repeated ids with other texts, null ids, extra columns and a text of a megabyte, in one block and in many."""
+    docs, items = case(4)
+    rows = [(d, t, 1) for d, t in docs] + [(docs[0][0], docs[5][1], 2), (docs[0][0], docs[9][1], 2), (None, docs[5][1], 3), (None, docs[9][1], 3), (500, "long words " * 90_000 + items[-2][1], 4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n_words long").selectExpr("*", "1 as matches").repartition(3)
+    items = spark.createDataFrame(items + items[:3], "item_id long, text string").selectExpr("*", "text as doc_id")
+    one = sorted(map(str, contamination(frame, items).collect()))
+    clean = sorted(map(str, decontaminated(frame, items).collect()))
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 100)
+    assert len(one) == len(rows) and sorted(map(str, contamination(frame, items).collect())) == one
+    assert sorted(map(str, decontaminated(frame, items).collect())) == clean
+    by_text = {t: v for (_, t), v in zip(docs, brute([(k, t) for k, (_, t) in enumerate(docs)], case(4)[1]).values(), strict=True)}
+    twice = [r for r in hit_words(contamination(frame, items)).collect() if r.doc_id == docs[0][0]]
+    assert sorted((r.n_words, r.n_hit) for r in twice) == sorted(by_text[docs[k][1]][:2] for k in (0, 5, 9))
