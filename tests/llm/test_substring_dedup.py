@@ -1,12 +1,13 @@
 import random
 import re
 
+from quirework.llm import substring_dedup
 from quirework.llm.substring_dedup import LEAST_WORDS, remove_repeats, repeated_spans, without
 
 SCHEMA = "doc_id long, text string"
 
 
-def brute(rows):
+def brute(rows, least=LEAST_WORDS):
     """(doc, start, end, kept doc, kept start) of lines and sentences, by comparing normalised strings."""
     rows = sorted({(d, t) for d, t in rows if d is not None and t})
     found = []
@@ -19,7 +20,7 @@ def brute(rows):
                 lo = m.end()
             if lo:
                 parts.append((at + lo, at + len(line)))
-            found += [(doc, s, e, at, at + len(line), " ".join(text[s:e].lower().split())) for s, e in parts if len(text[s:e].split()) >= LEAST_WORDS]
+            found += [(doc, s, e, at, at + len(line), " ".join(text[s:e].lower().split())) for s, e in parts if len(text[s:e].split()) >= least]
             at += len(line) + 1
     first = {}
     for doc, s, _, _, _, norm in sorted(found):
@@ -44,8 +45,8 @@ def corpus(seed):
     return rows
 
 
-def spans(frame):
-    return {(r.doc_id, r.start, r.end, r.kept_doc_id, r.kept_start) for r in repeated_spans(frame).collect()}
+def spans(frame, **more):
+    return {(r.doc_id, r.start, r.end, r.kept_doc_id, r.kept_start) for r in repeated_spans(frame, **more).collect()}
 
 
 def test_equals_brute_force(spark):
@@ -56,6 +57,24 @@ def test_equals_brute_force(spark):
     assert want and spans(frame) == want
 
 
+def test_packing_and_ranges_change_nothing(spark, monkeypatch):
+    """Small batches and many hash ranges; every line and sentence counts at ``least`` 1; a text of a megabyte."""
+    rows = corpus(8) + [(300, "\n".join(f"line {i} of a very long text that goes on" for i in range(25_000))), (301, "x. line 77 of a very long text that goes on")]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    want = {k: brute(rows, k) for k in (1, 2, 8)}
+    for k in want:
+        assert spans(frame, least=k) == want[k]
+    monkeypatch.setattr(substring_dedup, "PACK_UNITS", 50)
+    monkeypatch.setattr(substring_dedup, "RANGE_CHARS", 1000)
+    assert spans(frame) == want[8]
+
+
+def test_clashing_columns(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+    frame = spark.createDataFrame([(1, passage, 7, 8, 9), (2, passage, 7, 8, 9)], "doc_id long, text string, _doc long, _SPANS long, kept long")
+    assert sorted(map(tuple, remove_repeats(frame).collect())) == [(1, passage, 7, 8, 9), (2, "", 7, 8, 9)]
+
+
 def test_first_occurrence_stays_and_text_is_rebuilt(spark):
     passage = " ".join(f"w{i}" for i in range(60))
     rows = [(5, f"intro five\n{passage}\nend", 1, "k"), (2, f"begin. {passage}. tail of it", 1, "k"), (9, f"{passage}\n{passage}", 1, "k"), (None, passage, 1, "k"), (7, None, 1, "k")]
