@@ -1,4 +1,10 @@
-"""A training-data pipeline: each stage works on all rows that its predecessor kept."""
+"""A training-data pipeline: each stage works on all rows that its predecessor kept.
+
+Defined cases: rows with a null ``doc_id`` pass every stage (they have no copies to be one of, and are judged by their
+own text elsewhere). A null text scores as an empty one, links with nothing, holds no passage and no words, and encodes
+to no ids. Repeated ids stay repeated but for rows whose id the Jaccard join drops. Very long texts are read whole. Extra
+columns, whatever their names, stay until the last stage. An empty ``documents`` gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -19,7 +25,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies; rows without an id stay."""
     more = jaccard_components(docs).where("component_id <> doc_id").select("doc_id")
-    return docs.join(more, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(more, docs["doc_id"].cast("long") == more["doc_id"], "left_anti").select(docs.columns)
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +39,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """-> ``doc_id, n_tokens, ids``."""
-    return bpe.encode(docs, vocabulary_path()).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """-> ``doc_id, n_tokens, ids, decoded_sha256``: the ids of each text, and the digest of the text that they decode to."""
+    both = bpe.round_trip(docs, vocabulary_path())
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"))
 
 
 STAGES = [
@@ -50,6 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage after the other over ``documents``; what a stage returns is written to the shared folder and reread."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
