@@ -47,8 +47,8 @@ PERCENT = 80
 REGION = 35
 #: Shingles that a task packs before it sends them out, and documents (their number has to fit 16 bits).
 PACK_TOKENS, PACK_DOCS = 2_000_000, 60_000
-#: Characters of all texts for each hash range of the candidate step.
-RANGE_CHARS = 32 << 20
+#: Characters of all texts for each hash range of the candidate step, and ranges at least.
+RANGE_CHARS, LEAST_RANGES = 32 << 20, 512
 #: From that many groups on, a posting is a cell of its own choice.
 HOT = 64
 #: Documents of a verification block: a sixteenth of the cell within these bounds; and its shingles, on average.
@@ -375,11 +375,10 @@ def _met(rows: DataFrame, near: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """-> ``doc_id, n_shingles, component_id, n_links`` for every document of ``docs``; see the module's text."""
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     docs = docs.select("doc_id", F.xxhash64("text").alias("said"), "text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // RANGE_CHARS))
+    buckets = max(LEAST_RANGES, -(-chars // RANGE_CHARS))
     held = docs.mapInArrow(_pack(buckets), _PACKED_DDL).groupBy("bucket").applyInArrow(_held, _HELD_DDL)
     one = F.min(F.when(F.col("n").isNotNull(), F.struct("n", "d1", "d2", "said")))
     each = keep(held.groupBy("doc_id").agg(one.alias("one"), F.sum("held").alias("held")).select("doc_id", "one.*", "held"), "sizes")

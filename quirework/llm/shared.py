@@ -60,17 +60,18 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     ``component`` is the smallest node that can be reached; nodes without an edge do not appear.
     Alternates the large-star and small-star steps of Kiveris et al. (2014), each a grouped minimum and a
-    join, until a round changes nothing. Each round is one job that writes its edges to the shared folder and counts
-    them on the way, so the plan does not grow, nothing but two numbers a round reaches the driver, and the edges of
+    join, until a round changes nothing. Edges point from the larger node to the smaller one, so the smallest neighbour
+    of a node is found from the edges that leave it; the many edges that enter a hub are never grouped, and the table
+    of minima is joined to them as a table of its own size. Each round writes its edges to the shared folder and counts
+    them on the way, so the plan does not grow, nothing but two numbers a round reaches the driver, and the files of
     the round before are deleted.
     """
     spark = edges.sparkSession
     path, seen = store(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label), None
     while True:
         now = spark.read.schema("a long, b long").parquet(path)
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(least, "a").where("b > a and b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        minima = store(now.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("low")), f"{label}-minima")
+        large = now.join(spark.read.schema("b long, low long").parquet(minima), "b", "left").select("a", F.coalesce("low", "b").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (
             large.join(low, "a")
@@ -82,7 +83,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         told = Observation()
         counted = small.observe(told, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
         old, path = path, store(counted, label)
-        forget(spark, old)
+        for done in (old, minima):
+            forget(spark, done)
         state = (told.get["n"], told.get["sum"])
         if state == seen or not state[0]:
             now = spark.read.schema("a long, b long").parquet(path)
