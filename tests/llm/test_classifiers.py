@@ -102,7 +102,7 @@ def plain_units(text):
     words = [[ord(c) for c in w] for w in "".join(map(chr, points)).split(" ") if w]
     hashes = [sum(x * pow(quality._ROOT, k, m) for k, x in enumerate(w)) % m for w in words]
     out += map(bucket, hashes)
-    return sorted(out + [bucket((a * int(quality._PAIR) + b) % m) for a, b in zip(hashes, hashes[1:])])  # noqa: B905
+    return sorted(out + [quality._AGAIN if a == b else bucket((a * int(quality._PAIR) + b) % m) for a, b in zip(hashes, hashes[1:])])  # noqa: B905
 
 
 TEXTS = ["ab  cd\tab ab", "", "Ünïcode wörds", "x", " lead", "ab ab", "one\x0btwo three  ", "y" * 40, "a bb ccc dddd eeeee ffffff " * 5, "\n\n"]
