@@ -1,16 +1,14 @@
 """Deterministic markup over the driver's plain texts, so that the document rules have something to find.
 
-A line's kind is a polynomial in document and line number; each kind wraps the raw line in other markup. The
-projection drops nothing: every line of every text stays in the table.
+A line's kind is a polynomial in document and line number; each kind wraps the raw line in other markup. Where a kind
+leaves no room for it, the raw line follows as a line of its own: every line of every text stays in the table, whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lines import md_lines
-
 #: Kind -> markup around the raw line (``{raw}``), the item key (``{key}``) and a small number (``{n}``).
 STRUCTURE = {
     0: "---", 1: "", 2: "> **证明**：{raw}", 3: "> **例{key}**：{raw}", 4: "**定理{key}**：{raw}", 5: "> {raw}", 6: ">", 7: "$$", 8: "> $$", 9: "## §{raw}",
@@ -37,7 +35,7 @@ KINDS = 23
 
 
 def kind(doc: str = "doc_id", line: str = "line_no") -> str:
-    """SQL that Spark and DuckDB read alike."""
+    """SQL of a line's kind."""
     return f"((({doc} * 7919 + {line} * {line} * 131 + {line} * 613) % 10007) % {KINDS})"
 
 
@@ -53,13 +51,18 @@ def _parts(markup: str) -> tuple[str, str, str, bool, str]:
 
 def marked(docs: DataFrame, table: dict[int, str] = STRUCTURE) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, line_no, line`` with markup."""
-    lines = md_lines(docs).withColumn("line_no", F.col("line_no").cast("int"))
     parts = [_parts(table.get(k, "{raw}")) for k in range(KINDS)]
-    key = F.expr("concat(cast(doc_id % 9 + 1 as string), '.', cast(line_no % 5 + 1 as string), '-', cast(line_no % 6 + 1 as string))")
-    pick = lambda i: F.get(F.array(*[F.lit(p[i]) for p in parts]), F.col("k"))
-    lines = lines.withColumn("k", F.expr(kind("doc_id", "cast(line_no as bigint)")).cast("int"))
-    value = F.when(pick(1) == "key", key).when(pick(1) == "n", F.expr("cast(line_no % 9 + 1 as string)")).otherwise("")
-    return lines.select("doc_id", "line_no", F.concat(pick(0), value, pick(2), F.when(pick(3), F.col("line")).otherwise(""), pick(4)).alias("line"))
+
+    def lines(raw: Column, i: Column) -> Column:
+        n = (i + 1).cast("long")
+        k = (((F.col("doc_id") * 7919 + n * n * 131 + n * 613) % 10007) % KINDS).cast("int")
+        pick = lambda part: F.get(F.array(*[F.lit(p[part]) for p in parts]), k)
+        key = F.concat((F.col("doc_id") % 9 + 1).cast("string"), F.lit("."), (n % 5 + 1).cast("string"), F.lit("-"), (n % 6 + 1).cast("string"))
+        value = F.when(pick(1) == "key", key).when(pick(1) == "n", (n % 9 + 1).cast("string")).otherwise("")
+        return F.when(pick(3), F.array(F.concat(pick(0), value, pick(2), raw, pick(4)))).otherwise(F.array(F.concat(pick(0), value, pick(2), pick(4)), raw))
+
+    every = F.flatten(F.transform(F.split("text", "\n", -1), lines))
+    return docs.select("doc_id", F.posexplode(every).alias("pos", "line")).select("doc_id", (F.col("pos") + 1).alias("line_no"), "line")
 
 
 def marked_sql(name: str, table: dict[int, str] = STRUCTURE) -> str:
@@ -70,7 +73,8 @@ def marked_sql(name: str, table: dict[int, str] = STRUCTURE) -> str:
         said = "'" + markup.replace("'", "''") + "'"
         for mark, value in swaps.items():
             said = said.replace(mark, value)
-        cases.append(f"WHEN {k} THEN {said}")
+        cases.append(f"WHEN {k} THEN [{said}{'' if '{raw}' in markup else ', raw'}]")
     return f"""{name}_raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM documents WHERE text IS NOT NULL),
 {name}_key AS (SELECT *, (doc_id % 9 + 1) || '.' || (line_no % 5 + 1) || '-' || (line_no % 6 + 1) AS key FROM {name}_raw),
-{name} AS (SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CASE {kind()} {' '.join(cases)} ELSE raw END AS line FROM {name}_key)"""
+{name}_ls AS (SELECT doc_id, line_no, CASE {kind()} {' '.join(cases)} ELSE [raw] END AS ls FROM {name}_key),
+{name} AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no, pos) AS INTEGER) AS line_no, line FROM (SELECT doc_id, line_no, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM {name}_ls))"""

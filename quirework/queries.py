@@ -365,7 +365,7 @@ def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ends = md_lines(read(spark, sf_dir, "documents")).groupBy(F.col("doc_id").alias("book")).agg(F.max("line_no").alias("last"))
+    ends = lines_of(spark, sf_dir, ITEMS).groupBy(F.col("doc_id").alias("book")).agg(F.max("line_no").alias("last"))
     return ends.select("book", F.expr("cast(book % 9 + 1 as int)").alias("ch"), F.lit(1).alias("start"), (F.floor((F.col("last") - 1) / 10) + 1).cast("int").alias("end"))
 
 
@@ -411,7 +411,7 @@ SELECT * FROM (SELECT doc_id, key, CASE WHEN noise THEN 'ignored' WHEN wanted AN
 
 def _headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document has a heading for each section whose number its length in lines divides by."""
-    rows = md_lines(read(spark, sf_dir, "documents")).groupBy("doc_id").agg(F.count("*").alias("n"))
+    rows = lines_of(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n"))
     return rows.select("doc_id", F.explode(F.filter(F.sequence(F.lit(1), F.lit(5)), lambda s: F.col("n") % s == 0)).alias("section"))
 
 
