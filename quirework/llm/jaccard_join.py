@@ -46,7 +46,7 @@ PERCENT = 80
 #: Share of a set, in hundredths, that the candidate step sends out; it has to exceed 100 - PERCENT.
 REGION = 35
 #: Shingles that a task packs before it sends them out, and documents (their number has to fit 16 bits).
-PACK_TOKENS, PACK_DOCS = 2_000_000, 60_000
+PACK_TOKENS, PACK_DOCS = 1_500_000, 60_000
 #: Characters of all texts for each hash range of the candidate step, and ranges at least.
 RANGE_CHARS, LEAST_RANGES = 32 << 20, 512
 #: From that many groups on, a posting is a cell of its own choice.
@@ -54,7 +54,7 @@ HOT = 64
 #: Documents of a verification block: a sixteenth of the cell within these bounds; and its shingles, on average.
 BLOCK_LEAST, BLOCK_DOCS, BLOCK_TOKENS = 128, 1024, 2_000_000
 #: Words whose hash a worker remembers.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 200_000
 
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 _STEPS = np.array(_STEP)

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from hashlib import blake2b
 from itertools import chain
@@ -35,7 +36,7 @@ from .shared import keep
 
 LEAST_WORDS = 8
 #: Units that a task packs before it sends them out, and characters of all texts for each hash range.
-PACK_UNITS, RANGE_CHARS = 1_000_000, 32 << 20
+PACK_UNITS, RANGE_CHARS = 250_000, 32 << 20
 
 _LINE = re.compile(r"[^\n]+")
 _BREAK = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？｡])(?![。！？｡”’」』）]|$)\s*")
@@ -134,31 +135,30 @@ def _sorted(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _listed(of: tuple, least: int, ranges: int):
-    def packed(docs: list, spans: list, digests: list) -> pa.RecordBatch:
-        places = np.array(spans, np.int64).reshape(-1, 4)
-        table = np.column_stack([np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2), np.array(docs, np.int64), places])
+    def packed(docs: array, spans: array, digests: bytearray) -> pa.RecordBatch:
+        table = np.column_stack([np.frombuffer(digests, np.int64).reshape(-1, 2), np.frombuffer(docs, np.int64), np.frombuffer(spans, np.int32).reshape(-1, 4)])
         table, first = _sorted(table)
-        times = np.diff(np.r_[first, len(table)])
-        heads = np.column_stack([table[first], times > 1])
+        heads = np.column_stack([table[first], np.diff(np.r_[first, len(table)]) > 1])
         which = ((heads[:, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
         cuts = np.flatnonzero(np.r_[True, np.diff(which) != 0])
         cells = [_planes(heads[lo:hi]) for lo, hi in zip(cuts, [*cuts[1:], len(heads)], strict=True)]
         others = np.delete(table, first, 0)
-        rows = [[*which[cuts].tolist(), *[None] * len(others)], [*cells, *[None] * len(others)], *([*[None] * len(cells), *others[:, k].tolist()] for k in range(7))]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _PACKED, strict=True)], schema=_PACKED)
+        rows = [pa.concat_arrays([pa.array(x, f.type), pa.nulls(len(others), f.type)]) for x, f in zip((which[cuts], cells), _PACKED, strict=False)]
+        rows += [pa.concat_arrays([pa.nulls(len(cells), f.type), pa.array(others[:, k]).cast(f.type)]) for k, f in enumerate(_PLACES)]
+        return pa.RecordBatch.from_arrays(rows, schema=_PACKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, spans, digests = [], [], []
+        docs, spans, digests = array("q"), array("i"), bytearray()
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
                 for *span, digest in chain.from_iterable(listed(text, least) for listed in of):
                     docs.append(doc)
-                    spans.append(span)
-                    digests.append(digest)
+                    spans.extend(span)
+                    digests += digest
                 if len(docs) >= PACK_UNITS:
                     yield packed(docs, spans, digests)
-                    docs, spans, digests = [], [], []
+                    docs, spans, digests = array("q"), array("i"), bytearray()
         if docs:
             yield packed(docs, spans, digests)
 
