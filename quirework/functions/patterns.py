@@ -71,3 +71,36 @@ STEP_WORDS = (
 WEAK_STEP_WORDS = "(?:先|再|又|一般|反之|同理)"
 IMAGE = r"^\s*(?:!\[|<img)"
 MOJIBAKE = "Ã[\u0080-\u00BF]|â€|ï»¿|\uFFFD"
+
+# Kinds of items that a caption may name, in Chinese and in English, and their numbers.
+CAPTION_KINDS = "定理|引理|命题|推论|例|示例|定义|公理|公设|注|注释|评注"
+CAPTION_KINDS_EN = ("Definition", "Theorem", "Lemma", "Corollary", "Proposition", "Example", "Remark", "Assumption", "Algorithm", "Axiom")
+CAPTION_NUMBER = r"(\d+(?:\s*\.\s*\d+){0,3}(?:\s*-\s*\d+)?)"
+FIGURE_REFERENCE = r"(?:图|(?:[Ff]igure|[Ff]ig\.))\s*([0-9]+(?:[.\-][0-9]+){1,2})"
+
+# Raised and lowered signs and the letters that they stand for, in the same order.
+RAISED, RAISED_AS = "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻ⁿⁱᵉᵒᵖᵃᵇᶜᵈˢᵗʳᵏˡᵐᵘᵛˣʸᶻᵍʰʷᶠʲ", "0123456789+-nieopabcdstrklmuvxyzghwfj"
+LOWERED, LOWERED_AS = "₀₁₂₃₄₅₆₇₈₉₊₋ₐₑₕᵢⱼₖₗₘₙₒₚᵣₛₜᵤᵥₓ", "0123456789+-aehijklmnoprstuvx"
+
+# Headings and labelled numbers of a scanned section, and what introduces a list of notes.
+SOURCE_HEAD_GLUED = r"^(?:§|8)(\d+)\.(\d+)"
+SOURCE_HEAD_PLAIN = r"^(\d+)\.(\d+)\s+\S"
+SOURCE_HEAD_SHORT = r"§\s*(\d+)\.(\d+)"
+SOURCE_NUMBER = r"(\d{1,3})\.(\d{1,3})[.\-·](\d{1,3})"
+SOURCE_LABEL = "定义|定理|引理|命题|推论|例|公理|练习|评注|准则|Definition|Theorem|Lemma|Proposition|Corollary|Example|Axiom|Exercise|Remark"
+SUMMARY_HEAD = r"^##\s*§\s*(\d+)\.(\d+)"
+NOTES = r"(?i)(注解|注释|注[：:]|备注|说明|Remarks?|Notes?|Comments?)"
+PAREN_NUMBER = r"[（(](\d{1,3})[)）]"
+SECTION_ONLY_ENTRY = r"\*\*(定义|定理|引理|推论|命题)\s*(\d{1,2})\.(\d{1,3})"
+TEXT_LABELS = (("定义", r"定义[（(]"), ("定理", r"定理[（(]"), ("引理", r"引.{0,2}理[（(]"))
+
+# Fixed values of the two-level scan: items, section heads (a section sign may be read as S or 8) and examples.
+SCAN_ITEM = r"(定义|定理|引理|推论|命题)\s*(\d+)\s*[.·]\s*(\d+)"
+SCAN_SECTION = r"^(§|S|8)?\s*(\d+)\s*[.·]\s*(\d+)\s*([^\d.·].{0,30})"
+SCAN_EXAMPLE = r"^例\s*(\d+)"
+
+# Commands that spacing broke, and what they are meant to be (``$1`` is the first group).
+BROKEN = (
+    (r"\\in\s+t([^a-zA-Z]|$)", r"\\int$1"), (r"\\in\s+fty", r"\\infty"), (r"\\in\s+f([^a-zA-Z]|$)", r"\\inf$1"), (r"\\qquad\s*([a-zA-Z])", r"\\qquad $1"),
+    (r"\\quad\s*([a-zA-Z])", r"\\quad $1"), (r"\\widetilde\s+P", r"\\widetilde P"), (r"\\frac(\d)([a-zA-Z]\{)", r"\\frac{$1}$2"),
+)

@@ -36,7 +36,8 @@ def canonical_label(label: Column) -> Column:
 
 
 def first_number(key: Column) -> Column:
-    return F.coalesce(F.expr("null").cast("int") if key is None else F.nullif(F.regexp_extract(key, r"\d+", 0), F.lit("")).cast("int"), F.lit(-1))
+    """The first whole number in a key; -1 if there is none."""
+    return F.coalesce(F.nullif(F.regexp_extract(key, r"\d+", 0), F.lit("")).try_cast("long"), F.lit(-1).cast("long"))
 
 
 def _times(text: Column, letter: str) -> Column:
@@ -62,3 +63,56 @@ def int_to_roman(number: Column) -> Column:
 def ratio(text: Column) -> Column:
     """``a/b`` -> struct of two ints, null where it is none."""
     return F.struct(F.split_part(text, F.lit("/"), F.lit(1)).try_cast("int").alias("passed"), F.split_part(text, F.lit("/"), F.lit(2)).try_cast("int").alias("total"))
+
+
+def normal_figure(label: Column) -> Column:
+    """A figure's label without any blank."""
+    return F.replace(strip(label), F.lit(" "), F.lit(""))
+
+
+def short_caption(caption: Column) -> Column:
+    """A caption without its number, cut at what it says about the picture; 40 characters at most."""
+    text = strip(F.regexp_replace(F.coalesce(caption, F.lit("")), r"^图\s*\d+\s*", ""))
+    return F.substring(F.regexp_replace(F.regexp_replace(text, "图中.*$", "示意图"), "中的.*$", "示意图"), 1, 40)
+
+
+def caption_reference(caption: Column) -> Column:
+    """The item that a caption names: struct of kind, number and whether its proof is meant; null for exercises or none.
+
+    English kinds come first and get their Chinese name.
+    """
+    english = f"({'|'.join(P.CAPTION_KINDS_EN)})\\s*{P.CAPTION_NUMBER}"
+    chinese = f"({P.CAPTION_KINDS})\\s*{P.CAPTION_NUMBER}"
+    tight = lambda pattern: F.regexp_replace(F.regexp_extract(caption, pattern, 2), r"\s+", "")
+    one = lambda pattern, kind, proof: F.struct(kind.alias("kind"), tight(pattern).alias("number"), proof.alias("of_proof"))
+    return (
+        F.when(F.contains(caption, F.lit("习题")), None)
+        .when(caption.rlike(english), one(english, canonical_label(F.regexp_extract(caption, english, 1)), F.contains(F.lower(caption), F.lit("proof"))))
+        .when(caption.rlike(chinese), one(chinese, F.regexp_extract(caption, chinese, 1), F.contains(caption, F.lit("证明"))))
+    )
+
+
+def centre(points: Column) -> Column:
+    """Mean of the corners of a polygon given as a flat list ``x0, y0, x1, y1, ...``."""
+    mean = lambda odd: F.aggregate(F.filter(points, lambda _, i: i % 2 == odd), F.lit(0.0), lambda acc, v: acc + v.cast("double")) / (F.size(points) / 2)
+    return F.when(F.size(points) >= 2, F.struct(mean(0).alias("x"), mean(1).alias("y")))
+
+
+def raised_lowered(text: Column) -> Column:
+    """Runs of raised or lowered signs as ``^`` or ``_`` and plain letters, in braces if there are several."""
+    for signs, letters, mark in ((P.RAISED, P.RAISED_AS, "^"), (P.LOWERED, P.LOWERED_AS, "_")):
+        text = F.regexp_replace(F.regexp_replace(text, f"([{signs}]+)", f"{mark}{{$1}}"), f"\\{mark}\\{{([{signs}])\\}}", f"{mark}$1")
+        text = F.translate(text, signs, letters)
+    return text
+
+
+def file_name(title: Column, most: int = 60) -> Column:
+    """A title as part of a file name: no section sign, formulas, blanks or characters that file systems refuse."""
+    for pattern in ("§", r"\$[^$]*\$", r'[<>:"/\\|?*$]', r"\s+"):
+        title = F.regexp_replace(title, pattern, "")
+    return F.substring(title, 1, most)
+
+
+def shown_in(line: Column, file: Column) -> Column:
+    """Whether a line embeds a figure file."""
+    return F.contains(line, F.concat(F.lit('src="_extract/figure/'), file, F.lit('"')))

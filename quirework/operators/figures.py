@@ -124,3 +124,19 @@ def first_anchor(lines: DataFrame, anchors: DataFrame) -> DataFrame:
     return met.groupBy("doc_id", "fig").agg(F.min(rank).alias("r")).select("doc_id", "fig", "r.line_no")
 
 
+def chapter_counts(index: DataFrame) -> DataFrame:
+    """``ch, total, named, unnamed``: figures of each chapter."""
+    return index.groupBy("ch").agg(F.count("*").alias("total"), F.count("label").alias("named"), (F.count("*") - F.count("label")).alias("unnamed"))
+
+
+def index_lines(index: DataFrame) -> DataFrame:
+    """``ch, nth, line``: a chapter's index as Markdown, labelled figures first, each by page and number."""
+    order = Window.partitionBy("ch").orderBy(F.col("label").isNull(), "page", "fig_idx")
+    named = F.concat(F.lit("- 图 "), "label", F.lit("：![图 "), "label", F.lit("]("), "file", F.lit(")"))
+    unnamed = F.concat(F.lit("- 图(未标号, p"), F.col("page").cast("string"), F.lit(")：![fig]("), "file", F.lit(")"))
+    return index.select("ch", F.row_number().over(order).alias("nth"), F.coalesce(named, unnamed).alias("line"))
+
+
+def detected_pages(detected: DataFrame) -> DataFrame:
+    """``ch, pages``: the pages of a chapter that hold a detected figure, in order."""
+    return detected.groupBy("ch").agg(F.array_sort(F.collect_set("page")).alias("pages"))

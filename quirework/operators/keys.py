@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import canonical_label, normal_key
+from ..functions.text import canonical_label, normal_key, strip
 
 
 def md_keys(lines: DataFrame, scheme: str = "three-level") -> DataFrame:
@@ -65,3 +65,28 @@ def upsert(base: DataFrame, overrides: DataFrame, keys: list[str], order: list[s
     rows = base.withColumn("_priority", F.lit(1)).unionByName(overrides.withColumn("_priority", F.lit(0)))
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_priority", *[F.desc(c) for c in order]))
     return rows.withColumn("_nth", nth).where("_nth = 1").drop("_nth", "_priority")
+
+
+def with_ignored(ignored: DataFrame, more: DataFrame, reason: str = "added") -> DataFrame:
+    """``ch, key, reason`` of an ignore list with the keys of ``more(ch, key)`` that it does not hold yet."""
+    new = more.select("ch", normal_key(strip(F.col("key"))).alias("key")).where("key <> ''").distinct()
+    return ignored.select("ch", "key", "reason").unionByName(new.join(ignored.select("ch", "key"), ["ch", "key"], "left_anti").withColumn("reason", F.lit(reason)))
+
+
+def without_ignored(ignored: DataFrame, gone: DataFrame) -> DataFrame:
+    """An ignore list without the keys of ``gone(ch, key)``."""
+    return ignored.join(gone.select("ch", normal_key(strip(F.col("key"))).alias("key")).distinct(), ["ch", "key"], "left_anti")
+
+
+def section_only_keys(lines: DataFrame) -> DataFrame:
+    """``doc_id, key`` of the bold entries of books whose keys have no chapter."""
+    found = F.explode(F.regexp_extract_all("line", F.lit(P.SECTION_ONLY_ENTRY), F.lit(0))).alias("said")
+    part = lambda i: F.regexp_extract("said", P.SECTION_ONLY_ENTRY, i)
+    return lines.select("doc_id", found).select("doc_id", F.concat(part(1), part(2).cast("int").cast("string"), F.lit("."), part(3).cast("int").cast("string")).alias("key")).distinct()
+
+
+def section_only_state(items: DataFrame, keys: DataFrame) -> DataFrame:
+    """``doc_id, key, status``: items of a source that its summary lacks (missing) and entries that no source has (extra)."""
+    wanted, held = items.select("doc_id", "key").distinct(), keys.select("doc_id", "key")
+    missing = wanted.join(held, ["doc_id", "key"], "left_anti").withColumn("status", F.lit("missing"))
+    return missing.unionByName(held.join(wanted, ["doc_id", "key"], "left_anti").withColumn("status", F.lit("extra")))

@@ -60,3 +60,18 @@ def renumbered(rows: str, lines: str) -> str:
     """A line table from rows ``doc_id, line_no`` and a list of lines each."""
     return f"""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no, pos) AS INTEGER) AS line_no, line
 FROM (SELECT doc_id, line_no, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM (SELECT doc_id, line_no, {lines} AS ls FROM {rows}))"""
+
+
+def matches(source: str, name: str, pattern: str, text: str = "text") -> str:
+    """``name``: one row a match of ``source`` with ``nth`` (from 0), ``said``, ``beg``, ``upto`` and groups ``g1`` to ``g3``."""
+    groups = ", ".join(f"regexp_extract(said, {q(pattern)}, {i}) AS g{i}" for i in range(1, 1 + min(3, pattern.replace("(?:", "").replace("(?i)", "").replace("\\(", "").replace("[（(", "").count("("))))
+    length = lambda xs: f"coalesce(list_sum(list_transform({xs}, lambda x: length(x))), 0)"
+    return f"""{name}_s AS (SELECT *, regexp_extract_all({text}, {q(pattern)}, 0) AS saids, string_split_regex({text}, {q(pattern)}) AS parts FROM {source} WHERE regexp_matches({text}, {q(pattern)})),
+{name}_n AS (SELECT *, unnest(range(len(saids))) AS nth FROM {name}_s),
+{name}_a AS (SELECT * EXCLUDE (saids, parts), saids[nth + 1] AS said, CAST({length('parts[1:nth + 1]')} + {length('saids[1:nth]')} AS BIGINT) AS beg FROM {name}_n),
+{name} AS (SELECT *, beg + length(said) AS upto, {groups} FROM {name}_a)"""
+
+
+def part(text: str, start: str, end: str) -> str:
+    """Characters from ``start`` to ``end``, counted from 0."""
+    return f"substring({text}, CAST(greatest({start}, 0) + 1 AS BIGINT), CAST(greatest(({end}) - greatest({start}, 0), 0) AS BIGINT))"

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-PAGES = T.StructType.fromDDL(
-    "page int, formulas array<struct<bbox array<int>, cls int, conf double, latex string>>, text array<struct<poly variant, text string, score double>>"
-)
+PAGES = "page int, formulas array<struct<bbox array<int>, cls int, conf double, latex string>>, text array<struct<poly variant, text string, score double>>"
 
 
 def _file(pattern: str):
@@ -39,14 +36,8 @@ def blocks(scans: DataFrame, no_place: float = 0.0) -> DataFrame:
         "y": F.coalesce(at("$[0][1]"), at("$[1]"), F.lit(no_place)),
     })
     rows = rows.where("text <> ''")
-    order = F.array_position(F.array_sort(F.collect_list(F.struct("y", "nth")).over(_page())), F.struct("y", "nth"))
-    return rows.withColumn("block", order.cast("int")).select("book", "page", "block", "text", "x", "y")
-
-
-def _page():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("book", "page")
+    order = F.row_number().over(Window.partitionBy("book", "page").orderBy("y", "nth"))
+    return rows.withColumn("block", order).select("book", "page", "block", "text", "x", "y")
 
 
 def markdown(spark: SparkSession, path: str) -> DataFrame:
@@ -87,16 +78,50 @@ def ignored_keys(spark: SparkSession, path: str) -> DataFrame:
     return listed.unionByName(named).select("ch", normal_key(F.col("key")).alias("key"), "reason")
 
 
-def figure_rows(spark: SparkSession, path: str, columns: str = "chapter int, page int, fig_idx int, label string, bbox array<int>, conf double, file string, caption string, cap_text string, source string") -> DataFrame:
-    """Detected or indexed figures; a missing file is an error of the caller, an empty list has no rows."""
-    return spark.read.schema(columns).option("multiLine", True).json(path)
+def figure_rows(spark: SparkSession, path: str, columns: str = "chapter int, page int, fig_idx int, label string, bbox array<int>, conf double, file string, caption string, cap_text string, source string") -> DataFrame | None:
+    """Detected or indexed figures: None if no such file is there, no rows if its list is empty."""
+    return spark.read.schema(columns).option("multiLine", True).json(path) if _there(spark, path) else None
+
 
+def _there(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return found is not None and len(found) > 0
 
-def write_lines(lines: DataFrame, path: str) -> None:
-    """One text file a partition, documents whole: line feeds between lines and one at the end."""
-    text = lines.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("line_no", "line")))["line"], "\n").alias("value"))
-    text.select("doc_id", "value").write.partitionBy("doc_id").text(path)
+
+def ignored_figures(spark: SparkSession, path: str) -> DataFrame:
+    """``ch, label, reason`` of figures from ``ignore_fig_chN.json``, labels without blanks."""
+    from ..functions.text import normal_figure
+
+    return ignored_keys(spark, path).select("ch", normal_figure(F.col("key")).alias("label"), "reason")
+
+
+def manual_figures(spark: SparkSession, path: str) -> DataFrame:
+    """``ch, label, page, bbox, rotate, caption`` from ``figure_manual_chN.json``; broken files give no rows."""
+    whole = spark.read.text(path, wholetext=True).select(_file(r"_ch(\d+)\.json$").try_cast("int").alias("ch"), F.try_parse_json("value").alias("v"))
+    rows = whole.select("ch", F.explode(F.try_variant_get("v", "$", "map<string, variant>")).alias("label", "f"))
+    get = lambda name, kind: F.try_variant_get("f", f"$.{name}", kind).alias(name)
+    return rows.select("ch", "label", get("page", "int"), get("bbox", "array<int>"), get("rotate", "int"), get("caption", "string"))
+
+
+def embed_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """``file, anchors, is_proof`` from ``figure_embed_overrides.json``."""
+    whole = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+    rows = whole.select(F.explode(F.try_variant_get("v", "$", "map<string, variant>")).alias("file", "o"))
+    return rows.select("file", F.coalesce(F.try_variant_get("o", "$.anchors", "array<string>"), F.array().cast("array<string>")).alias("anchors"), F.coalesce(F.try_variant_get("o", "$.is_proof", "boolean"), F.lit(False)).alias("is_proof"))
+
+
+def write_lines(lines: DataFrame, path: str, buckets: int = 64) -> None:
+    """Documents as ``doc_id, text`` with line feeds between lines and one at the end, in ``buckets`` folders by a hash of the id."""
+    text = lines.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("line_no", "line")))["line"], "\n").alias("text"))
+    text = text.select("doc_id", F.when(F.endswith("text", F.lit("\n")), F.col("text")).otherwise(F.concat("text", F.lit("\n"))).alias("text"))
+    text.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets))).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def write_pages(scans: DataFrame, path: str) -> None:
     scans.write.mode("overwrite").partitionBy("book", "page").parquet(path)
+
+
+def write_figures(rows: DataFrame, path: str) -> None:
+    """Detected or indexed figures as JSON lines, one folder a chapter; a chapter that is written again is replaced."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ch").json(path)

@@ -1,6 +1,7 @@
 """Every query with a DuckDB twin against that twin, at the smallest size."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from quirework.queries import ORACLES, QUERIES
@@ -19,7 +20,7 @@ def duck():
 
 def rows(frame):
     def text(x):
-        if x is None or x != x:
+        if x is None or x is pd.NA or x != x:
             return "~"
         return repr(round(x, 6)) if isinstance(x, float) and x != int(x) else str(int(x)) if isinstance(x, float) else str(x)
 
