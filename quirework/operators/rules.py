@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -302,3 +303,16 @@ def gate(docs: DataFrame, found: DataFrame) -> DataFrame:
 def gate_pivot(found: DataFrame) -> DataFrame:
     """One row a document with findings, one count a rule; the columns are known from the registry."""
     return found.groupBy("doc_id").pivot("rule", sorted(RULES)).count().na.fill(0)
+
+
+def all_layers(**layers: DataFrame) -> DataFrame:
+    """``doc_id, layer, rule, severity, n``: findings ``doc_id, rule, severity`` of several layers, counted."""
+    parts = [rows.select("doc_id", F.lit(layer).alias("layer"), "rule", "severity") for layer, rows in layers.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("doc_id", "layer", "rule", "severity").agg(F.count("*").alias("n"))
+
+
+def report(counted: DataFrame) -> DataFrame:
+    """``doc_id, passed, text``: one line a rule, what blocks first, by layer; a document passes if nothing blocks."""
+    line = F.concat(F.when(F.col("severity") == "blocks", "FAIL ").otherwise("warn "), "layer", F.lit(" "), "rule", F.lit(": "), F.col("n").cast("string"))
+    order = F.array_sort(F.collect_list(F.struct((F.col("severity") != "blocks").alias("mild"), "layer", "rule", line.alias("line"))))
+    return counted.groupBy("doc_id").agg((F.count_if(F.col("severity") == "blocks") == 0).alias("passed"), F.array_join(order["line"], "\n").alias("text"))

@@ -37,6 +37,11 @@ SCANS = {
     9: "{key} {raw}", 10: "图{n}.2 {raw}图中", 11: "见 Fig. {n}-4 {raw}", 12: "Figure {n}.1.3: Theorem 2.5 {raw}", 13: "（{n}）{raw}", 14: "(1{n}) {raw}", 15: "注：{raw}", 16: "## §{key} {raw}",
     17: "图 3 例{n}.1 的证明 {raw}", 18: "x²⁺ⁿ+y₁+z₁₂ {raw}", 19: "图", 20: "{n}.4 $a$ <b>|{raw}", 21: "引 理（定义（{raw}",
 }
+#: Lines that maths repairs work on.
+REPAIRS = {
+    0: "$$", 1: "$$", 2: "a $x$ 和 $y，", 3: "> **证明**：{raw}", 4: "\\begin{CD}", 5: "A @>>> \\end{CD}", 6: "\\in t x\\in fty\\in f \\in t\\in t{raw}", 7: "\\qquad   x\\quad y\\frac1a{2}{raw}", 8: "", 9: "> ",
+    10: ">  > b {raw}", 11: "> $$", 12: "**定理{key}** {raw}", 13: "  $$  ", 14: "b \\$ $$c$$ $d$ $e) ", 15: "> ", 16: "定理{n} {raw}", 17: "## 习题 {raw}", 18: "**练习{n}** {raw}", 19: "$$",
+}
 KINDS = 23
 
 

@@ -543,4 +543,4 @@ add(
 SELECT count(*) AS books, CAST(sum(n) AS BIGINT) AS files, CAST(sum(f) AS BIGINT) AS passed, CAST(sum(n) AS BIGINT) AS total, count(*) FILTER (f < n) AS failing, CAST(0 AS BIGINT) AS broken FROM b""",
 )
 
-from . import queries_scans  # noqa: E402,F401  (registers its queries)
+from . import queries_repairs, queries_scans  # noqa: E402,F401  (they register their queries)
