@@ -7,7 +7,8 @@ whole. ``running`` is the SHA-1 of the payload up to the chunk's end. Reading ta
 and streams the chunks of larger ones, sorted by record and number, through one incremental digest.
 
 Payloads of at least ``least`` bytes that are equal share one response record, that of the smallest page id; the
-others become revisit records without payload. Only digests are grouped and joined, with a partial minimum.
+others become revisit records without payload. Only ids and digests are grouped and joined by digest, and only digests
+that repeat; what a page refers to is then joined to it by its id, so copies of one page are spread like all others.
 
 Defined cases: a null payload is an empty one. Rows with a null page id are left out. Every other row gives one
 record, so repeated rows give repeated records, of type response if their id is the smallest. A null url is an empty
@@ -26,6 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import keep
+
 #: Bytes of a chunk, and bytes that a result batch holds at most.
 CHUNK, BATCH_BYTES = 1 << 20, 16 << 20
 #: Records carry no clock time: equal input gives equal archives.
@@ -87,8 +90,10 @@ def chunk_table(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_c
     pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(body_col).cast("string").alias("html")).where("page_id is not null")
     body = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     pages = pages.withColumn("sha", F.sha1(body))
-    firsts = pages.where(F.length(body) >= least).groupBy("sha").agg(F.min("page_id").alias("low"))
-    rows = pages.join(firsts, "sha", "left").select("page_id", "url", F.col("html"), "sha", F.when((F.length(body) >= least) & (F.col("low") < F.col("page_id")), F.col("low")).alias("first"))
+    ids = pages.where(F.length(body) >= least).select("page_id", "sha")
+    firsts = keep(ids.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("times")).where("times > 1").select("sha", "first"), "firsts")
+    refers = ids.join(firsts, "sha").where("first < page_id").distinct()
+    rows = pages.join(refers, ["page_id", "sha"], "left").select("page_id", "url", "html", "sha", "first")
     return rows.mapInArrow(_written, "record long, chunk int, chunks int, data binary, running string")
 
 
