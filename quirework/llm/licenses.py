@@ -3,14 +3,16 @@
 Texts become words (A-Z lower-cased, anything between words one blank). A document that holds one of a few gate
 words is tested against the keyword of each rule, which every text that the rule can match holds: the keyword of the
 name, or for rules of identifiers the words in front of them. Only rules whose keyword is there run. A rule
-is a regular expression over the words, with a label, a priority and a confidence. Detections are word intervals;
+is a regular expression over the words, with a label, a priority and a confidence; licenses whose own text stands in a
+document without their name are found by sentences of it (``BODIES``). Detections are word intervals;
 in the order of their start, one that lies inside an earlier or longer one of at least its priority is suppressed.
 Base phrases are always reported as such, suppression or not.
 
 Everything happens inside the row: nothing is shuffled, and the rule table is a constant of the plan.
 
-Defined cases: null and empty texts have no words, no labels and score 0. Every row gives one row, repeated rows and
-null ids included. Extra columns are ignored. An empty table stays empty.
+Defined cases: null and empty texts have no words, no labels and score 0. Very long texts are scanned whole. Detections
+of equal place and priority stand in the order of their labels. Every row gives one row, repeated rows and null ids
+included. Extra columns are ignored. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 #: Every text that a rule or base phrase can match holds one of these.
-GATES = ("licen", "gpl", " mpl ", " epl ", " cddl ", " eupl ", " gfdl ", "bsd", " cc ", "cc0", "creative commons", "public domain", "wtfpl", "openrail", "rights reserved", "released under", "distributed under", "provided under", "published under", "available under")
+GATES = ("licen", "gpl", " mpl ", " epl ", " cddl ", " eupl ", " gfdl ", "bsd", " cc ", "cc0", "creative commons", "public domain", "wtfpl", "openrail", "rights reserved", "released under", "distributed under", "provided under", "published under", "available under", "hereby granted", "redistribution and use", "without warranty", "without any express or implied", "free software", "unencumbered", "permission notice", "used to endorse", "advertising materials")
 
 #: Family: (label, keyword that every text with its name holds, regular expression of its name, SPDX identifier as words).
 #: A family without a version leaves the versions of its namesakes to them: of equal detections only one stands.
@@ -93,6 +95,33 @@ SHORT = (
     ("eupl-1.2", " eupl ", "eupl(?: (?:version |v ?)?1 [012])?"),
 )
 
+#: Sentences of the licenses themselves: (label, keyword, regular expression over the words, confidence).
+BODIES = (
+    ("mit", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", 1.0),
+    ("mit", "the above copyright notice", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 1.0),
+    ("isc", "permission to use", "permission to use copy modify (?:and or|and) distribute this software for any purpose with or without fee is hereby granted", 0.95),
+    ("boost-1.0", "hereby granted", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", 1.0),
+    ("bsd", "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted(?: provided that the following conditions are met)?", 0.95),
+    ("bsd-3-clause", "neither the name of", "neither the name of (?:[^ ]+ ){1,12}may be used to endorse or promote products derived from this software without specific prior written permission", 0.95),
+    ("bsd-4-clause", "all advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledg(?:e)?ment", 0.95),
+    ("zlib", "express or implied", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", 0.95),
+    ("apache-2.0", "unless required by applicable law", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", 0.9),
+    ("gpl", "free software", "this (?:program|library|file|package) is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser |affero )?general public license", 0.95),
+    ("lgpl", "lesser general public", "you should have received a copy of the gnu lesser general public license along with", 0.95),
+    ("agpl-3.0", "affero general public", "you should have received a copy of the gnu affero general public license along with", 0.95),
+    ("mpl-2.0", "this source code form", "this source code form is subject to the terms of the mozilla public license v 2 0", 1.0),
+    ("epl-2.0", "eclipse public", "made available under the terms of the eclipse public license(?: v)? 2 0", 1.0),
+    ("epl-1.0", "eclipse public", "made available under the terms of the eclipse public license(?: v)? 1 0", 1.0),
+    ("cddl-1.0", "common development", "the contents of this file are subject to the terms of the common development and distribution license", 1.0),
+    ("ofl-1.1", "sil open font", "this font software is licensed under the sil open font license", 1.0),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", 1.0),
+    ("cc0-1.0", "this deed has dedicated", "the person who associated a work with this deed has dedicated the work to the public domain", 1.0),
+    ("wtfpl", "public license", "everyone is permitted to copy and distribute verbatim or modified copies of this license document", 0.6),
+    ("no-warranty", "without warranty of any kind", "(?:the software is )?provided as is without warranty of any kind", 0.5),
+)
+#: Priority of a body sentence: above all names that stand inside it.
+BODY_PRIORITY = 6
+
 #: Forms of a rule: (regular expression around a name or identifier, words in front of an identifier or none for a name, priority, confidence).
 FORMS = (
     ("spdx license identifier {}", "spdx license identifier", 5, 1.0),
@@ -108,6 +137,7 @@ _ONLY_WITH_WORD = {"mit", "x11", "isc", "zlib", "boost-1.0", "artistic-2.0", "of
 
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _MARK = "\u0001"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
@@ -115,8 +145,8 @@ def rules() -> list[tuple[str, str, str, int, float]]:
 
     Every text that the expression can match holds the keyword.
     """
+    out = [(keyword, label, f"(?<= )(?:{said})(?= )", BODY_PRIORITY, sure) for label, keyword, said, sure in BODIES]
     names = [(label, f" {k} " if k in ("mit", "isc", "x11") else k, name) for label, k, name, _ in FAMILIES] + list(SHORT)
-    out = []
     for form, front, priority, sure in FORMS:
         for label, keyword, said in [(label, front, spdx) for label, _, _, spdx in FAMILIES] if front else names:
             if form == "{}" and label in _ONLY_WITH_WORD:
@@ -170,7 +200,7 @@ def _detections(words: Column) -> Column:
 
 def _kept(found: Column) -> Column:
     """Labels and best confidence of the detections that are not suppressed: one pass with the furthest end by priority."""
-    levels = sorted({p for _, _, p, _ in FORMS})
+    levels = sorted({p for _, _, _, p, _ in rules()})
     start = F.struct(*[F.lit(0).alias(f"e{p}") for p in levels], F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("score"), F.lit(0).alias("kept"))
 
     def step(acc: Column, d: Column) -> Column:
@@ -194,7 +224,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``detections`` holds start and end word, label, priority and confidence of every rule's matches, suppressed
     ones included; ``labels`` joins the base labels with those of the detections that stand.
     """
-    words = F.regexp_replace(F.concat(F.lit(" "), F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), F.lit(" ")), _BETWEEN, " ")
+    words = F.regexp_replace(F.concat(F.lit(" "), F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _UPPER, _UPPER.lower()), F.lit(" ")), _BETWEEN, " ")
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), words.alias("words"))
     gate = F.lit(False)
     for word in GATES:

@@ -70,8 +70,43 @@ def test_identifiers_and_short_names_need_no_long_name(spark):
     assert "gpl" not in {x for i, (_, t) in enumerate(said) if t in SHORT for x in got[i].labels}
 
 
+#: Sentences as they stand in license files: none of them names its license.
+BODY = {
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\n of this software and associated documentation files (the \"Software\")": "mit",
+    "The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.": "mit",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "isc",
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation": "boost-1.0",
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:": "bsd",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": "bsd-3-clause",
+    "All advertising materials mentioning features or use of this software must display the following acknowledgement:": "bsd-4-clause",
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable": "zlib",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS,": "apache-2.0",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License": "gpl",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2.0",
+    "This is free and unencumbered software released into the public domain.": "unlicense",
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND": "no-warranty",
+}
+
+
+def test_bodies_are_found_without_a_name(spark):
+    said = list(BODY)
+    frame = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(said)] + [(99, "word " * 200_000 + said[0])], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan(frame).collect()}
+    for i, text in enumerate(said):
+        assert BODY[text] in got[i].labels, (text, got[i].labels)
+        more, sure = brute_rules(f"x {text} y")
+        assert set(got[i].labels) == more | set(brute_base(text)[2]) and got[i].score == max(sure, 0.5 if brute_base(text)[2] else 0.0)
+    assert got[99].labels == ["mit"] and got[99].n_words == 200_000 + len(words(said[0]))
+
+
+def test_only_ascii_letters_are_lowered(spark):
+    """A Kelvin sign is no k: contract words lower-case A-Z alone."""
+    (r,) = license_scan(spark.createDataFrame([(1, "mit licen\u017fe, \u212a MIT LICENSE")], "doc_id long, text string")).collect()
+    assert r.base_starts == [3] and r.n_words == 5
+
+
 def test_every_match_holds_a_gate_and_its_keyword():
-    texts = [f" {' '.join(words(t))} " for t in [*LINES, *SHORT, *(f"{front} {x}" for x in SPDX.values() for front in ("SPDX-License-Identifier:", "spdx.org/licenses/"))]]
+    texts = [f" {' '.join(words(t))} " for t in [*LINES, *SHORT, *BODY, *(f"{front} {x}" for x in SPDX.values() for front in ("SPDX-License-Identifier:", "spdx.org/licenses/"))]]
     for keyword, _, pattern, _, _ in rules():
         for text in texts:
             if re.search(pattern, text):
