@@ -6,6 +6,7 @@ They register with the other rules under code C but run over their own context,
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions.text import strip
 from ..plans.lines import after, count_before, forward, rows_before, rows_through
-from .rules import _is, tight
+from .rules import Rule, _is, flagged, met, tight
 
 MATHS_RULES: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
@@ -23,44 +24,56 @@ def maths(find: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataF
     return find
 
 
-def _where(ctx: DataFrame, what: Column) -> DataFrame:
-    return ctx.where(what).select("doc_id", "line_no")
+#: The rules that judge a line by its prepared context alone, as columns.
+MATHS_LINES: dict[str, Callable[[], Column]] = {}
 
 
-@maths
-def escaped_display(ctx: DataFrame) -> DataFrame:
-    return _where(ctx, F.col("t").isin("\\$\\$", "> \\$\\$"))
+def prepared(ctx: DataFrame) -> DataFrame:
+    """``line_context`` with the columns that maths rules share; what a rule does not use is not computed."""
+    lone = F.col("t") == "$$"
+    ctx = plain_text(display_state(ctx))
+    return ctx.withColumns({"p2": F.lag("line", 2).over(forward()), "earlier": count_before(lone), "later": after(F.when(lone, True))})
 
 
-@maths
-def nested_display(ctx: DataFrame) -> DataFrame:
-    return _where(ctx, _is("t", r"^>\s+>") & F.contains("t", F.lit("$$")))
+def maths_line(flag: Callable[[], Column]) -> Callable[[DataFrame], DataFrame]:
+    MATHS_LINES[flag.__name__] = flag
+    return maths(flagged(flag, prepared))
 
 
-@maths
-def one_line_display(ctx: DataFrame) -> DataFrame:
+@maths_line
+def escaped_display() -> Column:
+    return F.col("t").isin("\\$\\$", "> \\$\\$")
+
+
+@maths_line
+def nested_display() -> Column:
+    return _is("t", r"^>\s+>") & F.contains("t", F.lit("$$"))
+
+
+@maths_line
+def one_line_display() -> Column:
     quote = F.startswith("t", F.lit("> $$")) & F.endswith("t", F.lit("$$")) & (F.length("t") > 6)
     plain = F.startswith("t", F.lit("$$")) & F.endswith("t", F.lit("$$")) & (F.length("t") > 4)
-    return _where(ctx, quote | plain)
+    return quote | plain
 
 
-@maths
-def attached_display(ctx: DataFrame) -> DataFrame:
+@maths_line
+def attached_display() -> Column:
     """``$$`` that has formula on one side only."""
     first, last = F.col("t").rlike(r"^(?:> \s*)?\$\$"), F.endswith("t", F.lit("$$"))
     once = ~F.contains(F.expr("substring(t, 1, length(t) - 2)"), F.lit("$$"))
-    return _where(ctx, (first & ~last) | (last & ~first & once))
+    return (first & ~last) | (last & ~first & once)
 
 
-@maths
-def div_blanks(ctx: DataFrame) -> DataFrame:
+@maths_line
+def div_blanks() -> Column:
     """HTML blocks without a blank line before ``<div`` or after ``</div>``."""
-    return _where(ctx, (F.startswith("t", F.lit("<div")) & tight("p1")) | ((F.col("t") == "</div>") & tight("n1")))
+    return (F.startswith("t", F.lit("<div")) & tight("p1")) | ((F.col("t") == "</div>") & tight("n1"))
 
 
-@maths
-def deep_quoted_display(ctx: DataFrame) -> DataFrame:
-    return _where(ctx, _is("line", P.DEEP_QUOTED_FENCE))
+@maths_line
+def deep_quoted_display() -> Column:
+    return _is("line", P.DEEP_QUOTED_FENCE)
 
 
 def display_state(ctx: DataFrame) -> DataFrame:
@@ -77,32 +90,31 @@ def display_state(ctx: DataFrame) -> DataFrame:
     })
 
 
-@maths
-def display_needs_blank(ctx: DataFrame) -> DataFrame:
+@maths_line
+def display_needs_blank() -> Column:
     """An opening ``$$`` right under text, or an opening ``> $$`` right under a quote's content."""
-    ctx = display_state(ctx)
     prev, following = strip(F.col("p1")), strip(F.col("n1"))
     plain = F.col("lone") & ~F.col("edge") & ~F.col("in_plain") & ~following.isin("", "$$") & (prev != "") & ~F.startswith(prev, F.lit(">"))
     quote = F.col("quoted_fence") & ~F.col("in_quoted") & ~prev.isin(">", "")
-    return _where(ctx, F.coalesce(plain, F.lit(False)) | F.coalesce(quote, F.lit(False)))
+    return F.coalesce(plain, F.lit(False)) | F.coalesce(quote, F.lit(False))
 
 
-def _outside(ctx: DataFrame) -> DataFrame:
-    """Lines that are neither display fences nor between them."""
-    return display_state(ctx).where("not (lone or quoted_fence or in_plain or in_quoted)")
+def outside() -> Column:
+    """Whether a line is neither a display fence nor between two."""
+    return ~(F.col("lone") | F.col("quoted_fence") | F.col("in_plain") | F.col("in_quoted"))
 
 
 @maths
 def odd_dollars(ctx: DataFrame) -> DataFrame:
     """Documents whose inline ``$`` do not pair up; the finding stands at line 0 with their number."""
     bare = F.regexp_replace("line", r"\\\$", "")
-    counts = _outside(ctx).groupBy("doc_id").agg(F.sum(F.length(bare) - F.length(F.replace(bare, F.lit("$"), F.lit("")))).alias("dollars"))
+    counts = display_state(ctx).where(outside()).groupBy("doc_id").agg(F.sum(F.length(bare) - F.length(F.replace(bare, F.lit("$"), F.lit("")))).alias("dollars"))
     return counts.where("dollars % 2 = 1").select("doc_id", F.lit(0).alias("line_no"), "dollars")
 
 
-@maths
-def bad_macros(ctx: DataFrame) -> DataFrame:
-    return _where(_outside(ctx), _is("line", "|".join(P.BAD_MACROS)))
+@maths_line
+def bad_macros() -> Column:
+    return outside() & _is("line", "|".join(P.BAD_MACROS))
 
 
 @maths
@@ -137,9 +149,9 @@ def plain_text(ctx: DataFrame) -> DataFrame:
     return ctx.withColumn("plain", F.when(live & ~F.col("display") & (F.col("fences") == 0), F.col("cut")))
 
 
-@maths
-def raw_arrows(ctx: DataFrame) -> DataFrame:
-    return _where(plain_text(ctx), F.coalesce(F.col("plain").rlike(f"[{P.RAW_ARROWS}]"), F.lit(False)))
+@maths_line
+def raw_arrows() -> Column:
+    return F.coalesce(F.col("plain").rlike(f"[{P.RAW_ARROWS}]"), F.lit(False))
 
 
 @maths
@@ -147,52 +159,46 @@ def naked_commands(ctx: DataFrame) -> DataFrame:
     return plain_text(ctx).where(F.coalesce(F.col("plain").rlike(P.NAKED_COMMAND), F.lit(False))).select("doc_id", "line_no", F.regexp_extract("plain", f"({P.NAKED_COMMAND})", 1).alias("command"))
 
 
-@maths
-def swallowed_prefix(ctx: DataFrame) -> DataFrame:
+@maths_line
+def swallowed_prefix() -> Column:
     fence = F.startswith("t", F.lit("```"))
-    ctx = ctx.withColumn("in_code", count_before(fence) % 2 == 1)
-    return _where(ctx, ~fence & ~F.col("in_code") & ~F.startswith("t", F.lit("$$")) & _is("line", P.SWALLOWED_PREFIX))
+    return ~fence & ~F.col("in_code") & ~F.startswith("t", F.lit("$$")) & _is("line", P.SWALLOWED_PREFIX)
 
 
-@maths
-def equation_note(ctx: DataFrame) -> DataFrame:
+@maths_line
+def equation_note() -> Column:
     """An equation number under a formula instead of inside it."""
-    ctx = ctx.withColumn("p2", F.lag("line", 2).over(forward()))
     ends = lambda c: F.coalesce(F.endswith(strip(F.col(c)), F.lit("$$")), F.lit(False))
-    return _where(ctx, _is("t", P.EQUATION_NOTE) & (ends("p1") | (F.coalesce(strip(F.col("p1")) == "", F.lit(False)) & ends("p2"))))
+    return _is("t", P.EQUATION_NOTE) & (ends("p1") | (F.coalesce(strip(F.col("p1")) == "", F.lit(False)) & ends("p2")))
 
 
-@maths
-def escaped_from_quote(ctx: DataFrame) -> DataFrame:
+@maths_line
+def escaped_from_quote() -> Column:
     """An unquoted ``$$`` under a quote's content, with a later ``$$`` to close it."""
     lone = F.col("t") == "$$"
-    return _where(ctx.withColumn("closes", after(F.when(lone, True))), lone & F.coalesce(F.startswith(strip(F.col("pnb")), F.lit("> ")), F.lit(False)) & F.col("closes"))
+    return lone & F.coalesce(F.startswith(strip(F.col("pnb")), F.lit("> ")), F.lit(False)) & F.coalesce(F.col("later"), F.lit(False))
 
 
-@maths
-def list_gap(ctx: DataFrame) -> DataFrame:
+@maths_line
+def list_gap() -> Column:
     """A top-level ``(n)`` right under a sub-item."""
-    return _where(ctx, _is("line", P.TOP_ITEM) & _is("p1", P.BULLET))
+    return _is("line", P.TOP_ITEM) & _is("p1", P.BULLET)
 
 
-@maths
-def bare_struct_in_quote(ctx: DataFrame) -> DataFrame:
-    return _where(ctx, _is("line", P.BARE_QUOTED_STATEMENT))
+@maths_line
+def bare_struct_in_quote() -> Column:
+    return _is("line", P.BARE_QUOTED_STATEMENT)
 
 
-@maths
-def unclosed_display(ctx: DataFrame) -> DataFrame:
+@maths_line
+def unclosed_display() -> Column:
     """The last of an odd number of unquoted ``$$`` lines."""
     lone = F.col("t") == "$$"
-    ctx = ctx.withColumns({"earlier": count_before(lone), "later": after(F.when(lone, True))})
-    return _where(ctx, lone & (F.col("earlier") % 2 == 0) & F.col("later").isNull())
+    return lone & (F.col("earlier") % 2 == 0) & F.col("later").isNull()
 
 
 def maths_findings(ctx: DataFrame) -> DataFrame:
-    out = None
-    for name, find in MATHS_RULES.items():
-        part = find(ctx).select("doc_id", F.lit("C").alias("code"), F.lit(name).alias("rule"), F.lit("blocks").alias("severity"), "line_no")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
+    """Findings of all maths rules: line rules in one pass, the others beside it."""
+    lines = met(prepared(ctx), [Rule("C", name, MATHS_RULES[name], flag=flag) for name, flag in MATHS_LINES.items()])
+    others = [find(ctx).select("doc_id", F.lit("C").alias("code"), F.lit(name).alias("rule"), F.lit("blocks").alias("severity"), "line_no") for name, find in MATHS_RULES.items() if name not in MATHS_LINES]
+    return reduce(DataFrame.unionByName, [lines, *others])

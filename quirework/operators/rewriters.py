@@ -94,7 +94,7 @@ def drop_dash_in_item(lines: DataFrame) -> DataFrame:
 
 def list_blank(lines: DataFrame) -> DataFrame:
     ctx = line_context(lines)
-    return numbered(ctx, F.when(proof_after_list_line(ctx), F.array(F.col("line"), F.lit(""))).otherwise(F.array("line")))
+    return numbered(ctx, F.when(proof_after_list_line(), F.array(F.col("line"), F.lit(""))).otherwise(F.array("line")))
 
 
 def separator_blanks_added(lines: DataFrame) -> DataFrame:

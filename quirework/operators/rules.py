@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +25,8 @@ class Rule:
     name: str
     find: Callable[[DataFrame], DataFrame]
     severity: str = BLOCKS
+    #: For rules that judge a line by its context alone: all of them are answered in one pass.
+    flag: Callable[[], Column] | None = None
 
 
 RULES: dict[str, Rule] = {}
@@ -42,6 +44,34 @@ def rule(code: str, severity: str = BLOCKS) -> Callable:
     return add
 
 
+def flagged(flag: Callable[[], Column], prepare: Callable[[DataFrame], DataFrame] = lambda ctx: ctx) -> Callable[[DataFrame], DataFrame]:
+    """The rule ``ctx -> doc_id, line_no`` of a column that tells which lines are meant."""
+
+    @wraps(flag)
+    def find(ctx: DataFrame) -> DataFrame:
+        return prepare(ctx).select("doc_id", "line_no", flag().alias("meant")).where("meant").select("doc_id", "line_no")
+
+    return find
+
+
+def line_rule(code: str, severity: str = BLOCKS) -> Callable:
+    """Registers a rule given as a column over ``line_context``."""
+
+    def add(flag: Callable[[], Column]) -> Callable[[DataFrame], DataFrame]:
+        find = rule(code, severity)(flagged(flag))
+        RULES[flag.__name__] = Rule(code, flag.__name__, find, severity, flag)
+        return find
+
+    return add
+
+
+def met(ctx: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+    """``doc_id, code, rule, severity, line_no`` of line rules, all in one pass over the lines."""
+    hits = [F.when(r.flag(), F.struct(F.lit(r.code).alias("code"), F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"))) for r in rules]
+    rows = ctx.select("doc_id", "line_no", F.array_compact(F.array(*hits)).alias("hits")).where("size(hits) > 0")
+    return rows.select("doc_id", "line_no", F.explode("hits").alias("hit")).select("doc_id", "hit.code", "hit.rule", "hit.severity", "line_no")
+
+
 def _is(column: str, pattern: str) -> Column:
     return F.coalesce(F.col(column).rlike(pattern), F.lit(False))
 
@@ -50,24 +80,24 @@ def _where(ctx: DataFrame, what: Column) -> DataFrame:
     return ctx.where(what).select("doc_id", "line_no")
 
 
-@rule("G")
-def quote_continuity(ctx: DataFrame) -> DataFrame:
+@line_rule("G")
+def quote_continuity() -> Column:
     """A bare blank line inside a proof or example quote whose next line is content."""
     off = (_is("line", P.QUOTE_END) & ~F.col("bqi")) | (~F.col("blank") & ~F.col("bq"))
-    ctx = ctx.withColumn("inside", latch(_is("line", P.QUOTE_HEAD), off))
+    inside = latch(_is("line", P.QUOTE_HEAD), off)
     ends = _is("nnb", P.QUOTE_HEAD) | (_is("nnb", P.QUOTE_END) & ~is_quoted("nnb"))
-    return _where(ctx, F.col("blank") & ~F.col("bq") & F.col("inside") & F.col("nnb").isNotNull() & ~ends)
+    return F.col("blank") & ~F.col("bq") & inside & F.col("nnb").isNotNull() & ~ends
 
 
-@rule("G")
-def nested_quote(ctx: DataFrame) -> DataFrame:
-    return _where(ctx, _is("line", P.NESTED_QUOTE))
+@line_rule("G")
+def nested_quote() -> Column:
+    return _is("line", P.NESTED_QUOTE)
 
 
-@rule("G")
-def same_line_proof(ctx: DataFrame) -> DataFrame:
+@line_rule("G")
+def same_line_proof() -> Column:
     """An example and its proof on one line."""
-    return _where(ctx, F.startswith("t", F.lit("> **例")) & F.contains("t", F.lit("**证明")))
+    return F.startswith("t", F.lit("> **例")) & F.contains("t", F.lit("**证明"))
 
 
 def _example_gap(ctx: DataFrame, example: str) -> DataFrame:
@@ -95,22 +125,21 @@ def numbered_example_proof_gap(ctx: DataFrame) -> DataFrame:
     return _example_gap(ctx, P.EXAMPLE_NUMBERED)
 
 
-@rule("H")
-def struct_in_quote(ctx: DataFrame) -> DataFrame:
+@line_rule("H")
+def struct_in_quote() -> Column:
     """A statement label inside a quote, unless it heads a proof of that statement."""
-    return _where(ctx, _is("line", P.QUOTED_STATEMENT) & ~_is("line", P.QUOTED_PROOF_OF))
+    return _is("line", P.QUOTED_STATEMENT) & ~_is("line", P.QUOTED_PROOF_OF)
 
 
-@rule("H")
-def orphan_quote(ctx: DataFrame) -> DataFrame:
-    return _where(ctx, _is("line", P.EMPTY_QUOTE) & ~is_quoted("pnb") & ~is_quoted("nnb"))
+@line_rule("H")
+def orphan_quote() -> Column:
+    return _is("line", P.EMPTY_QUOTE) & ~is_quoted("pnb") & ~is_quoted("nnb")
 
 
-@rule("H")
-def stmt_in_quote(ctx: DataFrame) -> DataFrame:
+@line_rule("H")
+def stmt_in_quote() -> Column:
     """Statement content in a quote between a statement's head and its first proper quote."""
-    ctx = ctx.withColumn("inside", latch(_is("line", P.STATEMENT_OR_FORMULA), _is("line", P.QUOTE_LEGIT)))
-    return _where(ctx, F.col("inside") & _is("line", P.QUOTE_WRAPPED))
+    return latch(_is("line", P.STATEMENT_OR_FORMULA), _is("line", P.QUOTE_LEGIT)) & _is("line", P.QUOTE_WRAPPED)
 
 
 def quote_groups(ctx: DataFrame) -> DataFrame:
@@ -129,9 +158,9 @@ def unlabeled_quote(ctx: DataFrame) -> DataFrame:
     return _where(quote_groups(ctx), F.col("decides").isNotNull() & ~fine & (F.col("t") != ">"))
 
 
-@rule("H")
-def missing_quote(ctx: DataFrame) -> DataFrame:
-    return _where(ctx, ~F.col("bqi") & ~F.col("head") & (_is("t", P.QUOTE_MISSING) | _is("t", P.FOOTNOTE)))
+@line_rule("H")
+def missing_quote() -> Column:
+    return ~F.col("bqi") & ~F.col("head") & (_is("t", P.QUOTE_MISSING) | _is("t", P.FOOTNOTE))
 
 
 def item_pairs(ctx: DataFrame) -> DataFrame:
@@ -147,24 +176,29 @@ def missing_separator(ctx: DataFrame) -> DataFrame:
     return item_pairs(ctx)
 
 
-def dash_inside(ctx: DataFrame) -> DataFrame:
-    """Adds ``wrong``: a separator inside an item, right before a numbered point."""
+def dash_before_point() -> Column:
+    """A separator inside an item, right before a numbered point."""
     inside = latch(_is("line", P.STATEMENT_OR_FORMULA) | _is("line", P.SUBPOINT), F.col("bqi") | F.col("head"))
-    return ctx.withColumn("inside", inside).withColumn("wrong", _is("line", P.DASH) & F.col("inside") & _is("nnb", P.SUBPOINT))
+    return _is("line", P.DASH) & inside & _is("nnb", P.SUBPOINT)
 
 
-@rule("J")
-def dash_in_item(ctx: DataFrame) -> DataFrame:
-    return _where(dash_inside(ctx), F.col("wrong"))
+def dash_inside(ctx: DataFrame) -> DataFrame:
+    """Adds ``wrong``: a separator as ``dash_before_point`` finds it."""
+    return ctx.withColumn("wrong", dash_before_point())
 
 
-def proof_after_list_line(ctx: DataFrame) -> Column:
+@line_rule("J")
+def dash_in_item() -> Column:
+    return dash_before_point()
+
+
+def proof_after_list_line() -> Column:
     return _is("line", P.LISTED) & F.coalesce(F.startswith(strip(F.col("n1")), F.lit("> **证明")), F.lit(False))
 
 
-@rule("K")
-def proof_after_list(ctx: DataFrame) -> DataFrame:
-    return _where(ctx, proof_after_list_line(ctx))
+@line_rule("K")
+def proof_after_list() -> Column:
+    return proof_after_list_line()
 
 
 def tight(column: str) -> Column:
@@ -179,15 +213,20 @@ def separator_blanks(ctx: DataFrame) -> DataFrame:
     return ctx.where("dash").select("doc_id", "line_no", F.explode(sides).alias("side"))
 
 
-def in_display(ctx: DataFrame) -> DataFrame:
-    """Adds ``display``: between an odd ``$$`` line and a later one."""
+def displayed() -> Column:
+    """Whether a line is between an odd ``$$`` line and a later one."""
     fence = F.col("t") == "$$"
-    return ctx.withColumn("display", ~fence & (count_before(fence) % 2 == 1) & after(F.when(fence, True)).isNotNull())
+    return ~fence & (count_before(fence) % 2 == 1) & after(F.when(fence, True)).isNotNull()
+
+
+def in_display(ctx: DataFrame) -> DataFrame:
+    """Adds ``display``."""
+    return ctx.withColumn("display", displayed())
 
 
-@rule("M")
-def displaymath_gt(ctx: DataFrame) -> DataFrame:
-    return _where(in_display(ctx), F.col("display") & F.col("bqi"))
+@line_rule("M")
+def displaymath_gt() -> Column:
+    return displayed() & F.col("bqi")
 
 
 def empty_runs(ctx: DataFrame) -> DataFrame:
@@ -252,45 +291,41 @@ def ordinal_gaps(ctx: DataFrame) -> DataFrame:
     return ordinal_blocks(rows).select("doc_id", "line_no", "kind", F.explode(gaps).alias("g")).select("doc_id", "line_no", "kind", "g.gap", "g.missing").where("missing > 0")
 
 
-@rule("Q", WARNS)
-def dash_under_heading(ctx: DataFrame) -> DataFrame:
+@line_rule("Q", WARNS)
+def dash_under_heading() -> Column:
     """A separator whose last non-blank line before is a heading."""
-    return _where(ctx, F.col("dash") & _is("pnb", P.HEADING))
+    return F.col("dash") & _is("pnb", P.HEADING)
 
 
-@rule("S", WARNS)
-def dash_before_proof(ctx: DataFrame) -> DataFrame:
+@line_rule("S", WARNS)
+def dash_before_proof() -> Column:
     """A separator between a statement and its proof."""
-    ctx = ctx.withColumn("inside", latch(_is("line", P.STATEMENT), F.col("head")))
-    return _where(ctx, F.col("dash") & F.col("inside") & ~_is("pnb", P.HEADING) & F.coalesce(F.startswith("nnb", F.lit("> **证明")), F.lit(False)))
+    return F.col("dash") & latch(_is("line", P.STATEMENT), F.col("head")) & ~_is("pnb", P.HEADING) & F.coalesce(F.startswith("nnb", F.lit("> **证明")), F.lit(False))
 
 
-@rule("S", WARNS)
-def item_as_heading(ctx: DataFrame) -> DataFrame:
+@line_rule("S", WARNS)
+def item_as_heading() -> Column:
     """Statements must not be headings, and section headings carry their sign."""
-    return _where(ctx, _is("line", rf"^#{{1,6}}\s+\*{{0,2}}(?:{P.LABELS}|{P.LABELS_EN})") | (_is("line", r"^##\s") & ~_is("line", r"^##\s+§")))
+    return _is("line", rf"^#{{1,6}}\s+\*{{0,2}}(?:{P.LABELS}|{P.LABELS_EN})") | (_is("line", r"^##\s") & ~_is("line", r"^##\s+§"))
 
 
-@rule("S", WARNS)
-def mojibake(ctx: DataFrame) -> DataFrame:
-    return _where(ctx, _is("line", P.MOJIBAKE))
+@line_rule("S", WARNS)
+def mojibake() -> Column:
+    return _is("line", P.MOJIBAKE)
 
 
-@rule("S", WARNS)
-def bracket_display(ctx: DataFrame) -> DataFrame:
+@line_rule("S", WARNS)
+def bracket_display() -> Column:
     """Display maths in backslash brackets instead of ``$$``."""
-    return _where(ctx, _is("line", r"\\[\[\]]"))
+    return _is("line", r"\\[\[\]]")
 
 
 def findings(ctx: DataFrame, disabled: Iterable[str] = ()) -> DataFrame:
-    """``doc_id, code, rule, severity, line_no`` of every rule whose code is not disabled."""
-    out = None
-    for r in RULES.values():
-        if r.code in set(disabled):
-            continue
-        part = r.find(ctx).select("doc_id", F.lit(r.code).alias("code"), F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), "line_no")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """``doc_id, code, rule, severity, line_no`` of every rule whose code is not disabled: line rules in one pass, the others beside it."""
+    on = [r for r in RULES.values() if r.code not in set(disabled)]
+    parts = [met(ctx, [r for r in on if r.flag])] if any(r.flag for r in on) else []
+    parts += [r.find(ctx).select("doc_id", F.lit(r.code).alias("code"), F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), "line_no") for r in on if not r.flag]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def gate(docs: DataFrame, found: DataFrame) -> DataFrame:
