@@ -10,8 +10,9 @@ Spans keep their offsets in the original text.
 
 A task sends the first occurrence of each digest it met, packed by hash range, so that a digest that stands everywhere
 reaches its range once a batch; the number of ranges follows from the size of all texts. A range finds the digests that
-repeat and the occurrence that stays. A task's other occurrences of a digest are then joined with these by digest. No
-text is shuffled to find repeats.
+repeat and the occurrence that stays. A task's other occurrences of a digest travel as one list, are joined with these
+by digest, and dealt by batch and digest before the list becomes rows: one line that stands everywhere is one row a
+batch, never a task's whole load. No text is shuffled to find repeats.
 
 Defined cases: null and empty texts have no units. Very long texts and lines are read whole. Rows with a null ``doc_id``
 are left as they are and do not count. Rows that repeat a document id at the same offsets do not count as repeats of
@@ -29,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,10 +115,12 @@ def runs(text: str, least: int = LEAST_WORDS) -> Iterator[tuple[int, int, int, i
                 yield pieces[first][0], pieces[last][1], pieces[first][2], size, _digest(" ".join(p[4] for p in pieces[first : last + 1]))
 
 
-#: A packed unit: digest, document, start and end, start of its line, words and whether its batch holds the digest again.
-_PLACES = pa.schema([(c, pa.int64()) for c in ("h1", "h2", "doc_id")] + [(c, pa.int32()) for c in ("start", "end", "line", "words")])
-_PACKED = pa.schema([pa.field("range", pa.int64()), pa.field("cells", pa.binary()), *_PLACES])
+#: Where a unit stands. A packed unit is its digest, its place, and whether its batch holds the digest again.
+_PLACE = pa.struct([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("line", pa.int32()), ("words", pa.int32())])
+_PLACES = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), *_PLACE])
+_PACKED = pa.schema([("range", pa.int64()), ("cells", pa.binary()), ("h1", pa.int64()), ("h2", pa.int64()), ("batch", pa.int64()), ("others", pa.list_(_PLACE))])
 _PLACES_DDL = "h1 long, h2 long, doc_id long, start int, end int, line int, words int"
+_PACKED_DDL = "range long, cells binary, h1 long, h2 long, batch long, others array<struct<doc_id:long,start:int,end:int,line:int,words:int>>"
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -135,20 +139,24 @@ def _sorted(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _listed(of: tuple, least: int, ranges: int):
-    def packed(docs: array, spans: array, digests: bytearray) -> pa.RecordBatch:
+    def packed(docs: array, spans: array, digests: bytearray, batch: int) -> pa.RecordBatch:
         table = np.column_stack([np.frombuffer(digests, np.int64).reshape(-1, 2), np.frombuffer(docs, np.int64), np.frombuffer(spans, np.int32).reshape(-1, 4)])
         table, first = _sorted(table)
-        heads = np.column_stack([table[first], np.diff(np.r_[first, len(table)]) > 1])
+        times = np.diff(np.r_[first, len(table)])
+        heads = np.column_stack([table[first], times > 1])
         which = ((heads[:, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
         cuts = np.flatnonzero(np.r_[True, np.diff(which) != 0])
         cells = [_planes(heads[lo:hi]) for lo, hi in zip(cuts, [*cuts[1:], len(heads)], strict=True)]
-        others = np.delete(table, first, 0)
-        rows = [pa.concat_arrays([pa.array(x, f.type), pa.nulls(len(others), f.type)]) for x, f in zip((which[cuts], cells), _PACKED, strict=False)]
-        rows += [pa.concat_arrays([pa.nulls(len(cells), f.type), pa.array(others[:, k]).cast(f.type)]) for k, f in enumerate(_PLACES)]
-        return pa.RecordBatch.from_arrays(rows, schema=_PACKED)
+        others, again = np.delete(table, first, 0), times > 1
+        places = pa.StructArray.from_arrays([pa.array(others[:, 2 + k]).cast(f.type) for k, f in enumerate(_PLACE)], fields=list(_PLACE))
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(times[again] - 1)], pa.int32()), places)
+        front = [pa.array(which[cuts]), pa.array(cells, pa.binary()), *(pa.nulls(len(cells), f.type) for f in list(_PACKED)[2:])]
+        rear = [pa.nulls(len(lists), pa.int64()), pa.nulls(len(lists), pa.binary()), pa.array(heads[again, 0]), pa.array(heads[again, 1]), pa.array(np.full(len(lists), batch)), lists]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([x, y.cast(x.type)]) for x, y in zip(front, rear, strict=True)], schema=_PACKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, spans, digests = array("q"), array("i"), bytearray()
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
@@ -157,10 +165,11 @@ def _listed(of: tuple, least: int, ranges: int):
                     spans.extend(span)
                     digests += digest
                 if len(docs) >= PACK_UNITS:
-                    yield packed(docs, spans, digests)
+                    yield packed(docs, spans, digests, number)
                     docs, spans, digests = array("q"), array("i"), bytearray()
+                    number += 1
         if docs:
-            yield packed(docs, spans, digests)
+            yield packed(docs, spans, digests, number)
 
     return run
 
@@ -191,10 +200,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // RANGE_CHARS))
-    found = keep(texts.mapInArrow(_listed(of, least, ranges), f"range long, cells binary, {_PLACES_DDL}"), "units")
+    found = keep(texts.mapInArrow(_listed(of, least, ranges), _PACKED_DDL), "units")
     same = keep(found.where("cells is not null").select("range", "cells").groupBy("range").applyInArrow(_repeated, _KEPT_DDL), "repeats")
     stays = same.where("own and more").select("h1", "h2", "kept_doc_id", "kept_start", "kept_end")
-    others = found.where("cells is null").select(_PLACES.names).join(stays, ["h1", "h2"])
+    others = found.where("cells is null").select("h1", "h2", "batch", "others").join(stays, ["h1", "h2"]).repartition("batch", "h1")
+    others = others.select(F.explode("others").alias("at"), "kept_doc_id", "kept_start", "kept_end").select("at.*", "kept_doc_id", "kept_start", "kept_end")
     again = same.select(others.columns).union(others).where("doc_id <> kept_doc_id or start >= kept_end")
     again = again.select("doc_id", "line", "start", "end", "words", F.struct(F.col("kept_doc_id").alias("doc_id"), F.col("kept_start").alias("start")).alias("kept")).distinct()
     lines = again.groupBy("doc_id", "line").agg(F.collect_list(F.struct("start", "end", "words", "kept")).alias("spans"), F.max(F.struct((F.col("start") == F.col("line")).alias("own"), "end")).alias("whole"))
