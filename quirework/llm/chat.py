@@ -8,8 +8,8 @@ one away, so the text comes back as it was. ``read_chat`` works on the formatted
 Defined cases: a null text or role is empty. Turns of equal number are ordered by role and text, null turns come
 first. Rows with a null conversation id form one conversation. Repeated rows are repeated turns. A conversation
 whose roles break the turn order is formatted all the same, with ``valid`` false and ``bad_turn`` the position of
-the first wrong role (the number of turns if it merely ends too early). Extra columns are ignored; an empty table
-gives no conversation.
+the first wrong role (the number of turns if it merely ends too early). Very long texts are formatted whole. Extra
+columns are ignored; an empty table gives no conversation.
 """
 
 from __future__ import annotations

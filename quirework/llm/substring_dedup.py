@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from .shared import keep
 
 LEAST_WORDS = 8
-#: Units that a task packs before it sends them out, and characters of all texts for each hash range.
-PACK_UNITS, RANGE_CHARS = 250_000, 32 << 20
+#: Units that a task packs before it sends them out; characters of all texts for each hash range, and ranges at least.
+PACK_UNITS, RANGE_CHARS, LEAST_RANGES = 250_000, 32 << 20, 512
 
 _LINE = re.compile(r"[^\n]+")
 _BREAK = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？｡])(?![。！？｡”’」』）]|$)\s*")
@@ -199,7 +199,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    ranges = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // RANGE_CHARS))
+    ranges = max(LEAST_RANGES, -(-chars // RANGE_CHARS))
     found = keep(texts.mapInArrow(_listed(of, least, ranges), _PACKED_DDL), "units")
     same = keep(found.where("cells is not null").select("range", "cells").groupBy("range").applyInArrow(_repeated, _KEPT_DDL), "repeats")
     stays = same.where("own and more").select("h1", "h2", "kept_doc_id", "kept_start", "kept_end")

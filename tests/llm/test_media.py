@@ -62,3 +62,56 @@ def test_table(spark):
     same = {r.doc_id: (bytes(r.media), bytes(r.hash)) for r in got}
     assert same[1] == same[4] and same[2] == same[3]
     assert media.load(media.store(frame.limit(0))).count() == 0
+
+
+def plain_hash(pixels):
+    """Means over the grid and their cosine transform, cell by cell."""
+    import math
+
+    height, width = len(pixels), len(pixels[0])
+    edge = lambda k, n: (k * n // media.GRID, max((k + 1) * n // media.GRID, k * n // media.GRID + 1))
+    means = []
+    for r in range(media.GRID):
+        (a, b), row = edge(r, height), []
+        for c in range(media.GRID):
+            lo, hi = edge(c, width)
+            cells = [pixels[y][x] for y in range(a, b) for x in range(lo, hi)]
+            row.append(sum(cells) / len(cells))
+        means.append(row)
+    wave = lambda u, k: math.cos(math.pi / media.GRID * (k + 0.5) * u)
+    low = [round(sum(means[r][c] * wave(u, r) * wave(v, c) for r in range(media.GRID) for c in range(media.GRID)), 6) for u in range(media.LOW) for v in range(media.LOW)]
+    rest = sorted(low[1:])
+    bits = [0] + [int(x > rest[len(rest) // 2]) for x in low[1:]]
+    return bytes(int("".join(map(str, bits[i : i + 8])), 2) for i in range(0, 64, 8))
+
+
+def test_hash_equals_plain_cosine_transform():
+    rng = np.random.default_rng(3)
+    for height in (1, 7, 40, 200):
+        pixels = rng.integers(0, 256, (height, media.WIDTH)).astype(np.uint8)
+        assert media.cosine_hash(pixels) == plain_hash(pixels.tolist())
+
+
+def test_query_equals_plain_version(spark):
+    import hashlib
+    import zlib
+
+    from quirework.llm.queries import op7_media
+
+    path = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in op7_media(spark, path).collect()}
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()
+    assert len(docs) == len(got)
+    for doc, text in docs:
+        raw = (text or "").encode()
+        payload = raw + b"\0" * (-len(raw) % 64 if raw else 64)
+        r, stored = got[doc], media.write_png(payload)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r.media_bytes, r.media_sha256, r.feature) == (len(stored), hashlib.sha256(stored).hexdigest(), media.cosine_hash(np.frombuffer(payload, np.uint8).reshape(-1, 64)).hex())
+
+
+def test_long_text_and_empty_table(spark):
+    frame = spark.createDataFrame([(1, "wörd " * 300_000), (2, None)], "doc_id long, text string").selectExpr("*", "1 as media")
+    got = {r.doc_id: r for r in media.load(media.store(frame)).collect()}
+    assert bytes(got[1].payload).rstrip(b"\0").decode() == "wörd " * 300_000 and bytes(got[2].payload) == b"\0" * 64
+    assert media.load(media.store(frame.limit(0))).count() == 0
