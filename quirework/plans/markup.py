@@ -29,7 +29,7 @@ LAYOUT = {
 #: Scanned blocks with numbered items, references to them, section heads and label heads.
 ITEMS = {
     0: "{key} 定理（名）{raw}", 1: "例子", 2: "{key} {raw}", 3: "见{key} {raw}", 4: "定理{key} {raw}", 5: "定义（{raw}", 6: "{key}：{raw}", 7: "§1.1  {raw}", 8: "Theorem {n}.2 {raw}",
-    9: "（{key}，1.2-3）{raw}", 10: "例{key}到1.2-9 {raw}", 11: "{key} Definition {raw}", 12: "由", 13: "Example {n}.4 {raw}",
+    9: "（{key}，1.2-3）{raw}", 10: "例{key}到1.2-9 {raw}", 11: "{key} Definition {raw}", 12: "由", 13: "Example {n}.4 {raw}", 14: "见定理{n}.3 {raw}", 15: "由 引理 {n}.5 {raw}",
 }
 #: Scanned blocks for the scanners and look-ups: section heads, items, examples, figure captions, lists and their notes.
 SCANS = {

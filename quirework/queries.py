@@ -144,8 +144,16 @@ _RULES = {
     "bracket_display": _where(O.m("line", r"\\[\[\]]")),
 }
 
+def _laid_out(sql: str) -> str:
+    """The same statement over the other markup."""
+    return sql.replace(marked_sql("d"), marked_sql("d", LAYOUT))
+
+
+#: Rules that only lines of the layout markup can break.
+_OF_LAYOUT = {"same_line_proof", "example_proof_gap", "item_as_heading", "mojibake", "bracket_display"}
 for _name, _rule in rules.RULES.items():
-    add(_name, lambda s, d, find=_rule.find: find(line_context(lines_of(s, d))), _RULES[_name])
+    _laid = _name in _OF_LAYOUT
+    add(_name, lambda s, d, find=_rule.find, t=LAYOUT if _laid else STRUCTURE: find(line_context(lines_of(s, d, t))), _laid_out(_RULES[_name]) if _laid else _RULES[_name])
 
 
 def _all_findings() -> str:
@@ -268,11 +276,6 @@ q AS (SELECT *, coalesce(bool_or(contains(line, '$')) FILTER (body) OVER p, fals
 }
 
 
-def _laid_out(sql: str) -> str:
-    """The same statement over the other markup."""
-    return sql.replace(marked_sql("d"), marked_sql("d", LAYOUT))
-
-
 _OVER_LAYOUT = {"wrapping_display", "display_dedented", "example_proof_merged", "examples_wrapped", "proof_steps", "images_quoted", "broken_commands", "split_example_proof"}
 for _name, _rewrite in rewriters.REWRITERS.items():
     _table = MATHS if _name == "split_display" else LAYOUT if _name in _OVER_LAYOUT else STRUCTURE
@@ -439,7 +442,13 @@ SELECT book, key, label, CAST((line_no - 1) // 10 + 1 AS INTEGER) AS page FROM (
 
 _CN = "CASE g1 " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in P.CANONICAL.items()) + " ELSE g1 END"
 add("items_two_level", lambda s, d: items.two_level(_blocks(s, d), _chapters(s, d)), _first_sql(items.TWO_LEVEL, "", "CAST(g2 AS INTEGER) = book % 9 + 1", "g1", "g1 || CAST(g2 AS INTEGER) || '.' || CAST(g3 AS INTEGER)"))
-add("items_section_only", lambda s, d: items.section_only(_blocks(s, d)), _first_sql(items.SECTION_ONLY, "", "CAST(g2 AS INTEGER) <= 20 AND CAST(g3 AS INTEGER) <= 80", _CN, f"{_CN} || CAST(g2 AS INTEGER) || '.' || CAST(g3 AS INTEGER)"))
+add(
+    "items_section_only",
+    lambda s, d: items.section_only(_blocks(s, d)),
+    f"""WITH {marked_sql('d', ITEMS)}, s AS (SELECT doc_id AS book, line_no, line FROM d), {O.matches('s', 'm', items.SECTION_ONLY, 'line')},
+r AS (SELECT *, {_CN} AS label, {_CN} || CAST(g2 AS INTEGER) || '.' || CAST(g3 AS INTEGER) AS key FROM m WHERE CAST(g2 AS INTEGER) <= 20 AND CAST(g3 AS INTEGER) <= 80 AND NOT regexp_matches({O.part('line', 'beg - 12', 'beg')}, {O.q(items.TRAILING_CITE)}))
+SELECT book, key, label, CAST((line_no - 1) // 10 + 1 AS INTEGER) AS page FROM (SELECT *, row_number() OVER (PARTITION BY book, key ORDER BY line_no, nth) AS k FROM r) WHERE k = 1""",
+)
 add("items_english", lambda s, d: items.english(_blocks(s, d), _chapters(s, d)), _first_sql(items.ENGLISH, "", "CAST(g2 AS INTEGER) = book % 9 + 1", _CN, f"{_CN} || ' ' || g2 || '.' || g3"))
 add("section_gaps", lambda s, d: items.section_gaps(_items(s, d), _chapters(s, d)))
 add("gap_verdicts", lambda s, d: items.recover_gaps(_blocks(s, d), _items(s, d), _chapters(s, d))[1])

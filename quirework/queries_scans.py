@@ -10,8 +10,8 @@ from .functions import text as T
 from .operators import figures, items, keys, reports, scans
 from .plans import oracles as O
 from .plans.lines import md_lines
-from .plans.markup import SCANS, STRUCTURE, marked_sql
-from .queries import add, lines_of, read
+from .plans.markup import ITEMS, SCANS, STRUCTURE, marked_sql
+from .queries import ORACLES, add, lines_of, read
 from .sources import stores
 from .streaming import incremental
 
@@ -305,3 +305,51 @@ add(
     "page_greedy_assignment",
     lambda s, d: figures.assign_greedily(_figures(s, d).select(F.lit(1).alias("ch"), "page", F.col("vec_id").alias("fig_idx"), "y"), _figures(s, d).select(F.lit(1).alias("ch"), "page", F.col("vec_id").cast("string").alias("label"), F.col("y2").alias("y"))),
 )
+
+# --- twins of the three-level items and of their gaps, which need match positions
+
+
+def _label_sql(text: str) -> str:
+    said = f"regexp_extract({text}, {O.q(f'({items.LABEL})')}, 1)"
+    pairs = (("例", "Example"), ("定义", "Definition"), ("定理", "Theorem"), ("引理", "Lemma"), ("推论", "Corollary"), ("命题", "Proposition"))
+    return "CASE " + " ".join(f"WHEN {O.m(said, f'{cn}|{en}')} THEN '{cn}'" for cn, en in pairs) + " END"
+
+
+_LEAD, _TAIL = O.part("text", "0", "beg"), "substring(text, CAST(upto + 1 AS BIGINT))"
+_BEFORE, _AFTER = O.part("text", "beg - 25", "beg"), O.part("text", "upto", "upto + 40")
+_THREE = f"""{marked_sql('d', ITEMS)}, b AS (SELECT doc_id AS book, CAST((line_no - 1) // 10 + 1 AS INTEGER) AS page, line_no AS block, line AS text, CAST(doc_id % 9 + 1 AS INTEGER) AS ch FROM d),
+ends AS (SELECT book, max(page) AS last_page FROM b GROUP BY 1), t AS (SELECT *, regexp_replace(trim(text, ' '), '[：:．.，, ]+$', '') AS tidy FROM b WHERE trim(text, ' ') <> ''),
+e AS (SELECT *, row_number() OVER w AS seq, lag(text) OVER w AS prev, lead(text) OVER w AS following, CASE WHEN {O.m('tidy', items.SECTION_LABEL)} THEN '例' WHEN {O.m('tidy', items.SECTION_HEAD)} THEN '' END AS event FROM t WINDOW w AS (PARTITION BY book ORDER BY page, block)),
+o AS (SELECT *, nullif(last_value(event IGNORE NULLS) OVER (PARTITION BY book ORDER BY page, block ROWS UNBOUNDED PRECEDING), '') AS force FROM e),
+r AS (SELECT * FROM o WHERE NOT {O.m('tidy', items.SECTION_LABEL)}), {O.matches('r', 'm0', items.NUMBER)}, {O.matches('r', 'm1', items.GARBLED)},
+m AS (SELECT *, 0 AS kind FROM m0 UNION ALL SELECT *, 1 FROM m1 WHERE nth = 0 AND length(trim({_TAIL}, ' ')) >= 8 AND {O.m(f"substring(trim({_TAIL}, ' '), 1, 12)", chr(92) + 'p{L}')}),
+n AS (SELECT *, TRY_CAST(g2 AS INTEGER) AS section, TRY_CAST(g3 AS INTEGER) AS number, {_LEAD} AS ahead, {_TAIL} AS tail, {_BEFORE} AS before_, {_AFTER} AS after_ FROM m WHERE TRY_CAST(g1 AS INTEGER) = ch AND TRY_CAST(g2 AS INTEGER) <= {items.MOST_SECTION} AND TRY_CAST(g3 AS INTEGER) <= {items.MOST_NUMBER}),
+p AS (SELECT *, CASE WHEN contains(ahead, '（') THEN string_split(ahead, '（')[-1] WHEN contains(ahead, '(') THEN string_split(ahead, '(')[-1] END AS opened, CASE WHEN contains(tail, '）') THEN string_split(tail, '）')[1] WHEN contains(tail, ')') THEN string_split(tail, ')')[1] END AS closed FROM n),
+q AS (SELECT *, printf('%d.%d-%d', ch, section, number) AS key FROM p WHERE NOT {O.m('before_', items.CITES)} AND NOT coalesce({O.m("trim(right(prev, 15), ' ')", items.CITES)}, false)
+  AND NOT ({O.m('right(ahead, 8)', f'(?:{items.FULL_LABEL})' + chr(91) + chr(92) + 's（）()]*$')} AND NOT {O.m("trim(ahead, ' ')", f'^(?:{items.FULL_LABEL})$')})
+  AND NOT coalesce(len(regexp_extract_all(opened || said || closed, {O.q(items.NUMBER)}, 0)) >= 2, false)
+  AND NOT ({O.m('before_', '[例定引推]')} AND ({O.m('before_', items.NUMBER)} OR {O.m('after_', items.NUMBER)} OR {O.m('before_ || after_', '[到至～]')}))),
+x AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY book, key ORDER BY seq, kind, beg) AS nth_key FROM q) WHERE kind = 0 OR nth_key = 1),
+y AS (SELECT *, {_label_sql('before_ || after_')} AS own, {_label_sql('right(prev, 40)')} AS of_prev, {_label_sql('substring(following, 1, 40)')} AS of_next FROM x),
+z AS (SELECT *, coalesce(own, force, CASE WHEN of_prev IN ('例', '定义') THEN of_prev END, CASE WHEN of_next IN ('例', '定义', '定理') THEN of_next END, '{items.BARE}') AS label FROM y),
+three AS (SELECT book, key, section, number, page, label, {O.part('text', 'beg - 5', 'upto + 80')} AS text FROM (SELECT *, row_number() OVER (PARTITION BY book, key ORDER BY label = '{items.BARE}', seq, kind, beg) AS best FROM z) WHERE best = 1)"""
+ORACLES["items_three_level"] = f"WITH {_THREE} SELECT * FROM three"
+ORACLES["section_gaps"] = f"""WITH {_THREE}, s AS (SELECT book, section, min(number) AS low, max(number) AS high, arg_min(page, (number, page)) AS from_page, arg_max(page, (number, page)) AS to_page, min(page) AS min_page, count(DISTINCT number) AS held,
+  arg_min(label, CASE WHEN label <> '{items.BARE}' THEN number END) AS section_label FROM three GROUP BY 1, 2),
+f AS (SELECT s.*, CAST(s.book % 9 + 1 AS INTEGER) AS ch, coalesce(lead(min_page) OVER (PARTITION BY s.book ORDER BY section) - 1, last_page) AS stop FROM s JOIN ends ON s.book = ends.book),
+g AS (SELECT *, 'head' AS gap, 1 AS gap_low, low - 1 AS gap_high, 1 AS first_page, from_page - 1 AS last_page FROM f WHERE low > 1
+  UNION ALL SELECT *, 'internal', low, high, from_page, to_page FROM f WHERE held < high - low + 1 UNION ALL SELECT *, 'tail', high + 1, NULL, to_page + 1, stop FROM f WHERE stop - to_page >= 1)
+SELECT book, ch, section, section_label, gap, gap_low, gap_high, CAST(first_page AS INTEGER) AS first_page, CAST(last_page AS INTEGER) AS last_page FROM g"""
+_GAPS = ORACLES["section_gaps"].removeprefix("WITH ").replace("\nSELECT book, ch, section", ",\ngaps AS (SELECT book, ch, section").replace("AS last_page FROM g", "AS last_page, CASE gap WHEN 'head' THEN 0 WHEN 'internal' THEN 1 ELSE 2 END AS stage FROM g)")
+_SNIPPET = O.part("text", "beg - 5", "upto + 30")
+_RECOVERED = f"""{_GAPS}, gp AS (SELECT * EXCLUDE (ch), unnest(range(first_page, last_page + 1)) AS page FROM gaps WHERE last_page >= first_page),
+again AS (SELECT gp.*, b.block, b.ch, trim(b.text, ' ') AS text FROM b JOIN gp ON b.book = gp.book AND b.page = gp.page WHERE trim(b.text, ' ') <> ''), {O.matches('again', 'w0', items.NUMBER)}, {O.matches('again', 'w1', items.GARBLED)},
+w AS (SELECT *, 0 AS kind FROM w0 UNION ALL SELECT *, 1 FROM w1 WHERE nth = 0), v0 AS (SELECT *, TRY_CAST(g3 AS INTEGER) AS number, {_SNIPPET} AS snippet FROM w WHERE TRY_CAST(g1 AS INTEGER) = ch AND TRY_CAST(g2 AS INTEGER) = section),
+v1 AS (SELECT *, printf('%d.%d-%d', ch, section, number) AS key, coalesce({_label_sql('snippet')}, section_label, '{items.BARE}') AS label FROM v0),
+v2 AS (SELECT * FROM v1 WHERE (label <> '{items.BARE}' OR len(regexp_extract_all(snippet, '\\p{{L}}', 0)) >= 2 OR contains(snippet, '\\')) AND NOT EXISTS (SELECT 1 FROM three WHERE three.book = v1.book AND three.key = v1.key)),
+back AS (SELECT book, key, section, number, CAST(page AS INTEGER) AS page, label, substring(snippet, 1, 120) AS text, stage FROM (SELECT *, row_number() OVER (PARTITION BY book, key ORDER BY stage, page, block, kind, beg) AS k FROM v2) WHERE k = 1)"""
+ORACLES["gap_recovered"] = f"WITH {_RECOVERED} SELECT * EXCLUDE (stage) FROM back"
+ORACLES["gap_verdicts"] = f"""WITH {_RECOVERED}, held AS (SELECT book, section, number, -1 AS since FROM three UNION ALL SELECT book, section, number, stage FROM back),
+c AS (SELECT gaps.book, gaps.section, gap, gap_low, gap_high, first_page, last_page, count(DISTINCT CASE WHEN number BETWEEN gap_low AND gap_high AND since <= stage THEN number END) AS filled, count(*) FILTER (since = stage) AS recovered
+  FROM gaps JOIN held ON gaps.book = held.book AND gaps.section = held.section GROUP BY ALL), k AS (SELECT *, gap_high - gap_low + 1 - filled AS missing FROM c)
+SELECT book, section, gap, recovered, CAST(coalesce(missing, 0) AS INTEGER) AS missing, CASE WHEN gap = 'tail' THEN CASE WHEN recovered = 0 AND last_page - first_page + 1 > {items.TAIL} THEN 'suspicious' ELSE 'resolved' END WHEN recovered > 0 AND missing > 0 THEN 'blocking' ELSE 'resolved' END AS verdict FROM k"""
