@@ -511,8 +511,8 @@ SELECT label, vec_id, cap_id, distance FROM n WHERE k = 1""",
 add(
     "greedy_assignment",
     lambda s, d: figures.assign_greedily(
-        _plane(s, d, 0, 1).select(F.lit(1).alias("ch"), F.col("label").alias("page"), F.col("vec_id").alias("fig_idx"), "y"),
-        _plane(s, d, 2, 3).select(F.lit(1).alias("ch"), F.col("label").alias("page"), F.col("vec_id").cast("string").alias("label"), "y"),
+        _plane(s, d, 0, 1).select(F.lit(1).alias("ch"), F.expr("cast(vec_id div 40 as int)").alias("page"), F.col("vec_id").alias("fig_idx"), "y"),
+        _plane(s, d, 2, 3).select(F.lit(1).alias("ch"), F.expr("cast(vec_id div 40 as int)").alias("page"), F.col("vec_id").cast("string").alias("label"), "y"),
     ),
 )
 add(

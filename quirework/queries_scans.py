@@ -301,11 +301,6 @@ _SPANS = 'c AS (SELECT c_nationkey AS book, CAST(c_custkey AS INTEGER) AS ch, c_
 add("chapters_ready", lambda s, d: incremental.ready(_spans(s, d), _ledger(s, d)), f"WITH {_SPANS} SELECT CAST(c.book AS BIGINT) AS book, ch, count(*) AS pages FROM c JOIN l ON c.book = l.book AND page BETWEEN lo AND hi GROUP BY c.book, ch, lo, hi HAVING count(*) = hi - lo + 1")
 add("chapters_passed", lambda s, d: incremental.progressed(_spans(s, d), _ledger(s, d)), f"WITH {_SPANS}, t AS (SELECT book, max(page) AS top FROM l GROUP BY 1) SELECT CAST(c.book AS BIGINT) AS book, ch FROM c JOIN t ON c.book = t.book WHERE hi <= top")
 add("section_only_keys", lambda s, d: keys.section_only_keys(lines_of(s, d)), f"WITH {marked_sql('d', STRUCTURE)}, e AS (SELECT doc_id, unnest(regexp_extract_all(line, {O.q(P.SECTION_ONLY_ENTRY)}, 0)) AS said FROM d), k AS (SELECT DISTINCT doc_id, regexp_extract(said, {O.q(P.SECTION_ONLY_ENTRY)}, 1) || CAST(regexp_extract(said, {O.q(P.SECTION_ONLY_ENTRY)}, 2) AS INTEGER) || '.' || CAST(regexp_extract(said, {O.q(P.SECTION_ONLY_ENTRY)}, 3) AS INTEGER) AS key FROM e) SELECT * FROM k")
-add(
-    "page_greedy_assignment",
-    lambda s, d: figures.assign_greedily(_figures(s, d).select(F.lit(1).alias("ch"), "page", F.col("vec_id").alias("fig_idx"), "y"), _figures(s, d).select(F.lit(1).alias("ch"), "page", F.col("vec_id").cast("string").alias("label"), F.col("y2").alias("y"))),
-)
-
 # --- twins of the three-level items and of their gaps, which need match positions
 
 

@@ -36,7 +36,7 @@ def test_every_layer_reaches_the_gate(spark):
 
 
 def test_greedy_assignment_equals_plain_version(spark):
-    got = {(r.page, r.fig_idx): r.label for r in QUERIES["page_greedy_assignment"](spark, SF).collect()}
+    got = {(r.page, r.fig_idx): r.label for r in QUERIES["greedy_assignment"](spark, SF).collect()}
     pages = {}
     for r in _figures(spark, SF).collect():
         pages.setdefault(r.page, []).append(r)

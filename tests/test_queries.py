@@ -1,10 +1,16 @@
 """Every query with a DuckDB twin against that twin, at the smallest size."""
 
+import re
+from collections import Counter
+
 import duckdb
 import pandas as pd
 import pytest
 
-from quirework.queries import ORACLES, QUERIES
+from quirework.functions import patterns as P
+from quirework.operators import repairs, rewriters
+from quirework.plans.markup import LAYOUT, REPAIRS, STRUCTURE
+from quirework.queries import _OF_LAYOUT, ORACLES, QUERIES, lines_of
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -36,7 +42,52 @@ def test_equals_twin(spark, duck, name):
     assert rows(ours) == rows(theirs)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_runs(spark, name):
-    assert QUERIES[name](spark, SF).count() >= 0
+@pytest.mark.parametrize("name", sorted(_OF_LAYOUT))
+def test_layout_rules_find_something(spark, name):
+    assert QUERIES[name](spark, SF).count() > 0
+
+
+def lines(frame):
+    out = {}
+    for r in frame.collect():
+        out.setdefault(r.doc_id, {})[r.line_no] = r.line
+    return {d: [rows[k] for k in sorted(rows)] for d, rows in out.items()}
+
+
+@pytest.mark.parametrize(("name", "table", "repair"), [("fix_chain_counts", STRUCTURE, rewriters.repaired), ("maths_chain_counts", REPAIRS, repairs.maths_repaired)])
+def test_chain_counts_equal_plain_differences(spark, name, table, repair):
+    """A chain's steps have twins of their own; its counts are those of the two texts as bags of lines."""
+    source = lines_of(spark, SF, table)
+    old, new = lines(source), lines(repair(source))
+    want = {}
+    for doc in old.keys() | new.keys():
+        a, b = Counter(old.get(doc, [])), Counter(new.get(doc, []))
+        want[doc] = (sum((a - b).values()), sum((b - a).values()))
+    assert {r.doc_id: (r.removed, r.added) for r in QUERIES[name](spark, SF).collect()} == want and any(a for a, _ in want.values())
+
+
+def test_proof_steps_equal_plain_version(spark):
+    """Steps begin at a step word behind a break, or at a weak one behind a strong break."""
+    head = re.compile(r"^>\s+\*\*证明(思路|梗概|概要)\*\*[:：]\s*(.*)$")
+    mark = re.compile(rf"(?:(?<=^)|(?<=[:：；。\s]))(?:{P.STEP_WORDS})|(?:(?<=^)|(?<=[:：；。]))(?:{P.WEAK_STEP_WORDS})")
+    want = {}
+    for doc, text in lines(lines_of(spark, SF, LAYOUT)).items():
+        out = []
+        for line in text:
+            found = head.match(line)
+            starts = [m.start() for m in mark.finditer(found[2])] if found else []
+            if len(starts) < 2:
+                out.append(line)
+                continue
+            parts = [found[2][a:b] for a, b in zip([0, *starts] if starts[0] else starts, [*starts[1:], None] if not starts[0] else [*starts, None], strict=True)]
+            out += [f"> **证明{found[1]}**：", *(f"> {i}. {p.strip()}" for i, p in enumerate([p for p in parts if p.strip()], 1))]
+        want[doc] = out
+    assert lines(QUERIES["fix_proof_steps"](spark, SF)) == want
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"fix_chain_counts", "maths_chain_counts", "fix_proof_steps", "greedy_assignment", "gate_layers"}))
+def test_report_has_one_row_a_document_with_findings(spark, name):
+    assert name == "gate_report"
+    rows = QUERIES[name](spark, SF).collect()
+    assert len({r.doc_id for r in rows}) == len(rows) and all(("FAIL" not in r.text) == r.passed for r in rows)
     spark.catalog.clearCache()
