@@ -348,3 +348,29 @@ ORACLES["gap_verdicts"] = f"""WITH {_RECOVERED}, held AS (SELECT book, section,
 c AS (SELECT gaps.book, gaps.section, gap, gap_low, gap_high, first_page, last_page, count(DISTINCT CASE WHEN number BETWEEN gap_low AND gap_high AND since <= stage THEN number END) AS filled, count(*) FILTER (since = stage) AS recovered
   FROM gaps JOIN held ON gaps.book = held.book AND gaps.section = held.section GROUP BY ALL), k AS (SELECT *, gap_high - gap_low + 1 - filled AS missing FROM c)
 SELECT book, section, gap, recovered, CAST(coalesce(missing, 0) AS INTEGER) AS missing, CASE WHEN gap = 'tail' THEN CASE WHEN recovered = 0 AND last_page - first_page + 1 > {items.TAIL} THEN 'suspicious' ELSE 'resolved' END WHEN recovered > 0 AND missing > 0 THEN 'blocking' ELSE 'resolved' END AS verdict FROM k"""
+
+# --- orders and states built on queries above
+
+
+def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .queries import QUERIES
+
+    return QUERIES["key_compare"](spark, sf_dir)
+
+
+add(
+    "key_status_order",
+    lambda s, d: scans.status_order(_compared(s, d)),
+    f"WITH k AS ({ORACLES['key_compare']}) SELECT *, CAST(row_number() OVER (PARTITION BY doc_id, status ORDER BY CASE WHEN status = 'missing' THEN key END, CASE WHEN status <> 'missing' THEN {_NUMS} END, key) AS INTEGER) AS nth FROM k",
+)
+add(
+    "section_only_state",
+    lambda s, d: keys.section_only_state(items.section_only(lines_of(s, d, ITEMS).select(F.col("doc_id").alias("book"), F.lit(1).alias("page"), F.col("line_no").alias("block"), F.col("line").alias("text"))).withColumnRenamed("book", "doc_id"), keys.section_only_keys(lines_of(s, d))),
+    f"""WITH i AS (SELECT DISTINCT book AS doc_id, key FROM ({ORACLES['items_section_only']})), k AS ({ORACLES['section_only_keys']})
+SELECT doc_id, key, 'missing' AS status FROM (SELECT * FROM i EXCEPT SELECT doc_id, key FROM k) UNION ALL SELECT doc_id, key, 'extra' FROM (SELECT doc_id, key FROM k EXCEPT SELECT * FROM i)""",
+)
+add(
+    "polygon_centres",
+    lambda s, d: _figures(s, d).select("vec_id", T.centre(F.array("x", "y", "x2", "y2")).alias("c")).select("vec_id", "c.x", "c.y"),
+    f"WITH {_V} SELECT vec_id, (x + x2) / 2 AS x, (y + y2) / 2 AS y FROM v",
+)

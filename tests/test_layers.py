@@ -47,3 +47,24 @@ def test_greedy_assignment_equals_plain_version(spark):
             near = [(abs(r.y - y), k) for k, (y, _) in enumerate(left) if abs(r.y - y) < figures.REACH]
             want[page, r.vec_id] = left.pop(min(near)[1])[1] if near else None
     assert got == want and None in want.values()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quirework.__main__ import main
+
+    assert main(["list"]) == 0 and "gate_summary" in capsys.readouterr().out.split()
+    assert main(["run", "order_rollup", SF, f"{tmp_path}/a"], spark) == 0 and spark.read.parquet(f"{tmp_path}/a").count() == 1
+    assert main(["gate", SF, f"{tmp_path}/b"], spark) == 1
+    every = sorted({r.code for r in rules.RULES.values()} - {"S"})
+    assert main(["gate", SF, f"{tmp_path}/c", "--disable", *every], spark) == 0
+    assert spark.read.parquet(f"{tmp_path}/b").count() == spark.read.parquet(f"{tmp_path}/c").count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    spark.catalog.clearCache()
+
+
+def test_embedded_figures(spark):
+    from pyspark.sql import functions as F
+
+    from quirework.functions.text import shown_in
+
+    rows = spark.createDataFrame([('<img src="_extract/figure/a.png">', "a.png"), ('<img src="figure/a.png">', "a.png"), (None, "a.png")], "line string, file string")
+    assert [r[0] for r in rows.select(shown_in(F.col("line"), F.col("file"))).collect()] == [True, False, None]
