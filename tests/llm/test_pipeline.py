@@ -75,3 +75,20 @@ def test_stages(spark, tables):
         assert k == 4 or out.columns == columns
         docs = out
     assert {r.doc_id for r in corpus_pipeline.run(spark, path).select("doc_id").collect()} == set(got)
+
+
+def test_odd_rows_and_empty_documents(spark, tables, tmp_path):
+    """Null ids, a text of a megabyte, repeated ids, and extra columns of clashing names pass; no documents give no rows."""
+    path, _ = tables
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{path}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    long = " ".join(f"word{i}x" for i in range(120_000))
+    odd = spark.createDataFrame([(None, "abc def gha bcd", "en", "s", 15), (None, None, None, None, None), (5000, long, "en", "s", len(long)), (5001, "dead beef cage fade", "en", "s", 19), (5001, "dead beef cage fade", "en", "s", 19)], SCHEMA)
+    wide = docs.unionByName(odd).selectExpr("*", "1 as _doc", "'k' as kept", "2 as component_id", "3 as matches")
+    wide.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [(r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert len([d for d, _ in rows if d == 5000]) == 1 and len([d for d, _ in rows if d is None]) == 2
+    assert dict(rows)[5000] > 120_000 and len([d for d, _ in rows if d == 5001]) in (0, 2)
+    wide.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
