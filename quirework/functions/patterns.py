@@ -104,3 +104,6 @@ BROKEN = (
     (r"\\in\s+t([^a-zA-Z]|$)", r"\\int$1"), (r"\\in\s+fty", r"\\infty"), (r"\\in\s+f([^a-zA-Z]|$)", r"\\inf$1"), (r"\\qquad\s*([a-zA-Z])", r"\\qquad $1"),
     (r"\\quad\s*([a-zA-Z])", r"\\quad $1"), (r"\\widetilde\s+P", r"\\widetilde P"), (r"\\frac(\d)([a-zA-Z]\{)", r"\\frac{$1}$2"),
 )
+
+# What ends a proof.
+PROOF_END = "□|∎|证毕"

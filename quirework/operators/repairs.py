@@ -5,14 +5,14 @@ The brace repair of the chain (a walk over single characters with state) is not
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import SPACE, strip
 from ..plans.lines import after, before, latch, line_context
 from . import rewriters
-from .rewriters import _pairs, _replaced, numbered
+from .rewriters import _replaced, numbered
 from .rules import _is
 
 _MARKS = "[,;:，；：。、?？)）]"
@@ -105,3 +105,36 @@ def single_level(blocks: DataFrame) -> DataFrame:
 def exercises(lines: DataFrame) -> DataFrame:
     """Lines that head an exercise or a section of exercises, which a summary leaves out: ``doc_id, line_no``."""
     return lines.where(F.col("line").rlike(r"^(?:>\s*)?\*\*(?:习题|练习|Exercise|Problem)") | F.col("line").rlike(r"^#{1,6}\s.*(?:习题|练习|Exercises?|Problems?)")).select("doc_id", "line_no")
+
+
+def arrow_ends(lines: DataFrame) -> DataFrame:
+    """Arrows of commutative diagrams whose three direction marks differ: ``doc_id, line_no, arrow``.
+
+    An arrow runs from ``@`` and its mark to the next ``@`` or ``&``; a mark opens it, stands between its labels and ends it.
+    """
+    arrows = F.regexp_extract_all("line", F.lit("@[><VA][^@&]*"), F.lit(0))
+    mark = lambda a: F.substring(a, 2, 1)
+    wrong = F.filter(arrows, lambda a: F.length(a) - F.length(F.replace(a, mark(a), F.lit(""))) < 3)
+    return lines.select("doc_id", "line_no", F.explode(wrong).alias("arrow"))
+
+
+def after_proof_end(ctx: DataFrame) -> DataFrame:
+    """Quoted lines with content below the line of a proof's end mark in the same quote: ``doc_id, line_no``."""
+    from .rules import quote_groups
+
+    order = Window.partitionBy("doc_id", "quote").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.coalesce(F.max(F.col("line").rlike(P.PROOF_END)).over(order), F.lit(False))
+    return quote_groups(ctx).withColumn("ended", ended).where("ended and t <> '>'").select("doc_id", "line_no")
+
+
+def expected_languages(files: DataFrame, books: DataFrame) -> DataFrame:
+    """``book, ch, missing``: chapters that lack a summary in a language that their book's language asks for.
+
+    ``files(book, ch, lang)`` are summaries, ``books(book, lang)`` the sources: a Chinese book needs ``cn``, an English one
+    ``cn`` and ``en``, any other both and its own.
+    """
+    own = F.col("of")
+    wanted = F.when(own == "cn", F.array(F.lit("cn"))).when(own == "en", F.array(F.lit("cn"), F.lit("en"))).otherwise(F.array(F.lit("cn"), F.lit("en"), own))
+    held = files.groupBy("book", "ch").agg(F.collect_set("lang").alias("held"))
+    rows = held.join(books.select("book", F.col("lang").alias("of")), "book").withColumn("missing", F.array_sort(F.array_except(wanted, "held")))
+    return rows.where("size(missing) > 0").select("book", "ch", "missing")

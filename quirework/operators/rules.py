@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import roman_to_int, strip
-from ..plans.lines import after, before, count_before, forward, is_quoted, latch, rows_through
+from ..plans.lines import after, count_before, forward, is_quoted, latch, rows_through
 
 BLOCKS, WARNS = "blocks", "warns"
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,8 @@ from .functions import patterns as P
 from .functions.text import SPACE
 from .operators import figures, items, keys, maths, repairs, rewriters, rules, scans
 from .plans import oracles as O
-from .plans.markup import ITEMS, LAYOUT, MATHS, REPAIRS
+from .plans.lines import line_context
+from .plans.markup import MATHS, REPAIRS
 from .queries import _blocks, _chapters, _first_sql, _items, _noise, _wanted, add, context_of, lines_of, read
 from .queries_scans import _index
 
@@ -49,6 +49,34 @@ add(
 )
 
 
+add(
+    "arrow_ends",
+    lambda s, d: repairs.arrow_ends(lines_of(s, d, REPAIRS)),
+    O.over_context("SELECT doc_id, line_no, arrow FROM (SELECT doc_id, line_no, unnest(regexp_extract_all(line, '@[><VA][^@&]*', 0)) AS arrow FROM c) WHERE length(arrow) - length(replace(arrow, arrow[2], '')) < 3", REPAIRS),
+)
+add(
+    "after_proof_end",
+    lambda s, d: repairs.after_proof_end(line_context(lines_of(s, d, REPAIRS))),
+    O.over_context(
+        "SELECT doc_id, line_no FROM g2 WHERE ended AND t <> '>'",
+        REPAIRS,
+        f"""g0 AS (SELECT *, {O.through(f"(bqi AND (NOT {O.quoted('p1')} OR {O.m('line', P.QUOTE_OPENER)} OR {O.m('line', P.QUOTE_FOOTNOTE)}))")} AS quote FROM c), g1 AS (SELECT * FROM g0 WHERE bqi),
+g2 AS (SELECT *, coalesce(bool_or({O.m('line', P.PROOF_END)}) OVER (PARTITION BY doc_id, quote ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS ended FROM g1)""",
+    ),
+)
+add(
+    "missing_languages",
+    lambda s, d: repairs.expected_languages(
+        read(s, d, "documents").selectExpr("doc_id div 6 as book", "cast(doc_id % 3 as int) as ch", "case when doc_id % 2 = 0 then 'cn' else lang end as lang"),
+        read(s, d, "documents").where("doc_id % 6 = 0").selectExpr("doc_id div 6 as book", "case when doc_id % 18 = 0 then 'cn' else lang end as lang"),
+    ).withColumn("missing", F.array_join("missing", ",")),
+    """WITH f AS (SELECT DISTINCT doc_id // 6 AS book, CAST(doc_id % 3 AS INTEGER) AS ch, CASE WHEN doc_id % 2 = 0 THEN 'cn' ELSE lang END AS lang FROM documents),
+b AS (SELECT doc_id // 6 AS book, CASE WHEN doc_id % 18 = 0 THEN 'cn' ELSE lang END AS lang FROM documents WHERE doc_id % 6 = 0),
+w AS (SELECT book, unnest(CASE WHEN lang = 'cn' THEN ['cn'] WHEN lang = 'en' THEN ['cn', 'en'] ELSE ['cn', 'en', lang] END) AS lang FROM b), c AS (SELECT DISTINCT book, ch FROM f)
+SELECT book, ch, string_agg(lang, ',' ORDER BY lang) AS missing FROM (SELECT DISTINCT c.book, ch, w.lang FROM c JOIN w ON c.book = w.book WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.book = c.book AND f.ch = c.ch AND f.lang = w.lang)) GROUP BY 1, 2""",
+)
+
+
 def _maths_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lines_of(spark, sf_dir, REPAIRS)
     return rewriters.changes(lines, repairs.maths_repaired(lines))
