@@ -29,13 +29,13 @@ LAYOUT = {
 #: Scanned blocks with numbered items, references to them, section heads and label heads.
 ITEMS = {
     0: "{key} 定理（名）{raw}", 1: "例子", 2: "{key} {raw}", 3: "见{key} {raw}", 4: "定理{key} {raw}", 5: "定义（{raw}", 6: "{key}：{raw}", 7: "§1.1  {raw}", 8: "Theorem {n}.2 {raw}",
-    9: "（{key}，1.2-3）{raw}", 10: "例{key}到1.2-9 {raw}", 11: "{key} Definition {raw}", 12: "由", 13: "Example {n}.4 {raw}", 14: "见定理{n}.3 {raw}", 15: "由 引理 {n}.5 {raw}",
+    9: "（{key}，1.2-3）{raw}", 10: "例{key}到1.2-9 {raw}", 11: "{key} Definition {raw}", 12: "由", 13: "Example {n}.4 {raw}", 14: "见定理{n}.3 {raw}", 15: "由 引理 {n}.5 {raw}", 16: "定理{n} {raw}",
 }
 #: Scanned blocks for the scanners and look-ups: section heads, items, examples, figure captions, lists and their notes.
 SCANS = {
     0: "定义{key} {raw}", 1: "定理 {key}（{raw}", 2: "§{key} {raw}", 3: "S{key} {raw}", 4: "8{key}：{raw}", 5: "例{n} {raw}", 6: "例 {n}.2 {raw}", 7: "引理 {n}.3 {raw}", 8: "见{key} {raw}",
     9: "{key} {raw}", 10: "图{n}.2 {raw}图中", 11: "见 Fig. {n}-4 {raw}", 12: "Figure {n}.1.3: Theorem 2.5 {raw}", 13: "（{n}）{raw}", 14: "(1{n}) {raw}", 15: "注：{raw}", 16: "## §{key} {raw}",
-    17: "图 3 例{n}.1 的证明 {raw}", 18: "x²⁺ⁿ+y₁+z₁₂ {raw}", 19: "图", 20: "{n}.4 $a$ <b>|{raw}", 21: "引 理（定义（{raw}",
+    17: "图 3 例{n}.1 的证明 {raw}", 18: "x²⁺ⁿ+y₁+z₁₂ {raw}", 19: "图", 20: "{n}.4 $a$ <b>|{raw}", 21: "定理一 引 理（定义（{raw}",
 }
 #: Lines that maths repairs work on.
 REPAIRS = {

@@ -220,8 +220,8 @@ SELECT * FROM o WHERE source = 'manual' OR ch NOT IN (SELECT ch FROM n) UNION AL
 )
 add(
     "figure_completeness",
-    lambda s, d: figures.completeness(_index(s, d, 1).where("label is not null").select("ch", "label"), _index(s, d).select("ch", "label"), _index(s, d, 2).where("fig_idx % 4 = 0 and label is not null").select("ch", "label")),
-    f"""WITH {_V}, {_index_sql('i')}, {_index_sql('c', 1)}, {_index_sql('g', 2)}, x AS (SELECT ch, label FROM i WHERE label IS NOT NULL), k AS (SELECT ch, label FROM c WHERE label IS NOT NULL), z AS (SELECT ch, label FROM g WHERE fig_idx % 4 = 0 AND label IS NOT NULL)
+    lambda s, d: figures.completeness(_index(s, d, 1).where("label is not null and fig_idx % 11 < 9").select("ch", "label"), _index(s, d).where("fig_idx % 11 > 2").select("ch", "label"), _index(s, d, 2).where("fig_idx % 33 = 0 and label is not null").select("ch", "label")),
+    f"""WITH {_V}, {_index_sql('i')}, {_index_sql('c', 1)}, {_index_sql('g', 2)}, x AS (SELECT ch, label FROM i WHERE label IS NOT NULL AND fig_idx % 11 > 2), k AS (SELECT ch, label FROM c WHERE label IS NOT NULL AND fig_idx % 11 < 9), z AS (SELECT ch, label FROM g WHERE fig_idx % 33 = 0 AND label IS NOT NULL)
 SELECT *, 'missing' AS status FROM (SELECT * FROM k EXCEPT SELECT * FROM x EXCEPT SELECT * FROM z) UNION ALL SELECT *, 'extra' FROM (SELECT * FROM x EXCEPT SELECT * FROM k)""",
 )
 add("figure_counts", lambda s, d: figures.chapter_counts(_index(s, d)), f"WITH {_V}, {_index_sql('i')} SELECT ch, count(*) AS total, count(label) AS named, count(*) - count(label) AS unnamed FROM i GROUP BY 1")
