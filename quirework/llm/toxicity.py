@@ -35,7 +35,7 @@ EPOCHS, RATE, L1, GROUP = 10, 0.1, 2e-3, 5e-3
 LEAST_DOCS, TELLING = 3, 14.0
 #: Both terms of a pair are learned if the squared z-score of their interaction is that large, over cells of that many documents.
 #: Pairs are far more than terms, so that chance reaches higher among them.
-TELLING_PAIR, LEAST_CELL, PAIR_BLOCK = 40.0, 5, 256
+TELLING_PAIR, LEAST_CELL = 40.0, 5
 PREFIXES = (4, 5, 6)
 WORDS_KEPT = 300_000
 
@@ -69,33 +69,38 @@ class Machine:
 
 
 def telling_pairs(docs: list[np.ndarray], labels: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """Buckets of the pairs whose interaction goes with the label."""
+    """Buckets of the pairs whose interaction goes with the label.
+
+    Pairs are counted from the documents that hold a term, so the work is that of pairs that do occur together.
+    """
     share, n = labels.mean(), len(docs)
     # Of fewer documents with or without a term, one of its two cells is too small.
     terms = np.flatnonzero((seen >= 2 * LEAST_CELL) & (n - seen >= 2 * LEAST_CELL))
-    row = np.full(len(seen), -1, np.int32)
+    row = np.full(len(seen), -1, np.int64)
     row[terms] = np.arange(len(terms))
-    held = np.zeros((n, len(terms)), np.uint8)
-    for at, d in enumerate(np.argsort(-labels, kind="stable")):  # those of label 1 first
-        columns = row[docs[d]]
-        held[at, columns[columns >= 0]] = 1
-    y = int((labels > 0).sum())
-    n1, y1 = held.sum(0, dtype=np.float32), held[:y].sum(0, dtype=np.float32)
+    held = [r[r >= 0] for r in (row[d] for d in docs)]
+    size, toxic = len(terms), labels > 0
+    flat, owner = np.concatenate(held), np.repeat(np.arange(n), [len(x) for x in held])
+    order = np.argsort(flat, kind="stable")
+    n1, y1, y = np.bincount(flat, minlength=size), np.bincount(flat[toxic[owner]], minlength=size), int(toxic.sum())
+    docs_of = np.split(owner[order], np.cumsum(n1)[:-1]) if size else []
     least = TELLING_PAIR * share * (1 - share)
-    tells = np.zeros(len(terms), bool)
-    for lo in range(0, len(terms), PAIR_BLOCK):
-        left = held[:, lo : lo + PAIR_BLOCK].astype(np.float32).T
-        na, ya = n1[lo : lo + PAIR_BLOCK, None], y1[lo : lo + PAIR_BLOCK, None]
-        for at in range(lo, len(terms), 8 * PAIR_BLOCK):
-            right = held[:, at : at + 8 * PAIR_BLOCK].astype(np.float32)
-            nb, yb = n1[at : at + 8 * PAIR_BLOCK], y1[at : at + 8 * PAIR_BLOCK]
-            n11 = left @ right
-            a, b = np.nonzero((n11 >= LEAST_CELL) & (na - n11 >= LEAST_CELL) & (nb - n11 >= LEAST_CELL) & (n - na - nb + n11 >= LEAST_CELL))
-            n11, y11 = n11[a, b], (left[:, :y] @ right[:y])[a, b]
-            n10, n01, y10, y01 = na[a, 0] - n11, nb[b] - n11, ya[a, 0] - y11, yb[b] - y11
-            n00, y00 = n - n11 - n10 - n01, y - y11 - y10 - y01
-            found = (y11 / n11 - y10 / n10 - y01 / n01 + y00 / n00) ** 2 >= least * (1 / n11 + 1 / n10 + 1 / n01 + 1 / n00)
-            tells[lo + a[found]] = tells[at + b[found]] = True
+    tells = np.zeros(size, bool)
+    for a, mine in enumerate(docs_of):
+        both = np.bincount(np.concatenate([held[d] for d in mine]), minlength=size)
+        b = np.flatnonzero(both[a + 1 :] >= LEAST_CELL) + a + 1
+        n11 = both[b]
+        b = b[(n1[a] - n11 >= LEAST_CELL) & (n1[b] - n11 >= LEAST_CELL) & (n - n1[a] - n1[b] + n11 >= LEAST_CELL)]
+        if not len(b):
+            continue
+        n11 = both[b]
+        bad = [held[d] for d in mine if toxic[d]]
+        y11 = np.bincount(np.concatenate(bad), minlength=size)[b] if bad else np.zeros(len(b), np.int64)
+        n10, n01, y10, y01 = n1[a] - n11, n1[b] - n11, y1[a] - y11, y1[b] - y11
+        n00, y00 = n - n11 - n10 - n01, y - y11 - y10 - y01
+        found = (y11 / n11 - y10 / n10 - y01 / n01 + y00 / n00) ** 2 >= least * (1 / n11 + 1 / n10 + 1 / n01 + 1 / n00)
+        tells[a] |= found.any()
+        tells[b[found]] = True
     return terms[tells]
 
 
