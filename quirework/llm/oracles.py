@@ -50,4 +50,47 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(6 + length(replace(replace(replace(role, '\', '\\'), '>', '\g'), chr(10), '\n')) + 2 + length(regexp_replace(text, '<(\\*)(/?turn)', '<\\\1\2', 'g')) + 9) AS BIGINT) AS formatted_chars
 FROM r GROUP BY conv_id"""
 
-ORACLES = {"op3_jaccard_join": JACCARD, "op6_decontam": DECONTAM, "op8_warc": WARC, "op9_chat": CHAT}
+_INTS = "list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))"
+_WHOLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+_ROUNDS = range(1, 4)
+_NEAREST = "SELECT v.vec_id, v.row, v.vec, c.j, c.cen, list_sum(list_transform(range(1, 65), lambda i: (v.vec[i] - c.cen[i]) * (v.vec[i] - c.cen[i]))) AS d FROM v, c{r} c QUALIFY row_number() OVER (PARTITION BY v.row ORDER BY d, c.j) = 1"
+CENTROIDS = f"""WITH v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS row, {_INTS} AS vec FROM embeddings WHERE {_WHOLE} AND len(embedding) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), vec) - 1 AS j, vec AS cen FROM v QUALIFY j < 16),
+""" + "\n".join(
+    f"""a{r} AS MATERIALIZED ({_NEAREST.format(r=r - 1)}),
+s{r} AS (SELECT j, i, sum(vec[i]) AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY j, i),
+f{r} AS (SELECT j, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY i) AS cen FROM s{r} GROUP BY j),
+c{r} AS MATERIALIZED (SELECT c.j, coalesce(f.cen, c.cen) AS cen FROM c{r - 1} c LEFT JOIN f{r} f USING (j)),"""
+    for r in _ROUNDS
+) + f"""
+e AS MATERIALIZED ({_NEAREST.format(r=3)})
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(cen, ',')) AS centroid_sha256 FROM e"""
+
+EXACT_SEARCH = f"""WITH v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS row, {_INTS} AS vec FROM embeddings WHERE {_WHOLE}),
+p AS (SELECT q.row, q.vec_id AS query_id, x.vec_id, CAST(coalesce(list_sum(list_transform(range(1, least(len(q.vec), len(x.vec)) + 1), lambda i: q.vec[i] * x.vec[i])), 0) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.row <> x.row WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank, vec_id, score FROM p QUALIFY rank <= 20"""
+
+PHRASES = f"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM t),
+n AS (SELECT lang, CAST(sum(len(words)) AS HUGEINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda o: array_to_string(words[o:o + size - 1], ' '))) AS phrase FROM w, range(1, 6) s(size)),
+f AS MATERIALIZED (SELECT lang, size, phrase, CAST(count(*) AS HUGEINT) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+k AS (SELECT lang, size, phrase, a, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+c AS (SELECT k.lang, k.size, k.phrase, k.a, k.k, x.a AS l, y.a AS r, n.n, (1000 * k.a * n.n) // (x.a * y.a) AS score FROM k
+  JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.words[1:k.k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.words[k.k + 1:], ' ') JOIN n ON n.lang = k.lang),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.lang = b.lang AND f.size > b.size AND f.a >= b.a AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM o QUALIFY rank <= 2000"""
+
+ORACLES = {
+    "op3_jaccard_join": JACCARD,
+    "op6_decontam": DECONTAM,
+    "op8_warc": WARC,
+    "op9_chat": CHAT,
+    "op11_centroids": CENTROIDS,
+    "op12_exact_search": EXACT_SEARCH,
+    "op13_phrases": PHRASES,
+}

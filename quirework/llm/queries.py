@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, licenses, media, quality, substring_dedup, toxicity, warc
+from . import bpe, centroids, chat, decontam, exact_search, licenses, media, phrases, quality, substring_dedup, toxicity, warc
 from .jaccard_join import jaccard_components
 from .oracles import ORACLES
 from .samples import held_out
@@ -122,6 +122,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_substring_dedup, op3_jaccard_join, op4_quality, op5_bpe, op6_decontam, op7_media, op8_warc, op9_chat, op10_licenses)}
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top_products(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0).drop("query")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_substring_dedup, op3_jaccard_join, op4_quality, op5_bpe, op6_decontam, op7_media, op8_warc, op9_chat, op10_licenses, op11_centroids, op12_exact_search, op13_phrases)}
 
 __all__ = ["ORACLES", "QUERIES", "vocabulary_path"]
