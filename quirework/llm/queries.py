@@ -52,7 +52,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
 
 
 def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontam.hit_words(decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
+    found = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",
         "n_words",

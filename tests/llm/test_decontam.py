@@ -1,8 +1,11 @@
 import random
 import re
+import tracemalloc
+
+import numpy as np
 
 from quirework.llm import decontam
-from quirework.llm.decontam import contamination, decontaminated, hit_words
+from quirework.llm.decontam import contamination, decontaminated
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
@@ -44,7 +47,7 @@ def case(seed):
 def got(spark, docs, items):
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     i = spark.createDataFrame(items, "item_id long, text string")
-    return {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in hit_words(contamination(d, i)).collect()}
+    return {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in contamination(d, i).collect()}
 
 
 def test_equals_brute_force(spark, monkeypatch):
@@ -83,5 +86,50 @@ def test_blocks_change_no_row(spark, monkeypatch):
     assert len(one) == len(rows) and sorted(map(str, contamination(frame, items).collect())) == one
     assert sorted(map(str, decontaminated(frame, items).collect())) == clean
     by_text = {t: v for (_, t), v in zip(docs, brute([(k, t) for k, (_, t) in enumerate(docs)], case(4)[1]).values(), strict=True)}
-    twice = [r for r in hit_words(contamination(frame, items)).collect() if r.doc_id == docs[0][0]]
+    twice = [r for r in contamination(frame, items).collect() if r.doc_id == docs[0][0]]
     assert sorted((r.n_words, r.n_hit) for r in twice) == sorted(by_text[docs[k][1]][:2] for k in (0, 5, 9))
+
+
+def test_equal_words_take_no_more_than_the_shard(spark):
+    """An item of 4 000 equal words against a text of 200 000 such words: one window, few matches, little memory."""
+    probe = decontam.Probe([(1, 0, "ha " * 4_000), (2, 0, "ha " * 4_000), (3, 0, "ha ho")], 10)
+    tracemalloc.start()
+    words = np.full(200_000, probe.number[b"ha"], np.int32)
+    position, window = decontam.starts(words, probe)
+    found = decontam.longest(position, window, 0, probe)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(position) == 200_000 - 9 and len(probe.length) == 2
+    assert found == (0, 0, 4_000) and peak < 1 << 28
+    docs = spark.createDataFrame([(7, "ha " * 20_000), (8, "ho ha ho")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "ha " * 400), (2, "ha " * 400), (3, "ha ho")], "item_id long, text string")
+    assert {r.doc_id: (r.n_hit, r["items"]) for r in contamination(docs, items).collect()} == {7: (20_000, ["1", "2"]), 8: (2, ["3"])}
+
+
+def test_matches_are_the_longest_stretches(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(rng.choices("ab", k=60))) for i in range(6)]
+    docs = [(d, " ".join(rng.choices("ab", k=100))) for d in range(5)]
+    got = {r.doc_id: {tuple(m) for m in r.matches} for r in contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for doc, text in docs:
+        w, want = text.split(), set()
+        for item, said in items:
+            v, best = said.split(), (0, 0, 0)
+            for p in range(len(w)):
+                for o in range(len(v)):
+                    n = 0
+                    while o + n < len(v) and p + n < len(w) and v[o + n] == w[p + n]:
+                        n += 1
+                    best = max(best, (n, -p, -o))
+            if best[0] >= 10:
+                want.add((item, -best[2], -best[1], best[0]))
+        assert got[doc] == want
+
+
+def test_cut_items_lose_no_window(spark, monkeypatch):
+    docs, items = case(8)
+    items.append((99, " ".join(f"w{i % 7}" for i in range(90))))
+    docs.append((200, "x " + " ".join(f"w{i % 7}" for i in range(40, 90))))
+    monkeypatch.setattr(decontam, "PIECE_WORDS", 11)
+    monkeypatch.setattr(decontam, "PAIRS", 3)
+    assert got(spark, docs, items) == brute(docs, items)

@@ -7,7 +7,7 @@ import pytest
 from quirework.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents pages benchmark labels conversations embeddings".split()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
