@@ -1,8 +1,9 @@
 """Quality classifier with supervised subword embeddings.
 
 Every word, every pair of neighbouring words and every character 3- to 5-gram of a word (with its bounds, case kept)
-is hashed to a bucket with a learned vector; all pairs of a word with itself are one unit, whatever the word (without
-this, held-out documents that repeat words are missed: see the README). A document is the average of its units' vectors; a softmax layer on top
+is hashed to a bucket with a learned vector. With ``again`` (the default) all pairs of a word with itself share a bucket
+of their own, whatever the word: hashing alone has no unit for "a word that repeats", and the README has the figures of
+both ways. A document is the average of its units' vectors; a softmax layer on top
 gives the class. Vectors and layer are learned by stochastic gradient descent in numpy on a bounded sample of labelled
 documents, in one task of bounded size. As the layer is linear, scoring needs one number a bucket; texts are cut into
 code points and all units of many documents are hashed at once.
@@ -10,13 +11,14 @@ code points and all units of many documents are hashed at once.
 Defined cases: null and empty texts have no units and score by the bias alone. A text longer than ``PIECE`` is read
 piece by piece; open words, the last word and the last code points go along, so its units are those of the whole text.
 Every row gives one row, repeated rows and null ids included. Labels that are null, or whose document is missing, are
-ignored; of several labels of a document the largest counts. Without both classes in the sample every score is the
+ignored; of several labels of a document the largest counts, of several texts the one with the smallest digest. Without both classes in the sample every score is the
 sample's share of label 1, or 0.5 without a sample. Extra columns are ignored; an empty table stays empty.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +43,18 @@ _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 _AGAIN = (1 << BITS) - 1
 
 
-def _pairs(h: np.ndarray) -> np.ndarray:
+class Model(NamedTuple):
+    """A number for each bucket, the bias, and whether repeated words have their own unit."""
+
+    value: np.ndarray
+    bias: float
+    again: bool = True
+
+
+def _pairs(h: np.ndarray, again: bool) -> np.ndarray:
     """Buckets of neighbouring words."""
-    return np.where(h[:-1] == h[1:], _AGAIN, _bucket(h[:-1] * _PAIR + h[1:]))
+    hashed = _bucket(h[:-1] * _PAIR + h[1:])
+    return np.where(h[:-1] == h[1:], _AGAIN, hashed) if again else hashed
 
 
 def _powers(of: int, count: int) -> np.ndarray:
@@ -89,7 +100,7 @@ def _word_hashes(points: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.
     return first, end, (sums[end] - sums[first]) * _INVERSES[first]
 
 
-def units(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def units(texts: list[str], again: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (buckets, number of the text that each belongs to) for texts of ``2 * PIECE`` code points at most in all."""
     points, blank = _points(" " + " ".join(texts) + " ")
     starts = np.cumsum(np.array([0, *(len(t) + 1 for t in texts)]))[:-1]
@@ -100,10 +111,10 @@ def units(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     of = owner[first]
     yield _bucket(h), of
     pair = of[1:] == of[:-1]
-    yield _pairs(h)[pair], of[1:][pair]
+    yield _pairs(h, again)[pair], of[1:][pair]
 
 
-def long_units(text: str) -> Iterator[np.ndarray]:
+def long_units(text: str, again: bool = True) -> Iterator[np.ndarray]:
     """Buckets of one text, read in pieces; in all the same as those of ``units``."""
     behind, behind_blank = _points(" ")
     word, size = np.uint64(0), 0  # hash and length of a word that the end of a piece cut
@@ -127,14 +138,14 @@ def long_units(text: str) -> Iterator[np.ndarray]:
             h = h[:-1]
         yield _bucket(h)
         h = np.r_[np.array(last, np.uint64), h]
-        yield _pairs(h)
+        yield _pairs(h, again)
         last = list(h[-1:])
 
 
-def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+def bag(text: str | None, again: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
     text = text or ""
-    found = [b for b, _ in units([text])] if len(text) <= PIECE else list(long_units(text))
+    found = [b for b, _ in units([text], again)] if len(text) <= PIECE else list(long_units(text, again))
     return np.unique(np.concatenate(found), return_counts=True)
 
 
@@ -168,13 +179,13 @@ def learn(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
     return vectors @ (layer[1] - layer[0]), float(bias[1] - bias[0])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", again: bool = True) -> Model:
     """Learns from labelled rows that are not held out: at most ``SAMPLE`` documents a class, as bags, in one task."""
     sample = labelled_sample(docs, labels, label, SAMPLE, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = [bag(t.as_py()) for t in batch.column(1)]
+            bags = [bag(t.as_py(), again) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array([b[k].astype(np.int32) for b in bags], pa.list_(pa.int32())) for k in (0, 1))], names=["doc_id", "label", "buckets", "counts"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,10 +197,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     arrow_schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("buckets", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
     bags = sample.mapInArrow(run, "doc_id long, label int, buckets array<int>, counts array<int>")
     model = bags.repartition(1).mapInArrow(train, "value binary, bias double").first()
-    return np.frombuffer(model.value, np.float32), model.bias
+    return Model(np.frombuffer(model.value, np.float32), model.bias, again)
 
 
-def _scores(column: pa.Array, value: np.ndarray, bias: float) -> np.ndarray:
+def _scores(column: pa.Array, value: np.ndarray, bias: float, again: bool = True) -> np.ndarray:
     total, count = np.zeros(len(column)), np.zeros(len(column))
     rows: list[int] = []
     held: list[str] = []
@@ -197,14 +208,14 @@ def _scores(column: pa.Array, value: np.ndarray, bias: float) -> np.ndarray:
 
     def flush() -> None:
         at = np.array(rows)
-        for buckets, owner in units(held):
+        for buckets, owner in units(held, again):
             total[at] += np.bincount(owner, value[buckets], len(held))
             count[at] += np.bincount(owner, minlength=len(held))
 
     for row, text in enumerate(column):
         text = text.as_py() or ""
         if len(text) > PIECE:
-            for buckets in long_units(text):
+            for buckets in long_units(text, again):
                 total[row] += value[buckets].sum(dtype=np.float64)
                 count[row] += len(buckets)
             continue
@@ -219,7 +230,7 @@ def _scores(column: pa.Array, value: np.ndarray, bias: float) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -30, 30)))
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """-> ``doc_id, score``. The model is one float a bucket."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -230,7 +241,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
 
 
-def accepted(docs: DataFrame, model: tuple[np.ndarray, float], least: float = LEAST, text_col: str = "text") -> DataFrame:
+def accepted(docs: DataFrame, model: Model, least: float = LEAST, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that score less than ``least``; rows are dropped where they are read."""
     held, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 

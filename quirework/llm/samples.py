@@ -16,7 +16,8 @@ def held_out(doc_id: Column) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """-> ``doc_id, text, label`` of at most ``most`` documents of each class, picked by a hash of their id.
 
-    Only ids travel to pick the sample. It is broadcast (``2 * most`` ids) to read its texts in one scan.
+    Only ids travel to pick the sample. It is broadcast (``2 * most`` ids) to read its texts in one scan. Of several texts
+    of an id the one with the smallest SHA-256 digest counts (null as an empty one), whatever the order of the rows.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where("doc_id is not null and label is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -25,4 +26,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, i
         part = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = part if picked is None else picked.union(part)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+    said = F.coalesce("text", F.lit(""))
+    one = F.min(F.struct(F.sha2(said.cast("binary"), 256), said.alias("text")))["text"].alias("text")
+    return texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(one).select("doc_id", "text", "label")

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -5,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from quirework.llm import quality, toxicity
-from quirework.llm.samples import held_out
+from quirework.llm.samples import held_out, labelled_sample
 
 DOCS, LABELS = "doc_id long, text string", "doc_id long, quality int, toxic int"
 
@@ -82,7 +83,7 @@ def test_odd_input(spark, module):
     assert module.score(docs.limit(0), module.fit(docs.limit(0), labels)).count() == 0
 
 
-def plain_units(text):
+def plain_units(text, again=True):
     """Buckets of a text with whole Python numbers: n-grams of padded words, words, pairs of neighbouring words."""
     m = 1 << 64
 
@@ -102,23 +103,42 @@ def plain_units(text):
     words = [[ord(c) for c in w] for w in "".join(map(chr, points)).split(" ") if w]
     hashes = [sum(x * pow(quality._ROOT, k, m) for k, x in enumerate(w)) % m for w in words]
     out += map(bucket, hashes)
-    return sorted(out + [quality._AGAIN if a == b else bucket((a * int(quality._PAIR) + b) % m) for a, b in zip(hashes, hashes[1:])])  # noqa: B905
+    return sorted(out + [quality._AGAIN if again and a == b else bucket((a * int(quality._PAIR) + b) % m) for a, b in zip(hashes, hashes[1:])])  # noqa: B905
 
 
 TEXTS = ["ab  cd\tab ab", "", "Ünïcode wörds", "x", " lead", "ab ab", "one\x0btwo three  ", "y" * 40, "a bb ccc dddd eeeee ffffff " * 5, "\n\n"]
 
 
-def test_units_equal_plain_version_whatever_the_piece(monkeypatch):
+@pytest.mark.parametrize("again", [True, False])
+def test_units_equal_plain_version_whatever_the_piece(monkeypatch, again):
     joined = [[] for _ in TEXTS]
-    for buckets, owner in quality.units(TEXTS):
+    for buckets, owner in quality.units(TEXTS, again):
         for b, o in zip(buckets.tolist(), owner.tolist(), strict=True):
             joined[o].append(b)
     for text, found in zip(TEXTS, joined, strict=True):
-        assert sorted(found) == plain_units(text)
+        assert sorted(found) == plain_units(text, again)
         for piece in (1, 2, 3, 5, 8, 13, 1000):
             monkeypatch.setattr(quality, "PIECE", piece)
-            cut = [b for x in quality.long_units(text) for b in x.tolist()]
-            assert sorted(cut) == (plain_units(text) if text else []), (text, piece)
+            cut = [b for x in quality.long_units(text, again) for b in x.tolist()]
+            assert sorted(cut) == (plain_units(text, again) if text else []), (text, piece)
+
+
+def test_repeated_words_without_their_unit(spark):
+    """The method's own units find litter as well as with the unit; repeated words are what the unit is for."""
+    docs, labels = corpus(700, 11)
+    rng = random.Random(2)
+    for k in range(0, 700, 7):
+        words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(3, 9))) for _ in range(4)]
+        docs[k], labels[k] = (k, " ".join(w for w in words for _ in range(25))), (k, 0, 0)
+    tables = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    truth, unseen = {r[0]: r[1] for r in labels}, {r.doc_id for r in tables[0].where(held_out(tables[0].doc_id)).collect()}
+    right = {}
+    for again in (True, False):
+        score = {r.doc_id: r.score for r in quality.score(tables[0], quality.fit(*tables, again=again)).collect()}
+        right[again] = {d: (score[d] >= 0.5) == truth[d] for d in unseen}
+    assert np.mean(list(right[True].values())) > 0.97
+    assert np.mean([right[False][d] for d in unseen if d % 7]) > 0.95
+    assert np.mean([right[True][d] for d in unseen if d % 7 == 0]) >= np.mean([right[False][d] for d in unseen if d % 7 == 0])
 
 
 def test_quality_score_equals_plain_average():
@@ -138,3 +158,33 @@ def test_machine_score_equals_sum_over_pairs():
     for rows in ([], [4], [0, 3, 8], list(range(9))):
         z = -0.3 + sum(w[i] for i in rows) + sum(float(v[i] @ v[j]) for i in rows for j in rows if i < j)
         assert machine.score(rows) == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-9)
+
+
+def test_repeated_ids_have_one_text(spark):
+    """Of several texts of an id the one with the smallest digest is learned from, in whatever order the rows come."""
+    rows = [(k, f"{k} {t}") for k in range(40) for t in "abc"] + [(3, None), (4, "")]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], LABELS)
+    want = {k: min((t or "" for d, t in rows if d == k), key=lambda t: hashlib.sha256(t.encode()).hexdigest()) for k in range(40)}
+    for order in (rows, rows[::-1]):
+        sample = labelled_sample(spark.createDataFrame(order, DOCS).repartition(3), labels, "quality", 100).collect()
+        assert sample and {r.doc_id: r.text for r in sample} == {r.doc_id: want[r.doc_id] for r in sample} and len({r.doc_id for r in sample}) == len(sample)
+
+
+def test_telling_pairs_equal_plain_double_loop():
+    rng = np.random.default_rng(12)
+    docs = [np.unique(rng.integers(0, 40, rng.integers(1, 12))).astype(np.int32) for _ in range(400)]
+    labels = np.array([float({3, 9} <= set(d.tolist()) or (5 in d) != (7 in d) and rng.random() < 0.8) for d in docs])
+    seen = np.bincount(np.concatenate(docs), minlength=1 << toxicity.BITS)
+    got = set(toxicity.telling_pairs(docs, labels, seen).tolist())
+    share, want = labels.mean(), set()
+    sets = [set(d.tolist()) for d in docs]
+    for a in range(40):
+        for b in range(a + 1, 40):
+            cells = [[y for s, y in zip(sets, labels, strict=True) if (a in s, b in s) == (p, q)] for p, q in ((1, 1), (1, 0), (0, 1), (0, 0))]
+            if min(map(len, cells)) < toxicity.LEAST_CELL or min(seen[a], seen[b], 400 - seen[a], 400 - seen[b]) < 2 * toxicity.LEAST_CELL:
+                continue
+            both, one, other, none = (np.mean(c) for c in cells)
+            if (both - one - other + none) ** 2 >= toxicity.TELLING_PAIR * share * (1 - share) * sum(1 / len(c) for c in cells):
+                want |= {a, b}
+    assert want and want != set(range(40))
+    assert got == want
