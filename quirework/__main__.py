@@ -11,15 +11,16 @@ from pyspark.sql import SparkSession
 def main(args: list[str], spark: SparkSession | None = None) -> int:
     """0; of ``gate`` 1 if any document does not pass."""
     from .operators import rules
-    from .queries import QUERIES, context_of, read
+    from .queries import QUERIES, read
+    from .queries_repairs import layers
 
     parser = argparse.ArgumentParser(prog="quirework", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
     commands.add_parser("list", help="names of the queries")
     run = commands.add_parser("run", help="one query over a folder of tables")
     run.add_argument("query", choices=sorted(QUERIES))
-    gate = commands.add_parser("gate", help="documents that break a structure rule")
-    gate.add_argument("--disable", nargs="*", default=[], metavar="CODE", help="codes of rules to leave out")
+    gate = commands.add_parser("gate", help="documents that a layer blocks")
+    gate.add_argument("--disable", nargs="*", default=[], metavar="CODE", help="codes of layers and of structure rules to leave out")
     for command in (run, gate):
         command.add_argument("tables")
         command.add_argument("out")
@@ -31,7 +32,7 @@ def main(args: list[str], spark: SparkSession | None = None) -> int:
     if given.command == "run":
         QUERIES[given.query](spark, given.tables).write.mode("overwrite").parquet(given.out)
         return 0
-    rules.gate(read(spark, given.tables, "documents"), rules.findings(context_of(spark, given.tables), given.disable)).write.mode("overwrite").parquet(given.out)
+    rules.gate(read(spark, given.tables, "documents"), layers(spark, given.tables, given.disable)).write.mode("overwrite").parquet(given.out)
     return int(not spark.read.parquet(given.out).where("not passed").isEmpty())
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the document format: figure labels, Chinese before English.
@@ -14,15 +14,36 @@ FIGURE_EN = r"(?i)(?:fig(?:ure)?\.?)\s*(\d+)[.\-](\d+)(?:[.\-](\d+))?"
 REACH, PAGE_WIDTH, PADDING, DEFAULT_WIDTH = 500, 1653, 16, 45.0
 
 
+#: Bits of the numbers that ranges are over.
+_LEVELS = 33
+
+
+def _dyadic(low: Column, high: Column) -> Column:
+    """The aligned blocks of 1, 2, 4, ... numbers that a range consists of, as ``level, at``: two of a level at most."""
+
+    def at(level: Column) -> Column:
+        first = lambda k: F.call_function("shiftright", low + F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1, k)
+        last = lambda k: F.call_function("shiftright", high + 1, k) - 1
+        a, b, split = first(level), last(level), first(level + 1) > last(level + 1)
+        one = lambda x: F.struct(level.alias("level"), x.alias("at"))
+        return F.array_compact(F.array(F.when((a <= b) & (split | (a % 2 != 0)), one(a)), F.when((a <= b) & (split | (b % 2 == 0)), one(b))))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(_LEVELS)), at)))
+
+
 def assign_ranges(points: DataFrame, ranges: DataFrame, point: str, low: str = "start", high: str = "end", order: str = "map_idx") -> DataFrame:
     """Adds the columns of the first range (by ``order``) that holds a point; outside all of them they are null.
 
-    Ranges are cut into unit steps and joined by equality, so wide tables shuffle by key instead of meeting every
-    range; ranges must be integers.
+    A range is cut into aligned blocks of 1, 2, 4, ... numbers, and a distinct point meets the block of each size that
+    holds it: an equality join in which the widest range has some sixty rows, however far it reaches. Ranges are integers
+    of 32 bits; one that ends before it begins holds nothing.
     """
-    steps = ranges.withColumn("_at", F.explode(F.sequence(F.col(low), F.col(high))))
-    first = steps.groupBy("_at").agg(F.min_by(F.struct(*ranges.columns), order).alias("_r"))
-    return points.join(first, points[point] == first["_at"], "left").select(points["*"], *[F.col(f"_r.{c}").alias(c) for c in ranges.columns])
+    blocks = ranges.where(F.col(low) <= F.col(high)).withColumn("_b", F.explode(_dyadic(F.col(low).cast("long"), F.col(high).cast("long"))))
+    first = blocks.groupBy("_b").agg(F.min_by(F.struct(*ranges.columns), order).alias("_r"), F.min(order).alias("_o"))
+    at = F.transform(F.sequence(F.lit(0), F.lit(_LEVELS)), lambda k: F.struct(k.alias("level"), F.call_function("shiftright", F.col("_at"), k).alias("at")))
+    met = points.select(F.col(point).cast("long").alias("_at")).distinct().select("_at", F.explode(at).alias("_b")).join(first, "_b")
+    found = met.groupBy("_at").agg(F.min_by("_r", "_o").alias("_r"))
+    return points.join(found, points[point].cast("long") == found["_at"], "left").select(points["*"], *[F.col(f"_r.{c}").alias(c) for c in ranges.columns])
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str) -> DataFrame:
@@ -84,11 +105,11 @@ def assign_greedily(figures: DataFrame, references: DataFrame) -> DataFrame:
 
 
 def file_names(index: DataFrame) -> DataFrame:
-    """Adds ``name``: by label with a suffix from the second figure of a label on, or numbered if there is none."""
+    """Adds ``name``: by label with a suffix from the second figure of a label on, or numbered if there is none; numbers have two digits at least."""
     nth = F.row_number().over(Window.partitionBy("ch", "label").orderBy("page", "fig_idx"))
-    chapter = F.concat(F.lit("ch"), F.lpad(F.col("ch").cast("string"), 2, "0"))
+    chapter = F.concat(F.lit("ch"), F.format_string("%02d", F.col("ch").cast("long")))
     named = F.concat(chapter, F.lit("_fig"), "label", F.when(nth > 1, F.concat(F.lit("_"), nth.cast("string"))).otherwise(""))
-    unnamed = F.concat(chapter, F.lit("_unnamed_"), F.lpad(nth.cast("string"), 2, "0"))
+    unnamed = F.concat(chapter, F.lit("_unnamed_"), F.format_string("%02d", nth))
     return index.withColumn("name", F.when(F.col("label").isNotNull(), named).otherwise(unnamed))
 
 

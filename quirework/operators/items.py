@@ -6,10 +6,13 @@ chapter number and page range: ``book, ch, start, end``. A chapter is the unit o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_label
+from ..plans.stored import stored
 
 # Fixed values of the document format.
 NUMBER = r"(\d+)\s*[.\-·，\s]\s*(\d+)\s*[\-.·，\s]\s*(\d+)"
@@ -29,19 +32,54 @@ BARE = "裸"
 TAIL = 5
 
 
-def matches(rows: DataFrame, pattern: str, text: str = "text") -> DataFrame:
-    """One row a match: ``nth`` (from 0), ``said``, ``at`` (offset from 0) and ``upto`` (its end), groups ``g1`` to ``g3``.
+#: Stands around a match while a text is cut; in texts it counts as another control character.
+_MARK = "\x01"
+#: Pieces of a text whose lengths are summed as one step.
+_STEP = 512
+
+
+def _groups(pattern: str) -> int:
+    return min(3, pattern.replace("(?:", "").replace("\\(", "").replace("(?i)", "").replace("[（(]", "").replace("[（(", "").count("("))
+
+
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once a row, however many elements of another one's lambda read it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda acc, x: acc + x)
+
+
+def _steps(lengths: str) -> Column:
+    """The sum of all lengths before each step."""
+    return F.transform(F.sequence(F.lit(0), F.expr(f"(size({lengths}) - 1) div {_STEP}")), lambda c: _sum(F.slice(lengths, F.lit(1), c * _STEP)))
+
+
+def _placed(k: int) -> Column:
+    """The matches among the pieces ``_p`` of pattern ``k``: every second piece, with its offset."""
+    at = lambda i: F.get(f"_s{k}", F.floor(i / _STEP).cast("int")) + _sum(F.slice(f"_n{k}", i - i % _STEP + 1, i % _STEP))
+    odd = F.when(F.size(f"_p{k}") > 1, F.sequence(F.lit(1), F.size(f"_p{k}") - 2, F.lit(2))).otherwise(F.array().cast("array<int>"))
+    return F.transform(odd, lambda i, j: F.struct(F.lit(k).alias("kind"), j.alias("nth"), F.get(f"_p{k}", i).alias("said"), at(i).alias("at")))
+
+
+def matches(rows: DataFrame, *patterns: str, text: str = "text") -> DataFrame:
+    """One row a match: ``kind`` (which pattern), ``nth`` (from 0), ``said``, ``at`` (offset from 0), ``upto`` (its end), groups ``g1`` to ``g3``.
 
-    Offsets follow from the lengths of the pieces between matches, as SQL has no match positions.
+    A pattern marks its matches in one pass, the marked text is cut at the marks, and offsets are sums of the
+    pieces' lengths: whole steps of ``_STEP`` pieces first, then single ones, so that n matches take n * _STEP additions.
     """
-    pieces, said = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    length = lambda xs, n: F.aggregate(F.slice(xs, 1, n), F.lit(0), lambda acc, x: acc + F.length(x))
-    found = F.transform(said, lambda s, i: F.struct(s.alias("said"), (length(pieces, i + 1) + length(said, i)).alias("at")))
-    rows = rows.withColumn("_m", F.when(F.col(text).rlike(pattern), found))
-    rows = rows.select("*", F.posexplode("_m").alias("nth", "_f")).drop("_m")
-    rows = rows.withColumns({"said": F.col("_f.said"), "at": F.col("_f.at")}).drop("_f").withColumn("upto", F.col("at") + F.length("said"))
-    groups = min(3, pattern.replace("(?:", "").replace("\\(", "").replace("(?i)", "").replace("[（(]", "").replace("[（(", "").count("("))
-    return rows.withColumns({f"g{i}": F.regexp_extract("said", pattern, i) for i in range(1, groups + 1)})
+    rows = rows.where(reduce(Column.__or__, [F.col(text).rlike(p) for p in patterns]))
+    found = []
+    for k, pattern in enumerate(patterns):
+        rows = _once(rows, f"_p{k}", F.split(F.regexp_replace(F.translate(text, _MARK, "\x02"), pattern, f"{_MARK}$0{_MARK}"), _MARK, -1))
+        rows = _once(rows, f"_n{k}", F.transform(f"_p{k}", F.length))
+        rows = _once(rows, f"_s{k}", _steps(f"_n{k}"))
+        found.append(_placed(k))
+    rows = rows.withColumn("_f", F.explode(F.concat(*found)))
+    rows = rows.select("*", "_f.*").drop("_f", *[f"_{c}{k}" for c in "pns" for k in range(len(patterns))]).withColumn("upto", F.col("at") + F.length("said"))
+    group = lambda i: F.coalesce(*[F.when(F.col("kind") == k, F.regexp_extract("said", p, i)) for k, p in enumerate(patterns) if i <= _groups(p)])
+    return rows.withColumns({f"g{i}": group(i) for i in range(1, max(map(_groups, patterns)) + 1)})
 
 
 def part(text: str, start: Column, end: Column) -> Column:
@@ -71,11 +109,9 @@ def _label(text: Column) -> Column:
 
 def _candidates(blocks: DataFrame) -> DataFrame:
     """Matches of both patterns with the texts around them, references already left out."""
-    first = matches(blocks, NUMBER).withColumn("kind", F.lit(0))
-    second = matches(blocks, GARBLED).where("nth = 0").withColumn("kind", F.lit(1))
     rest = F.btrim(F.expr("substring(text, upto + 1)"))
-    second = second.where((F.length(rest) >= 8) & F.substring(rest, 1, 12).rlike(r"\p{L}"))
-    rows = first.unionByName(second)
+    rows = matches(blocks, NUMBER, GARBLED)
+    rows = rows.where((F.col("kind") == 0) | ((F.col("nth") == 0) & (F.length(rest) >= 8) & F.substring(rest, 1, 12).rlike(r"\p{L}")))
     rows = rows.withColumns({g: F.col(g).try_cast("int") for g in ("g1", "g2", "g3")})
     rows = rows.where(F.col("g1") == F.col("ch")).where((F.col("g2") <= MOST_SECTION) & (F.col("g3") <= MOST_NUMBER))
     at, upto = F.col("at"), F.col("upto")
@@ -93,7 +129,7 @@ def _candidates(blocks: DataFrame) -> DataFrame:
 
 def three_level(blocks: DataFrame, chapters: DataFrame) -> DataFrame:
     """Items ``N.S-N``: ``book, key, section, number, page, label, text``; of equal keys the first with a label stays."""
-    within = blocks.join(F.broadcast(chapters) if chapters.isLocal() else chapters, "book").where("page between start and end")
+    within = blocks.join(chapters, "book").where("page between start and end")
     rows = _candidates(reading_order(within).where("not heads"))
     rows = rows.withColumn("key", F.format_string("%d.%d-%d", "g1", "g2", "g3"))
     order = Window.partitionBy("book", "key").orderBy("seq", "kind", "at")
@@ -159,12 +195,13 @@ def recover_gaps(blocks: DataFrame, items: DataFrame, chapters: DataFrame) -> tu
     label or letters around it. A head or internal gap of which some but not all came back blocks; a tail gap of more
     than ``TAIL`` pages without a find is suspicious; everything else is resolved.
     """
-    gaps = section_gaps(items, chapters)
+    items = stored(items, "items")
     stage = F.when(F.col("gap") == "head", 0).when(F.col("gap") == "internal", 1).otherwise(2)
-    pages = gaps.withColumn("stage", stage).where("last_page >= first_page")
-    pages = pages.withColumn("page", F.explode(F.sequence("first_page", "last_page"))).drop("text")
-    again = blocks.where("btrim(text) <> ''").withColumn("text", F.btrim("text")).join(pages, ["book", "page"])
-    found = matches(again, NUMBER).withColumn("kind", F.lit(0)).unionByName(matches(again, GARBLED).where("nth = 0").withColumn("kind", F.lit(1)))
+    gaps = stored(section_gaps(items, chapters).withColumn("stage", stage), "gaps")
+    # A range join within a book: no range is written out page by page, however far it reaches.
+    again = blocks.where("btrim(text) <> ''").withColumn("text", F.btrim("text"))
+    again = again.join(gaps.where("last_page >= first_page"), "book").where("page between first_page and last_page")
+    found = matches(again, NUMBER, GARBLED).where("kind = 0 or nth = 0")
     found = found.where((F.col("g1").try_cast("int") == F.col("ch")) & (F.col("g2").try_cast("int") == F.col("section"))).withColumn("number", F.col("g3").try_cast("int"))
     found = found.withColumns({"snippet": part("text", F.col("at") - 5, F.col("upto") + 30), "key": F.format_string("%d.%d-%d", F.col("ch").cast("int"), F.col("section").cast("int"), "number")})
     found = found.withColumn("label", F.coalesce(_label(F.col("snippet")), "section_label", F.lit(BARE)))
@@ -172,10 +209,9 @@ def recover_gaps(blocks: DataFrame, items: DataFrame, chapters: DataFrame) -> tu
     found = found.join(items.select("book", "key"), ["book", "key"], "left_anti")
     order = Window.partitionBy("book", "key").orderBy("stage", "page", "block", "kind", "at")
     found = found.withColumn("nth_key", F.row_number().over(order)).where("nth_key = 1")
-    recovered = found.select("book", "key", "section", "number", "page", "label", F.substring("snippet", 1, 120).alias("text"), "stage")
+    recovered = stored(found.select("book", "key", "section", "number", "page", "label", F.substring("snippet", 1, 120).alias("text"), "stage"), "recovered")
 
     held = items.select("book", "section", "number").withColumn("stage", F.lit(-1)).unionByName(recovered.select("book", "section", "number", "stage"))
-    gaps = gaps.withColumn("stage", stage)
     now = gaps.join(held.withColumnRenamed("stage", "since"), ["book", "section"])
     inside = (F.col("number") >= F.col("gap_low")) & (F.col("number") <= F.col("gap_high")) & (F.col("since") <= F.col("stage"))
     counts = now.groupBy("book", "section", "gap", "gap_low", "gap_high", "first_page", "last_page").agg(

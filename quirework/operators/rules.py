@@ -328,9 +328,10 @@ def findings(ctx: DataFrame, disabled: Iterable[str] = ()) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def gate(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``doc_id, n_blocking, n_warning, passed`` for every document."""
-    counts = found.groupBy("doc_id").agg(F.count_if(F.col("severity") == BLOCKS).alias("n_blocking"), F.count_if(F.col("severity") == WARNS).alias("n_warning"))
+def gate(docs: DataFrame, counted: DataFrame) -> DataFrame:
+    """``doc_id, n_blocking, n_warning, passed`` for every document, of the counts of ``all_layers``."""
+    total = lambda severity: F.coalesce(F.sum(F.when(F.col("severity") == severity, F.col("n"))), F.lit(0))
+    counts = counted.groupBy("doc_id").agg(total(BLOCKS).alias("n_blocking"), total(WARNS).alias("n_warning"))
     out = docs.select("doc_id").join(counts, "doc_id", "left").na.fill(0, ["n_blocking", "n_warning"])
     return out.withColumn("passed", F.col("n_blocking") == 0)
 

@@ -12,6 +12,7 @@ from .operators import figures, items, keys, maths, reports, rewriters, rules
 from .plans import oracles as O
 from .plans.lines import line_context, md_lines
 from .plans.markup import ITEMS, LAYOUT, MATHS, STRUCTURE, marked, marked_sql
+from .plans.stored import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,9 +34,13 @@ def lines_of(spark: SparkSession, sf_dir: str, table: dict[int, str] = STRUCTURE
     return marked(read(spark, sf_dir, "documents"), table)
 
 
-def context_of(spark: SparkSession, sf_dir: str, table: dict[int, str] = STRUCTURE) -> DataFrame:
-    """Line context that many rules read: kept, with its partitioning and order, while they run."""
-    return line_context(lines_of(spark, sf_dir, table)).persist()
+def over_lines(spark: SparkSession, sf_dir: str, table: dict[int, str], run: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """``run`` over a line context that many rules read: kept with its partitioning and order until the result is written, then released."""
+    ctx = line_context(lines_of(spark, sf_dir, table)).persist()
+    try:
+        return stored(run(ctx), label)
+    finally:
+        ctx.unpersist()
 
 
 # --- lines and their context
@@ -161,16 +166,10 @@ def _all_findings() -> str:
     return " UNION ALL ".join(parts)
 
 
-add("findings", lambda s, d: rules.findings(context_of(s, d)), _all_findings())
-add(
-    "gate_summary",
-    lambda s, d: rules.gate(read(s, d, "documents"), rules.findings(context_of(s, d))),
-    f"""WITH f AS (SELECT doc_id, count(*) FILTER (severity = 'blocks') AS b, count(*) FILTER (severity = 'warns') AS w FROM ({_all_findings()}) GROUP BY doc_id)
-SELECT documents.doc_id, coalesce(b, 0) AS n_blocking, coalesce(w, 0) AS n_warning, coalesce(b, 0) = 0 AS passed FROM documents LEFT JOIN f ON documents.doc_id = f.doc_id""",
-)
+add("findings", lambda s, d: over_lines(s, d, STRUCTURE, rules.findings, "findings"), _all_findings())
 add(
     "gate_pivot",
-    lambda s, d: rules.gate_pivot(rules.findings(context_of(s, d))),
+    lambda s, d: over_lines(s, d, STRUCTURE, lambda c: rules.gate_pivot(rules.findings(c)), "pivot"),
     "SELECT doc_id, " + ", ".join(f"count(*) FILTER (rule = '{n}') AS {n}" for n in sorted(rules.RULES)) + f" FROM ({_all_findings()}) GROUP BY doc_id",
 )
 
@@ -281,7 +280,7 @@ for _name, _rewrite in rewriters.REWRITERS.items():
     _table = MATHS if _name == "split_display" else LAYOUT if _name in _OVER_LAYOUT else STRUCTURE
     _sql = _REWRITES.get(_name)
     add(f"fix_{_name}", lambda s, d, f=_rewrite, t=_table: f(lines_of(s, d, t)), _laid_out(_sql) if _sql and _name in _OVER_LAYOUT else _sql)
-add("layout_findings", lambda s, d: rules.findings(context_of(s, d, LAYOUT)), _laid_out(_all_findings()))
+add("layout_findings", lambda s, d: over_lines(s, d, LAYOUT, rules.findings, "layout"), _laid_out(_all_findings()))
 
 
 def _chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,7 +354,7 @@ for _name, _find in maths.MATHS_RULES.items():
     add(_name, lambda s, d, find=_find: find(line_context(lines_of(s, d, MATHS))), _MATHS_SQL[_name])
 add(
     "maths_counts",
-    lambda s, d: maths.maths_findings(context_of(s, d, MATHS)).groupBy("rule").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("documents")),
+    lambda s, d: over_lines(s, d, MATHS, maths.maths_findings, "maths").groupBy("rule").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("documents")),
     "SELECT rule, count(*) AS n, count(DISTINCT doc_id) AS documents FROM (" + " UNION ALL ".join(f"SELECT doc_id, '{n}' AS rule FROM ({sql})" for n, sql in _MATHS_SQL.items()) + ") GROUP BY rule",
 )
 
@@ -552,4 +551,5 @@ add(
 SELECT count(*) AS books, CAST(sum(n) AS BIGINT) AS files, CAST(sum(f) AS BIGINT) AS passed, CAST(sum(n) AS BIGINT) AS total, count(*) FILTER (f < n) AS failing, CAST(0 AS BIGINT) AS broken FROM b""",
 )
 
-from . import queries_repairs, queries_scans  # noqa: E402,F401  (they register their queries)
+from . import queries_scans  # noqa: E402,F401
+from . import queries_repairs  # noqa: E402,F401  (they register their queries)

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import patterns as P
 from .functions.text import SPACE
-from .operators import figures, items, keys, maths, repairs, rewriters, rules, scans
+from .operators import keys, maths, repairs, rewriters, rules
 from .plans import oracles as O
 from .plans.lines import line_context
-from .plans.markup import MATHS, REPAIRS
-from .queries import _blocks, _chapters, _first_sql, _items, _noise, _wanted, add, context_of, lines_of, read
-from .queries_scans import _index
+from .plans.markup import MATHS, REPAIRS, STRUCTURE
+from .queries import ORACLES, QUERIES, _blocks, _first_sql, add, lines_of, over_lines, read
+from . import queries_scans  # noqa: F401  (the gate reads its queries)
 
 _REST = r"regexp_replace(regexp_replace(line, '\\.', '', 'g'), '\$\$.*?(?:\$\$|$)', '', 'g')"
 _ODD = f"((length({_REST}) - length(replace({_REST}, '$', ''))) % 2 = 1)"
@@ -85,26 +86,68 @@ def _maths_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 add("maths_chain_counts", _maths_chain)
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Findings of every layer: ``doc_id, layer, rule, severity, n``."""
-    lines = lines_of(spark, sf_dir)
-    state = keys.compare(_wanted(spark, sf_dir), keys.md_keys(lines), _noise(spark, sf_dir)).where("status <> 'ignored'")
-    source = scans.source_sections(_blocks(spark, sf_dir), _chapters(spark, sf_dir)).withColumnRenamed("book", "doc_id")
-    headed = scans.summary_headings(lines, _chapters(spark, sf_dir).withColumnRenamed("book", "doc_id"))
-    sections = keys.section_state(source.where("high is not null").select("doc_id", "section", "high"), keys.section_numbers(lines), headed)
-    sections = sections.join(source.where("headed").select("doc_id", "section"), ["doc_id", "section"], "left").select("doc_id", "section", "state")
-    found = items.recover_gaps(_blocks(spark, sf_dir), _items(spark, sf_dir), _chapters(spark, sf_dir))[1]
-    index = _index(spark, sf_dir).where("source = 'detect'").select("ch", "label")
-    shown = figures.completeness(_index(spark, sf_dir, 1).where("label is not null").select("ch", "label"), index, index.where("false")).select(F.col("ch").cast("long").alias("doc_id"), "status")
-    return rules.all_layers(
-        A=state.select("doc_id", F.col("status").alias("rule"), F.when(F.col("status") == "missing", "blocks").otherwise("warns").alias("severity")),
-        B=found.where("verdict <> 'resolved'").select(F.col("book").alias("doc_id"), F.concat(F.col("gap"), F.lit("_gap")).alias("rule"), F.when(F.col("verdict") == "blocking", "blocks").otherwise("warns").alias("severity")),
-        C=maths.maths_findings(context_of(spark, sf_dir, MATHS)).select("doc_id", "rule", F.lit("blocks").alias("severity")),
-        D=sections.select("doc_id", F.concat(F.lit("section_"), F.col("state")).alias("rule"), F.when(F.col("state") == "missing", "blocks").otherwise("warns").alias("severity")),
-        E=shown.select("doc_id", F.concat(F.lit("figure_"), F.col("status")).alias("rule"), F.when(F.col("status") == "missing", "blocks").otherwise("warns").alias("severity")),
-        G=rules.findings(context_of(spark, sf_dir)).select("doc_id", "rule", "severity"),
-    )
-
-
-add("gate_layers", _layers)
-add("gate_report", lambda s, d: rules.report(_layers(s, d)))
+# --- the gate: every layer's findings, counted
+
+
+def _severity(blocks: str):
+    return F.when(F.expr(blocks), "blocks").otherwise("warns").alias("severity")
+
+
+def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of the sections that a scan heads and labels, against headings and numbers of the summary."""
+    source = QUERIES["source_sections"](spark, sf_dir).where("headed and high is not null").select(F.col("book").alias("doc_id"), "section", "high")
+    return keys.section_state(source, QUERIES["section_numbers"](spark, sf_dir), QUERIES["summary_headings"](spark, sf_dir))
+
+
+_LAYERS = {
+    "0": lambda s, d: QUERIES["label_conflicts"](s, d).select(F.col("book").alias("doc_id"), F.lit("label_conflict").alias("rule"), F.lit("warns").alias("severity")),
+    "A": lambda s, d: QUERIES["key_compare"](s, d).where("status <> 'ignored'").select("doc_id", F.col("status").alias("rule"), _severity("status = 'missing'")),
+    "B": lambda s, d: QUERIES["gap_verdicts"](s, d).where("verdict <> 'resolved'").select(F.col("book").alias("doc_id"), F.concat("gap", F.lit("_gap")).alias("rule"), _severity("verdict = 'blocking'")),
+    "C": lambda s, d: over_lines(s, d, MATHS, maths.maths_findings, "maths").select("doc_id", "rule", F.lit("blocks").alias("severity")),
+    "D": lambda s, d: _sections(s, d).select("doc_id", F.concat(F.lit("section_"), "state").alias("rule"), _severity("state = 'missing'")),
+    "E": lambda s, d: QUERIES["figure_completeness"](s, d).select(F.col("ch").cast("long").alias("doc_id"), F.concat(F.lit("figure_"), "status").alias("rule"), _severity("status = 'missing'")),
+    "F": lambda s, d: QUERIES["figure_faults"](s, d).select(F.expr("cast(substring(file, 2) as long) div 400").alias("doc_id"), F.concat(F.lit("file_"), "fault").alias("rule"), "severity"),
+    "G": lambda s, d: QUERIES["findings"](s, d).select("doc_id", "rule", "severity"),
+}
+LAYERS = tuple(_LAYERS)
+
+
+def layers(spark: SparkSession, sf_dir: str, disabled: Iterable[str] = ()) -> DataFrame:
+    """``doc_id, layer, rule, severity, n`` of every layer that is not disabled; a code of structure rules disables these."""
+    off = set(disabled)
+    own = {"G": lambda s, d: over_lines(s, d, STRUCTURE, lambda c: rules.findings(c, off), "findings").select("doc_id", "rule", "severity")} if off else {}
+    return rules.all_layers(**{code: run(spark, sf_dir) for code, run in (_LAYERS | own).items() if code not in off or code == "G"})
+
+
+def _layer_sql(layer: str, rule: str, severity: str, source: str, doc: str = "doc_id", where: str = "true") -> str:
+    return f"SELECT CAST({doc} AS BIGINT) AS doc_id, '{layer}' AS layer, {rule} AS rule, {severity} AS severity FROM ({source}) q_{layer} WHERE {where}"
+
+
+_blocks_if = lambda what: f"CASE WHEN {what} THEN 'blocks' ELSE 'warns' END"
+_STATES = f"""WITH so AS ({ORACLES['source_sections']}), sn AS ({ORACLES['section_numbers']}), sh AS ({ORACLES['summary_headings']}), st AS (SELECT so.book AS doc_id, CASE WHEN sh.section IS NULL THEN 'missing'
+WHEN so.high - coalesce(sn.high, 0) > 5 THEN 'suspect' WHEN so.high > coalesce(sn.high, 0) THEN 'tail' END AS state FROM so LEFT JOIN sn ON sn.doc_id = so.book AND sn.section = so.section LEFT JOIN sh ON sh.doc_id = so.book AND sh.section = so.section
+WHERE so.headed AND so.high IS NOT NULL) SELECT * FROM st WHERE state IS NOT NULL"""
+_MATHS_FOUND = " UNION ALL ".join(f"SELECT doc_id, '{n}' AS rule FROM ({ORACLES[n]})" for n in maths.MATHS_RULES)
+_COUNTED = "SELECT doc_id, layer, rule, severity, count(*) AS n FROM (" + " UNION ALL ".join((
+    _layer_sql("0", "'label_conflict'", "'warns'", ORACLES["label_conflicts"], "book"),
+    _layer_sql("A", "status", _blocks_if("status = 'missing'"), ORACLES["key_compare"], where="status <> 'ignored'"),
+    _layer_sql("B", "gap || '_gap'", _blocks_if("verdict = 'blocking'"), ORACLES["gap_verdicts"], "book", "verdict <> 'resolved'"),
+    _layer_sql("C", "rule", "'blocks'", _MATHS_FOUND),
+    _layer_sql("D", "'section_' || state", _blocks_if("state = 'missing'"), _STATES),
+    _layer_sql("E", "'figure_' || status", _blocks_if("status = 'missing'"), ORACLES["figure_completeness"], "ch"),
+    _layer_sql("F", "'file_' || fault", "severity", ORACLES["figure_faults"], "CAST(substring(file, 2) AS BIGINT) // 400"),
+    _layer_sql("G", "rule", "severity", ORACLES["findings"]),
+)) + ") GROUP BY ALL"
+add("gate_layers", layers, _COUNTED)
+add(
+    "gate_summary",
+    lambda s, d: rules.gate(read(s, d, "documents"), layers(s, d)),
+    f"""WITH f AS (SELECT doc_id, CAST(coalesce(sum(n) FILTER (severity = 'blocks'), 0) AS BIGINT) AS b, CAST(coalesce(sum(n) FILTER (severity = 'warns'), 0) AS BIGINT) AS w FROM ({_COUNTED}) GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(b, 0) AS n_blocking, coalesce(w, 0) AS n_warning, coalesce(b, 0) = 0 AS passed FROM documents LEFT JOIN f ON documents.doc_id = f.doc_id""",
+)
+add(
+    "gate_report",
+    lambda s, d: rules.report(layers(s, d)),
+    f"""SELECT doc_id, count(*) FILTER (severity = 'blocks') = 0 AS passed, string_agg(CASE severity WHEN 'blocks' THEN 'FAIL ' ELSE 'warn ' END || layer || ' ' || rule || ': ' || n, chr(10) ORDER BY severity <> 'blocks', layer, rule, n) AS text
+FROM ({_COUNTED}) GROUP BY doc_id""",
+)

@@ -210,7 +210,7 @@ add(
     "figure_names",
     lambda s, d: figures.file_names(_index(s, d)),
     f"""WITH {_V}, {_index_sql('i')}, n AS (SELECT *, row_number() OVER (PARTITION BY ch, label ORDER BY page, fig_idx) AS k FROM i)
-SELECT * EXCLUDE (k), 'ch' || CASE WHEN ch < 10 THEN '0' || ch ELSE CAST(ch AS VARCHAR)[1:2] END || CASE WHEN label IS NULL THEN '_unnamed_' || CASE WHEN k < 10 THEN '0' || k ELSE CAST(k AS VARCHAR)[1:2] END ELSE '_fig' || label || CASE WHEN k > 1 THEN '_' || k ELSE '' END END AS name FROM n""",
+SELECT * EXCLUDE (k), 'ch' || printf('%02d', ch) || CASE WHEN label IS NULL THEN '_unnamed_' || printf('%02d', k) ELSE '_fig' || label || CASE WHEN k > 1 THEN '_' || k ELSE '' END END AS name FROM n""",
 )
 add(
     "figure_merge",

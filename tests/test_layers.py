@@ -4,6 +4,7 @@ from collections import Counter
 
 from quirework.operators import figures, rules
 from quirework.queries import QUERIES
+from quirework.queries_repairs import LAYERS
 from quirework.queries_scans import _figures
 
 SF = "/root/testdata/sf0.001"
@@ -21,7 +22,9 @@ def test_layers_and_report(spark):
 def test_every_layer_reaches_the_gate(spark):
     """The gate's counts are those of the layers' own queries, and every layer has at least one row."""
     rows = QUERIES["gate_layers"](spark, SF).collect()
-    assert {r.layer for r in rows} == {"A", "B", "C", "D", "E", "G"}
+    assert {r.layer for r in rows} == {"0", "A", "B", "C", "D", "E", "F", "G"}
+    assert {"figure_missing", "figure_extra"} <= {r.rule for r in rows if r.layer == "E"}
+    assert {"section_missing", "section_tail"} & {r.rule for r in rows if r.layer == "D"} and {"file_small", "file_blank"} <= {r.rule for r in rows if r.layer == "F"}
     own = Counter()
     for r in QUERIES["key_compare"](spark, SF).where("status <> 'ignored'").collect():
         own[r.doc_id, "A", r.status] += 1
@@ -32,7 +35,7 @@ def test_every_layer_reaches_the_gate(spark):
     assert {(r.doc_id, r.layer, r.rule): r.n for r in rows if r.layer in "ABG"} == own
     maths = Counter(r.rule for r in rows if r.layer == "C" for _ in range(r.n))
     assert maths == {r.rule: r.n for r in QUERIES["maths_counts"](spark, SF).collect()}
-    spark.catalog.clearCache()
+    assert not spark._jsparkSession.sharedState().cacheManager().numCachedEntries()
 
 
 def test_greedy_assignment_equals_plain_version(spark):
@@ -55,10 +58,9 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["list"]) == 0 and "gate_summary" in capsys.readouterr().out.split()
     assert main(["run", "order_rollup", SF, f"{tmp_path}/a"], spark) == 0 and spark.read.parquet(f"{tmp_path}/a").count() == 1
     assert main(["gate", SF, f"{tmp_path}/b"], spark) == 1
-    every = sorted({r.code for r in rules.RULES.values()} - {"S"})
+    every = sorted({r.code for r in rules.RULES.values()} - {"S"} | set(LAYERS))
     assert main(["gate", SF, f"{tmp_path}/c", "--disable", *every], spark) == 0
     assert spark.read.parquet(f"{tmp_path}/b").count() == spark.read.parquet(f"{tmp_path}/c").count() == spark.read.parquet(f"{SF}/documents.parquet").count()
-    spark.catalog.clearCache()
 
 
 def test_embedded_figures(spark):
