@@ -1,7 +1,4 @@
-"""Repairs of maths markup as line rewriters, and the chain in which they run.
-
-The brace repair of the chain (a walk over single characters with state) is not built; see the README.
-"""
+"""Repairs of maths markup as line rewriters, and the chain in which they run."""
 
 from __future__ import annotations
 
@@ -12,6 +9,7 @@ from ..functions import patterns as P
 from ..functions.text import SPACE, strip
 from ..plans.lines import after, before, latch, line_context
 from . import rewriters
+from .braces import braces
 from .rewriters import _replaced, numbered
 from .rules import _is
 
@@ -84,12 +82,12 @@ def gaps_quoted(lines: DataFrame) -> DataFrame:
 
 
 REPAIRS = {f.__name__: f for f in (close_dollars, spaced_commands, stray_after_diagram, display_rebuilt, gaps_quoted)}
-#: The maths chain; brace repair would follow the diagrams.
-MATHS_CHAIN = (close_dollars, rewriters.wrapping_display, spaced_commands, stray_after_diagram, rewriters.display_without_blanks, rewriters.broken_commands)
+#: The maths chain, by name.
+MATHS_STEPS = {f.__name__: f for f in (close_dollars, rewriters.wrapping_display, spaced_commands, stray_after_diagram, braces, rewriters.display_without_blanks, rewriters.broken_commands)}
 
 
-def maths_repaired(lines: DataFrame, steps: tuple = MATHS_CHAIN) -> DataFrame:
-    for step in steps:
+def maths_repaired(lines: DataFrame) -> DataFrame:
+    for step in MATHS_STEPS.values():
         lines = step(lines)
     return lines
 

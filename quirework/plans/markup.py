@@ -42,6 +42,11 @@ REPAIRS = {
     0: "$$", 1: "$$", 2: "a $x$ 和 $y，", 3: "> **证明**：{raw}", 4: "\\begin{CD}", 5: "A @>>> \\end{CD}", 6: "\\in t x\\in fty\\in f \\in t\\in t{raw}", 7: "\\qquad   x\\quad y\\frac1a{2}{raw}", 8: "", 9: "> ",
     10: ">  > b {raw}", 11: "> $$", 12: "**定理{key}** {raw}", 13: "  $$  ", 14: "b \\$ $$c$$ $d$ $e) ", 15: "> ", 16: "定理{n} {raw}", 17: "## 习题 {raw}", 18: "**练习{n}** {raw}", 19: "$$", 20: "A @>f>g> B @VVV C @>h>k< D{raw}", 21: "> 证毕 {raw}", 22: "> c {raw}",
 }
+#: Lines whose maths has braces with a backslash too many or too few.
+BRACES = {
+    0: "$$", 1: "$$", 2: "\\mathcal\\{A\\}_\\{n\\} {raw}", 3: "$x_\\{a\\}$ {raw}", 4: "\\{x} $y", 5: "$\\{x}$ {raw}", 6: "\\frac\\{a\\}\\{b\\}", 7: "\\sqrt{1-x\\}}", 8: "a$ {raw}",
+    9: "$\\mathbb \\{R\\}^\\{n\\}$ {raw}", 10: "\\}{raw}", 11: "$\\{x \\in A\\}$ {raw}",
+}
 KINDS = 23
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from .functions import patterns as P
 from .functions.text import SPACE
-from .operators import keys, maths, repairs, rewriters, rules
+from .operators import braces, keys, maths, repairs, rewriters, rules
 from .plans import oracles as O
 from .plans.lines import line_context
-from .plans.markup import MATHS, REPAIRS, STRUCTURE
+from .plans.markup import BRACES, MATHS, REPAIRS, STRUCTURE
 from .queries import ORACLES, QUERIES, _blocks, _first_sql, add, lines_of, over_lines, read
 from . import queries_scans  # noqa: F401  (the gate reads its queries)
 
@@ -84,6 +84,9 @@ def _maths_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 add("maths_chain_counts", _maths_chain)
+add("maths_chain_fired", lambda s, d: braces.fired(lines_of(s, d, REPAIRS), repairs.MATHS_STEPS)[1].groupBy("step").agg(F.count("*").alias("documents")))
+add("fix_braces", lambda s, d: braces.braces(lines_of(s, d, BRACES)))
+add("fix_maths_fixpoint", lambda s, d: braces.settled(lines_of(s, d, MATHS), braces.edited)[0])
 
 
 # --- the gate: every layer's findings, counted
