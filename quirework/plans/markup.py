@@ -47,6 +47,11 @@ BRACES = {
     0: "$$", 1: "$$", 2: "\\mathcal\\{A\\}_\\{n\\} {raw}", 3: "$x_\\{a\\}$ {raw}", 4: "\\{x} $y", 5: "$\\{x}$ {raw}", 6: "\\frac\\{a\\}\\{b\\}", 7: "\\sqrt{1-x\\}}", 8: "a$ {raw}",
     9: "$\\mathbb \\{R\\}^\\{n\\}$ {raw}", 10: "\\}{raw}", 11: "$\\{x \\in A\\}$ {raw}",
 }
+#: Summaries into which figures are put: items, proofs, and images that are there already.
+FIGURED = {
+    0: "**定理{key}** {raw}", 1: "> **例{key}**：{raw}", 2: "> **证明**：{raw}", 3: "", 4: "---", 5: "> {raw}", 6: '<img src="_extract/figure/f1.png">', 7: '> <img src="_extract/figure/f2.png">', 8: "**例 {key}** {raw}",
+    9: "## §{raw}", 10: ">", 11: "$$", 12: '<div style="display:flex; gap:6px; flex-wrap:wrap; justify-content:center">', 13: "</div>", 14: '<img src="_extract/figure/f0.png">', 15: "**Theorem {key}** {raw}",
+}
 KINDS = 23
 
 

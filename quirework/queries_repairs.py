@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from .functions import patterns as P
 from .functions.text import SPACE
-from .operators import braces, keys, maths, repairs, rewriters, rules
+from .operators import braces, embedding, figures, keys, maths, repairs, rewriters, rules
 from .plans import oracles as O
 from .plans.lines import line_context
-from .plans.markup import BRACES, MATHS, REPAIRS, STRUCTURE
+from .plans.markup import BRACES, FIGURED, MATHS, REPAIRS, STRUCTURE
 from .queries import ORACLES, QUERIES, _blocks, _first_sql, add, lines_of, over_lines, read
 from . import queries_scans  # noqa: F401  (the gate reads its queries)
 
@@ -89,6 +89,62 @@ add("fix_braces", lambda s, d: braces.braces(lines_of(s, d, BRACES)))
 add("fix_maths_fixpoint", lambda s, d: braces.settled(lines_of(s, d, MATHS), braces.edited)[0])
 
 
+# --- figures in summaries: four of each document, one by the number of a line's item, one by hand
+
+_FIGURES = """f AS (SELECT doc_id, i AS fig, (doc_id + i) % 3 AS page, 'f' || i || '.png' AS file,
+CASE i WHEN 0 THEN '图 1 定理' || k || ' 的示意' WHEN 1 THEN '图 2 例' || k || '图中的点' WHEN 2 THEN '例' || k || ' 的证明' END AS caption, CASE WHEN i % 2 = 0 THEN 10.0 * i END AS x0, 100.0 * (doc_id % 15) + 50 AS x1
+FROM (SELECT doc_id, i, (doc_id % 9 + 1) || '.' || ((doc_id + i) % 5 + 1) || '-' || ((doc_id + i) % 6 + 1) AS k FROM documents, range(4) t(i)))"""
+
+
+def _figured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.array(*map(F.lit, range(4)))).alias("fig"))
+    docs = docs.withColumn("k", F.expr("concat(cast(doc_id % 9 + 1 as string), '.', cast((doc_id + fig) % 5 + 1 as string), '-', cast((doc_id + fig) % 6 + 1 as string))"))
+    return docs.selectExpr(
+        "doc_id", "fig", "cast((doc_id + fig) % 3 as int) as page", "concat('f', cast(fig as string), '.png') as file",
+        "case fig when 0 then concat('图 1 定理', k, ' 的示意') when 1 then concat('图 2 例', k, '图中的点') when 2 then concat('例', k, ' 的证明') end as caption",
+        "case when fig % 2 = 0 then cast(10 * fig as double) end as x0", "cast(100 * (doc_id % 15) + 50 as double) as x1", "case when fig = 3 then array('## §', '$$') end as anchors", "fig = 3 and doc_id % 2 = 0 as anchors_proof",
+    )
+
+
+_SPOTS = f"""{_FIGURES}, sh AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(line, {O.q(embedding.SHOWN)}, 1)) AS file FROM c), n AS (SELECT f.* FROM f WHERE NOT EXISTS (SELECT 1 FROM sh WHERE sh.doc_id = f.doc_id AND sh.file = f.file)),
+g AS (SELECT *, CASE WHEN fig = 3 THEN ['## §', '$$'] ELSE flatten(list_transform(CASE WHEN fig = 0 THEN ['定理', 'Theorem'] ELSE ['例', '示例', 'Example'] END, lambda x: ['**' || x || ' ' || num, '**' || x || num, '**' || num || ' ' || x])) END AS cands
+  FROM (SELECT *, CASE WHEN fig < 3 THEN regexp_extract(caption, '(?:定理|例)(\\d+\\.\\d+-\\d+)', 1) END AS num FROM n)),
+w AS (SELECT * EXCLUDE (cands), unnest(cands) AS cand, unnest(range(len(cands))) AS nth FROM g),
+s0 AS (SELECT *, {O.m('line', embedding.ITEM_STOP)} OR starts_with(line, '>') OR starts_with(t, '---') OR starts_with(line, '##') OR starts_with(line, '# ') AS stop FROM c),
+s AS (SELECT doc_id, line_no, line, {O.after("CASE WHEN stop THEN {'no': line_no, 'quoted': starts_with(line, '>')} END")} AS stop, max(line_no) OVER (PARTITION BY doc_id) AS last_no FROM s0),
+m AS (SELECT w.doc_id, fig, page, file, caption, x0, x1, s.stop, s.last_no, CASE WHEN fig = 3 THEN w.doc_id % 2 = 0 ELSE contains(caption, '证明') END AS proof, row_number() OVER (PARTITION BY w.doc_id, fig ORDER BY starts_with({O.strip("regexp_replace(line, '^\\s*[> ]*', '')")}, cand) DESC, nth, line_no) AS r
+  FROM w JOIN s ON s.doc_id = w.doc_id AND contains(s.line, cand)),
+p AS (SELECT *, proof AND coalesce(stop.quoted, false) AS quoted, coalesce(nullif(regexp_extract(coalesce(caption, ''), '(图\\s*\\d+)', 1), ''), '图') AS tag,
+  substring(regexp_replace(regexp_replace({O.strip("regexp_replace(coalesce(caption, ''), '^图\\s*\\d+\\s*', '')")}, '图中.*$', '示意图'), '中的.*$', '示意图'), 1, 40) AS short,
+  coalesce(round_even((x1 - x0 + {figures.PADDING}) / {figures.PAGE_WIDTH} * 100, 1), {figures.DEFAULT_WIDTH}) AS width FROM m WHERE r = 1),
+i AS (SELECT *, '<img src="_extract/figure/' || file || '" alt="' || tag || ' ' || short || '" width="' || width || '%" height="auto">' AS img FROM p),
+a AS (SELECT doc_id, CASE WHEN quoted THEN stop.no + 1 ELSE coalesce(stop.no, last_no + 1) END AS place, 0 AS side, -page AS o1, -fig AS o2, unnest(CASE WHEN quoted THEN ['>', '> ' || img] WHEN proof THEN ['', img, ''] ELSE ['', img] END) AS line,
+  unnest(range(CASE WHEN proof AND NOT quoted THEN 3 ELSE 2 END)) AS pos FROM i),
+u AS (SELECT doc_id, place, side, o1, o2, pos, line FROM a UNION ALL SELECT doc_id, line_no, 1, 0, 0, 0, line FROM c)"""
+add(
+    "fix_figures_embedded",
+    lambda s, d: embedding.embedded(lines_of(s, d, FIGURED), _figured(s, d)),
+    O.over_context("SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY place, side, o1, o2, pos) AS INTEGER) AS line_no, line FROM u", FIGURED, _SPOTS),
+)
+_TERM = lambda c: f"({O.m(c, embedding.IMAGE_END)} AND NOT coalesce(starts_with(ltrim({c}), '>'), false))"
+add(
+    "fix_images_continued",
+    lambda s, d: embedding.images_continued(lines_of(s, d, FIGURED)),
+    O.over_context(f"SELECT doc_id, line_no, CASE WHEN blank AND inside AND nnb IS NOT NULL AND NOT {O.m('nnb', embedding.IMAGE_HEAD)} AND NOT {_TERM('nnb')} THEN '> ' ELSE line END AS line FROM k", FIGURED, f"k AS (SELECT *, {O.latch(O.m('line', embedding.IMAGE_HEAD), _TERM('line'))} AS inside FROM c)"),
+)
+add("fix_images_side_by_side", lambda s, d: embedding.images_side_by_side(lines_of(s, d, FIGURED)))
+_ITEM_NO = f"nullif(regexp_replace(regexp_extract(line, {O.q(chr(94) + chr(92) + f's*(?:>{chr(92)}s*)?{chr(92)}*{chr(92)}*(?:{P.CAPTION_KINDS}|' + '|'.join(P.CAPTION_KINDS_EN) + f'){chr(92)}s*{P.CAPTION_NUMBER}')}, 1), '\\s+', '', 'g'), '')"
+add(
+    "figure_out_of_block",
+    lambda s, d: embedding.out_of_block(lines_of(s, d, FIGURED), _figured(s, d)),
+    O.over_context(
+        """SELECT * FROM (SELECT j.doc_id, line_no, j.file, CASE WHEN fig > 0 AND NOT open THEN 'outside' WHEN coalesce(item, '') <> num THEN 'other_item' END AS fault
+FROM (SELECT doc_id, line_no, item, open, unnest(files) AS file FROM v) j JOIN (SELECT *, regexp_extract(caption, '(?:定理|例)([0-9]+[.][0-9]+-[0-9]+)', 1) AS num FROM f WHERE fig < 3) f ON f.doc_id = j.doc_id AND f.file = j.file) WHERE fault IS NOT NULL""",
+        FIGURED,
+        f"{_FIGURES}, v AS (SELECT doc_id, line_no, regexp_extract_all(line, {O.q(embedding.SHOWN)}, 1) AS files, {O.before(_ITEM_NO)} AS item, {O.latch(O.m('line', embedding.IMAGE_HEAD), _TERM('line'))} AND starts_with(ltrim(line), '>') AS open FROM c)",
+    ),
+)
+
 # --- the gate: every layer's findings, counted
 
 
