@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from .functions import patterns as P
 from .functions.text import SPACE
-from .operators import braces, embedding, figures, keys, maths, repairs, rewriters, rules
+from .operators import braces, embedding, figures, formulas, keys, maths, repairs, rewriters, rules, terms
 from .plans import oracles as O
-from .plans.lines import line_context
+from .plans.lines import line_context, md_lines
 from .plans.markup import BRACES, FIGURED, MATHS, REPAIRS, STRUCTURE
 from .queries import ORACLES, QUERIES, _blocks, _first_sql, add, lines_of, over_lines, read
 from . import queries_scans  # noqa: F401  (the gate reads its queries)
@@ -145,6 +145,37 @@ FROM (SELECT doc_id, line_no, item, open, unnest(files) AS file FROM v) j JOIN (
     ),
 )
 
+# --- formulas and terms: words of a line as symbols of a formula, words of the benchmark as terms
+
+
+def _formulas(spark: SparkSession, sf_dir: str, summary: bool) -> DataFrame:
+    """A formula of each line's first twelve words; in the summary every third one has another symbol, every fifth one more."""
+    words = F.slice(F.regexp_extract_all("line", F.lit("[A-Za-z]+"), F.lit(0)), 1, 12)
+    rows = md_lines(read(spark, sf_dir, "documents")).select("doc_id", F.col("line_no").alias("id"), words.alias("w")).where("size(w) > 0")
+    if summary:
+        changed = F.when(F.col("id") % 3 == 0, F.transform("w", lambda x, i: F.when(i == 0, F.lit("emptyset")).otherwise(x))).otherwise(F.col("w"))
+        rows = rows.withColumn("w", F.when(F.col("id") % 5 == 0, F.concat(changed, F.array(F.lit("cup")))).otherwise(changed))
+    return rows.select("doc_id", "id", F.concat(F.lit("\\pmb "), F.array_join(F.transform("w", lambda x: F.concat(F.lit("\\"), x)), " ")).alias("latex"))
+
+
+add("formula_drift", lambda s, d: formulas.drift(_formulas(s, d, True), _formulas(s, d, False)).withColumns({c: F.array_join(c, " ") for c in ("missing", "extra")}))
+
+
+def _terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of the benchmark of five letters or more; their English name is the word in capitals."""
+    word = F.explode(F.regexp_extract_all("text", F.lit("[a-z]{5,}"), F.lit(0))).alias("term")
+    return read(spark, sf_dir, "benchmark").select(word).distinct().withColumn("english", F.upper("term"))
+
+
+add(
+    "term_without_english",
+    lambda s, d: terms.without_english(md_lines(read(s, d, "documents")), _terms(s, d)),
+    """WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-z]{5,}')) AS term FROM benchmark),
+l AS (SELECT doc_id, CAST(unnest(range(1, len(string_split(text, chr(10))) + 1)) AS INTEGER) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
+m AS (SELECT doc_id, term, line_no, strpos(line, term) - 1 AS spot, substring(line, CAST(strpos(line, term) + length(term) AS BIGINT)) AS tail, row_number() OVER (PARTITION BY doc_id, term ORDER BY line_no) AS k FROM l JOIN w ON contains(line, term))
+SELECT doc_id, term, line_no, CAST(spot AS INTEGER) AS "at" FROM m WHERE k = 1 AND NOT starts_with(lower(regexp_replace(tail, '^[*\\s”」』]*[(（]\\s*', chr(1))), chr(1) || lower(term))""",
+)
+
 # --- the gate: every layer's findings, counted
 
 
