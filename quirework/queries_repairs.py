@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from .functions import patterns as P
 from .functions.text import SPACE
-from .operators import braces, embedding, figures, formulas, keys, maths, quotes, repairs, rewriters, rules, terms
+from .operators import braces, embedding, figures, formulas, keys, maths, plain_maths, quotes, repairs, rewriters, rules, terms
 from .plans import oracles as O
 from .plans.lines import line_context, md_lines
-from .plans.markup import BRACES, FIGURED, LAYOUT, MATHS, REPAIRS, STRUCTURE
+from .plans.markup import BRACES, FIGURED, LAYOUT, MATHS, REPAIRS, SCANS, STRUCTURE
 from .queries import ORACLES, QUERIES, _blocks, _first_sql, add, lines_of, over_lines, read
 from . import queries_scans  # noqa: F401  (the gate reads its queries)
 
@@ -89,6 +89,8 @@ add("fix_braces", lambda s, d: braces.braces(lines_of(s, d, BRACES)))
 add("fix_maths_fixpoint", lambda s, d: braces.settled(lines_of(s, d, MATHS), braces.edited)[0])
 
 
+add("fix_plain_maths", lambda s, d: plain_maths.plain_maths(lines_of(s, d, SCANS)))
+
 # --- the format run and its stages
 
 for _stage in (quotes.quote_stage, quotes.leaked_quotes, quotes.separators_between):
