@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 #: Every text that a rule or base phrase can match holds one of these.
-GATES = ("licen", "gpl", " mpl ", " epl ", " cddl ", " eupl ", " gfdl ", "bsd", " cc ", "cc0", "creative commons", "public domain", "wtfpl", "openrail", "rights reserved", "released under", "distributed under", "provided under", "published under", "available under", "hereby granted", "redistribution and use", "without warranty", "without any express or implied", "free software", "unencumbered", "permission notice", "used to endorse", "advertising materials")
+GATES = ("licen", "gpl", " mpl ", " epl ", " cddl ", " eupl ", " gfdl ", "bsd", " cc ", "cc0", "creative commons", "public domain", "wtfpl", "openrail", "rights reserved", "released under", "distributed under", "provided under", "published under", "available under", "hereby granted", "redistribution and use", "without warranty", "without any express or implied", "free software", "unencumbered", "permission notice", "used to endorse", "advertising materials", "may not be called", "x consortium", "disclaims all warranties", "redistributions of source code", "origin of this software", "altered source versions", "standard version of this package", "neighboring rights", "compiled binary", "use based restrictions", "unauthorized copying")
 
 #: Family: (label, keyword that every text with its name holds, regular expression of its name, SPDX identifier as words).
 #: A family without a version leaves the versions of its namesakes to them: of equal detections only one stands.
@@ -116,7 +116,36 @@ BODIES = (
     ("ofl-1.1", "sil open font", "this font software is licensed under the sil open font license", 1.0),
     ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", 1.0),
     ("cc0-1.0", "this deed has dedicated", "the person who associated a work with this deed has dedicated the work to the public domain", 1.0),
-    ("wtfpl", "public license", "everyone is permitted to copy and distribute verbatim or modified copies of this license document", 0.6),
+    ("wtfpl", "this license document", "everyone is permitted to copy and distribute verbatim or modified copies of this license document", 0.6),
+    ("gpl-2.0", "either version 2 of the license", "either version 2 of the license or at your option any later version", 0.8),
+    ("gpl-3.0", "either version 3 of the license", "either version 3 of the license or at your option any later version", 0.8),
+    ("gpl-3.0", "free copyleft license", "the gnu general public license is a free copyleft license for software and other kinds of works", 1.0),
+    ("lgpl-2.1", "either version 2 1 of the license", "either version 2 1 of the license or at your option any later version", 0.95),
+    ("lgpl-3.0", "incorporates the terms and conditions", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license", 1.0),
+    ("agpl-3.0", "remote network interaction", "remote network interaction use with the gnu general public license", 0.95),
+    ("gfdl-1.3", "free documentation license", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 1.0),
+    ("apache-2.0", "in compliance with the license", "you may not use this file except in compliance with the license", 0.9),
+    ("apache-1.1", "may not be called apache", "products derived from this software may not be called apache nor may apache appear in their name", 0.95),
+    ("x11", "x consortium", "the name of the x consortium shall not be used in advertising or otherwise to promote the sale use or other dealings in this software", 1.0),
+    ("isc", "disclaims all warranties", "the software is provided as is and the author disclaims all warranties with regard to this software", 0.8),
+    ("bsd-2-clause", "redistributions of source code", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", 0.8),
+    ("zlib", "origin of this software", "the origin of this software must not be misrepresented you must not claim that you wrote the original software", 1.0),
+    ("zlib", "altered source versions", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software", 1.0),
+    ("boost-1.0", "this entire statement", "the copyright notices in the software and this entire statement including the above license grant this restriction and the following disclaimer must be included in all copies", 1.0),
+    ("artistic-2.0", "standard version of this package", "you may distribute verbatim copies of the source form of the standard version of this package in any medium without restriction", 1.0),
+    ("python-2.0", "psf hereby grants", "psf hereby grants licensee a nonexclusive royalty free world wide license to reproduce analyze test perform and or display publicly", 1.0),
+    ("postgresql", "without a written agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", 1.0),
+    ("mpl-1.1", "mozilla public license", "the contents of this file are subject to the mozilla public license version 1 1", 1.0),
+    ("mpl-2.0", " mpl ", "if a copy of the mpl was not distributed with this file you can obtain one at", 1.0),
+    ("eupl-1.2", " eupl ", "licensed under the eupl version 1 [12] (?:only )?or as soon (?:as )?they will be approved by the european commission", 1.0),
+    ("odbl-1.0", "open database license", "made available under the open database license", 1.0),
+    ("cc-by-4.0", "creative commons", "licensed under (?:a |the )?creative commons attribution 4 0 international licen[sc]e", 1.0),
+    ("cc-by-sa-4.0", "creative commons", "licensed under (?:a |the )?creative commons attribution share ?alike 4 0 international licen[sc]e", 1.0),
+    ("cc-by-nc-4.0", "creative commons", "licensed under (?:a |the )?creative commons attribution non ?commercial 4 0 international licen[sc]e", 1.0),
+    ("cc0-1.0", "neighboring rights", "has waived all copyright and related or neighboring rights to", 0.95),
+    ("unlicense", "compiled binary", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary", 1.0),
+    ("openrail", "use based restrictions", "the use based restrictions set forth in (?:attachment|paragraph) [^ ]+ (?:must be included|apply)", 0.6),
+    ("proprietary", "unauthorized copying", "unauthorized copying of this file via any medium is strictly prohibited", 0.9),
     ("no-warranty", "without warranty of any kind", "(?:the software is )?provided as is without warranty of any kind", 0.5),
 )
 #: Priority of a body sentence: above all names that stand inside it.

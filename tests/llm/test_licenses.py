@@ -111,3 +111,9 @@ def test_every_match_holds_a_gate_and_its_keyword():
         for text in texts:
             if re.search(pattern, text):
                 assert keyword in text and any(g in text for g in GATES), (pattern, text)
+
+
+def test_every_sentence_passes_its_gate_and_holds_its_keyword():
+    for label, keyword, pattern, _ in licenses.BODIES:
+        said = f" {re.sub(r'[(][?]:([^()|]*)(?:[|][^()]*)?[)][?]?', r'\1', pattern)} "
+        assert keyword in said and any(g in said for g in licenses.GATES), (label, said)
