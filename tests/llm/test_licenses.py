@@ -1,7 +1,7 @@
 import random
 import re
 
-from quirework.llm.licenses import BASE, FAMILIES, GATES, _kept, license_scan, rules
+from quirework.llm.licenses import BASE, BODIES, FAMILIES, GATES, _kept, license_scan, rules
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
@@ -114,6 +114,6 @@ def test_every_match_holds_a_gate_and_its_keyword():
 
 
 def test_every_sentence_passes_its_gate_and_holds_its_keyword():
-    for label, keyword, pattern, _ in licenses.BODIES:
+    for label, keyword, pattern, _ in BODIES:
         said = f" {re.sub(r'[(][?]:([^()|]*)(?:[|][^()]*)?[)][?]?', r'\1', pattern)} "
         assert keyword in said and any(g in said for g in licenses.GATES), (label, said)
