@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.stored import stored
+
 # Fixed values of the document format: figure labels, Chinese before English.
 FIGURE_CN = r"图\s*(\d+)[.\-](\d+)(?:[.\-](\d+))?"
 FIGURE_EN = r"(?i)(?:fig(?:ure)?\.?)\s*(\d+)[.\-](\d+)(?:[.\-](\d+))?"
@@ -46,15 +50,50 @@ def assign_ranges(points: DataFrame, ranges: DataFrame, point: str, low: str = "
     return points.join(found, points[point].cast("long") == found["_at"], "left").select(points["*"], *[F.col(f"_r.{c}").alias(c) for c in ranges.columns])
 
 
+def nearest_within(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str) -> DataFrame:
+    """``nearest`` for keys with few boxes each, like the pages of a book: all boxes of a key meet."""
+    right = right.select(*keys, F.col(right_id).alias("_id"), F.col("x").alias("_x"), F.col("y").alias("_y"))
+    near = left.join(right, keys).withColumn("_d", F.abs(F.col("y") - F.col("_y")) + 0.5 * F.abs(F.col("x") - F.col("_x")))
+    best = near.where("_d is not null").groupBy(*keys, left_id).agg(F.min(F.struct("_d", "_id")).alias("_b"))
+    return best.select(*keys, left_id, F.col("_b._id").alias(right_id), F.col("_b._d").alias("distance"))
+
+
+#: Boxes of the right side in a cell of the first round, on average.
+IN_CELL = 2
+
+
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str) -> DataFrame:
     """For every left box the right box with the smallest ``abs(dy) + abs(dx) / 2``; of equal ones the smallest id.
 
-    ``left`` and ``right`` have ``x, y``; both meet within ``keys`` only.
+    ``left`` and ``right`` have ``x, y``; both meet within ``keys`` only. Boxes are dealt into square cells of the plane
+    ``x / 2, y``, small enough for a few of a key's right boxes each, and a left box meets the nine cells around it. What is
+    found no further away than a cell is wide is the nearest; the other left boxes meet cells twice as wide in the next
+    round, until none is left. Equal places are one place on either side, however many boxes stand there.
     """
-    right = right.select(*keys, F.col(right_id).alias("_id"), F.col("x").alias("_x"), F.col("y").alias("_y"))
-    near = left.join(right, keys).withColumn("_d", F.abs(F.col("y") - F.col("_y")) + 0.5 * F.abs(F.col("x") - F.col("_x")))
-    best = near.groupBy(*keys, left_id).agg(F.min(F.struct("_d", "_id")).alias("_b"))
-    return best.select(*keys, left_id, F.col("_b._id").alias(right_id), F.col("_b._d").alias("distance"))
+    plane = [(F.col("x").cast("double") / 2).alias("u"), F.col("y").cast("double").alias("v")]
+    spots = right.select(*keys, *plane, F.col(right_id).alias("_id")).groupBy(*keys, "u", "v").agg(F.min("_id").alias("_id"))
+    spots = stored(spots.where("u is not null and v is not null"), "spots")
+    extent = F.greatest(F.max("u") - F.min("u"), F.max("v") - F.min("v"), F.lit(1e-9))
+    widths = stored(spots.groupBy(*keys).agg((extent / F.sqrt(F.count("*") / IN_CELL)).alias("wide"), F.min("u").alias("u0"), F.min("v").alias("v0"), F.max("u").alias("u1"), F.max("v").alias("v1")), "widths")
+    boxes = left.select(*keys, *plane, F.col(left_id))
+    todo = stored(boxes.select(*keys, "u", "v").where("u is not null and v is not null").distinct().join(widths.select(*keys), keys, "left_semi"), "todo")
+    found = []
+    while not todo.isEmpty():
+        step = F.lit(float(2 ** len(found)))
+        cell = lambda c, low: F.floor((F.col(c) - F.col(low)) / (F.col("wide") * step))
+        cells = spots.join(widths, keys).select(*keys, F.col("u").alias("_u"), F.col("v").alias("_v"), "_id", cell("u", "u0").alias("cu"), cell("v", "v0").alias("cv"))
+        at = todo.join(widths, keys)
+        around = F.transform(F.sequence(F.lit(0), F.lit(8)), lambda i: F.struct((cell("u", "u0") + F.floor(i / 3) - 1).alias("cu"), (cell("v", "v0") + i % 3 - 1).alias("cv")))
+        met = at.select(*keys, "u", "v", (F.col("wide") * step).alias("reach"), F.explode(around).alias("c")).select(*keys, "u", "v", "reach", "c.cu", "c.cv").join(cells, [*keys, "cu", "cv"])
+        near = F.abs(F.col("v") - F.col("_v")) + F.abs(F.col("u") - F.col("_u"))
+        best = met.groupBy(*keys, "u", "v", "reach").agg(F.min(F.struct(near.alias("distance"), "_id")).alias("b"))
+        sure = stored(best.where("b.distance <= reach").select(*keys, "u", "v", "b.distance", "b._id"), "nearest")
+        found.append(sure)
+        todo = stored(todo.join(sure, [*keys, "u", "v"], "left_anti"), "todo")
+    if not found:
+        return boxes.limit(0).join(spots.limit(0).select(*keys, F.col("_id").alias(right_id)), keys).select(*keys, left_id, right_id, F.lit(0.0).alias("distance"))
+    every = reduce(DataFrame.unionByName, found)
+    return boxes.join(every, [*keys, "u", "v"]).select(*keys, left_id, F.col("_id").alias(right_id), "distance")
 
 
 def text_in_boxes(boxes: DataFrame, words: DataFrame, keys: list[str], box_id: str) -> DataFrame:
@@ -77,24 +116,56 @@ def width_percent(x0: str, x1: str):
     return F.coalesce(F.bround((F.col(x1) - F.col(x0) + PADDING) / PAGE_WIDTH * 100, 1), F.lit(DEFAULT_WIDTH))
 
 
+def _taken(figs: pd.DataFrame, refs: pd.DataFrame) -> list[str | None]:
+    """Labels of one page's figures, in their order: each takes the nearest one that is left, by ``y``, then by label.
+
+    References that are used are left out by pointers to the next one that is not, upwards and downwards, so that a
+    choice looks at two neighbours and the equal ones around them.
+    """
+    order = np.lexsort((refs["label"].to_numpy(), refs["y"].to_numpy()))
+    y, labels = refs["y"].to_numpy(dtype=float)[order], refs["label"].to_numpy()[order]
+    up, down = np.arange(len(y) + 1), np.arange(len(y) + 1)  # place k + 1 of ``down`` is reference k, 0 is none
+    _, same = np.unique(labels.astype(str), return_inverse=True)
+    twins: dict[int, list[int]] = {}
+    for k, number in enumerate(same.tolist()):
+        twins.setdefault(number, []).append(k)
+
+    def end(pointer: np.ndarray, k: int) -> int:
+        root = k
+        while pointer[root] != root:
+            root = pointer[root]
+        while pointer[k] != root:
+            pointer[k], k = root, pointer[k]
+        return int(root)
+
+    out: list[str | None] = []
+    for at in figs["y"].to_numpy(dtype=float).tolist():
+        k = int(np.searchsorted(y, at))
+        above, below = end(up, k), end(down, k) - 1
+        near = [c for c in (above, below) if 0 <= c < len(y) and abs(y[c] - at) < REACH]
+        if not near:
+            out.append(None)
+            continue
+        best = min(near, key=lambda c: (abs(y[c] - at), c))
+        if best == below:  # the first of equal ones below
+            best = end(up, int(np.searchsorted(y, y[below])))
+        out.append(labels[best])
+        for k in twins[int(same[best])]:
+            up[k], down[k + 1] = k + 1, k
+    return out
+
+
 def assign_greedily(figures: DataFrame, references: DataFrame) -> DataFrame:
     """One-to-one labels: figures in the order of ``fig_idx`` take the nearest unused reference of their page within reach.
 
-    ``figures(ch, page, fig_idx, y)``, ``references(ch, page, label, y)``. Each choice depends on the ones before it
-    on the same page, so a page is one group: its size is that of a page, whatever the table's.
+    ``figures(ch, page, fig_idx, y)``, ``references(ch, page, label, y)``. Each choice depends on the ones before it on the
+    same page, so a page is one group: its size is that of a page, whatever the table's. A label that stands twice is
+    used up by one choice.
     """
 
     def pages(rows: pd.DataFrame) -> pd.DataFrame:
-        figs = rows[rows["side"] == 0].sort_values("fig_idx")
-        refs = rows[rows["side"] == 1].sort_values(["y", "label"])
-        used: set = set()
-        out = []
-        for f in figs.itertuples():
-            near = [(abs(f.y - r.y), k, r.label) for k, r in enumerate(refs.itertuples()) if r.label not in used and abs(f.y - r.y) < REACH]
-            label = min(near)[2] if near else None
-            used.add(label)
-            out.append((f.ch, f.page, f.fig_idx, label))
-        return pd.DataFrame(out, columns=["ch", "page", "fig_idx", "label"])
+        figs = rows[rows["side"] == 0].sort_values("fig_idx", kind="stable")
+        return pd.DataFrame({"ch": figs["ch"], "page": figs["page"], "fig_idx": figs["fig_idx"], "label": _taken(figs, rows[rows["side"] == 1])})
 
     none = F.lit(None)
     both = figures.select("ch", "page", "fig_idx", "y", none.cast("string").alias("label"), F.lit(0).alias("side")).unionByName(

@@ -179,7 +179,7 @@ def _figures(spark: SparkSession, sf_dir: str) -> DataFrame:
 _V = "v AS (SELECT vec_id, CAST(vec_id // 40 AS INTEGER) AS page, CAST(vec_id // 400 AS INTEGER) AS ch, CAST(round(embedding[1] * 1000) AS DOUBLE) AS x, CAST(round(embedding[2] * 1000) AS DOUBLE) AS y, CAST(round(embedding[3] * 1000) AS DOUBLE) AS x2, CAST(round(embedding[4] * 1000) AS DOUBLE) AS y2 FROM embeddings)"
 add(
     "page_nearest_caption",
-    lambda s, d: figures.nearest(_figures(s, d).select("page", "vec_id", "x", "y"), _figures(s, d).select("page", F.col("vec_id").alias("cap_id"), F.col("x2").alias("x"), F.col("y2").alias("y")), ["page"], "vec_id", "cap_id"),
+    lambda s, d: figures.nearest_within(_figures(s, d).select("page", "vec_id", "x", "y"), _figures(s, d).select("page", F.col("vec_id").alias("cap_id"), F.col("x2").alias("x"), F.col("y2").alias("y")), ["page"], "vec_id", "cap_id"),
     f"""WITH {_V}, n AS (SELECT a.page, a.vec_id, b.vec_id AS cap_id, CAST(abs(a.y - b.y2) + 0.5 * abs(a.x - b.x2) AS DOUBLE) AS distance, row_number() OVER (PARTITION BY a.vec_id ORDER BY abs(a.y - b.y2) + 0.5 * abs(a.x - b.x2), b.vec_id) AS k FROM v a JOIN v b ON a.page = b.page)
 SELECT page, vec_id, cap_id, distance FROM n WHERE k = 1""",
 )
