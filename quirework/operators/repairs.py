@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,6 +102,19 @@ def single_level(blocks: DataFrame) -> DataFrame:
     return _first(rows.withColumns({"label": F.col("g1"), "key": F.concat("g1", F.regexp_replace("g2", "^0+([0-9])", "$1"))}))
 
 
+# Fixed value of the document format: headings of exercises.
+EXERCISE_HEAD = r"^#{1,6}\s.*(?:习题|练习|Exercises?|Problems?)"
+
+
+def exercise_sections(lines: DataFrame) -> DataFrame:
+    """``doc_id, line_no`` of every line in a section of exercises: from its heading to the next other one of its level or above."""
+    level = F.when(_is("line", P.HEADING), F.length(F.regexp_extract("line", "^(#+)", 1)))
+    ctx = lines.withColumns({"level": level, "exercise": _is("line", EXERCISE_HEAD)})
+    last = lambda when: F.max(F.when(when, F.col("line_no"))).over(rewriters.rows_through())
+    held = [F.coalesce(last((F.col("level") == k) & F.col("exercise")) > F.coalesce(last((F.col("level") <= k) & ~F.col("exercise")), F.lit(0)), F.lit(False)) for k in range(1, 7)]
+    return ctx.withColumn("held", reduce(Column.__or__, held)).where("held").select("doc_id", "line_no")
+
+
 def exercises(lines: DataFrame) -> DataFrame:
     """Lines that head an exercise or a section of exercises, which a summary leaves out: ``doc_id, line_no``."""
     return lines.where(F.col("line").rlike(r"^(?:>\s*)?\*\*(?:习题|练习|Exercise|Problem)") | F.col("line").rlike(r"^#{1,6}\s.*(?:习题|练习|Exercises?|Problems?)")).select("doc_id", "line_no")

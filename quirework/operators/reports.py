@@ -46,3 +46,13 @@ def languages(files: DataFrame) -> DataFrame:
     number = F.coalesce(F.nullif(F.regexp_extract("file", r"^第(\d+)章", 1), F.lit("")), F.nullif(F.regexp_extract("file", r"^Chapter(\d+)_", 1), F.lit(""))).cast("int")
     rows = files.withColumn("ch", number).where("ch is not null").withColumn("cn", F.startswith("file", F.lit("第")))
     return rows.where("cn").select("ch", F.col("file").alias("cn")).join(rows.where("not cn").select("ch", F.col("file").alias("en")), "ch", "full")
+
+
+def oversized_chapters(files: DataFrame) -> DataFrame:
+    """``book, ch, lang, n_chars`` of all languages of a chapter that is too long in any of them: all of them are split alike.
+
+    ``files(book, ch, lang, text)``; of several files of a language the longest counts, a null text is none.
+    """
+    sizes = files.where("text is not null").groupBy("book", "ch", "lang").agg(F.max(F.length("text")).alias("n_chars"))
+    most = F.max("n_chars").over(Window.partitionBy("book", "ch"))
+    return sizes.withColumn("most", most).where(F.col("most") > SPLIT).drop("most")

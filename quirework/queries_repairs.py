@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import patterns as P
 from .functions.text import SPACE
-from .operators import braces, embedding, figures, formulas, keys, maths, plain_maths, quotes, repairs, rewriters, rules, terms
+from .operators import braces, embedding, figures, formulas, keys, maths, plain_maths, quotes, repairs, reports, rewriters, rules, terms
 from .plans import oracles as O
 from .plans.lines import line_context, md_lines
 from .plans.markup import BRACES, FIGURED, LAYOUT, MATHS, REPAIRS, SCANS, STRUCTURE
-from .queries import ORACLES, QUERIES, _blocks, _first_sql, add, lines_of, over_lines, read
+from .queries import ORACLES, QUERIES, _blocks, _first_sql, _noise, _wanted, add, lines_of, over_lines, read
 from . import queries_scans  # noqa: F401  (the gate reads its queries)
 
 _REST = r"regexp_replace(regexp_replace(line, '\\.', '', 'g'), '\$\$.*?(?:\$\$|$)', '', 'g')"
@@ -184,6 +185,27 @@ m AS (SELECT doc_id, term, line_no, strpos(line, term) - 1 AS spot, substring(li
 SELECT doc_id, term, line_no, CAST(spot AS INTEGER) AS "at" FROM m WHERE k = 1 AND NOT starts_with(lower(regexp_replace(tail, '^[*\\s”」』]*[(（]\\s*', chr(1))), chr(1) || lower(term))""",
 )
 
+# --- chapters too long in either language, exercises with their sections
+
+add(
+    "oversized_chapters",
+    lambda s, d: reports.oversized_chapters(read(s, d, "documents").selectExpr("doc_id div 4 as book", "cast(doc_id % 2 as int) as ch", "lang", "text")),
+    f"""WITH f AS (SELECT doc_id // 4 AS book, CAST(doc_id % 2 AS INTEGER) AS ch, lang, max(length(text)) AS n_chars FROM documents WHERE text IS NOT NULL GROUP BY ALL),
+m AS (SELECT *, max(n_chars) OVER (PARTITION BY book, ch) AS most FROM f) SELECT book, ch, lang, CAST(n_chars AS INTEGER) AS n_chars FROM m WHERE most > {reports.SPLIT}""",
+)
+_LEVEL, _EXERCISE = "CASE WHEN regexp_matches(line, '^#{1,6}\\s') THEN length(regexp_extract(line, '^(#+)', 1)) END", O.m("line", repairs.EXERCISE_HEAD)
+add(
+    "exercise_sections",
+    lambda s, d: repairs.exercise_sections(lines_of(s, d, REPAIRS)),
+    O.over_context(
+        "SELECT doc_id, line_no FROM e1 WHERE " + " OR ".join(f"coalesce(x{k} > coalesce(o{k}, 0), false)" for k in range(1, 7)),
+        REPAIRS,
+        f"e0 AS (SELECT *, {_LEVEL} AS level, {_EXERCISE} AS ex FROM c), e1 AS (SELECT *, "
+        + ", ".join(f"max(CASE WHEN level = {k} AND ex THEN line_no END) OVER w AS x{k}, max(CASE WHEN level <= {k} AND NOT ex THEN line_no END) OVER w AS o{k}" for k in range(1, 7))
+        + " FROM e0 WINDOW w AS (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING))",
+    ),
+)
+
 # --- the gate: every layer's findings, counted
 
 
@@ -210,11 +232,49 @@ _LAYERS = {
 LAYERS = tuple(_LAYERS)
 
 
-def layers(spark: SparkSession, sf_dir: str, disabled: Iterable[str] = ()) -> DataFrame:
+def _keys_of(scheme: str, ignored: DataFrame | None):
+    """Layer A with the keys of a scheme and further ignored keys ``doc_id, key``."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if scheme == "two-level":
+            wanted, held, noise = QUERIES["items_two_level"](spark, sf_dir).select(F.col("book").alias("doc_id"), "key"), QUERIES["md_keys_two_level"](spark, sf_dir), None
+        else:
+            wanted, held, noise = _wanted(spark, sf_dir), keys.md_keys(lines_of(spark, sf_dir)), _noise(spark, sf_dir)
+        known = [x.select(F.col("doc_id").cast("long"), F.col("key").cast("string")) for x in (noise, ignored) if x is not None]
+        left_out = reduce(DataFrame.unionByName, known) if known else wanted.limit(0)
+        state = keys.compare(wanted, held, left_out).where("status <> 'ignored'")
+        return state.select("doc_id", F.col("status").alias("rule"), _severity("status = 'missing'"))
+
+    return run
+
+
+def _shown_by_hand(manual: DataFrame):
+    """Layer E without the missing figures ``ch, label`` that are known by hand."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = QUERIES["figure_completeness"](spark, sf_dir)
+        by_hand = manual.select(F.col("ch").cast(found.schema["ch"].dataType), F.col("label").cast("string"), F.lit("missing").alias("status"))
+        left = found.join(by_hand, ["ch", "label", "status"], "left_anti")
+        return left.select(F.col("ch").cast("long").alias("doc_id"), F.concat(F.lit("figure_"), "status").alias("rule"), _severity("status = 'missing'"))
+
+    return run
+
+
+def layers(spark: SparkSession, sf_dir: str, disabled: Iterable[str] = (), scheme: str = "three-level", ignored: DataFrame | None = None, manual: DataFrame | None = None) -> DataFrame:
     """``doc_id, layer, rule, severity, n`` of every layer that is not disabled; a code of structure rules disables these."""
-    off = set(disabled)
-    own = {"G": lambda s, d: over_lines(s, d, STRUCTURE, lambda c: rules.findings(c, off), "findings").select("doc_id", "rule", "severity")} if off else {}
-    return rules.all_layers(**{code: run(spark, sf_dir) for code, run in (_LAYERS | own).items() if code not in off or code == "G"})
+    off, own = set(disabled), {}
+    if off:
+        own["G"] = lambda s, d: over_lines(s, d, STRUCTURE, lambda c: rules.findings(c, off), "findings").select("doc_id", "rule", "severity")
+    if scheme != "three-level" or ignored is not None:
+        own["A"] = _keys_of(scheme, ignored)
+    if manual is not None:
+        own["E"] = _shown_by_hand(manual)
+    # The layer of structure rules goes when all of their codes are disabled; its letter is one of these.
+    structure = not {r.code for r in rules.RULES.values()} <= off
+    on = {code: run for code, run in (_LAYERS | own).items() if (structure if code == "G" else code not in off)}
+    if not on:
+        raise ValueError("every layer is disabled")
+    return rules.all_layers(**{code: run(spark, sf_dir) for code, run in on.items()})
 
 
 def _layer_sql(layer: str, rule: str, severity: str, source: str, doc: str = "doc_id", where: str = "true") -> str:

@@ -63,6 +63,25 @@ def test_command_line(spark, tmp_path, capsys):
     assert spark.read.parquet(f"{tmp_path}/b").count() == spark.read.parquet(f"{tmp_path}/c").count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+def test_command_line_options(spark, tmp_path):
+    """Ignored keys, figures by hand, the other scheme and repaired lines, each against the layer's own query."""
+    from quirework.__main__ import main
+    from quirework.queries_repairs import layers
+
+    only = [code for code in LAYERS if code not in "AE"] + sorted({r.code for r in rules.RULES.values()})
+    was = {(r.doc_id, r.rule): r.n for r in layers(spark, SF, only).collect()}
+    missing = QUERIES["key_compare"](spark, SF).where("status = 'missing'").select("doc_id", "key")
+    missing.coalesce(1).write.json(f"{tmp_path}/keys")
+    hand = QUERIES["figure_completeness"](spark, SF).where("status = 'missing'").select("ch", "label")
+    hand.coalesce(1).write.json(f"{tmp_path}/hand")
+    assert main(["gate", SF, f"{tmp_path}/out", "--disable", *only, "--ignore", f"{tmp_path}/keys", "--manual", f"{tmp_path}/hand", "--fix", f"{tmp_path}/fixed"], spark) == 0
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert {r.doc_id: r.n_warning for r in rows if r.n_warning} == {d: sum(n for (e, rule), n in was.items() if e == d and rule not in ("missing", "figure_missing")) for d in {d for d, rule in was if rule not in ("missing", "figure_missing")}}
+    assert {"missing", "figure_missing"} <= {rule for _, rule in was} and spark.read.parquet(f"{tmp_path}/fixed").columns == ["doc_id", "line_no", "line"]
+    two = layers(spark, SF, [c for c in only if c != "E"] + ["E"], "two-level").collect()
+    assert two and {r.layer for r in two} == {"A"} and {(r.doc_id, r.rule): r.n for r in two} != was
+
+
 def test_embedded_figures(spark):
     from pyspark.sql import functions as F
 
