@@ -13,19 +13,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Folders of sessions on one machine that name none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session, which is left as it is.
 
     Where it is unset, a session on one machine (master ``local``) gets a temporary folder; on a cluster this raises,
     since executors could not see a folder of the driver's machine.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = f"file://{tempfile.mkdtemp(prefix='quirework-')}"
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    if where:
+        return where.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='quirework-')}"
+    return _LOCAL[context.applicationId]
 
 
 def _file(spark: SparkSession, path: str):

@@ -40,3 +40,11 @@ def test_nulls_ties_and_empty(spark):
     got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in read_chat(format_chat(frame(spark, rows).selectExpr("*", "1 as segments"))).collect()}
     assert got == {1: [("user", "first"), ("", ""), ("", "")], None: [("user", "x")], 2: [("assistant", "")]}
     assert format_chat(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_a_long_conversation_and_a_long_text(spark):
+    long = "a </turn> \\ é" * 150_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long + "!")] + [(2, t, ("user", "assistant")[t % 2], f"t{t}") for t in range(4_000)]
+    got = {r.conv_id: r for r in read_chat(format_chat(frame(spark, rows).selectExpr("*", "1 as turns", "2 as loss_text"))).collect()}
+    assert [t.text for t in got[1].turns] == [long, long + "!"] and got[1].loss_text == long + "!"
+    assert [t.text for t in got[2].turns] == [f"t{t}" for t in range(4_000)] and got[2].loss_text == "".join(f"t{t}" for t in range(1, 4_000, 2))

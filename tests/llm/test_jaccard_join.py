@@ -102,3 +102,11 @@ def test_repeated_rows_extra_columns_and_empty_table(spark):
     frame = spark.createDataFrame(rows, SCHEMA + ", token long")
     assert got(jaccard_components(frame)) == {1: (2, 1, 1), 2: (2, 1, 1)}
     assert got(jaccard_components(frame.limit(0))) == {}
+
+
+def test_texts_of_a_megabyte(spark):
+    """Two long near copies, one that shares half of them, and a long text of one word."""
+    words = [f"word{i}" for i in range(120_000)]
+    rows = [(4, " ".join(words)), (2, " ".join(words[:-500])), (3, " ".join(words[:60_000])), (9, "same " * 200_000), (1, None)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {4: (119_996, 2), 2: (119_496, 2), 3: (59_996, 3), 9: (1, 9), 1: (0, 1)}

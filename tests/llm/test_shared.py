@@ -45,3 +45,8 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared.shared_dir(Session())
+
+
+def test_the_session_keeps_its_settings(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared.shared_dir(spark) == shared.shared_dir(spark) and spark.conf.get("spark.checkpoint.dir", None) == before

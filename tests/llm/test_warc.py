@@ -72,3 +72,9 @@ def test_long_url_without_stored_payload(spark):
         assert got(chunks) == expected(rows, least)
         targets = {r.record_id: r.target for r in warc.read_table(chunks).collect()}
         assert {unquote(targets[f"urn:page:{p}"]) for p in range(2, 7)} == {url}
+
+
+def test_extra_columns_of_any_name(spark):
+    names = ["sha", "first", "record", "chunk", "data", "payload", "digest", "record_id"]
+    pages = spark.createDataFrame(ROWS, SCHEMA).withColumns({n: warc.F.lit(f"x{k}") for k, n in enumerate(names)})
+    assert got(warc.chunk_table(pages)) == expected(ROWS)
