@@ -94,7 +94,7 @@ def caption_reference(caption: Column) -> Column:
 
 def centre(points: Column) -> Column:
     """Mean of the corners of a polygon given as a flat list ``x0, y0, x1, y1, ...``."""
-    mean = lambda odd: F.aggregate(F.filter(points, lambda _, i: i % 2 == odd), F.lit(0.0), lambda acc, v: acc + v.cast("double")) / (F.size(points) / 2)
+    mean = lambda odd: F.aggregate(F.filter(points, lambda _, i: i % 2 == odd), F.lit(-0.0), lambda acc, v: acc + v.cast("double")) / (F.size(points) / 2)
     return F.when(F.size(points) >= 2, F.struct(mean(0).alias("x"), mean(1).alias("y")))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import patterns as P
@@ -494,10 +494,19 @@ SELECT o_orderkey, day, r.map_idx, r.start, r."end" AS "end" FROM f""",
 )
 
 
+def thousandths(vector: str, k: int) -> Column:
+    """Component ``k`` (from 0) times 1000, rounded half away from zero, as a double; null beyond a vector's end.
+
+    Floats are multiplied as floats, as in the twins: by an integer Spark takes them for doubles, and what a float's
+    rounding brings to a half is then rounded another way. A negative number rounds to a negative zero.
+    """
+    value = F.get(F.col(vector), F.lit(k)) * F.lit(1000.0).cast("float")
+    return F.when(value < 0, -F.round(-value)).otherwise(F.round(value)).cast("double")
+
+
 def _plane(spark: SparkSession, sf_dir: str, low: int, high: int) -> DataFrame:
     """Vectors as points: their label is the page, two coordinates the place."""
-    rows = read(spark, sf_dir, "embeddings")
-    return rows.select("vec_id", "label", F.round(F.col("embedding")[low] * 1000).cast("double").alias("x"), F.round(F.col("embedding")[high] * 1000).cast("double").alias("y"))
+    return read(spark, sf_dir, "embeddings").select("vec_id", "label", thousandths("embedding", low).alias("x"), thousandths("embedding", high).alias("y"))
 
 
 add(

@@ -11,7 +11,7 @@ from .operators import figures, items, keys, reports, scans
 from .plans import oracles as O
 from .plans.lines import md_lines
 from .plans.markup import ITEMS, SCANS, STRUCTURE, marked_sql
-from .queries import ORACLES, add, lines_of, read
+from .queries import ORACLES, add, lines_of, read, thousandths
 from .sources import stores
 from .streaming import incremental
 
@@ -172,8 +172,7 @@ add(
 
 def _figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "embeddings")
-    at = lambda k: F.round(F.col("embedding")[k] * 1000).cast("double")
-    return rows.select("vec_id", F.expr("cast(vec_id div 40 as int)").alias("page"), F.expr("cast(vec_id div 400 as int)").alias("ch"), *[at(k).alias(n) for k, n in enumerate(("x", "y", "x2", "y2"))])
+    return rows.select("vec_id", F.expr("cast(vec_id div 40 as int)").alias("page"), F.expr("cast(vec_id div 400 as int)").alias("ch"), *[thousandths("embedding", k).alias(n) for k, n in enumerate(("x", "y", "x2", "y2"))])
 
 
 _V = "v AS (SELECT vec_id, CAST(vec_id // 40 AS INTEGER) AS page, CAST(vec_id // 400 AS INTEGER) AS ch, CAST(round(embedding[1] * 1000) AS DOUBLE) AS x, CAST(round(embedding[2] * 1000) AS DOUBLE) AS y, CAST(round(embedding[3] * 1000) AS DOUBLE) AS x2, CAST(round(embedding[4] * 1000) AS DOUBLE) AS y2 FROM embeddings)"

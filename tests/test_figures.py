@@ -2,9 +2,12 @@
 
 import random
 
+import duckdb
+import numpy as np
 import pandas as pd
 
 from quirework.operators import figures
+from quirework.queries import ORACLES, QUERIES
 
 BOX = "k int, {} long, x double, y double"
 
@@ -47,3 +50,19 @@ def test_a_page_of_many_figures_is_no_square():
     refs = pd.DataFrame({"y": [i * 0.5 for i in range(n)], "label": [f"r{i}" for i in range(n)]})
     got = figures._taken(pd.DataFrame({"y": [float(n // 4)] * n}), refs)
     assert len({x for x in got if x}) == sum(x is not None for x in got) == sum(abs(i * 0.5 - n // 4) < figures.REACH for i in range(n))
+
+
+def test_vectors_are_rounded_as_floats(spark, tmp_path):
+    """Products that floats round to a half, and negative zeros: figures stand where the twins put them."""
+    x = (np.random.default_rng(3).permutation(np.arange(-400.5, 401)) / 1000).astype("f4")
+    product = x * np.float32(1000)
+    half = x[(product % 1 == 0.5) & (product.astype(float) != x.astype(float) * 1000)][:160]
+    assert len(half) == 160
+    vectors = [[float(v) for v in half[k : k + 4]] for k in range(0, 160, 4)] + [[-1e-4, -2e-4, -3e-4, -1e-5]]
+    rows = [(i, v, i % 3) for i, v in enumerate(vectors)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    for name in ("crop_widths", "page_nearest_caption", "polygon_centres", "text_in_boxes", "nearest_caption"):
+        ours, theirs = QUERIES[name](spark, str(tmp_path)), con.sql(ORACLES[name])
+        assert sorted(map(repr, map(tuple, ours.collect()))) == sorted(map(repr, theirs.select(*ours.columns).fetchall())), name
