@@ -51,8 +51,9 @@ PACK_TOKENS, PACK_DOCS = 1_500_000, 60_000
 RANGE_CHARS, LEAST_RANGES = 32 << 20, 512
 #: From that many groups on, a posting is a cell of its own choice.
 HOT = 64
-#: Documents of a verification block: a sixteenth of the cell within these bounds; and its shingles, on average.
-BLOCK_LEAST, BLOCK_DOCS, BLOCK_TOKENS = 128, 1024, 2_000_000
+#: Documents of a verification block: an eighth of the cell within these bounds; and its shingles, on average. A document
+#: goes out once for each block that its own one meets.
+BLOCK_SHARE, BLOCK_LEAST, BLOCK_DOCS, BLOCK_TOKENS = 8, 128, 4096, 2_000_000
 #: Words whose hash a worker remembers.
 WORDS_KEPT = 200_000
 
@@ -355,7 +356,7 @@ def _in_cells(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _met(rows: DataFrame, near: DataFrame) -> DataFrame:
     """Sends each document to every pair of blocks that its own block takes part in."""
-    docs = F.greatest(F.lit(BLOCK_LEAST), F.least(F.lit(BLOCK_DOCS), F.ceil(F.count("*") / 16)))
+    docs = F.greatest(F.lit(BLOCK_LEAST), F.least(F.lit(BLOCK_DOCS), F.ceil(F.count("*") / BLOCK_SHARE)))
     cells = keep(rows.groupBy("home", "class").agg(F.count("*").alias("docs"), F.ceil(F.greatest(F.count("*") / docs, F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks")), "blocks")
     of = lambda x: cells.select(*(F.col(c).alias(f"{x}_{c}") for c in ("home", "class", "blocks")))
     pairs = keep(near.join(of("low"), ["low_home", "low_class"]).join(of("high"), ["high_home", "high_class"]), "pairs")

@@ -74,6 +74,17 @@ def test_small_blocks_and_many_ranges_change_nothing(spark, monkeypatch):
     assert got(jaccard_components(frame)) == want
 
 
+def test_a_document_of_a_large_family_goes_out_few_times(spark):
+    """Each document of a cell of 20 000 meets eight blocks: its own one among them."""
+    import quirework.llm.jaccard_join as j
+
+    rows = spark.range(20_000).selectExpr("5L as home", "3 as class", "id as doc_id", "1L as copies", "9 as n", "2 as prefix", "array(id, 7L) as tokens")
+    near = spark.createDataFrame([], "low_home long, low_class int, high_home long, high_class int")
+    met = j._met(rows, near)
+    sent = met.groupBy("doc_id").count().selectExpr("max(count)", "min(count)").first()
+    assert tuple(sent) == (8, 8) and met.select("meet", "more").distinct().count() == 36
+
+
 def test_a_shared_passage_does_not_hide_links(spark):
     """A passage that stands in all documents, long and short ones, and a text of a megabyte with a near copy."""
     rng = random.Random(5)
