@@ -9,10 +9,13 @@ from . import patterns as P
 
 #: Characters that Python's ``str.strip`` removes.
 SPACE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: The same, one by one.
+SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+    """A text without the space around it; unlike a pattern, this looks at its ends alone and not at every character."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def quoted(text: Column) -> Column:
