@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,11 +89,13 @@ def caption_reference(caption: Column) -> Column:
     english = f"({'|'.join(P.CAPTION_KINDS_EN)})\\s*{P.CAPTION_NUMBER}"
     chinese = f"({P.CAPTION_KINDS})\\s*{P.CAPTION_NUMBER}"
     tight = lambda pattern: F.regexp_replace(F.regexp_extract(caption, pattern, 2), r"\s+", "")
+    # A search for a word is much cheaper than one for a pattern.
+    named = lambda kinds, pattern: reduce(Column.__or__, [F.contains(caption, F.lit(k)) for k in kinds]) & caption.rlike(pattern)
     one = lambda pattern, kind, proof: F.struct(kind.alias("kind"), tight(pattern).alias("number"), proof.alias("of_proof"))
     return (
         F.when(F.contains(caption, F.lit("习题")), None)
-        .when(caption.rlike(english), one(english, canonical_label(F.regexp_extract(caption, english, 1)), F.contains(F.lower(caption), F.lit("proof"))))
-        .when(caption.rlike(chinese), one(chinese, F.regexp_extract(caption, chinese, 1), F.contains(caption, F.lit("证明"))))
+        .when(named(P.CAPTION_KINDS_EN, english), one(english, canonical_label(F.regexp_extract(caption, english, 1)), F.contains(F.lower(caption), F.lit("proof"))))
+        .when(named(P.CAPTION_KINDS.split("|"), chinese), one(chinese, F.regexp_extract(caption, chinese, 1), F.contains(caption, F.lit("证明"))))
     )
 
 
@@ -101,12 +105,18 @@ def centre(points: Column) -> Column:
     return F.when(F.size(points) >= 2, F.struct(mean(0).alias("x"), mean(1).alias("y")))
 
 
+def beyond(signs: str) -> str:
+    """Signs beyond ASCII as part of a character class; other characters are turned away by one comparison, not by one a sign."""
+    return f"[[^\\x00-\\x7F]&&[{signs}]]"
+
+
 def raised_lowered(text: Column) -> Column:
     """Runs of raised or lowered signs as ``^`` or ``_`` and plain letters, in braces if there are several."""
+    plain = text
     for signs, letters, mark in ((P.RAISED, P.RAISED_AS, "^"), (P.LOWERED, P.LOWERED_AS, "_")):
-        text = F.regexp_replace(F.regexp_replace(text, f"([{signs}]+)", f"{mark}{{$1}}"), f"\\{mark}\\{{([{signs}])\\}}", f"{mark}$1")
+        text = F.regexp_replace(F.regexp_replace(text, f"({beyond(signs)}+)", f"{mark}{{$1}}"), f"\\{mark}\\{{({beyond(signs)})\\}}", f"{mark}$1")
         text = F.translate(text, signs, letters)
-    return text
+    return F.when(plain.rlike(f"[{beyond(P.RAISED + P.LOWERED)}]"), text).otherwise(plain)
 
 
 def file_name(title: Column, most: int = 60) -> Column:

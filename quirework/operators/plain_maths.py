@@ -1,18 +1,21 @@
 """Plain-text maths in prose becomes inline maths: ``x² ∈ A`` -> ``$x^2$ $\\in$ $A...$``, token by token.
 
 A line outside fences, display maths and HTML is cut at its dollar signs, and what is not maths yet at its tokens: runs of
-letters, digits, signs and symbols. A token with a sign that only maths has is wrapped. Parts and tokens are rows, so
-each token is translated by itself: one fold over its braces tells which of them group and which are meant as signs.
+letters, digits, signs and symbols. A token with a sign that only maths has is wrapped. Parts and tokens are elements of
+their line's row, so no token travels; one fold over a token's braces tells which of them group and which are meant as signs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import raised_lowered, strip
+from ..functions.text import beyond, raised_lowered, strip
 from ..plans.lines import count_before, line_context
+from .braces import _once
 
 # Greek letters by their names, symbols and the commands that they stand for.
 GREEK_SMALL = dict(zip("αβγδεζηθικλμνξπρστυφχψω", "alpha beta gamma delta varepsilon zeta eta theta iota kappa lambda mu nu xi pi rho sigma tau upsilon varphi chi psi omega".split(), strict=True))
@@ -29,8 +32,8 @@ QUIET = "…–—′″−"
 
 _SYMBOLS = "".join(COMMANDS)
 _class = lambda chars: "".join("\\" + c if c in "[]\\^-&~" else c for c in chars)
-TOKEN = f"[A-Za-z0-9{_class(SIGNS)}{P.RAISED}{P.LOWERED}{_SYMBOLS}{DASHES}]+"
-TRIGGER = f"[{_class('[]=^_')}\\\\{{}}{P.RAISED}{P.LOWERED}{''.join(c for c in _SYMBOLS if c not in QUIET)}]"
+TOKEN = f"[A-Za-z0-9{_class(SIGNS)}{beyond(P.RAISED + P.LOWERED + _SYMBOLS + DASHES)}]+"
+TRIGGER = f"[{_class('[]=^_')}\\\\{{}}{beyond(P.RAISED + P.LOWERED + ''.join(c for c in _SYMBOLS if c not in QUIET))}]"
 #: What stands behind a token and is no part of it: marks of a sentence, and hyphens that no script sign makes a minus.
 TAIL = rf"(?:[{TRAIL}]|(?<![\^_])-)+$"
 _MARK = "\x01"
@@ -76,28 +79,27 @@ def plain_maths(lines: DataFrame) -> DataFrame:
     ctx = ctx.withColumn("code", F.col("fence") | (count_before(F.col("fence")) % 2 == 1))
     sign = (core == "$$") & ~F.col("code")
     ctx = ctx.withColumns({"sign": sign, "display": count_before(sign) % 2 == 1})
-    markup = F.col("line").rlike(r"</?div|<img|!\[|\]\(")
-    parts = F.split("line", r"(?<!\\)\$", -1)
+    markup = reduce(Column.__or__, [F.contains("line", F.lit(x)) for x in ("<div", "</div", "<img", "![", "](")])
+    parts = F.when(F.contains("line", F.lit("$")), F.split("line", r"(?<!\\)\$", -1)).otherwise(F.array("line"))
     prose = ~F.col("code") & ~F.col("sign") & ~F.col("display") & ~markup & (F.size(parts) % 2 == 1)
-    kept = ctx.select("doc_id", "line_no", F.when(F.col("display") & ~F.col("sign") & ~F.col("code"), raised_lowered(F.col("line"))).otherwise(F.col("line")).alias("line"), prose.alias("prose"), "code")
-    rows = ctx.where(prose).select("doc_id", "line_no", F.posexplode(parts).alias("part", "text"), F.size(parts).alias("parts"))
-    maths = F.col("part") % 2 == 1
-    cut = F.split(F.regexp_replace(F.translate("text", _MARK, "\x02"), f"({TOKEN})", f"{_MARK}$1{_MARK}"), _MARK, -1)
-    pieces = rows.select("doc_id", "line_no", "part", "parts", maths.alias("maths"), F.explode(F.array(F.when(maths, F.array("text")).otherwise(cut))).alias("cut"))
-    pieces = pieces.select("doc_id", "line_no", "part", "parts", "maths", F.posexplode("cut").alias("nth", "piece"), F.get("cut", F.lit(0)).alias("first"), F.element_at("cut", -1).alias("end"), F.size("cut").alias("n"))
-    # A token right at a dollar sign is left alone, be it that of maths or an escaped one in the text.
-    touches = F.col("touch_before") | F.col("touch_after")
-    token = (F.col("nth") % 2 == 1) & ~F.col("maths")
-    body = F.regexp_replace("piece", TAIL, "")
-    wrapped = (body != "") & body.rlike(TRIGGER) & ~F.contains(body, F.lit("**")) & ~F.contains(body, F.lit("%")) & ~F.startswith(body, F.lit("---"))
-    said = F.when(F.col("maths"), raised_lowered(F.col("piece"))).when(token & wrapped & ~touches, F.concat(F.lit("$"), latexified(body), F.lit("$"), F.substring(F.col("piece"), F.length(body) + 1, F.length("piece")))).otherwise(F.col("piece"))
-    order = Window.partitionBy("doc_id", "line_no", "part").orderBy("nth")
-    before, behind = F.lag("piece").over(order), F.lead("piece").over(order)
-    edge = lambda near, at_edge, dollar: F.when(near != "", dollar).otherwise(at_edge)
-    pieces = pieces.withColumns({
-        "touch_before": F.coalesce(edge(before, (F.col("nth") == 1) & (F.col("part") > 0), F.endswith(before, F.lit("$"))), F.lit(False)),
-        "touch_after": F.coalesce(edge(behind, (F.col("nth") == F.col("n") - 2) & (F.col("part") < F.col("parts") - 1), F.startswith(behind, F.lit("$"))), F.lit(False)),
-    })
-    joined = pieces.select("doc_id", "line_no", "part", "nth", said.alias("said")).groupBy("doc_id", "line_no", "part").agg(F.array_join(F.array_sort(F.collect_list(F.struct("nth", "said")))["said"], "").alias("said"))
-    whole = joined.groupBy("doc_id", "line_no").agg(F.array_join(F.array_sort(F.collect_list(F.struct("part", "said")))["said"], "$").alias("new"))
-    return kept.join(whole, ["doc_id", "line_no"], "left").select("doc_id", "line_no", F.coalesce("new", "line").alias("line"))
+    line = F.when(F.col("display") & ~F.col("sign") & ~F.col("code"), raised_lowered(F.col("line"))).otherwise(F.col("line"))
+    # Without any of these signs no token is wrapped, and nothing is raised or lowered.
+    busy = F.col("line").rlike(TRIGGER) | F.contains("line", F.lit(_MARK))
+    rows = ctx.select("doc_id", "line_no", line.alias("line"), F.when(busy & prose, parts).alias("parts"))
+    cut = lambda text: F.split(F.regexp_replace(F.translate(text, _MARK, "\x02"), f"({TOKEN})", f"{_MARK}$1{_MARK}"), _MARK, -1)
+    rows = _once(rows, "cuts", F.transform("parts", lambda text, part: F.when(part % 2 == 1, F.array(text)).otherwise(cut(text))))
+    # What a token is without its tail; gaps, which stand at even places, have none.
+    rows = _once(rows, "bodies", F.transform("cuts", lambda pieces: F.transform(pieces, lambda piece, nth: F.when(nth % 2 == 1, F.regexp_replace(piece, TAIL, "")).otherwise(""))))
+
+    def said(pieces: Column, part: Column, piece: Column, nth: Column) -> Column:
+        body = F.get(F.get("bodies", part), nth)
+        wrapped = (body != "") & body.rlike(TRIGGER) & ~F.contains(body, F.lit("**")) & ~F.contains(body, F.lit("%")) & ~F.startswith(body, F.lit("---"))
+        # A token right at a dollar sign is left alone, be it that of maths or an escaped one in the text.
+        before, behind = F.get(pieces, nth - 1), F.get(pieces, nth + 1)
+        touches = F.when(before != "", F.endswith(before, F.lit("$"))).otherwise((nth == 1) & (part > 0)) | F.when(behind != "", F.startswith(behind, F.lit("$"))).otherwise(
+            (nth == F.size(pieces) - 2) & (part < F.size("cuts") - 1)
+        )
+        return F.when(wrapped & ~touches, F.concat(F.lit("$"), latexified(body), F.lit("$"), F.substring(piece, F.length(body) + 1, F.length(piece)))).otherwise(piece)
+
+    joined = lambda pieces, part: F.when(part % 2 == 1, raised_lowered(F.get(pieces, F.lit(0)))).otherwise(F.array_join(F.transform(pieces, lambda piece, nth: said(pieces, part, piece, nth)), ""))
+    return rows.select("doc_id", "line_no", F.coalesce(F.array_join(F.transform("cuts", joined), "$"), F.col("line")).alias("line"))

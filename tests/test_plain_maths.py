@@ -3,7 +3,10 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from quirework.functions import patterns as P
+from quirework.functions.text import beyond
 from quirework.operators import plain_maths as M
 from quirework.operators.braces import texts
 from quirework.plans.lines import md_lines
@@ -86,3 +89,18 @@ def test_equals_plain_walk(spark):
     wrong = {d: (t, got[d], want) for d, t in docs if got[d] != (want := "\n".join(plain(t.split("\n"))))}
     assert not wrong, (len(wrong), next(iter(wrong.values())))
     assert got[901] == "$x^2$ $\\in$ $\\mathbb{R} ^n$, $\\{a\\}$ and $f_{i}(x_1)$."
+
+
+def test_tokens_stay_in_the_row_of_their_line(spark):
+    """Each token was a row that went through windows, groups and a join."""
+    docs = spark.createDataFrame([(1, "a x² $y$ z_1\n\x01 b")], "doc_id long, text string")
+    made = M.plain_maths(md_lines(docs))
+    assert [r.line for r in made.orderBy("line_no").collect()] == ["a $x^2$ $y$ $z_1$", "\x02 b"]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and plan.count("Window") <= 4
+
+
+def test_signs_beyond_ascii_are_these_alone(spark):
+    chars = spark.range(1, 0x10000).where("id not between 55296 and 57343").select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    for signs in (P.RAISED, P.LOWERED, M._SYMBOLS):
+        assert {r.c for r in chars.where(F.col("c").rlike(f"^{beyond(signs)}$")).collect()} == set(signs)
