@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions.text import strip
 from ..plans.lines import after, before, count_before, forward, latch, line_context, rows_through
-from .rules import _is, dash_inside, empty_runs, in_display, is_quoted, item_pairs, proof_after_list_line, quote_groups, tight
+from .rules import _is, dash_inside, empty_runs, in_display, is_quoted, follows_item, proof_after_list_line, quote_groups, tight
 
 
 def numbered(rows: DataFrame, lines: Column | str) -> DataFrame:
@@ -53,9 +53,8 @@ def strip_unlabeled(lines: DataFrame) -> DataFrame:
     """Content of quotes without an opener loses its ``>``."""
     ctx = line_context(lines)
     fine = _is("decides", P.QUOTE_OPENER) | _is("decides", P.QUOTE_FOOTNOTE) | _is("decides", P.QUOTED_STATEMENT_CN)
-    out = F.when(F.col("decides").isNotNull() & ~fine & ~F.regexp_replace("line", r"^\s+", "").isin(">", "> "), F.regexp_replace("line", r"^>\s?", "")).otherwise(F.col("line"))
-    quotes = _replaced(quote_groups(ctx), out)
-    return quotes.unionByName(ctx.where("not bqi").select("doc_id", "line_no", "line"))
+    out = F.when(F.col("bqi") & F.col("decides").isNotNull() & ~fine & ~F.regexp_replace("line", r"^\s+", "").isin(">", "> "), F.regexp_replace("line", r"^>\s?", "")).otherwise(F.col("line"))
+    return _replaced(quote_groups(ctx, every=True), out)
 
 
 def add_quote(lines: DataFrame) -> DataFrame:
@@ -79,10 +78,7 @@ def quote_blanks(lines: DataFrame) -> DataFrame:
 
 def add_separators(lines: DataFrame) -> DataFrame:
     """A ``---`` before every item that directly follows another one."""
-    ctx = line_context(lines)
-    at = item_pairs(ctx).select("doc_id", F.col("next_line").alias("line_no"), F.lit(True).alias("second"))
-    out = F.when(F.col("second"), F.array(F.lit("---"), F.col("line"))).otherwise(F.array("line"))
-    return numbered(lines.join(at, ["doc_id", "line_no"], "left"), out)
+    return numbered(follows_item(line_context(lines)), F.when(F.col("second"), F.array(F.lit("---"), F.col("line"))).otherwise(F.array("line")))
 
 
 def drop_dash_in_item(lines: DataFrame) -> DataFrame:
@@ -263,7 +259,6 @@ def repaired(lines: DataFrame, steps: tuple[str, ...] = CHAIN) -> DataFrame:
 
 def changes(before_: DataFrame, after_: DataFrame) -> DataFrame:
     """``doc_id, removed, added``: lines that only one of two line tables holds, as bags."""
-    a = before_.groupBy("doc_id", "line").agg(F.count("*").alias("old"))
-    b = after_.groupBy("doc_id", "line").agg(F.count("*").alias("new"))
-    both = a.join(b, ["doc_id", "line"], "full").na.fill(0, ["old", "new"])
+    one = lambda rows, old, new: rows.select("doc_id", "line", F.lit(old).alias("old"), F.lit(new).alias("new"))
+    both = one(before_, 1, 0).unionByName(one(after_, 0, 1)).groupBy("doc_id", "line").agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
     return both.groupBy("doc_id").agg(F.sum(F.greatest(F.col("old") - F.col("new"), F.lit(0))).alias("removed"), F.sum(F.greatest(F.col("new") - F.col("old"), F.lit(0))).alias("added"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import roman_to_int, strip
-from ..plans.lines import after, count_before, forward, is_quoted, latch, rows_through
+from ..plans.lines import after, before, count_before, forward, is_quoted, latch, rows_through
 
 BLOCKS, WARNS = "blocks", "warns"
 
@@ -142,13 +142,13 @@ def stmt_in_quote() -> Column:
     return latch(_is("line", P.STATEMENT_OR_FORMULA), _is("line", P.QUOTE_LEGIT)) & _is("line", P.QUOTE_WRAPPED)
 
 
-def quote_groups(ctx: DataFrame) -> DataFrame:
-    """Quoted lines with ``quote`` (number of their group) and ``decides`` (the group's first line with content)."""
+def quote_groups(ctx: DataFrame, every: bool = False) -> DataFrame:
+    """Quoted lines with ``quote`` (number of their group) and ``decides`` (the group's first line with content); ``every``: all lines."""
     opener = _is("line", P.QUOTE_OPENER) | _is("line", P.QUOTE_FOOTNOTE)
     starts = F.col("bqi") & (~is_quoted("p1") | opener)
-    ctx = ctx.withColumn("quote", F.sum(starts.cast("int")).over(rows_through())).where("bqi")
-    content = F.when(F.regexp_replace("line", r"^\s+", "") != ">", F.struct("line_no", "line"))
-    return ctx.withColumn("decides", F.min(content).over(Window.partitionBy("doc_id", "quote"))["line"])
+    ctx = ctx.withColumn("quote", F.sum(starts.cast("int")).over(rows_through()))
+    content = F.when(F.col("bqi") & (F.regexp_replace("line", r"^\s+", "") != ">"), F.struct("line_no", "line"))
+    return (ctx if every else ctx.where("bqi")).withColumn("decides", F.min(content).over(Window.partitionBy("doc_id", "quote"))["line"])
 
 
 @rule("H")
@@ -171,6 +171,14 @@ def item_pairs(ctx: DataFrame) -> DataFrame:
     return ctx.where(item & near).select("doc_id", "line_no", F.col("follows.line_no").alias("next_line"))
 
 
+def follows_item(ctx: DataFrame) -> DataFrame:
+    """Adds ``second``: whether a line is the later one of such a pair."""
+    item, stop = _is("line", P.STATEMENT) | _is("line", P.ITEM_EXAMPLE), F.col("dash") | F.col("head")
+    ctx = ctx.withColumn("stops", count_before(stop)).withColumn("was", before(F.when(item, F.struct("line_no", "stops"))))
+    near = (F.col("line_no") - F.col("was.line_no") <= 100) & (F.col("was.stops") == F.col("stops"))
+    return ctx.withColumn("second", F.coalesce(item & near, F.lit(False)))
+
+
 @rule("I")
 def missing_separator(ctx: DataFrame) -> DataFrame:
     return item_pairs(ctx)
