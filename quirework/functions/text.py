@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -16,8 +17,46 @@ SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0
 
 
 def strip(text: Column) -> Column:
-    """A text without the space around it; unlike a pattern, this looks at its ends alone and not at every character."""
-    return F.btrim(text, F.lit(SPACES))
+    """A text without the space around it; unlike a pattern, this looks at its ends alone and not at every character.
+
+    Spark's trimming on the right goes over the whole text, so a text that ends in a visible ASCII character is spared it.
+    """
+    ends = F.substring(text.cast("binary"), -1, 1)
+    return F.when((ends > F.lit(b"\x20")) & (ends < F.lit(b"\x7f")), F.ltrim(text, F.lit(SPACES))).otherwise(F.btrim(text, F.lit(SPACES)))
+
+
+#: What a text must hold for a pattern that is not anchored, and begin with for one whose alternatives begin differently.
+_HELD = {P.MOJIBAKE: ("Ã", "â€", "ï»¿", "\uFFFD"), P.NAKED_COMMAND: ("\\",), r"\\[\[\]]": ("\\",), "|".join(P.BAD_MACROS): ("\\",)}
+_LED = {P.QUOTE_END: ("---", "##", "**", "$$"), P.TOP_ITEM: ("(", "（")}
+_LEAD = re.compile(r"\^(\\s\*)?((?:\\[^A-Za-z0-9]|[^\\()\[\]{}.*+?|^$])+)(.?.?)", re.S)
+
+
+def lead(pattern: str) -> tuple[bool, str]:
+    """Whether space may come first, and the text that every match of an anchored pattern begins with then; empty if unknown."""
+    found, depth = _LEAD.match(pattern), 0
+    for x in re.sub(r"\\.|\[(?:\\.|[^\]])*\]", "", pattern):
+        depth += (x == "(") - (x == ")")
+        if x == "|" and depth == 0:
+            return False, ""
+    if not found:
+        return False, ""
+    said = re.findall(r"\\?(.)", found[2], re.S)
+    if found[3][:1] in ("*", "?") or (found[3][:1] == "{" and not "1" <= found[3][1:] <= "9"):
+        said = said[:-1]
+    return bool(found[1]), "".join(said)
+
+
+def matched(text: Column, pattern: str) -> Column:
+    """``rlike`` that looks for the pattern only where the texts stand without which it cannot match."""
+    some = lambda test, texts: reduce(Column.__or__, [test(text, F.lit(x)) for x in texts])
+    if pattern in _HELD:
+        return some(F.contains, _HELD[pattern]) & text.rlike(pattern)
+    if pattern in _LED:
+        return some(F.startswith, _LED[pattern]) & text.rlike(pattern)
+    spaced, begins = lead(pattern)
+    if not begins:
+        return text.rlike(pattern)
+    return F.startswith(F.ltrim(text, F.lit(SPACES)) if spaced else text, F.lit(begins)) & text.rlike(pattern)
 
 
 def quoted(text: Column) -> Column:

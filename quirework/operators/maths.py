@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import strip
+from ..functions.text import beyond, strip
 from ..plans.lines import after, count_before, forward, rows_before, rows_through
 from .rules import Rule, _is, flagged, met, tight
 
@@ -122,7 +122,7 @@ def maths_in_fence(ctx: DataFrame) -> DataFrame:
     """A closed code fence whose lines look like a formula or diagram; found at its opening line."""
     ctx = ctx.withColumn("fence", F.startswith("t", F.lit("```")))
     ctx = ctx.withColumn("nth", F.sum(F.col("fence").cast("int")).over(rows_through()))
-    signs = F.col("line").rlike(f"[{P.FENCE_SIGNS}]")
+    signs = F.col("line").rlike(beyond(P.FENCE_SIGNS))
     for token in P.FENCE_TOKENS:
         signs = signs | F.contains("line", F.lit(token))
     blocks = ctx.where("nth % 2 = 1").groupBy("doc_id", "nth").agg(F.min("line_no").alias("line_no"), F.max(signs & ~F.col("fence")).alias("maths"))
@@ -142,7 +142,8 @@ def plain_text(ctx: DataFrame) -> DataFrame:
     for pattern, new in ((r"\\\[.*?\\\]", " "), (r"\\[\[\]]", r"\$\$"), (r"\\\(.*?\\\)", " "), (r"\\\$", " "), (r"`[^`]*`", " "), (r"\$\$.*?\$\$", " "), (r"(^|[^$])\$[^$]+\$", "$1 ")):
         text = F.regexp_replace(text, pattern, new)
     live = ~fence & ~F.col("in_code")
-    ctx = ctx.withColumn("cut", F.when(live, text))
+    marked = reduce(Column.__or__, [F.contains("line", F.lit(x)) for x in ("$", "\\", "`")])
+    ctx = ctx.withColumn("cut", F.when(live, F.when(marked, text).otherwise(F.col("line"))))
     marks = F.when(live, (F.length("cut") - F.length(F.replace(F.col("cut"), F.lit("$$"), F.lit("")))) / 2).otherwise(0)
     ctx = ctx.withColumn("fences", marks.cast("int"))
     ctx = ctx.withColumn("display", F.coalesce(F.sum("fences").over(rows_before()), F.lit(0)) % 2 == 1)
@@ -151,12 +152,12 @@ def plain_text(ctx: DataFrame) -> DataFrame:
 
 @maths_line
 def raw_arrows() -> Column:
-    return F.coalesce(F.col("plain").rlike(f"[{P.RAW_ARROWS}]"), F.lit(False))
+    return F.coalesce(F.col("plain").rlike(beyond(P.RAW_ARROWS)), F.lit(False))
 
 
 @maths
 def naked_commands(ctx: DataFrame) -> DataFrame:
-    return plain_text(ctx).where(F.coalesce(F.col("plain").rlike(P.NAKED_COMMAND), F.lit(False))).select("doc_id", "line_no", F.regexp_extract("plain", f"({P.NAKED_COMMAND})", 1).alias("command"))
+    return plain_text(ctx).where(_is("plain", P.NAKED_COMMAND)).select("doc_id", "line_no", F.regexp_extract("plain", f"({P.NAKED_COMMAND})", 1).alias("command"))
 
 
 @maths_line

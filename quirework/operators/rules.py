@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import roman_to_int, strip
+from ..functions.text import matched, roman_to_int, strip
 from ..plans.lines import after, before, count_before, forward, is_quoted, latch, rows_through
 
 BLOCKS, WARNS = "blocks", "warns"
@@ -73,7 +73,7 @@ def met(ctx: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
 
 def _is(column: str, pattern: str) -> Column:
-    return F.coalesce(F.col(column).rlike(pattern), F.lit(False))
+    return F.coalesce(matched(F.col(column), pattern), F.lit(False))
 
 
 def _where(ctx: DataFrame, what: Column) -> DataFrame:

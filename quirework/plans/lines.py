@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import quoted, strip
+from ..functions.text import matched, quoted, strip
 
 
 def forward() -> WindowSpec:
@@ -61,7 +61,7 @@ def line_context(lines: DataFrame) -> DataFrame:
         "blank": F.col("t") == "",
         "bq": F.startswith("line", F.lit(">")),
         "bqi": F.startswith("t", F.lit(">")),
-        "head": F.col("line").rlike(P.HEADING),
+        "head": matched(F.col("line"), P.HEADING),
         "dash": F.col("t") == "---",
     })
     return lines.withColumns({

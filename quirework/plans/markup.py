@@ -74,15 +74,21 @@ def marked(docs: DataFrame, table: dict[int, str] = STRUCTURE) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, line_no, line`` with markup."""
     parts = [_parts(table.get(k, "{raw}")) for k in range(KINDS)]
 
-    def lines(raw: Column, i: Column) -> Column:
+    table_ = F.array(*[F.struct(*[F.lit(x).alias(f"p{i}") for i, x in enumerate(p)]) for p in parts])
+
+    def kinds(raw: Column, i: Column) -> Column:
+        # Functions of a lambda are interpreted: a line's kind is worked out once, not once for each part of its markup.
         n = (i + 1).cast("long")
         k = (((F.col("doc_id") * 7919 + n * n * 131 + n * 613) % 10007) % KINDS).cast("int")
-        pick = lambda part: F.get(F.array(*[F.lit(p[part]) for p in parts]), k)
+        return F.struct(raw.alias("raw"), n.alias("n"), F.get(table_, k).alias("p"))
+
+    def lines(x: Column) -> Column:
+        p, n = x["p"], x["n"]
         key = F.concat((F.col("doc_id") % 9 + 1).cast("string"), F.lit("."), (n % 5 + 1).cast("string"), F.lit("-"), (n % 6 + 1).cast("string"))
-        value = F.when(pick(1) == "key", key).when(pick(1) == "n", (n % 9 + 1).cast("string")).otherwise("")
-        return F.when(pick(3), F.array(F.concat(pick(0), value, pick(2), raw, pick(4)))).otherwise(F.array(F.concat(pick(0), value, pick(2), pick(4)), raw))
+        value = F.when(p["p1"] == "key", key).when(p["p1"] == "n", (n % 9 + 1).cast("string")).otherwise("")
+        return F.when(p["p3"], F.array(F.concat(p["p0"], value, p["p2"], x["raw"], p["p4"]))).otherwise(F.array(F.concat(p["p0"], value, p["p2"], p["p4"]), x["raw"]))
 
-    every = F.flatten(F.transform(F.split("text", "\n", -1), lines))
+    every = F.flatten(F.transform(F.transform(F.split("text", "\n", -1), kinds), lines))
     return docs.select("doc_id", F.posexplode(every).alias("pos", "line")).select("doc_id", (F.col("pos") + 1).alias("line_no"), "line")
 
 
