@@ -1,7 +1,7 @@
 """Formulas of a summary against those of its source: bags of symbols, matched by a bounded similarity join.
 
 A formula is the bag of its symbols (commands, letters, digits, signs) after noise of the scan is taken out. Copies of a
-symbol are numbered, which makes the bag a set, and similarity is Jaccard's of two sets. Rare symbols come first in
+symbol are numbered, which makes the bag a set, and similarity is Jaccard's of two sets. Symbols that are likely rare come first in
 each set; two sets that are similar enough share one of their first few, so only such pairs meet, within a document.
 """
 
@@ -12,6 +12,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.stored import stored
+
 # Commands that only change type or spacing, and spellings of one symbol.
 NOISE = r"\\(?:pmb|boldsymbol|bf|rm|it|mathrm|mathbf|mathit|mathscr|mathcal|mathbb|displaystyle|textstyle|left|right|limits|nolimits|quad|qquad|hspace|vspace|[,;:! ])"
 SAME = {"\\varnothing": "\\emptyset", "\\leqslant": "\\leq", "\\le": "\\leq", "\\geqslant": "\\geq", "\\ge": "\\geq", "\\to": "\\rightarrow", "\\ne": "\\neq", "\\lbrace": "\\{", "\\rbrace": "\\}"}
@@ -28,21 +30,22 @@ def symbols(latex: Column) -> Column:
     return F.transform(found, lambda s: F.coalesce(F.element_at(spelling, s), s))
 
 
-def _elements(formulas: DataFrame) -> DataFrame:
-    """``doc_id, id, symbol, copy``: symbols of each formula, copies numbered."""
-    each = formulas.select("doc_id", "id", F.explode(symbols(F.col("latex"))).alias("symbol"))
-    counts = each.groupBy("doc_id", "id", "symbol").agg(F.count("*").alias("n"))
-    return counts.select("doc_id", "id", "symbol", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
+def _bags(formulas: DataFrame) -> DataFrame:
+    """``doc_id, id, size, elements``: the symbols of each formula, copies numbered; one without symbols is none."""
+    rows = formulas.select("doc_id", "id", F.explode(F.array(F.array_sort(symbols(F.col("latex"))))).alias("s")).where("size(s) > 0")
+    # Equal symbols stand together once they are sorted: the number of a copy is its place since the first of them.
+    copies = F.transform("s", lambda x, i: F.struct(x.alias("symbol"), (i + 2 - F.array_position("s", x)).cast("int").alias("copy")))
+    return rows.select("doc_id", "id", F.size("s").alias("size"), copies.alias("elements"))
+
 
+def _firsts(bags: DataFrame, least: Fraction) -> DataFrame:
+    """``doc_id, id, size, h``: hashes of the first elements of each set; second copies and long symbols come first, as they are rare.
 
-def _sets(elements: DataFrame, ranks: DataFrame, least: Fraction) -> tuple[DataFrame, DataFrame]:
-    """Sets ``doc_id, id, size, elements`` and their first elements ``doc_id, id, size, symbol, copy``."""
-    ordered = elements.join(ranks, ["doc_id", "symbol", "copy"])
-    key = Window.partitionBy("doc_id", "id")
-    ordered = ordered.withColumns({"nth": F.row_number().over(key.orderBy("held", "symbol", "copy")), "size": F.count("*").over(key)})
-    sets = ordered.groupBy("doc_id", "id").agg(F.count("*").alias("size"), F.collect_list(F.struct("symbol", "copy")).alias("elements"))
-    first = ordered.where(F.col("nth") <= F.col("size") - F.ceil(F.col("size") * least.numerator / least.denominator) + 1)
-    return sets, first.select("doc_id", "id", "size", "symbol", "copy")
+    Any order that all sets share finds all pairs; one that follows from the element alone needs no counts of the table.
+    """
+    order = F.array_sort(F.transform("elements", lambda e: F.struct((-e["copy"]).alias("c"), (-F.length(e["symbol"])).alias("n"), e["symbol"].alias("symbol"))))
+    most = F.col("size") - F.ceil(F.col("size") * least.numerator / least.denominator) + 1
+    return bags.select("doc_id", "id", "size", F.explode(F.transform(F.slice(order, F.lit(1), most.cast("int")), lambda e: F.xxhash64(e["c"], e["symbol"]))).alias("h"))
 
 
 def drift(summary: DataFrame, source: DataFrame, least: Fraction = LEAST) -> DataFrame:
@@ -52,18 +55,15 @@ def drift(summary: DataFrame, source: DataFrame, least: Fraction = LEAST) -> Dat
     symbols agree; ``missing`` and ``extra`` are the bag differences, sorted. A formula without such a source has a
     null ``source_id`` and all its symbols as ``extra``; one without symbols is no formula.
     """
-    ours, theirs = _elements(summary), _elements(source)
-    # How many sets of the document hold an element: the order in which rare ones come first.
-    ranks = ours.select("doc_id", "symbol", "copy").unionAll(theirs.select("doc_id", "symbol", "copy")).groupBy("doc_id", "symbol", "copy").agg(F.count("*").alias("held"))
-    a, a_first = _sets(ours, ranks, least)
-    b, b_first = _sets(theirs, ranks, least)
-    b_first = b_first.select("doc_id", F.col("id").alias("source_id"), F.col("size").alias("source_size"), "symbol", "copy")
-    near = a_first.join(b_first, ["doc_id", "symbol", "copy"])
+    a, b = stored(_bags(summary), "summary"), stored(_bags(source), "source")
+    a_first, b_first = _firsts(a, least), _firsts(b, least).select("doc_id", F.col("id").alias("source_id"), F.col("size").alias("source_size"), "h")
+    near = a_first.join(b_first, ["doc_id", "h"])
     up, down = least.numerator, least.denominator
     near = near.where((F.col("size") * down >= F.col("source_size") * up) & (F.col("source_size") * down >= F.col("size") * up)).select("doc_id", "id", "source_id").distinct()
     pairs = near.join(a, ["doc_id", "id"]).join(b.select("doc_id", F.col("id").alias("source_id"), F.col("size").alias("source_size"), F.col("elements").alias("source_elements")), ["doc_id", "source_id"])
     shared = F.size(F.array_intersect("elements", "source_elements"))
-    pairs = pairs.withColumn("shared", shared).withColumn("all", F.col("size") + F.col("source_size") - F.col("shared")).where(F.col("shared") * down >= F.col("all") * up)
+    # Compared once a pair, however often the number is read.
+    pairs = pairs.select("*", F.explode(F.array(shared)).alias("shared")).withColumn("all", F.col("size") + F.col("source_size") - F.col("shared")).where(F.col("shared") * down >= F.col("all") * up)
     best = Window.partitionBy("doc_id", "id").orderBy(F.desc(F.col("shared") * F.lit(1.0) / F.col("all")), "source_id")
     meant = pairs.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("doc_id", "id", "source_id", "source_elements")
     rows = a.join(meant, ["doc_id", "id"], "left")
