@@ -14,11 +14,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
-from ..plans.lines import line_context, md_lines
+from ..functions import patterns as P
+from ..functions.text import matched, strip
+from ..plans.lines import before, dealt, forward, md_lines, rows_before
 from ..plans.stored import stored
 from . import maths
-from .rewriters import numbered
 
 # Fixed values of the document format: commands that take a group, and how far back one is looked for.
 GROUP_COMMANDS = (
@@ -113,30 +113,61 @@ def braces(lines: DataFrame) -> DataFrame:
 # --- edits of maths lines by priority, and the fixed point
 
 
-def _quote_of(line: Column) -> Column:
-    return F.when(F.startswith(strip(line), F.lit(">")), "> ").otherwise("")
+def _near(line: Column) -> Column:
+    """A short text that stands for a line in the rules of its neighbours: these ask whether it is blank, quoted, a fence or a bullet."""
+    t = F.col("t")
+    return (
+        F.when(t.isin("", ">", "$$"), t)
+        .when(F.startswith(t, F.lit("> ")), "> x")
+        .when(F.startswith(t, F.lit(">")), ">x")
+        .when(matched(line, P.BULLET), "- (i)")
+        .otherwise("x")
+    )
+
+
+#: Edits that a line calls for whatever stands around it, by priority; the last one gives way to a block that fell out of its quote.
+_ALONE = ("escaped_display", "nested_display", "deep_quoted_display", "one_line_display", "attached_display", "bare_struct_in_quote")
 
 
 def edited(lines: DataFrame) -> DataFrame:
     """Every line's maths edits in one pass, by priority: escaped signs first, then what replaces the line, then blanks around it.
 
     Of the replacements one applies: a nested quote becomes one level, over-indented signs move left, a formula on the
-    line of its signs gets lines of its own, a block that fell out of a quote joins it again.
+    line of its signs gets lines of its own, a block that fell out of a quote joins it again. ``touched`` tells the lines
+    that are not as they were; further columns of a line go with it. What a line calls for by itself is worked out before
+    the windows, which see short texts in place of the lines around; lines are sorted once and counted, not numbered by a second sort.
     """
-    ctx = maths.prepared(line_context(lines))
-    flag = {name: maths.MATHS_LINES[name]() for name in ("escaped_display", "nested_display", "one_line_display", "attached_display", "div_blanks", "deep_quoted_display", "display_needs_blank", "escaped_from_quote", "list_gap", "bare_struct_in_quote")}
-    ctx = ctx.withColumns({f"f_{name}": column for name, column in flag.items()})
-    on = lambda name: F.col(f"f_{name}")
-    core = strip(F.regexp_replace(F.col("t"), r"^>\s*", ""))
-    mark, body = _quote_of(F.col("line")), strip(F.regexp_replace(core, r"^\$\$|\$\$$", ""))
+    more = [c for c in lines.columns if c not in ("doc_id", "line_no", "line", "touched")]
+    ctx = lines.withColumn("t", strip(F.col("line")))
+    alone = reduce(lambda rest, name: F.when(maths.MATHS_LINES[name](), name).otherwise(rest), reversed(_ALONE), F.lit(""))
+    said = F.when(F.col("t").isin("$$", "</div>"), F.col("t")).when(F.startswith("t", F.lit("> $$")), "> $$").when(F.startswith("t", F.lit("<div")), "<div").otherwise("x")
+    ctx = ctx.select("doc_id", "line_no", "line", *more, "t", alone.alias("alone"), _near(F.col("line")).alias("near"), matched(F.col("line"), P.TOP_ITEM).alias("top"), said.alias("said"))
+    # One step a column: `strip` writes its argument several times, and code that grows beyond a limit of the JVM is never compiled.
+    ctx = ctx.withColumn("core", F.when(F.col("alone").isin("one_line_display", "attached_display"), F.regexp_replace("t", r"^>\s*", "")))
+    ctx = ctx.withColumn("core", strip(F.col("core")))
+    ctx = ctx.withColumn("body", F.regexp_replace("core", r"^\$\$|\$\$$", "")).withColumn("body", strip(F.col("body")))
+    ctx = ctx.select("doc_id", "line_no", "line", *more, "alone", "near", "top", F.startswith("t", F.lit(">")).alias("quote"), F.startswith("core", F.lit("$$")).alias("first"), "body", F.col("said").alias("t"))
+    lone = F.col("t") == "$$"
+    every = forward().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ctx = ctx.withColumns({
+        "p1": F.lag("near").over(forward()),
+        "n1": F.lead("near").over(forward()),
+        "pnb": before(F.when(F.col("near") != "", F.col("near"))),
+        "later": F.max(F.when(lone, F.col("line_no"))).over(every) > F.col("line_no"),
+    })
+    ctx = maths.display_state(ctx)
+    flag = {name: maths.MATHS_LINES[name]() for name in ("div_blanks", "display_needs_blank", "escaped_from_quote")}
+    gap = F.col("top") & F.coalesce(matched(F.col("p1"), P.BULLET), F.lit(False))
+    ctx = ctx.withColumns({f"f_{name}": column for name, column in flag.items()} | {"f_list_gap": gap})
+    on = lambda name: F.col("alone") == name if name in _ALONE else F.col(f"f_{name}")
+    mark, body = F.when(F.col("quote"), "> ").otherwise(""), F.col("body")
     fence = F.concat(mark, F.lit("$$"))
-    first = F.startswith(core, F.lit("$$"))
     new = (
         F.when(on("escaped_display"), F.array(F.regexp_replace("line", r"\\\$\\\$", r"\$\$")))
         .when(on("nested_display"), F.array(F.regexp_replace("line", r"^\s*>\s+>\s*", "> ")))
         .when(on("deep_quoted_display"), F.array(F.regexp_replace("line", r"^(\s*>)\s{2,}", "$1 ")))
         .when(on("one_line_display"), F.array(fence, F.concat(mark, body), fence))
-        .when(on("attached_display"), F.when(first, F.array(fence, F.concat(mark, body))).otherwise(F.array(F.concat(mark, body), fence)))
+        .when(on("attached_display"), F.when(F.col("first"), F.array(fence, F.concat(mark, body))).otherwise(F.array(F.concat(mark, body), fence)))
         .when(on("escaped_from_quote"), F.array(F.concat(F.lit("> "), "line")))
         .when(on("bare_struct_in_quote"), F.array(F.regexp_replace("line", r"^>\s+", "")))
         .otherwise(F.array("line"))
@@ -144,7 +175,12 @@ def edited(lines: DataFrame) -> DataFrame:
     none, blank = F.array().cast("array<string>"), F.array(F.when(F.col("f_display_needs_blank") & F.col("quoted_fence"), ">").otherwise(""))
     above = on("display_needs_blank") | on("list_gap") | (on("div_blanks") & F.startswith("t", F.lit("<div")))
     below = on("div_blanks") & (F.col("t") == "</div>")
-    return numbered(ctx, F.concat(F.when(above, blank).otherwise(none), new, F.when(below, F.array(F.lit(""))).otherwise(none)))
+    ctx = ctx.select("doc_id", "line_no", "line", *more, "alone", "quote", "first", "body", "quoted_fence", "f_display_needs_blank", "f_escaped_from_quote", above.alias("above"), below.alias("below"))
+    out = F.concat(F.when(F.col("above"), blank).otherwise(none), new, F.when(F.col("below"), F.array(F.lit(""))).otherwise(none))
+    ctx = ctx.withColumn("out", out).withColumns({"n": F.size("out"), "touched": F.col("out") != F.array("line")}).drop("out")
+    ctx = ctx.withColumn("start", F.coalesce(F.sum("n").over(rows_before()), F.lit(0)))
+    rows = ctx.select("doc_id", "start", *more, "touched", F.posexplode(out).alias("pos", "line"))
+    return rows.select("doc_id", (F.col("start") + F.col("pos") + 1).cast("int").alias("line_no"), "line", *more, "touched")
 
 
 def digests(lines: DataFrame) -> DataFrame:
@@ -152,22 +188,48 @@ def digests(lines: DataFrame) -> DataFrame:
     return lines.groupBy("doc_id").agg(F.struct(F.count("*"), F.sum(F.xxhash64("line_no", "line").cast("decimal(38,0)")), F.sum(F.xxhash64("line", "line_no").cast("decimal(38,0)"))).alias("digest"))
 
 
+#: Rounds of a step that tells what it touched are run in one go, without a table between them.
+TOGETHER = 3
+
+
 def settled(lines: DataFrame, step: Callable[[DataFrame], DataFrame], most: int = 12) -> tuple[DataFrame, DataFrame]:
     """``step`` repeated until no document changes -> (lines, ``doc_id, rounds``: the rounds that changed it).
 
-    Only documents that the last round changed go into the next one; the others are done. Raises if some still
-    change after ``most`` rounds, for then the step has no fixed point on them.
+    Only documents that the last round changed go on; the others are done. Raises if some still change after ``most``
+    rounds, for then the step has no fixed point on them. A step whose rows say whether they are ``touched`` is run
+    ``TOGETHER`` times between two tables: on a document that is done it changes nothing. Any other step is run once, and
+    digests of its documents are compared.
     """
-    active, done, rounds = stored(lines, "round"), [], []
-    for nth in range(most + 1):
-        after = stored(step(active), "round")
-        was, now = digests(active).withColumnRenamed("digest", "was"), digests(after)
-        changed = stored(was.join(now, "doc_id").where("was <> digest").select("doc_id"), "changed")
-        done.append(after.join(changed, "doc_id", "left_anti"))
-        rounds.append(active.join(changed, "doc_id", "left_anti").select("doc_id").distinct().withColumn("rounds", F.lit(nth)))
+    active, done, rounds, ran = lines, [], [], 0
+    while ran <= most:
+        now, took = active, 0
+        while took < min(TOGETHER, most + 1 - ran):
+            # Sorted first, the lines of a round leave it before the next one's columns are worked out: two pieces of code, small enough to be compiled.
+            now, took = step(now.sortWithinPartitions("doc_id", "line_no") if took else now), took + 1
+            if "touched" not in now.columns:
+                break
+            now = now.withColumnRenamed("touched", f"touched_{took}")
+        told = f"touched_{took}" in now.columns
+        if told:
+            after = stored(now, "round")
+            changed = after.where(f"touched_{took}").select("doc_id").distinct()
+        else:
+            active = stored(active, "active")
+            after = stored(step(active), "round")
+            was, now = digests(active).withColumnRenamed("digest", "was"), digests(after)
+            changed = was.join(now, was["doc_id"].eqNullSafe(now["doc_id"])).where("was <> digest").select(was["doc_id"])
+        changed = stored(changed, "changed")
+        last = F.max(F.greatest(F.lit(0), *[F.when(F.col(f"touched_{k}"), F.lit(k)) for k in range(1, took + 1)])) if told else F.lit(0)
+        count = after.groupBy("doc_id").agg((F.lit(ran) + last).cast("int").alias("rounds"))
+        after, ran = after.select("doc_id", "line_no", "line"), ran + took
         if changed.isEmpty():
-            return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, rounds)
-        active = stored(after.join(changed, "doc_id", "left_semi"), "active")
+            return reduce(DataFrame.unionByName, [*done, after]), reduce(DataFrame.unionByName, [*rounds, count])
+        # Ids may be null; a join by name would take these as done.
+        which = changed.withColumnRenamed("doc_id", "id")
+        same = F.col("doc_id").eqNullSafe(F.col("id"))
+        done.append(after.join(which, same, "left_anti"))
+        rounds.append(count.join(which, same, "left_anti"))
+        active = dealt(after.join(which, same, "left_semi"), text="line")
     raise ValueError(f"{changed.count()} documents still change after {most} rounds")
 
 

@@ -60,7 +60,7 @@ def one_line_display() -> Column:
 @maths_line
 def attached_display() -> Column:
     """``$$`` that has formula on one side only."""
-    first, last = F.col("t").rlike(r"^(?:> \s*)?\$\$"), F.endswith("t", F.lit("$$"))
+    first, last = F.contains("t", F.lit("$$")) & F.col("t").rlike(r"^(?:> \s*)?\$\$"), F.endswith("t", F.lit("$$"))
     once = ~F.contains(F.expr("substring(t, 1, length(t) - 2)"), F.lit("$$"))
     return (first & ~last) | (last & ~first & once)
 

@@ -29,6 +29,21 @@ def rows_after() -> WindowSpec:
     return Window.partitionBy("doc_id").orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, -1)
 
 
+#: Characters of the texts that a task gets, on average: with its context a line is several times as long.
+TASK_CHARS = 4 << 20
+
+
+def dealt(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = TASK_CHARS) -> DataFrame:
+    """``docs`` by ``key`` over as many tasks as their texts need, if the session's shuffle partitions are fewer.
+
+    Windows by document find their rows together then: whole texts travel, not their lines, and no task grows with the table.
+    """
+    spark = docs.sparkSession
+    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    tasks = -(-chars // size)
+    return docs.repartition(tasks, key) if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else docs
+
+
 def md_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, text`` -> ``doc_id, line_no, line``; line numbers begin at 1, a null text has no lines."""
     lines = docs.select("doc_id", F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line"))

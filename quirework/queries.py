@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions import patterns as P
 from .operators import figures, items, keys, maths, reports, rewriters, rules
 from .plans import oracles as O
-from .plans.lines import line_context, md_lines
+from .plans.lines import TASK_CHARS, dealt, line_context, md_lines
 from .plans.markup import ITEMS, LAYOUT, MATHS, STRUCTURE, marked, marked_sql
 from .plans.stored import stored
 
@@ -30,22 +30,8 @@ def add(name: str, run: Callable[[SparkSession, str], DataFrame], sql: str | Non
         ORACLES[name] = sql
 
 
-#: Characters of the texts that a task gets, on average: with its context a line is several times as long.
-TASK_CHARS = 4 << 20
-
-
-def dealt(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` by ``key`` over as many tasks as their texts need, if the session's shuffle partitions are fewer.
-
-    Windows by document find their rows together then: whole texts travel, not their lines, and no task grows with the table.
-    """
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    tasks = -(-chars // TASK_CHARS)
-    return docs.repartition(tasks, key) if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else docs
-
-
 def lines_of(spark: SparkSession, sf_dir: str, table: dict[int, str] = STRUCTURE) -> DataFrame:
-    return marked(dealt(read(spark, sf_dir, "documents")), table)
+    return marked(dealt(read(spark, sf_dir, "documents"), size=TASK_CHARS), table)
 
 
 def over_lines(spark: SparkSession, sf_dir: str, table: dict[int, str], run: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
