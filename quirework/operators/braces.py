@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import matched, strip
-from ..plans.lines import before, dealt, forward, md_lines, rows_before
+from ..plans.lines import before, dealt, forward, md_lines, parted, rows_before
 from ..plans.stored import stored
 from . import maths
 
@@ -204,8 +204,7 @@ def settled(lines: DataFrame, step: Callable[[DataFrame], DataFrame], most: int
     while ran <= most:
         now, took = active, 0
         while took < min(TOGETHER, most + 1 - ran):
-            # Sorted first, the lines of a round leave it before the next one's columns are worked out: two pieces of code, small enough to be compiled.
-            now, took = step(now.sortWithinPartitions("doc_id", "line_no") if took else now), took + 1
+            now, took = step(parted(now) if took else now), took + 1
             if "touched" not in now.columns:
                 break
             now = now.withColumnRenamed("touched", f"touched_{took}")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import strip
-from ..plans.lines import after, before, count_before, latch, line_context
+from ..plans.lines import after, before, count_before, dealt, latch, line_context, parted
+from ..plans.stored import stored
 from . import rewriters
 from .rewriters import numbered
 from .rules import _is
@@ -148,6 +149,7 @@ def formatted(lines: DataFrame, number: bool = False) -> DataFrame:
     """The whole format run: its stages, then maths edits until nothing changes."""
     from .braces import edited, settled
 
-    for step in format_steps(number).values():
-        lines = step(lines)
-    return settled(lines, edited)[0]
+    for nth, step in enumerate(format_steps(number).values()):
+        lines = step(parted(lines) if nth else lines)
+    # The rounds are a stage of their own: with the six stages before them in one task, most of its code was never compiled.
+    return settled(dealt(stored(lines, "formatted"), text="line"), edited)[0]

@@ -50,6 +50,15 @@ def md_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     return lines.select("doc_id", (F.col("pos") + 1).alias("line_no"), "line")
 
 
+def parted(lines: DataFrame) -> DataFrame:
+    """The lines that a step made, sorted before the next step's columns are worked out.
+
+    Steps of one stage share their generated code; the sort cuts it into pieces small enough that the JVM compiles them.
+    The next step's windows need this order in any case.
+    """
+    return lines.sortWithinPartitions("doc_id", "line_no")
+
+
 def before(value: Column) -> Column:
     """The last value before a line that is not null."""
     return F.last(value, ignorenulls=True).over(rows_before())

@@ -68,3 +68,20 @@ def test_two_rounds_are_one_table(spark, monkeypatch):
     monkeypatch.setattr(braces, "stored", lambda rows, label: labels.append(label) or kept(rows, label))
     settled(md_lines(spark.createDataFrame([(1, "a\n$$x+y$$\nb")], SCHEMA)), edited)
     assert labels == ["round", "changed"]
+
+
+def test_the_format_run_is_its_stages_then_rounds(spark, monkeypatch):
+    """The stages' lines are written and dealt before the rounds; lines are those of stages run one by one."""
+    from quirework.operators import quotes
+
+    rng = random.Random(5)
+    bits = [*BITS, "**例** a", "> **例**", "> **证明思路**：首先a其次 b", "---", "**定义** a", "## §1", "> **例**：a **证明**：c", "# a"]
+    lines = md_lines(spark.createDataFrame([(k, "\n".join(rng.choices(bits, k=rng.randrange(1, 20)))) for k in range(80)], SCHEMA))
+    want = lines
+    for step in quotes.format_steps(True).values():
+        want = braces.stored(step(want), "stage")
+    want = {r.doc_id: r.text for r in texts(settled(want, edited)[0]).collect()}
+    labels, kept = [], quotes.stored
+    monkeypatch.setattr(quotes, "stored", lambda rows, label: labels.append(label) or kept(rows, label))
+    assert {r.doc_id: r.text for r in texts(quotes.formatted(lines, number=True)).collect()} == want
+    assert labels == ["formatted"]
