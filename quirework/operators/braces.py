@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import matched, strip
-from ..plans.lines import before, dealt, forward, md_lines, parted, rows_before
+from ..plans.lines import before, dealt, forward, md_lines, parted, rows_before, shares
 from ..plans.stored import stored
 from . import maths
 
@@ -235,8 +235,9 @@ def settled(lines: DataFrame, step: Callable[[DataFrame], DataFrame], most: int
 def fired(lines: DataFrame, steps: dict[str, Callable[[DataFrame], DataFrame]]) -> tuple[DataFrame, DataFrame]:
     """Runs steps one after the other -> (lines, ``doc_id, step``: which steps changed which documents)."""
     now, told = stored(lines, "before"), []
+    tasks = shares(now, "line")
     for name, step in steps.items():
-        after = stored(step(now), name)
+        after = stored(step(now.repartition(tasks, "doc_id") if tasks else now), name)
         both = digests(now).withColumnRenamed("digest", "was").join(digests(after), "doc_id")
         told.append(both.where("was <> digest").select("doc_id", F.lit(name).alias("step")))
         now = after

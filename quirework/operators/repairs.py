@@ -37,7 +37,8 @@ def spaced_commands(lines: DataFrame) -> DataFrame:
     line = F.col("line")
     for pattern, meant in P.BROKEN:
         line = F.regexp_replace(F.regexp_replace(line, pattern, meant), pattern, meant)
-    return _replaced(lines, line)
+    # Every pattern begins with a backslash, and no other line is searched.
+    return _replaced(lines, F.when(F.contains("line", F.lit("\\")), line).otherwise(F.col("line")))
 
 
 def stray_after_diagram(lines: DataFrame) -> DataFrame:

@@ -33,15 +33,23 @@ def rows_after() -> WindowSpec:
 TASK_CHARS = 4 << 20
 
 
-def dealt(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = TASK_CHARS) -> DataFrame:
-    """``docs`` by ``key`` over as many tasks as their texts need, if the session's shuffle partitions are fewer.
+def shares(docs: DataFrame, text: str = "text", size: int = TASK_CHARS) -> int | None:
+    """Tasks that the texts need; none if Spark takes no fewer by itself.
 
-    Windows by document find their rows together then: whole texts travel, not their lines, and no task grows with the table.
     """
     spark = docs.sparkSession
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     tasks = -(-chars // size)
-    return docs.repartition(tasks, key) if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else docs
+    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def dealt(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = TASK_CHARS) -> DataFrame:
+    """``docs`` by ``key`` over as many tasks as their texts need, if Spark might take fewer.
+
+    Windows by document find their rows together then: whole texts travel, not their lines, and no task grows with the table.
+    """
+    tasks = shares(docs, text, size)
+    return docs.repartition(tasks, key) if tasks else docs
 
 
 def md_lines(docs: DataFrame, text: str = "text") -> DataFrame:
