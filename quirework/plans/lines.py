@@ -36,11 +36,12 @@ TASK_CHARS = 4 << 20
 def shares(docs: DataFrame, text: str = "text", size: int = TASK_CHARS) -> int | None:
     """Tasks that the texts need; none if Spark takes no fewer by itself.
 
+    Many shuffle partitions are no help: Spark joins small ones until they hold 64 MB, so only a table of a task a core is left to it.
     """
     spark = docs.sparkSession
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     tasks = -(-chars // size)
-    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+    return tasks if tasks > min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism) else None
 
 
 def dealt(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = TASK_CHARS) -> DataFrame:
