@@ -53,6 +53,12 @@ def dealt(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     return docs.repartition(tasks, key) if tasks else docs
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """``docs`` over a task a core, if a read of its files gives fewer tasks; a larger table stays where it is."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
 def md_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, text`` -> ``doc_id, line_no, line``; line numbers begin at 1, a null text has no lines."""
     lines = docs.select("doc_id", F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line"))

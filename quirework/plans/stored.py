@@ -29,6 +29,19 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     spark = rows.sparkSession
     path = f"{shared_folder(spark)}/quirework/{label}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
+    _leaves(spark, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def stored_tables(spark: SparkSession, **tables: DataFrame) -> str:
+    """A folder with ``tables`` as Parquet, as queries read them. Gone when the driver's JVM ends."""
+    folder = f"{shared_folder(spark)}/quirework/tables-{uuid.uuid4().hex}"
+    for name, rows in tables.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    _leaves(spark, folder)
+    return folder
+
+
+def _leaves(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(rows.schema).parquet(path)
