@@ -3,6 +3,7 @@
 import random
 
 import pyarrow as pa
+import pytest
 
 from quirework import queries
 from quirework.operators import items, one_pass, rules
@@ -66,6 +67,16 @@ def test_nothing_is_written_for_a_document_layer(spark, tmp_path, monkeypatch):
         spark.conf.set(files, each)
 
 
+@pytest.mark.parametrize("query", ["gate_summary"])
+def test_queries_of_the_gate_read_counts_alone(spark, monkeypatch, query):
+    """What they exchange is a row a document and rule: neither a line context nor items are made for them."""
+    seen = []
+    monkeypatch.setattr(queries, "line_context", lambda lines: seen.append("context"))
+    monkeypatch.setattr(items, "stored", lambda rows, label: seen.append(label))
+    rows = queries.QUERIES[query](spark, "/root/testdata/sf0.001")
+    assert rows.count() and not seen
+
+
 def test_slices_change_nothing(monkeypatch):
     said = texts(4, 120)
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(said)), pa.int64()), pa.array(said, pa.string())], names=["doc_id", "text"])
