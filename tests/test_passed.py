@@ -67,7 +67,7 @@ def test_nothing_is_written_for_a_document_layer(spark, tmp_path, monkeypatch):
         spark.conf.set(files, each)
 
 
-@pytest.mark.parametrize("query", ["gate_summary"])
+@pytest.mark.parametrize("query", ["gate_summary", "gate_report"])
 def test_queries_of_the_gate_read_counts_alone(spark, monkeypatch, query):
     """What they exchange is a row a document and rule: neither a line context nor items are made for them."""
     seen = []
